@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 NULL_MARKERS = ["NULL", "N/A", "NA", "NAN", "NAO APLICAVEL", "NÃO APLICÁVEL"]
 
 # Fixed value: the Unicode replacement character left by failed decoding.
-REPLACEMENT_CHAR = "�"
+REPLACEMENT_CHAR = "\ufffd"
 
 # Fixed value: date layout of the extracts.
 DATE_FORMAT = "yyyyMMdd"
@@ -66,7 +66,7 @@ def parse_money(col: Column | str) -> Column:
 def parse_date(col: Column | str) -> Column:
     """``yyyyMMdd`` text to date; anything but 8 digits or an invalid day is NULL."""
     c = _c(col)
-    return F.when(c.rlike(r"^[0-9]{8}$"), F.try_to_date(c, F.lit(DATE_FORMAT)))
+    return F.when(c.rlike(r"^[0-9]{8}$"), F.try_to_date(c, DATE_FORMAT))
 
 
 def full_id(*cols: Column | str) -> Column:

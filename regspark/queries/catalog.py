@@ -34,8 +34,7 @@ def _preferred_orders(orders: DataFrame) -> DataFrame:
     return preferred_row(
         orders,
         ["o_custkey"],
-        [
-[flag_first("o_orderpriority", "1-URGENT"), "o_orderdate", "o_orderkey"],
+        [flag_first("o_orderpriority", "1-URGENT"), "o_orderdate", "o_orderkey"],
     )
 
 
@@ -197,3 +196,389 @@ def dedup_by_key(spark: SparkSession, d: str) -> DataFrame:
     return dedup(events, ["user_id", "event_type"]).select(
         "event_id", "ts", "user_id", "event_type", "value", "props"
     )
+
+
+# --- P5 / P10 / N1 / P11 / P12 cleansing ----------------------------------------------
+
+# Marker texts injected into the test tables (the data has none of its own).
+_MARKERS = ["", "  ", "null", " N/A ", "na", "NaN", "nao aplicavel", "não aplicável"]
+
+
+def _inject(value: F.Column, selector: F.Column, variants: list[str]) -> F.Column:
+    """Replace ``value`` by ``variants[selector]`` for selector < len(variants)."""
+    out = F.concat(F.lit(" "), value, F.lit(" "))
+    for i in reversed(range(len(variants))):
+        out = F.when(selector == i, F.lit(variants[i])).otherwise(out)
+    return out
+
+
+@register
+def null_markers(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.functions.cleanse import null_marker
+
+    n = len(_MARKERS) + 1
+    ev = table(spark, d, "events").select(
+        F.lit("events").alias("source_table"), F.col("event_id").alias("row_id"),
+        _inject(F.col("event_type"), F.col("event_id") % n, _MARKERS).alias("raw_value"),
+    )
+    docs = table(spark, d, "documents").select(
+        F.lit("documents").alias("source_table"), F.col("doc_id").alias("row_id"),
+        _inject(F.col("lang"), F.col("doc_id") % n, _MARKERS).alias("raw_value"),
+    )
+    both = ev.unionByName(docs)
+    return both.withColumn("clean_value", null_marker("raw_value"))
+
+
+@register
+def string_tidy(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.functions.cleanse import tidy
+
+    cust = table(spark, d, "customer").select(
+        F.lit("customer").alias("source_table"), F.col("c_custkey").alias("row_id"),
+        F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit(' "'), "c_name", F.lit('" ')))
+        .when(F.col("c_custkey") % 3 == 1, F.concat(F.lit("'"), "c_name", F.lit("'")))
+        .otherwise(F.concat(F.lit(' " '), "c_name", F.lit(' " '))).alias("raw_value"),
+    )
+    docs = table(spark, d, "documents").select(
+        F.lit("documents").alias("source_table"), F.col("doc_id").alias("row_id"),
+        F.col("text").alias("raw_value"),
+    )
+    return cust.unionByName(docs).withColumn("tidy_value", tidy("raw_value"))
+
+
+def _brazilian_money(x: F.Column) -> F.Column:
+    """1234.5 -> '1.234,50' (thousands '.', decimal ',')."""
+    return F.translate(F.format_number(x, 2), ",.", ".,")
+
+
+@register
+def money_parse(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.functions.cleanse import parse_money
+
+    c = table(spark, d, "customer")
+    br = _brazilian_money(F.col("c_acctbal"))
+    sel = F.col("c_custkey") % 5
+    text = (
+        F.when(sel == 0, br)
+        .when(sel == 1, F.concat(F.lit("R$ "), br))
+        .when(sel == 2, F.expr("format_number(c_acctbal, '0.00')"))
+        .when(sel == 3, F.concat(F.lit('"'), br, F.lit('"')))
+        .otherwise(F.concat(br, F.lit(".5")))  # malformed: two decimal parts
+    )
+    return c.select("c_custkey", text.alias("money_text")).withColumn(
+        "capital_social", parse_money("money_text")
+    )
+
+
+@register
+def date_parse(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.functions.cleanse import cast_dataset
+
+    raw = F.date_format("o_orderdate", "yyyyMMdd")
+    sel = F.col("o_orderkey") % 7
+    broken = (
+        F.when(sel == 0, F.lit("00000000"))
+        .when(sel == 1, F.concat(raw, F.lit("x")))
+        .when(sel == 2, F.substring(raw, 1, 7))
+        .when(sel == 3, F.concat(F.substring(raw, 1, 6), F.lit("31")))
+        .when(sel == 4, F.date_format("o_orderdate", "yyyy-MM-dd"))
+        .otherwise(raw)
+    )
+    o = table(spark, d, "orders").select("o_orderkey", broken.alias("data_inicio"))
+    return cast_dataset(o, money=[], dates=["data_inicio"])
+
+
+# --- A8 / A9 / A10 / F1 / O1 / A11 / U1 / U2 / O3 rollups --------------------------------
+
+def _orders_by_month(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.queries.tables import order_month
+
+    return table(spark, d, "orders").withColumn("data_version", order_month())
+
+
+@register
+def month_distinct(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.operators.rollups import distinct_per_month
+
+    return distinct_per_month(_orders_by_month(spark, d), "o_custkey")
+
+
+@register
+def year_month_distinct(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.operators.rollups import distinct_per_year_month
+
+    return distinct_per_year_month(_orders_by_month(spark, d), "o_custkey")
+
+
+@register
+def year_distinct(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.operators.rollups import distinct_per_year
+
+    return distinct_per_year(_orders_by_month(spark, d), "o_custkey")
+
+
+@register
+def month_slice_top(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.operators.rollups import month_slice_top as top
+
+    out = top(_orders_by_month(spark, d), "1997-05", ["o_orderkey"], 100)
+    return out.select("o_orderkey", "o_custkey", "data_version", "o_totalprice")
+
+
+def _customer_rules(spark: SparkSession, d: str) -> tuple[DataFrame, dict]:
+    """Q6 rules over customers: required, format, valid code, range, domain, unique."""
+    from regspark.operators.quality import unique_key_rule
+
+    c = table(spark, d, "customer")
+    c = lookup(c, table(spark, d, "nation"), {"c_nationkey": "n_nationkey"},
+               {"n_nationkey": "__nation_found"})
+    c = unique_key_rule(c, ["c_custkey"], "__unique")
+    rules = {
+        "required_name": F.col("c_name").isNotNull() & (F.trim("c_name") != ""),
+        "name_format": F.col("c_name").rlike("^Customer#[0-9]{9}$"),
+        "valid_nation": F.col("__nation_found").isNotNull(),
+        "balance_range": F.col("c_acctbal").between(0, 10000),
+        "segment_domain": F.col("c_mktsegment").isin(
+            "AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"),
+        "unique_key": F.col("__unique"),
+    }
+    return c, rules
+
+
+def _customer_scores(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.operators.quality import score_rules
+
+    c, rules = _customer_rules(spark, d)
+    return score_rules(c, rules).select(
+        "c_custkey", "c_nationkey", "rules_passed", "rules_total", "quality_score", "quality_band"
+    )
+
+
+@register
+def quality_score(spark: SparkSession, d: str) -> DataFrame:
+    return _customer_scores(spark, d)
+
+
+@register
+def quality_alerts(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.operators.quality import rule_alerts
+
+    c, rules = _customer_rules(spark, d)
+    spec = {
+        "required_name": (rules["required_name"], "c_name", "ERROR"),
+        "name_format": (rules["name_format"], "c_name", "WARNING"),
+        "valid_nation": (rules["valid_nation"], "c_nationkey", "ERROR"),
+        "balance_range": (rules["balance_range"], "c_acctbal", "WARNING"),
+        "segment_domain": (rules["segment_domain"], "c_mktsegment", "WARNING"),
+        "unique_key": (rules["unique_key"], "c_custkey", "CRITICAL"),
+    }
+    alerts = rule_alerts(c, spec, "c_custkey", created_at=F.lit(None).cast("timestamp"))
+    return alerts.drop("created_at")
+
+
+@register
+def state_rollup(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.operators.rollups import state_rollup as rollup
+
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    o = lookup(o, _customer_scores(spark, d), {"o_custkey": "c_custkey"},
+               {"c_nationkey": "nation_code", "rules_passed": "rules_passed"})
+    o = lookup(o, table(spark, d, "nation"), {"nation_code": "n_nationkey"}, {"n_name": "uf"})
+    return rollup(o, "uf", "o_custkey", "rules_passed")
+
+
+@register
+def table_sizes(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.operators.rollups import table_sizes as sizes
+
+    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+    return sizes({n: table(spark, d, n) for n in names})
+
+
+@register
+def months_present(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.operators.rollups import months_present as present
+    from regspark.queries.tables import order_month
+
+    o = table(spark, d, "orders").select(order_month("o_orderdate").alias("data_version"))
+    li = table(spark, d, "lineitem").select(order_month("l_shipdate").alias("data_version"))
+    return present([o, li])
+
+
+# --- Q1 / Q6 / A3 / A4 / P9 quality ---------------------------------------------------------
+
+@register
+def null_rate(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.operators.quality import key_null_stats
+
+    ev = table(spark, d, "events").withColumn(
+        "user_id", F.when(F.col("event_id") % 10 == 0, F.lit(None)).otherwise(F.col("user_id"))
+    )
+    return key_null_stats(ev, ["user_id", "event_type"], threshold=90)
+
+
+@register
+def orphan_codes(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.operators.quality import orphans
+
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    c = table(spark, d, "customer").where(F.col("c_mktsegment") != "FURNITURE")
+    return orphans(o, c, {"o_custkey": "c_custkey"})
+
+
+def _documents_with_bad_chars(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.functions.cleanse import REPLACEMENT_CHAR
+
+    return table(spark, d, "documents").select(
+        "doc_id", "lang",
+        F.replace(F.col("text"), F.lit("é"), F.lit(REPLACEMENT_CHAR)).alias("text"),
+        F.when(F.col("source") == "src7", F.lit("src" + REPLACEMENT_CHAR))
+        .otherwise(F.col("source")).alias("source"),
+    )
+
+
+@register
+def bad_char_cells(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.functions.cleanse import strip_replacement
+    from regspark.operators.quality import replacement_cells, replacement_flags
+
+    docs = _documents_with_bad_chars(spark, d)
+    return docs.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n_docs"),
+        *replacement_flags(["text", "source"]),
+        replacement_cells(["text", "source"]),
+        F.sum(F.length(strip_replacement("text"))).cast("bigint").alias("clean_chars"),
+    )
+
+
+# --- Q2 / Q3 profiling --------------------------------------------------------------------------
+
+def _doc_encodings(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.operators.profile import best_encoding
+
+    docs = table(spark, d, "documents").select(
+        "doc_id", "source", F.encode(F.col("text"), "UTF-8").alias("raw")
+    )
+    return best_encoding(docs, "raw").drop("raw")
+
+
+@register
+def encoding_score(spark: SparkSession, d: str) -> DataFrame:
+    return _doc_encodings(spark, d)
+
+
+@register
+def encoding_vote(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.operators.profile import encoding_vote as vote
+
+    return vote(_doc_encodings(spark, d), "source")
+
+
+@register
+def field_profile(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.operators.profile import text_profile
+
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return text_profile(docs, "text", delimiter=",").drop("text")
+
+
+# --- K3 / K4 / K1 / K2 sinks ------------------------------------------------------------------
+
+@register
+def typed_to_text(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.sinks.mart import mart_projection
+
+    target = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_comment"]
+    return mart_projection(table(spark, d, "customer"), target)
+
+
+@register
+def month_overwrite_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Write all months, replace one with a subset, empty another, read back."""
+    from regspark.session import scratch_path
+    from regspark.sinks.lake import publish_month, publish_months, read_table
+
+    root = scratch_path(spark, "roundtrip")
+    orders = _orders_by_month(spark, d).select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "data_version"
+    )
+    publish_months(orders, root, "gold", "orders")
+    replaced = orders.where((F.col("data_version") == "1997-05") & (F.col("o_orderstatus") == "F"))
+    publish_month(replaced.drop("data_version"), root, "gold", "orders", "1997-05")
+    publish_month(orders.where(F.lit(False)).drop("data_version"), root, "gold", "orders", "1998-01")
+    back = read_table(spark, root, "gold", "orders")
+    return back.groupBy("data_version").agg(F.count(F.lit(1)).alias("n_orders"))
+
+
+# --- A12-A19 / O2 run metrics ------------------------------------------------------------------
+
+def _runs(spark: SparkSession, d: str) -> DataFrame:
+    """Run table from events: stage = event type, an error event is a failed
+    run, duration = value seconds ending at ``ts``, records = user id."""
+    e = table(spark, d, "events")
+    secs = F.col("value").cast("decimal(18,6)")
+    return e.select(
+        F.col("event_id").alias("run_id"),
+        F.col("event_type").alias("stage"),
+        F.lit("events").alias("dataset"),
+        F.when(F.col("event_type") == "error", "failed").otherwise("completed").alias("status"),
+        F.date_format("ts", "yyyy-MM").alias("data_version"),
+        (F.col("ts") - F.make_dt_interval(secs=secs)).alias("started_at"),
+        F.col("ts").alias("finished_at"),
+        F.col("value").cast("decimal(12,2)").alias("duration_seconds"),
+        F.col("user_id").alias("records"),
+    )
+
+
+@register
+def runs_by_stage(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.operators.runs import runs_by
+
+    return runs_by(_runs(spark, d), ["stage", "dataset"])
+
+
+@register
+def run_rates(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.operators.runs import run_rates as rates
+
+    return rates(_runs(spark, d))
+
+
+@register
+def run_duration_hist(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.operators.runs import duration_histogram
+
+    return duration_histogram(_runs(spark, d), ["stage"])
+
+
+@register
+def latest_run(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.operators.runs import latest_run as latest
+
+    return latest(_runs(spark, d), ["stage", "dataset", "status"])
+
+
+@register
+def recent_runs(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.operators.runs import recent_runs as recent
+
+    return recent(_runs(spark, d), 20).select("run_id", "stage", "status", "finished_at")
+
+
+@register
+def run_summary(spark: SparkSession, d: str) -> DataFrame:
+    """A13 with one run per user: its events span the run, error events are alerts."""
+    from regspark.operators.runs import run_summary as summary
+
+    e = table(spark, d, "events")
+    runs = e.groupBy(F.col("user_id").alias("run_id")).agg(
+        F.when(F.count_if(F.col("event_type") == "error") > 0, "failed")
+        .otherwise("completed").alias("status"),
+        F.min("ts").alias("started_at"),
+        F.max("ts").alias("finished_at"),
+    )
+    alerts = e.where(F.col("event_type") == "error").select(
+        F.col("user_id").alias("run_id"),
+        F.when(F.col("value") >= 100, "CRITICAL").otherwise("WARNING").alias("severity"),
+    )
+    return summary(runs, alerts)

@@ -109,3 +109,307 @@ SELECT event_id, ts, user_id, event_type, value, props FROM (
                                ORDER BY event_id, ts, value, props) AS rn
   FROM events) WHERE rn = 1
 """
+
+_MARKER_CASE = """CASE {k} % 9 WHEN 0 THEN '' WHEN 1 THEN '  ' WHEN 2 THEN 'null' WHEN 3 THEN ' N/A '
+      WHEN 4 THEN 'na' WHEN 5 THEN 'NaN' WHEN 6 THEN 'nao aplicavel' WHEN 7 THEN 'não aplicável'
+      ELSE ' ' || {v} || ' ' END"""
+
+SQL["null_markers"] = f"""
+WITH m AS (
+  SELECT 'events' AS source_table, event_id AS row_id,
+         {_MARKER_CASE.format(k='event_id', v='event_type')} AS raw_value FROM events
+  UNION ALL
+  SELECT 'documents', doc_id, {_MARKER_CASE.format(k='doc_id', v='lang')} FROM documents)
+SELECT *, CASE WHEN trim(raw_value) = ''
+                 OR upper(trim(raw_value)) IN ('NULL', 'N/A', 'NA', 'NAN', 'NAO APLICAVEL', 'NÃO APLICÁVEL')
+               THEN NULL ELSE trim(raw_value) END AS clean_value
+FROM m
+"""
+
+SQL["string_tidy"] = """
+WITH m AS (
+  SELECT 'customer' AS source_table, c_custkey AS row_id,
+         CASE WHEN c_custkey % 3 = 0 THEN ' "' || c_name || '" '
+              WHEN c_custkey % 3 = 1 THEN '''' || c_name || ''''
+              ELSE ' " ' || c_name || ' " ' END AS raw_value
+  FROM customer
+  UNION ALL
+  SELECT 'documents', doc_id, text FROM documents)
+SELECT *, replace(replace(trim(raw_value), '"', ''), '''', '') AS tidy_value FROM m
+"""
+
+_BR = "translate(format('{:,.2f}', c_acctbal), ',.', '.,')"
+SQL["money_parse"] = f"""
+WITH t AS (
+  SELECT c_custkey,
+         CASE c_custkey % 5 WHEN 0 THEN {_BR}
+                            WHEN 1 THEN 'R$ ' || {_BR}
+                            WHEN 2 THEN printf('%.2f', c_acctbal)
+                            WHEN 3 THEN '"' || {_BR} || '"'
+                            ELSE {_BR} || '.5' END AS money_text
+  FROM customer),
+k AS (SELECT *, regexp_replace(trim(money_text), '[^0-9,.\\-]', '', 'g') AS kept FROM t)
+SELECT c_custkey, money_text,
+       TRY_CAST(CASE WHEN strpos(kept, ',') > 0 THEN translate(kept, ',.', '.') ELSE kept END
+                AS DECIMAL(18, 2)) AS capital_social
+FROM k
+"""
+
+SQL["date_parse"] = """
+WITH b AS (
+  SELECT o_orderkey,
+         CASE o_orderkey % 7 WHEN 0 THEN '00000000'
+              WHEN 1 THEN strftime(o_orderdate, '%Y%m%d') || 'x'
+              WHEN 2 THEN substr(strftime(o_orderdate, '%Y%m%d'), 1, 7)
+              WHEN 3 THEN substr(strftime(o_orderdate, '%Y%m%d'), 1, 6) || '31'
+              WHEN 4 THEN strftime(o_orderdate, '%Y-%m-%d')
+              ELSE strftime(o_orderdate, '%Y%m%d') END AS r
+  FROM orders)
+SELECT o_orderkey, r AS data_inicio_raw,
+       CASE WHEN regexp_full_match(r, '[0-9]{8}')
+            THEN CAST(try_strptime(r, '%Y%m%d') AS DATE) END AS data_inicio
+FROM b
+"""
+
+_OM = "strftime(o_orderdate, '%Y-%m')"
+SQL["month_distinct"] = f"""
+SELECT {_OM} AS data_version, COUNT(DISTINCT o_custkey) AS distinct_companies
+FROM orders GROUP BY 1
+"""
+SQL["year_month_distinct"] = f"""
+SELECT left({_OM}, 4) AS year, {_OM} AS data_version,
+       COUNT(DISTINCT o_custkey) AS distinct_companies
+FROM orders GROUP BY 1, 2
+"""
+SQL["year_distinct"] = f"""
+SELECT left({_OM}, 4) AS year, COUNT(DISTINCT o_custkey) AS distinct_companies
+FROM orders GROUP BY 1
+"""
+SQL["month_slice_top"] = f"""
+SELECT o_orderkey, o_custkey, {_OM} AS data_version, o_totalprice
+FROM orders WHERE {_OM} = '1997-05' ORDER BY o_orderkey LIMIT 100
+"""
+
+_RULES = {
+    "required_name": "c_name IS NOT NULL AND trim(c_name) <> ''",
+    "name_format": "regexp_full_match(c_name, 'Customer#[0-9]{9}')",
+    "valid_nation": "nf IS NOT NULL",
+    "balance_range": "c_acctbal BETWEEN 0 AND 10000",
+    "segment_domain": "c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')",
+    "unique_key": "kn = 1",
+}
+_RULE_FIELDS = {
+    "required_name": ("c_name", "ERROR"), "name_format": ("c_name", "WARNING"),
+    "valid_nation": ("c_nationkey", "ERROR"), "balance_range": ("c_acctbal", "WARNING"),
+    "segment_domain": ("c_mktsegment", "WARNING"), "unique_key": ("c_custkey", "CRITICAL"),
+}
+_CUST_CHECKED = """
+  SELECT c.*, n.n_nationkey AS nf, COUNT(*) OVER (PARTITION BY c.c_custkey) AS kn
+  FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey"""
+_PASSED = " + ".join(f"CAST(COALESCE({e}, false) AS INTEGER)" for e in _RULES.values())
+_SCORES = f"""
+  SELECT c_custkey, c_nationkey, {_PASSED} AS rules_passed, 6 AS rules_total
+  FROM ({_CUST_CHECKED})"""
+
+SQL["quality_score"] = f"""
+SELECT c_custkey, c_nationkey, rules_passed, rules_total,
+       CAST(rules_passed AS DOUBLE) * CAST(100.0 AS DOUBLE) / CAST(6.0 AS DOUBLE) AS quality_score,
+       CASE WHEN rules_passed * 100 >= 540 THEN 'ready'
+            WHEN rules_passed * 100 >= 420 THEN 'minor_alerts' ELSE 'held' END AS quality_band
+FROM ({_SCORES})
+"""
+
+SQL["quality_alerts"] = "WITH c AS (" + _CUST_CHECKED + ")\n" + "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS alert_type, 'rule {name} failed on {field}' AS alert_message, "
+    f"CAST(c_custkey AS BIGINT) AS record_line, '{sev}' AS severity, '{field}' AS field_name "
+    f"FROM c WHERE NOT COALESCE({_RULES[name]}, false)"
+    for name, (field, sev) in _RULE_FIELDS.items()
+)
+
+SQL["state_rollup"] = f"""
+WITH s AS ({_SCORES}),
+o AS (SELECT o.o_orderkey, o.o_custkey, s.c_nationkey AS nation_code, s.rules_passed
+      FROM orders o LEFT JOIN s ON s.c_custkey = o.o_custkey)
+SELECT n.n_name AS uf, COUNT(*) AS n_rows, COUNT(DISTINCT o.o_custkey) AS n_companies,
+       CAST(SUM(o.rules_passed) AS DOUBLE) / CAST(COUNT(o.rules_passed) AS DOUBLE) AS mean_quality
+FROM o LEFT JOIN nation n ON n.n_nationkey = o.nation_code
+GROUP BY n.n_name
+"""
+
+SQL["table_sizes"] = "SELECT * FROM (" + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS tabela, COUNT(*) AS total FROM {t}"
+    for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+) + ") ORDER BY total DESC, tabela"
+
+SQL["months_present"] = """
+SELECT DISTINCT data_version FROM (
+  SELECT strftime(o_orderdate, '%Y-%m') AS data_version FROM orders
+  UNION ALL
+  SELECT strftime(l_shipdate, '%Y-%m') FROM lineitem)
+"""
+
+SQL["null_rate"] = """
+WITH e AS (SELECT CASE WHEN event_id % 10 = 0 THEN NULL ELSE user_id END AS user_id, event_type
+           FROM events),
+k AS (SELECT user_id, event_type, COUNT(*) AS n FROM e GROUP BY ALL)
+SELECT CAST(SUM(n) AS BIGINT) AS total_rows,
+       CAST(SUM(CASE WHEN user_id IS NULL THEN n ELSE 0 END) AS BIGINT) AS null_rows,
+       CAST(SUM(CASE WHEN user_id IS NULL THEN n ELSE 0 END) AS DOUBLE) / CAST(SUM(n) AS DOUBLE) AS null_rate,
+       COUNT(*) AS distinct_keys,
+       COUNT(*) FILTER (WHERE user_id IS NULL) AS null_keys,
+       CAST(COUNT(*) FILTER (WHERE user_id IS NULL) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS null_rate_dedup,
+       90 AS threshold,
+       COUNT(*) FILTER (WHERE user_id IS NULL) * 100 <= 10 * COUNT(*) AS passed
+FROM k
+"""
+
+SQL["orphan_codes"] = """
+SELECT o_orderkey, o_custkey FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM customer c
+                  WHERE c.c_mktsegment <> 'FURNITURE' AND c.c_custkey = o.o_custkey)
+"""
+
+SQL["bad_char_cells"] = """
+WITH d AS (
+  SELECT doc_id, lang, replace(text, 'é', chr(65533)) AS text,
+         CASE WHEN source = 'src7' THEN 'src' || chr(65533) ELSE source END AS source
+  FROM documents)
+SELECT lang, COUNT(*) AS n_docs,
+       MAX(CASE WHEN strpos(text, chr(65533)) > 0 THEN 1 ELSE 0 END) AS bad_text,
+       MAX(CASE WHEN strpos(source, chr(65533)) > 0 THEN 1 ELSE 0 END) AS bad_source,
+       CAST(SUM(CASE WHEN strpos(text, chr(65533)) > 0 THEN 1 ELSE 0 END)
+            + SUM(CASE WHEN strpos(source, chr(65533)) > 0 THEN 1 ELSE 0 END) AS BIGINT) AS bad_cells,
+       CAST(SUM(length(replace(text, chr(65533), ''))) AS BIGINT) AS clean_chars
+FROM d GROUP BY lang
+"""
+
+# Latin-1 reading of UTF-8 bytes: every byte of a character's UTF-8 form
+# becomes the code point with that byte value.
+_LATIN1_VIEW = """list_aggregate(list_transform(string_split(text, ''), lambda ch:
+    CASE WHEN unicode(ch) < 128 THEN ch
+         WHEN unicode(ch) < 2048 THEN chr(192 + unicode(ch) // 64) || chr(128 + unicode(ch) % 64)
+         WHEN unicode(ch) < 65536 THEN chr(224 + unicode(ch) // 4096)
+              || chr(128 + (unicode(ch) // 64) % 64) || chr(128 + unicode(ch) % 64)
+         ELSE chr(240 + unicode(ch) // 262144) || chr(128 + (unicode(ch) // 4096) % 64)
+              || chr(128 + (unicode(ch) // 64) % 64) || chr(128 + unicode(ch) % 64) END),
+  'string_agg', '')"""
+
+
+def _n(pattern: str) -> str:
+    return f"COALESCE(len(regexp_extract_all(t, {pattern})), 0)"
+
+
+_ACCENTED = "áàâãäéèêëíìîïóòôõöúùûüçÁÀÂÃÄÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇ"
+_ENC_BEST = f"""
+  WITH c AS (
+    SELECT doc_id, source, 0 AS pos, 'latin1' AS encoding, {_LATIN1_VIEW} AS t FROM documents
+    UNION ALL SELECT doc_id, source, 1, 'utf-8', text FROM documents
+    UNION ALL SELECT doc_id, source, 2, 'utf-8-sig', regexp_replace(text, '^' || chr(65279), '')
+    FROM documents),
+  m AS (
+    SELECT doc_id, source, pos, encoding,
+           {_n("chr(65533)")} AS decode_errors,
+           {_n("'Ã[^\\n]'")} + {_n("'Â[^\\n]'")} + {_n("chr(65533)")} AS mojibake_hits,
+           {_n("'[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]'")} AS control_chars,
+           {_n("'[" + _ACCENTED + "]'")} AS accented_chars
+    FROM c),
+  s AS (SELECT *, decode_errors * 100 + mojibake_hits * 10 + control_chars * 5 - accented_chars AS score
+        FROM m)
+  SELECT doc_id, source, encoding, CAST(score AS BIGINT) AS score,
+         CAST(decode_errors AS BIGINT) AS decode_errors, CAST(mojibake_hits AS BIGINT) AS mojibake_hits,
+         CAST(control_chars AS BIGINT) AS control_chars, CAST(accented_chars AS BIGINT) AS accented_chars
+  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY score, pos) AS rn FROM s)
+  WHERE rn = 1"""
+
+SQL["encoding_score"] = _ENC_BEST
+
+SQL["encoding_vote"] = f"""
+WITH best AS ({_ENC_BEST}),
+v AS (SELECT source, encoding, COUNT(*) AS wins FROM best GROUP BY ALL)
+SELECT source, encoding, wins FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY source ORDER BY wins DESC,
+      CASE encoding WHEN 'latin1' THEN 1 WHEN 'cp1252' THEN 2 WHEN 'utf-8' THEN 3
+                    WHEN 'utf-8-sig' THEN 4 END) AS rn
+  FROM v) WHERE rn = 1
+"""
+
+SQL["field_profile"] = """
+SELECT doc_id, CAST(len(fc) AS BIGINT) AS n_lines, CAST(list_min(fc) AS INTEGER) AS min_fields,
+       CAST(list_max(fc) AS INTEGER) AS max_fields,
+       array_to_string(list_sort(list_distinct(fc)), ',') AS distinct_fields
+FROM (SELECT doc_id,
+             list_transform(string_split(text, chr(10)), lambda l: len(string_split(l, ','))) AS fc
+      FROM documents)
+"""
+
+SQL["typed_to_text"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
+       CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment
+FROM customer
+"""
+
+SQL["month_overwrite_roundtrip"] = """
+SELECT data_version, COUNT(*) AS n_orders FROM (
+  SELECT strftime(o_orderdate, '%Y-%m') AS data_version, o_orderstatus FROM orders)
+WHERE data_version <> '1998-01' AND (data_version <> '1997-05' OR o_orderstatus = 'F')
+GROUP BY data_version
+"""
+
+_STATUS = "CASE WHEN event_type = 'error' THEN 'failed' ELSE 'completed' END"
+
+SQL["runs_by_stage"] = """
+SELECT event_type AS stage, 'events' AS dataset, COUNT(*) AS runs,
+       CAST(SUM(user_id) AS BIGINT) AS records,
+       CAST(SUM(CAST(value AS DECIMAL(12, 2))) AS DOUBLE) / CAST(COUNT(value) AS DOUBLE) AS mean_duration,
+       MAX(CAST(value AS DECIMAL(12, 2))) AS max_duration
+FROM events GROUP BY event_type
+"""
+
+SQL["run_rates"] = """
+SELECT COUNT(*) AS total_runs,
+       COUNT(*) FILTER (WHERE event_type <> 'error') AS successes,
+       COUNT(*) FILTER (WHERE event_type = 'error') AS failures,
+       CASE WHEN COUNT(*) = 0 THEN CAST(0 AS DOUBLE)
+            ELSE CAST(COUNT(*) FILTER (WHERE event_type <> 'error') AS DOUBLE) * CAST(100 AS DOUBLE)
+                 / CAST(COUNT(*) AS DOUBLE) END AS success_rate,
+       CASE WHEN COUNT(*) = 0 THEN CAST(0 AS DOUBLE)
+            ELSE CAST(COUNT(*) FILTER (WHERE event_type = 'error') AS DOUBLE) * CAST(100 AS DOUBLE)
+                 / CAST(COUNT(*) AS DOUBLE) END AS error_rate
+FROM events
+"""
+
+_BOUNDS = ["0.5", "1", "2", "5", "10", "30", "60", "120", "300", "600", "1200", "1800", "3600"]
+SQL["run_duration_hist"] = """
+WITH r AS (SELECT event_type AS stage, CAST(value AS DECIMAL(12, 2)) AS d FROM events),
+b AS (SELECT * FROM (VALUES """ + ", ".join(
+    f"('{b}', CAST({b} AS DOUBLE))" for b in _BOUNDS) + """, ('+Inf', CAST('inf' AS DOUBLE))
+     ) t(le, le_value))
+SELECT r.stage, b.le, b.le_value,
+       CAST(COUNT(*) FILTER (WHERE CAST(r.d AS DOUBLE) <= b.le_value) AS BIGINT) AS runs_le
+FROM r CROSS JOIN b GROUP BY r.stage, b.le, b.le_value
+"""
+
+SQL["latest_run"] = f"""
+SELECT event_type AS stage, 'events' AS dataset, {_STATUS} AS status, MAX(ts) AS last_finished_at
+FROM events GROUP BY ALL
+"""
+
+SQL["recent_runs"] = f"""
+SELECT event_id AS run_id, event_type AS stage, {_STATUS} AS status, ts AS finished_at
+FROM events ORDER BY ts DESC NULLS LAST, event_id DESC LIMIT 20
+"""
+
+SQL["run_summary"] = """
+WITH runs AS (
+  SELECT user_id AS run_id,
+         CASE WHEN COUNT(*) FILTER (WHERE event_type = 'error') > 0 THEN 'failed' ELSE 'completed' END AS status,
+         MIN(ts) AS s, MAX(ts) AS f
+  FROM events GROUP BY user_id),
+a AS (
+  SELECT user_id AS run_id, COUNT(*) AS alert_count,
+         COUNT(*) FILTER (WHERE value >= 100) AS critical_alerts
+  FROM events WHERE event_type = 'error' GROUP BY user_id)
+SELECT r.run_id, r.status, (epoch_us(r.f) - epoch_us(r.s)) // 1000000 AS duration_seconds,
+       COALESCE(a.alert_count, 0) AS alert_count, COALESCE(a.critical_alerts, 0) AS critical_alerts
+FROM runs r LEFT JOIN a ON a.run_id = r.run_id
+"""
