@@ -3,10 +3,11 @@
 A Structured Streaming file source with ``trigger(availableNow=True)``
 processes every file not yet seen (tracked in the checkpoint) and stops.
 ``cleanSource=archive`` moves the files of a committed batch below
-``sourceArchiveDir``; Spark does that while planning the *next* batch, so a
-second, empty run flushes the last batch's files. The sink is the Parquet
-file sink, whose commit log makes the month folder exactly-once across
-retries and executor loss.
+``sourceArchiveDir``. Spark does that when the *next non-empty* batch runs,
+so the newest batch's files stay in the landing folder until more files
+arrive; they are never read twice, because the checkpoint records them.
+The sink is the Parquet file sink, whose commit log makes the folder
+exactly-once across retries and executor loss.
 """
 
 from __future__ import annotations
@@ -48,20 +49,18 @@ def stream_frame(spark: SparkSession, source_dir: str, dataset: str, month: str,
 
 def ingest_available(spark: SparkSession, source_dir: str, dataset: str, month: str,
                      target_dir: str, checkpoint_dir: str, archive_dir: str | None = None,
-                     encoding: str = DEFAULT_ENCODING, sep: str = ";",
-                     flush_archive: bool = True) -> int:
+                     encoding: str = DEFAULT_ENCODING, sep: str = ";") -> int:
     """Run the available-now ingest; returns the rows appended by this call."""
     before = _rows(spark, target_dir)
-    for _ in range(2 if (archive_dir and flush_archive) else 1):
-        q = (
-            stream_frame(spark, source_dir, dataset, month, archive_dir, encoding, sep)
-            .writeStream.format("parquet")
-            .option("path", target_dir)
-            .option("checkpointLocation", checkpoint_dir)
-            .trigger(availableNow=True)
-            .start()
-        )
-        q.awaitTermination()
+    q = (
+        stream_frame(spark, source_dir, dataset, month, archive_dir, encoding, sep)
+        .writeStream.format("parquet")
+        .option("path", target_dir)
+        .option("checkpointLocation", checkpoint_dir)
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
     return _rows(spark, target_dir) - before
 
 
