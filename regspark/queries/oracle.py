@@ -413,3 +413,149 @@ SELECT r.run_id, r.status, (epoch_us(r.f) - epoch_us(r.s)) // 1000000 AS duratio
        COALESCE(a.alert_count, 0) AS alert_count, COALESCE(a.critical_alerts, 0) AS critical_alerts
 FROM runs r LEFT JOIN a ON a.run_id = r.run_id
 """
+
+# --- registry views over registry-shaped tables derived from the test tables -------
+
+_M = "'2026-03'"
+_V = "CAST(NULL AS VARCHAR)"
+_REG = f"""
+empresas AS (
+  SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS cnpj_basico, c_name AS razao_social,
+         CAST(c_nationkey AS VARCHAR) AS natureza_juridica, c_mktsegment AS qualificacao_responsavel,
+         CAST(c_acctbal AS DECIMAL(18, 2)) AS capital_social, '01' AS porte_empresa,
+         {_V} AS ente_federativo_responsavel, {_M} AS dataset_month, {_M} AS data_version
+  FROM customer),
+est AS (
+  SELECT lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS cnpj_basico,
+         lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS cnpj_ordem,
+         lpad(CAST(o_orderkey % 97 AS VARCHAR), 2, '0') AS cnpj_dv,
+         CASE WHEN o_orderpriority = '1-URGENT' THEN '1' ELSE '2' END AS identificador_matriz_filial,
+         o_orderpriority AS nome_fantasia, o_orderstatus AS situacao_cadastral,
+         CAST(o_orderdate AS DATE) AS data_situacao_cadastral,
+         CAST(o_orderkey % 7 AS VARCHAR) AS motivo_situacao_cadastral,
+         CAST(o_orderdate AS DATE) AS data_inicio_atividade,
+         CAST(o_custkey % 5 AS VARCHAR) AS cnae_fiscal_principal,
+         substr(o_orderstatus, 1, 1) AS uf, CAST(o_custkey % 25 AS VARCHAR) AS municipio,
+         '11' AS ddd1, CAST(o_orderkey AS VARCHAR) AS telefone1,
+         lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS cep,
+         {_V} AS tipo_logradouro, {_V} AS logradouro, {_V} AS numero, {_V} AS complemento,
+         {_V} AS bairro, {_V} AS ddd2, {_V} AS telefone2, {_V} AS correio_eletronico,
+         {_M} AS dataset_month, {_M} AS data_version
+  FROM orders),
+soc AS (
+  SELECT lpad(CAST(o.o_custkey AS VARCHAR), 8, '0') AS cnpj_basico,
+         CAST(l.l_linenumber AS VARCHAR) AS identificador_socio,
+         'SOCIO ' || CAST(l.l_suppkey AS VARCHAR) AS nome_socio,
+         CAST(l.l_partkey AS VARCHAR) AS cnpj_cpf_socio,
+         CAST(l.l_linenumber AS VARCHAR) AS qualificacao_socio,
+         CAST(l.l_shipdate AS DATE) AS data_entrada_sociedade,
+         CAST(l.l_suppkey % 30 AS VARCHAR) AS pais,
+         {_V} AS representante_legal, {_V} AS nome_representante,
+         {_V} AS qualificacao_representante_legal,
+         CAST(CAST(l.l_quantity AS INTEGER) AS VARCHAR) AS faixa_etaria,
+         {_M} AS dataset_month, {_M} AS data_version
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+municipios AS (SELECT CAST(n_nationkey AS VARCHAR) AS codigo, n_name AS descricao, {_M} AS data_version FROM nation),
+paises AS (SELECT CAST(n_nationkey AS VARCHAR) AS codigo, 'PAIS ' || n_name AS descricao, {_M} AS data_version FROM nation),
+qualificacoes AS (SELECT CAST(n_nationkey AS VARCHAR) AS codigo, 'QUALIF ' || n_name AS descricao, {_M} AS data_version FROM nation),
+cnaes AS (SELECT CAST(r_regionkey AS VARCHAR) AS codigo, r_name AS descricao, {_M} AS data_version FROM region),
+motivos AS (SELECT CAST(r_regionkey AS VARCHAR) AS codigo, 'MOTIVO ' || r_name AS descricao, {_M} AS data_version FROM region),
+pref_est AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY cnpj_basico, data_version
+      ORDER BY CASE WHEN identificador_matriz_filial = '1' THEN 0 ELSE 1 END, cnpj_ordem, cnpj_dv) AS rn
+  FROM est),
+pref_emp AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY cnpj_basico, data_version ORDER BY razao_social) AS rn
+  FROM empresas)"""
+
+SQL["registry_companies_with_state"] = f"""
+WITH {_REG}
+SELECT e.cnpj_basico, e.razao_social, e.natureza_juridica, e.qualificacao_responsavel,
+       e.capital_social, e.porte_empresa, e.ente_federativo_responsavel, p.uf, p.municipio,
+       e.dataset_month, e.data_version
+FROM empresas e
+LEFT JOIN pref_est p ON p.cnpj_basico = e.cnpj_basico AND p.data_version = e.data_version AND p.rn = 1
+"""
+
+SQL["registry_company_context"] = f"""
+WITH {_REG}
+SELECT e.cnpj_basico, e.razao_social, e.natureza_juridica, e.qualificacao_responsavel,
+       e.capital_social, e.porte_empresa, e.ente_federativo_responsavel,
+       p.identificador_matriz_filial, p.nome_fantasia, p.situacao_cadastral,
+       p.data_inicio_atividade, p.uf, p.municipio AS municipio_codigo,
+       mun.descricao AS municipio_nome, p.cnae_fiscal_principal,
+       cn.descricao AS cnae_principal_descricao, p.ddd1, p.telefone1, p.correio_eletronico,
+       e.dataset_month, e.data_version
+FROM pref_emp e
+LEFT JOIN pref_est p ON p.cnpj_basico = e.cnpj_basico AND p.data_version = e.data_version AND p.rn = 1
+LEFT JOIN municipios mun ON mun.codigo = p.municipio AND mun.data_version = p.data_version
+LEFT JOIN cnaes cn ON cn.codigo = p.cnae_fiscal_principal AND cn.data_version = p.data_version
+WHERE e.rn = 1
+"""
+
+SQL["registry_branch_context"] = f"""
+WITH {_REG}
+SELECT est.cnpj_basico, est.cnpj_ordem, est.cnpj_dv,
+       est.cnpj_basico || est.cnpj_ordem || est.cnpj_dv AS cnpj_completo,
+       est.identificador_matriz_filial, est.nome_fantasia, est.situacao_cadastral,
+       est.data_situacao_cadastral, est.motivo_situacao_cadastral,
+       mot.descricao AS motivo_situacao_cadastral_descricao, est.data_inicio_atividade,
+       est.cnae_fiscal_principal, cn.descricao AS cnae_principal_descricao, est.uf,
+       est.municipio AS municipio_codigo, mun.descricao AS municipio_nome,
+       est.tipo_logradouro, est.logradouro, est.numero, est.complemento, est.bairro, est.cep,
+       est.ddd1, est.telefone1, est.ddd2, est.telefone2, est.correio_eletronico,
+       est.dataset_month, est.data_version
+FROM est
+LEFT JOIN motivos mot ON mot.codigo = est.motivo_situacao_cadastral AND mot.data_version = est.data_version
+LEFT JOIN cnaes cn ON cn.codigo = est.cnae_fiscal_principal AND cn.data_version = est.data_version
+LEFT JOIN municipios mun ON mun.codigo = est.municipio AND mun.data_version = est.data_version
+"""
+
+SQL["registry_partner_context"] = f"""
+WITH {_REG}
+SELECT soc.cnpj_basico, soc.identificador_socio, soc.nome_socio, soc.cnpj_cpf_socio,
+       soc.qualificacao_socio, q.descricao AS qualificacao_socio_descricao,
+       soc.data_entrada_sociedade, soc.pais AS pais_codigo, pa.descricao AS pais_nome,
+       soc.representante_legal, soc.nome_representante, soc.qualificacao_representante_legal,
+       soc.faixa_etaria, soc.dataset_month, soc.data_version
+FROM soc
+LEFT JOIN qualificacoes q ON q.codigo = soc.qualificacao_socio AND q.data_version = soc.data_version
+LEFT JOIN paises pa ON pa.codigo = soc.pais AND pa.data_version = soc.data_version
+"""
+
+SQL["registry_consolidated"] = f"""
+WITH {_REG},
+sp AS (SELECT cnpj_basico, data_version, COUNT(*) AS quantidade_socios FROM soc GROUP BY 1, 2)
+SELECT e.cnpj_basico, e.razao_social, e.natureza_juridica, e.porte_empresa, p.cnpj_ordem,
+       p.cnpj_dv, p.identificador_matriz_filial, p.nome_fantasia, p.situacao_cadastral, p.uf,
+       p.municipio AS municipio_codigo, mun.descricao AS municipio_nome,
+       p.cnae_fiscal_principal, cn.descricao AS cnae_principal_descricao,
+       COALESCE(sp.quantidade_socios, 0) AS quantidade_socios, e.dataset_month, e.data_version
+FROM pref_emp e
+LEFT JOIN pref_est p ON p.cnpj_basico = e.cnpj_basico AND p.data_version = e.data_version AND p.rn = 1
+LEFT JOIN sp ON sp.cnpj_basico = e.cnpj_basico AND sp.data_version = e.data_version
+LEFT JOIN municipios mun ON mun.codigo = p.municipio AND mun.data_version = p.data_version
+LEFT JOIN cnaes cn ON cn.codigo = p.cnae_fiscal_principal AND cn.data_version = p.data_version
+WHERE e.rn = 1
+"""
+
+SQL["text_ingest_companies"] = f"""
+SELECT CAST(c_custkey AS VARCHAR) AS cnpj_basico,
+       CASE WHEN c_custkey % 50 = 0 THEN 'AAA ' || c_name ELSE c_name END AS razao_social,
+       CAST(c_nationkey AS VARCHAR) AS natureza_juridica,
+       CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END AS qualificacao_responsavel,
+       CAST(c_acctbal AS DECIMAL(18, 2)) AS capital_social, '01' AS porte_empresa,
+       {_V} AS ente_federativo_responsavel, {_M} AS dataset_month, {_M} AS data_version
+FROM customer
+"""
+
+SQL["text_ingest_partners"] = f"""
+SELECT CAST(l_orderkey AS VARCHAR) AS cnpj_basico, CAST(l_linenumber AS VARCHAR) AS identificador_socio,
+       'SOCIO ' || CAST(l_suppkey AS VARCHAR) AS nome_socio, CAST(l_partkey AS VARCHAR) AS cnpj_cpf_socio,
+       l_returnflag AS qualificacao_socio, CAST(l_shipdate AS DATE) AS data_entrada_sociedade,
+       CASE WHEN l_linestatus = 'O' THEN '105' END AS pais, {_V} AS representante_legal,
+       {_V} AS nome_representante, '00' AS qualificacao_representante_legal,
+       CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS faixa_etaria,
+       {_M} AS dataset_month, {_M} AS data_version
+FROM lineitem
+"""
