@@ -1,9 +1,12 @@
 """Left lookups of descriptions in code lists, and key-aligned attaches.
 
 ``lookup`` broadcasts the code list only after proving a row bound on it
-with a bounded job (``limit(n + 1).count()``); above the bound it lets
-Catalyst plan a shuffle join (and AQE may still turn it into a broadcast
-from real runtime sizes). A NULL or unmatched code keeps the fact row with
+with a bounded job: ``take(n + 1)`` of a zero-column projection, which scans
+partitions incrementally (1, then 4x more, ...) and stops as soon as n + 1
+rows are seen, so the check never reads a large table in full. Above the
+bound it lets Catalyst plan a shuffle join (and AQE may still turn it into
+a broadcast from real runtime sizes). Dims that are themselves the result
+of a shuffle should pass ``broadcast=False`` (the check would compute them). A NULL or unmatched code keeps the fact row with
 NULL descriptions, as a LEFT JOIN does.
 """
 
@@ -30,9 +33,9 @@ def broadcast_bound(df: DataFrame) -> int:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
+    """True when ``df`` has at most ``max_rows`` rows; looks at most at max_rows + 1."""
     bound = broadcast_bound(df) if max_rows is None else max_rows
-    return df.limit(bound + 1).count() <= bound
+    return len(df.select(F.lit(1).alias("x")).take(bound + 1)) <= bound
 
 
 def lookup(

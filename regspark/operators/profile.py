@@ -103,18 +103,34 @@ def candidate_texts(raw: Column, candidates: Sequence[str] = CANDIDATES,
     return out
 
 
+CONTROL_CHARS = "".join(chr(i) for i in range(32) if chr(i) not in "\n\r\t")
+
+
 def _count(text: Column, pattern: str) -> Column:
+    """Non-overlapping regex matches (0 for NULL)."""
     return F.coalesce(F.regexp_count(text, F.lit(pattern)), F.lit(0))
 
 
+def _count_chars(text: Column, chars: str) -> Column:
+    """Occurrences of any of ``chars``: length minus length without them.
+
+    Same result as a one-character-class regex count, without a regex scan.
+    """
+    return F.coalesce(F.length(text) - F.length(F.translate(text, chars, "")), F.lit(0))
+
+
+def _count_if_present(text: Column, pattern: str, lead: str) -> Column:
+    """Regex count, skipped when the pattern's first character is absent."""
+    return F.when(F.instr(text, lead) > 0, _count(text, pattern)).otherwise(F.lit(0))
+
+
 def text_metrics(text: Column) -> dict[str, Column]:
-    errors = _count(text, REPLACEMENT_CHAR)
-    mojibake = None
-    for p in MOJIBAKE_PATTERNS:
-        term = _count(text, p)
-        mojibake = term if mojibake is None else mojibake + term
-    control = _count(text, CONTROL_PATTERN)
-    accents = _count(text, "[" + ACCENTED + "]")
+    errors = _count_chars(text, REPLACEMENT_CHAR)
+    mojibake = (_count_if_present(text, MOJIBAKE_PATTERNS[0], MOJIBAKE_PATTERNS[0][0])
+                + _count_if_present(text, MOJIBAKE_PATTERNS[1], MOJIBAKE_PATTERNS[1][0])
+                + errors)  # third pattern is the replacement character itself
+    control = _count_chars(text, CONTROL_CHARS)
+    accents = _count_chars(text, ACCENTED)
     score = (errors * WEIGHT_DECODE_ERROR + mojibake * WEIGHT_MOJIBAKE
              + control * WEIGHT_CONTROL - accents)
     return {
@@ -135,7 +151,12 @@ def best_encoding(df: DataFrame, raw_col: str, candidates: Sequence[str] = CANDI
     """
     texts = candidate_texts(F.col(raw_col), candidates, legacy_charsets)
     structs = []
+    by_name = dict(texts)
     for pos, (name, text) in enumerate(texts):
+        # A leading BOM is counted by no term, so utf-8-sig scores exactly as
+        # utf-8; reuse that text instead of scanning a second copy.
+        if name == "utf-8-sig" and "utf-8" in by_name:
+            text = by_name["utf-8"]
         m = text_metrics(text)
         structs.append(F.struct(
             m["score"].alias("score"), F.lit(pos).alias("pos"), F.lit(name).alias("encoding"),

@@ -381,8 +381,10 @@ def state_rollup(spark: SparkSession, d: str) -> DataFrame:
     from regspark.operators.rollups import state_rollup as rollup
 
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    # The scores come out of a shuffle (unique-key count): no size probe,
+    # Catalyst / AQE pick the join from sizes.
     o = lookup(o, _customer_scores(spark, d), {"o_custkey": "c_custkey"},
-               {"c_nationkey": "nation_code", "rules_passed": "rules_passed"})
+               {"c_nationkey": "nation_code", "rules_passed": "rules_passed"}, broadcast=False)
     o = lookup(o, table(spark, d, "nation"), {"nation_code": "n_nationkey"}, {"n_name": "uf"})
     return rollup(o, "uf", "o_custkey", "rules_passed")
 
@@ -429,7 +431,9 @@ def orphan_codes(spark: SparkSession, d: str) -> DataFrame:
 def _documents_with_bad_chars(spark: SparkSession, d: str) -> DataFrame:
     from regspark.functions.cleanse import REPLACEMENT_CHAR
 
-    return table(spark, d, "documents").select(
+    from regspark.queries.tables import spread
+
+    return spread(table(spark, d, "documents")).select(
         "doc_id", "lang",
         F.replace(F.col("text"), F.lit("é"), F.lit(REPLACEMENT_CHAR)).alias("text"),
         F.when(F.col("source") == "src7", F.lit("src" + REPLACEMENT_CHAR))
@@ -456,7 +460,9 @@ def bad_char_cells(spark: SparkSession, d: str) -> DataFrame:
 def _doc_encodings(spark: SparkSession, d: str) -> DataFrame:
     from regspark.operators.profile import best_encoding
 
-    docs = table(spark, d, "documents").select(
+    from regspark.queries.tables import spread
+
+    docs = spread(table(spark, d, "documents")).select(
         "doc_id", "source", F.encode(F.col("text"), "UTF-8").alias("raw")
     )
     return best_encoding(docs, "raw").drop("raw")
@@ -478,7 +484,9 @@ def encoding_vote(spark: SparkSession, d: str) -> DataFrame:
 def field_profile(spark: SparkSession, d: str) -> DataFrame:
     from regspark.operators.profile import text_profile
 
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    from regspark.queries.tables import spread
+
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     return text_profile(docs, "text", delimiter=",").drop("text")
 
 

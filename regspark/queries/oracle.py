@@ -437,7 +437,8 @@ est AS (
          CAST(o_custkey % 5 AS VARCHAR) AS cnae_fiscal_principal,
          substr(o_orderstatus, 1, 1) AS uf, CAST(o_custkey % 25 AS VARCHAR) AS municipio,
          '11' AS ddd1, CAST(o_orderkey AS VARCHAR) AS telefone1,
-         lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS cep,
+         CASE WHEN o_orderkey % 13 = 0 THEN '0000-000'
+              ELSE lpad(CAST(o_custkey AS VARCHAR), 8, '0') END AS cep,
          {_V} AS tipo_logradouro, {_V} AS logradouro, {_V} AS numero, {_V} AS complemento,
          {_V} AS bairro, {_V} AS ddd2, {_V} AS telefone2, {_V} AS correio_eletronico,
          {_M} AS dataset_month, {_M} AS data_version
@@ -559,3 +560,25 @@ SELECT CAST(l_orderkey AS VARCHAR) AS cnpj_basico, CAST(l_linenumber AS VARCHAR)
        {_M} AS dataset_month, {_M} AS data_version
 FROM lineitem
 """
+
+SQL["registry_branch_quality"] = f"""
+WITH {_REG},
+chk AS (
+  SELECT est.*, mun.codigo AS tf,
+         COUNT(*) OVER (PARTITION BY est.cnpj_basico, est.cnpj_ordem, est.cnpj_dv, est.data_version) AS kn
+  FROM est LEFT JOIN municipios mun ON mun.codigo = est.municipio AND mun.data_version = est.data_version),
+r AS (
+  SELECT cnpj_basico, cnpj_ordem, cnpj_dv, data_version,
+         CAST(COALESCE(cnpj_basico IS NOT NULL AND cnpj_ordem IS NOT NULL AND cnpj_dv IS NOT NULL, false) AS INTEGER)
+       + CAST(COALESCE(regexp_full_match(cep, '[0-9]{{8}}'), false) AS INTEGER)
+       + CAST(COALESCE(data_inicio_atividade IS NOT NULL, false) AS INTEGER)
+       + CAST(COALESCE(tf IS NOT NULL, false) AS INTEGER)
+       + CAST(COALESCE(identificador_matriz_filial IN ('1', '2'), false) AS INTEGER)
+       + CAST(COALESCE(kn = 1, false) AS INTEGER) AS rules_passed
+  FROM chk)
+SELECT cnpj_basico, cnpj_ordem, cnpj_dv, data_version, rules_passed, 6 AS rules_total,
+       CAST(rules_passed AS DOUBLE) * CAST(100.0 AS DOUBLE) / CAST(6.0 AS DOUBLE) AS quality_score,
+       CASE WHEN rules_passed * 100 >= 540 THEN 'ready'
+            WHEN rules_passed * 100 >= 420 THEN 'minor_alerts' ELSE 'held' END AS quality_band
+FROM r
+"""

@@ -62,7 +62,8 @@ def registry_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         "municipio": _s(F.col("o_custkey") % 25),
         "ddd1": F.lit("11"),
         "telefone1": _s(F.col("o_orderkey")),
-        "cep": F.lpad(_s(F.col("o_custkey")), 8, "0"),
+        "cep": F.when(F.col("o_orderkey") % 13 == 0, F.lit("0000-000"))
+        .otherwise(F.lpad(_s(F.col("o_custkey")), 8, "0")),
     })
     lines = table(spark, d, "lineitem").join(
         orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")
@@ -115,6 +116,14 @@ def registry_consolidated(spark: SparkSession, d: str) -> DataFrame:
     return views.consolidated(registry_tables(spark, d))
 
 
+@register
+def registry_branch_quality(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.plans.history import branch_scores
+
+    t = registry_tables(spark, d)
+    return branch_scores(t["estabelecimentos"], t["municipios"])
+
+
 # --- text extracts derived from the test tables -------------------------------------
 
 def _money_text(x: Column) -> Column:
