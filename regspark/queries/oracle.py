@@ -582,3 +582,18 @@ SELECT cnpj_basico, cnpj_ordem, cnpj_dv, data_version, rules_passed, 6 AS rules_
             WHEN rules_passed * 100 >= 420 THEN 'minor_alerts' ELSE 'held' END AS quality_band
 FROM r
 """
+
+SQL["stream_ingest_companies"] = f"""
+WITH c AS (
+  SELECT c_custkey, c_name AS nm, c_nationkey, c_mktsegment, c_acctbal FROM customer
+  UNION ALL
+  SELECT c_custkey, 'AAA ' || c_name, c_nationkey, c_mktsegment, c_acctbal FROM customer
+  WHERE c_custkey % 50 = 0)
+SELECT CAST(c_custkey AS VARCHAR) AS cnpj_basico, nm AS razao_social,
+       CAST(c_nationkey AS VARCHAR) AS natureza_juridica,
+       CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END AS qualificacao_responsavel,
+       translate(format('{{:,.2f}}', c_acctbal), ',.', '.,') AS capital_social,
+       '01' AS porte_empresa, {_V} AS ente_federativo_responsavel, 'ok' AS _layout_status,
+       'empresas' AS file_type, {_M} AS dataset_month, {_M} AS data_version
+FROM c
+"""

@@ -194,3 +194,19 @@ def text_ingest_companies(spark: SparkSession, d: str) -> DataFrame:
 @register
 def text_ingest_partners(spark: SparkSession, d: str) -> DataFrame:
     return ingest_derived(spark, partner_lines(spark, d), "socios", "Socios")
+
+
+@register
+def stream_ingest_companies(spark: SparkSession, d: str) -> DataFrame:
+    """Available-now streaming ingest of the derived ``Empresas`` extract
+    (bronze rows, duplicates kept), with archiving of consumed files."""
+    from regspark.session import scratch_path
+    from regspark.streaming.archive import ingest_available
+
+    base = scratch_path(spark, "stream-empresas")
+    company_lines(spark, d).write.mode("overwrite").text(f"{base}/landing/Empresas")
+    ingest_available(spark, f"{base}/landing/Empresas", "empresas", REGISTRY_MONTH,
+                     f"{base}/bronze", f"{base}/checkpoint", f"{base}/archive")
+    return spark.read.parquet(f"{base}/bronze").select(
+        *LAYOUTS["empresas"], "_layout_status", "file_type", "dataset_month", "data_version"
+    )

@@ -54,22 +54,29 @@ def apply_required_conf(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote (Connect) session has no context handle
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints and scratch tables.
 
-    Read from the session. Only when nothing is configured (local tests)
-    a private folder is created and registered as the checkpoint dir.
+    Read from the session (``spark.checkpoint.dir`` or the context's
+    checkpoint dir). Only when nothing is configured (local tests) a private
+    folder is created and registered as the checkpoint dir.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # noqa: BLE001 - older API or remote session
-            root = None
+    sc = _context(spark)
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="regspark-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
     return root.rstrip("/")
 
 
