@@ -542,7 +542,7 @@ WHERE e.rn = 1
 
 SQL["text_ingest_companies"] = f"""
 SELECT CAST(c_custkey AS VARCHAR) AS cnpj_basico,
-       CASE WHEN c_custkey % 50 = 0 THEN 'AAA ' || c_name ELSE c_name END AS razao_social,
+       c_name AS razao_social,
        CAST(c_nationkey AS VARCHAR) AS natureza_juridica,
        CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END AS qualificacao_responsavel,
        CAST(c_acctbal AS DECIMAL(18, 2)) AS capital_social, '01' AS porte_empresa,
@@ -587,8 +587,7 @@ SQL["stream_ingest_companies"] = f"""
 WITH c AS (
   SELECT c_custkey, c_name AS nm, c_nationkey, c_mktsegment, c_acctbal FROM customer
   UNION ALL
-  SELECT c_custkey, 'AAA ' || c_name, c_nationkey, c_mktsegment, c_acctbal FROM customer
-  WHERE c_custkey % 50 = 0)
+  SELECT c_custkey, c_name || ' LTDA', c_nationkey, c_mktsegment, c_acctbal FROM customer)
 SELECT CAST(c_custkey AS VARCHAR) AS cnpj_basico, nm AS razao_social,
        CAST(c_nationkey AS VARCHAR) AS natureza_juridica,
        CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END AS qualificacao_responsavel,
