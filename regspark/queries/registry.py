@@ -211,3 +211,46 @@ def stream_ingest_companies(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{base}/bronze").select(
         *LAYOUTS["empresas"], "_layout_status", "file_type", "dataset_month", "data_version"
     )
+
+
+def branch_lines(spark: SparkSession, d: str) -> DataFrame:
+    """``Estabelecimentos`` extract lines from orders (all 32 fields): quoted
+    street names, null markers, an invalid start date for some branches."""
+    o = table(spark, d, "orders")
+    ymd = F.date_format("o_orderdate", "yyyyMMdd")
+    fields = [
+        _s(F.col("o_custkey")),
+        F.lpad(_s(F.col("o_orderkey")), 8, "0"),
+        F.lpad(_s(F.col("o_orderkey") % 97), 2, "0"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("1")).otherwise(F.lit("2")),
+        F.col("o_orderpriority"),
+        F.col("o_orderstatus"),
+        ymd,
+        _s(F.col("o_orderkey") % 7),
+        F.lit(""),
+        F.lit(""),
+        F.when(F.col("o_orderkey") % 11 == 0, F.lit("00000000")).otherwise(ymd),
+        _s(F.col("o_custkey") % 5),
+        F.lit(""),
+        F.lit("RUA"),
+        F.concat(F.lit('"RUA '), _s(F.col("o_orderkey")), F.lit('"')),
+        _s(F.col("o_orderkey") % 1000),
+        F.lit("N/A"),
+        F.lit("CENTRO"),
+        F.lpad(_s(F.col("o_custkey")), 8, "0"),
+        F.concat(F.lit("U"), F.lpad(_s(F.col("o_custkey") % 27), 2, "0")),
+        _s(F.col("o_custkey") % 25),
+        F.lit("11"),
+        _s(F.col("o_orderkey")),
+        F.lit(""), F.lit(""), F.lit(""), F.lit(""),
+        F.lit(""),
+        F.lit(""),
+        F.lit(""),
+        F.lit(""), F.lit(""),
+    ]
+    return o.select(F.concat_ws(";", *fields).alias("value"))
+
+
+@register
+def text_ingest_branches(spark: SparkSession, d: str) -> DataFrame:
+    return ingest_derived(spark, branch_lines(spark, d), "estabelecimentos", "Estabelecimentos")

@@ -14,7 +14,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regspark.functions.cleanse import REPLACEMENT_CHAR, null_marker, strip_replacement
+from regspark.functions.cleanse import (
+    REPLACEMENT_CHAR, ident, null_marker_sql, strip_replacement_sql,
+)
 from regspark.layouts import CODE_LISTS, MONTH_COLUMNS, layout_columns, normalize_dataset
 
 # ---------------------------------------------------------------------------
@@ -86,22 +88,21 @@ def apply_layout(raw: DataFrame, dataset: str) -> DataFrame:
     layout = layout_columns(dataset)
     source = [c for c in raw.columns if c.startswith("_c")]
     width = len(source)
+    # One selectExpr for the whole layout (a single call into the JVM).
     if layout:
         cols = [
-            null_marker(F.col(source[i])).alias(name) if i < width
-            else F.lit(None).cast("string").alias(name)
+            f"{null_marker_sql(source[i])} AS {ident(name)}" if i < width
+            else f"CAST(NULL AS STRING) AS {ident(name)}"
             for i, name in enumerate(layout)
         ]
         expected = len(layout)
-        audit = [
-            F.lit(width).alias("_column_count"),
-            F.lit(expected).alias("_layout_expected"),
-            F.lit("ok" if width == expected else "mismatch").alias("_layout_status"),
-        ]
+        status = "ok" if width == expected else "mismatch"
+        audit = [f"{width} AS _column_count", f"{expected} AS _layout_expected",
+                 f"'{status}' AS _layout_status"]
     else:
-        cols = [null_marker(F.col(c)).alias(f"col_{i}") for i, c in enumerate(source, start=1)]
-        audit = [F.lit(width).alias("_column_count")]
-    return raw.select(*cols, *audit, F.col("_metadata").alias("_metadata"))
+        cols = [f"{null_marker_sql(c)} AS {ident(f'col_{i}')}" for i, c in enumerate(source, start=1)]
+        audit = [f"{width} AS _column_count"]
+    return raw.selectExpr(*cols, *audit, "_metadata")
 
 
 def add_lineage(df: DataFrame, dataset: str, month: str, full_path: bool) -> DataFrame:
@@ -122,7 +123,8 @@ def strip_code_list(df: DataFrame, dataset: str) -> DataFrame:
     if normalize_dataset(dataset) not in CODE_LISTS:
         return df
     layout = set(layout_columns(dataset))
-    return df.select([strip_replacement(c).alias(c) if c in layout else F.col(c) for c in df.columns])
+    return df.selectExpr(*[f"{strip_replacement_sql(c)} AS {ident(c)}" if c in layout else ident(c)
+                           for c in df.columns])
 
 
 @dataclass(frozen=True)
