@@ -27,11 +27,14 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-def _shape(df: DataFrame, dataset: str, values: dict[str, Column]) -> DataFrame:
-    """Project to the dataset layout (missing columns NULL) plus month columns."""
-    cols = [values.get(c, F.lit(None).cast("string")).alias(c) for c in LAYOUTS[dataset]]
-    month = F.lit(REGISTRY_MONTH)
-    return df.select(*cols, month.alias("dataset_month"), month.alias("data_version"))
+def _shape(df: DataFrame, dataset: str, values: dict[str, str]) -> DataFrame:
+    """Project to the dataset layout (missing columns NULL) plus month columns.
+
+    ``values`` holds SQL expressions; the whole projection is one selectExpr.
+    """
+    cols = [f"{values.get(c, 'CAST(NULL AS STRING)')} AS {c}" for c in LAYOUTS[dataset]]
+    month = f"'{REGISTRY_MONTH}'"
+    return df.selectExpr(*cols, f"{month} AS dataset_month", f"{month} AS data_version")
 
 
 def registry_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
@@ -40,54 +43,57 @@ def registry_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     nation = table(spark, d, "nation")
     region = table(spark, d, "region")
     empresas = _shape(customer, "empresas", {
-        "cnpj_basico": F.lpad(_s(F.col("c_custkey")), 8, "0"),
-        "razao_social": F.col("c_name"),
-        "natureza_juridica": _s(F.col("c_nationkey")),
-        "qualificacao_responsavel": F.col("c_mktsegment"),
-        "capital_social": F.col("c_acctbal").cast("decimal(18,2)"),
-        "porte_empresa": F.lit("01"),
+        "cnpj_basico": "lpad(CAST(c_custkey AS STRING), 8, '0')",
+        "razao_social": "c_name",
+        "natureza_juridica": "CAST(c_nationkey AS STRING)",
+        "qualificacao_responsavel": "c_mktsegment",
+        "capital_social": "CAST(c_acctbal AS DECIMAL(18, 2))",
+        "porte_empresa": "'01'",
     })
     estabelecimentos = _shape(orders, "estabelecimentos", {
-        "cnpj_basico": F.lpad(_s(F.col("o_custkey")), 8, "0"),
-        "cnpj_ordem": F.lpad(_s(F.col("o_orderkey")), 8, "0"),
-        "cnpj_dv": F.lpad(_s(F.col("o_orderkey") % 97), 2, "0"),
-        "identificador_matriz_filial": F.when(F.col("o_orderpriority") == "1-URGENT", "1").otherwise("2"),
-        "nome_fantasia": F.col("o_orderpriority"),
-        "situacao_cadastral": F.col("o_orderstatus"),
-        "data_situacao_cadastral": F.col("o_orderdate").cast("date"),
-        "motivo_situacao_cadastral": _s(F.col("o_orderkey") % 7),
-        "data_inicio_atividade": F.col("o_orderdate").cast("date"),
-        "cnae_fiscal_principal": _s(F.col("o_custkey") % 5),
-        "uf": F.substring("o_orderstatus", 1, 1),
-        "municipio": _s(F.col("o_custkey") % 25),
-        "ddd1": F.lit("11"),
-        "telefone1": _s(F.col("o_orderkey")),
-        "cep": F.when(F.col("o_orderkey") % 13 == 0, F.lit("0000-000"))
-        .otherwise(F.lpad(_s(F.col("o_custkey")), 8, "0")),
+        "cnpj_basico": "lpad(CAST(o_custkey AS STRING), 8, '0')",
+        "cnpj_ordem": "lpad(CAST(o_orderkey AS STRING), 8, '0')",
+        "cnpj_dv": "lpad(CAST(o_orderkey % 97 AS STRING), 2, '0')",
+        "identificador_matriz_filial": "CASE WHEN o_orderpriority = '1-URGENT' THEN '1' ELSE '2' END",
+        "nome_fantasia": "o_orderpriority",
+        "situacao_cadastral": "o_orderstatus",
+        "data_situacao_cadastral": "CAST(o_orderdate AS DATE)",
+        "motivo_situacao_cadastral": "CAST(o_orderkey % 7 AS STRING)",
+        "data_inicio_atividade": "CAST(o_orderdate AS DATE)",
+        "cnae_fiscal_principal": "CAST(o_custkey % 5 AS STRING)",
+        "uf": "substring(o_orderstatus, 1, 1)",
+        "municipio": "CAST(o_custkey % 25 AS STRING)",
+        "ddd1": "'11'",
+        "telefone1": "CAST(o_orderkey AS STRING)",
+        "cep": "CASE WHEN o_orderkey % 13 = 0 THEN '0000-000' "
+               "ELSE lpad(CAST(o_custkey AS STRING), 8, '0') END",
     })
     lines = table(spark, d, "lineitem").join(
         orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")
     )
     socios = _shape(lines, "socios", {
-        "cnpj_basico": F.lpad(_s(F.col("o_custkey")), 8, "0"),
-        "identificador_socio": _s(F.col("l_linenumber")),
-        "nome_socio": F.concat(F.lit("SOCIO "), _s(F.col("l_suppkey"))),
-        "cnpj_cpf_socio": _s(F.col("l_partkey")),
-        "qualificacao_socio": _s(F.col("l_linenumber")),
-        "data_entrada_sociedade": F.col("l_shipdate").cast("date"),
-        "pais": _s(F.col("l_suppkey") % 30),
-        "faixa_etaria": _s(F.col("l_quantity").cast("int")),
+        "cnpj_basico": "lpad(CAST(o_custkey AS STRING), 8, '0')",
+        "identificador_socio": "CAST(l_linenumber AS STRING)",
+        "nome_socio": "concat('SOCIO ', CAST(l_suppkey AS STRING))",
+        "cnpj_cpf_socio": "CAST(l_partkey AS STRING)",
+        "qualificacao_socio": "CAST(l_linenumber AS STRING)",
+        "data_entrada_sociedade": "CAST(l_shipdate AS DATE)",
+        "pais": "CAST(l_suppkey % 30 AS STRING)",
+        "faixa_etaria": "CAST(CAST(l_quantity AS INT) AS STRING)",
     })
-    code = lambda df, key, desc: _shape(df, "cnaes", {"codigo": _s(F.col(key)), "descricao": desc})
+
+    def code(df: DataFrame, key: str, desc: str) -> DataFrame:
+        return _shape(df, "cnaes", {"codigo": f"CAST({key} AS STRING)", "descricao": desc})
+
     return {
         "empresas": empresas,
         "estabelecimentos": estabelecimentos,
         "socios": socios,
-        "municipios": code(nation, "n_nationkey", F.col("n_name")),
-        "paises": code(nation, "n_nationkey", F.concat(F.lit("PAIS "), F.col("n_name"))),
-        "qualificacoes": code(nation, "n_nationkey", F.concat(F.lit("QUALIF "), F.col("n_name"))),
-        "cnaes": code(region, "r_regionkey", F.col("r_name")),
-        "motivos": code(region, "r_regionkey", F.concat(F.lit("MOTIVO "), F.col("r_name"))),
+        "municipios": code(nation, "n_nationkey", "n_name"),
+        "paises": code(nation, "n_nationkey", "concat('PAIS ', n_name)"),
+        "qualificacoes": code(nation, "n_nationkey", "concat('QUALIF ', n_name)"),
+        "cnaes": code(region, "r_regionkey", "r_name"),
+        "motivos": code(region, "r_regionkey", "concat('MOTIVO ', r_name)"),
     }
 
 

@@ -31,6 +31,17 @@ RUN_EVENT_SCHEMA = T.StructType([
 ])
 
 
+ENCODING_AUDIT_SCHEMA = T.StructType([
+    T.StructField("dataset", T.StringType()),
+    T.StructField("data_version", T.StringType()),
+    T.StructField("from_encoding", T.StringType()),
+    T.StructField("to_encoding", T.StringType()),
+    T.StructField("bad_before", T.LongType()),
+    T.StructField("bad_after", T.LongType()),
+    T.StructField("event_ts", T.TimestampType()),
+])
+
+
 def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
@@ -71,3 +82,18 @@ class RunLog:
 
     def events(self) -> DataFrame:
         return self.spark.read.schema(RUN_EVENT_SCHEMA).parquet(self.path)
+
+    # --- encoding audit (input of the A19 fallback metrics) -------------------
+
+    @property
+    def audit_path(self) -> str:
+        return self.path.rsplit("/", 1)[0] + "/_encoding_audit"
+
+    def record_encoding(self, choice, month: str) -> None:
+        """One audit row per ingest: dataset, encodings, U+FFFD lines before/after."""
+        row = [choice.dataset, month, choice.from_encoding, choice.to_encoding,
+               int(choice.bad_before), int(choice.bad_after), _now()]
+        self.spark.createDataFrame([row], ENCODING_AUDIT_SCHEMA).write.mode("append").parquet(self.audit_path)
+
+    def encoding_audit(self) -> DataFrame:
+        return self.spark.read.schema(ENCODING_AUDIT_SCHEMA).parquet(self.audit_path)

@@ -73,6 +73,22 @@ def test_encoding_choice_for_code_lists(spark, workdir):
     assert sorted(r.descricao for r in df.collect()) == ["ALEMANHA", "BRASIL", "ÇATALÃO"]
 
 
+def test_encoding_audit_feeds_fallback_metrics(spark, workdir):
+    from regspark.operators.runs import encoding_fallbacks
+    from regspark.sinks.runlog import RunLog
+
+    root = f"{workdir}/lake-enc"
+    src = write_lines(f"{workdir}/enc2/Paises.txt", ["105;BRASIL", "160;ÇATALÃO", "161;SÃO TOMÉ"],
+                      encoding="latin-1")
+    res = run_month(spark, src, "paises", "2026-03", root, encoding="utf-8")
+    assert res.encoding.to_encoding == "latin1"
+    names = sorted(r.descricao for r in read_table(spark, root, "gold", "paises").collect())
+    assert names == ["BRASIL", "SÃO TOMÉ", "ÇATALÃO"]
+    fb = encoding_fallbacks(RunLog(spark, root).encoding_audit()).collect()
+    assert [(r.dataset, r.from_encoding, r.to_encoding, r.switches, r.recovered_cells) for r in fb] == [
+        ("paises", "utf-8", "latin1", 1, 2)]
+
+
 def _empresas(workdir, name, lines):
     return write_lines(f"{workdir}/{name}/Empresas.txt", lines)
 
