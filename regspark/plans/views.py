@@ -152,3 +152,20 @@ def register_views(t: Tables) -> None:
     """Register every view as a temp view of the tables' session."""
     for name, fn in VIEWS.items():
         fn(t).createOrReplaceTempView(name)
+
+
+def publish_view(t: Tables, view: str, root: str, month: str,
+                 cluster_by: str | None = "uf") -> "WriteResult":
+    """Materialize one month of a view into the ``mart`` layer.
+
+    The month filter reaches every input scan as a partition filter (it is a
+    window partition key and a join key, so Catalyst pushes it down). The
+    result is written below ``data_version=<month>/<cluster_by>=<value>/`` so
+    state queries read one directory instead of recomputing the view.
+    """
+    from regspark.sinks.lake import publish_month
+
+    month_tables = {k: v.where(F.col("data_version") == month) for k, v in t.items()}
+    df = VIEWS[view](month_tables)
+    cluster = cluster_by if cluster_by in df.columns else None
+    return publish_month(df, root, "mart", view, month, cluster_by=cluster)

@@ -39,25 +39,36 @@ def stamp_month(df: DataFrame, month: str) -> DataFrame:
     return df.withColumns({c: F.lit(month) for c in MONTH_COLUMNS})
 
 
-def _observed_write(df: DataFrame, path: str, name: str, partition_by: str | None = None) -> int:
+def _observed_write(df: DataFrame, path: str, name: str, partition_by: str | None = None,
+                    dynamic: bool = True) -> int:
     obs = Observation(name)
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
+        writer = writer.partitionBy(partition_by)
+        if dynamic:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
     return int(obs.get.get("rows", 0) or 0)
 
 
-def publish_month(df: DataFrame, root: str, layer: str, dataset: str, month: str) -> WriteResult:
+def publish_month(df: DataFrame, root: str, layer: str, dataset: str, month: str,
+                  cluster_by: str | None = None) -> WriteResult:
     """K1/K2: replace one month of one dataset in one layer; returns the row count.
 
     The month columns are stamped first; ``data_version`` lives in the
-    directory name, so it is dropped from the files.
+    directory name, so it is dropped from the files. ``cluster_by`` adds a
+    second directory level (e.g. state) below the month: rows are first
+    rebalanced on it (AQE merges small and splits skewed groups, so a state
+    holding a third of the rows is written by several tasks), and readers
+    filtering on it read only their directories. The whole month is replaced.
     """
     path = month_path(root, layer, dataset, month)
     stamped = stamp_month(df, month).drop(MONTH)
-    rows = _observed_write(stamped, path, f"publish-{layer}-{dataset}-{month}")
+    if cluster_by:
+        stamped = stamped.hint("rebalance", cluster_by)
+    rows = _observed_write(stamped, path, f"publish-{layer}-{dataset}-{month}",
+                           partition_by=cluster_by, dynamic=False)
     return WriteResult(path, rows)
 
 

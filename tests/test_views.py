@@ -149,3 +149,17 @@ def test_register_views(spark, tables):
     views.register_views(tables)
     n = spark.sql("SELECT count(*) FROM vw_cnpj_consolidado").first()[0]
     assert n == 5
+
+
+def test_publish_view_partitions_by_state(spark, tables, tmp_path):
+    from regspark.sinks.lake import read_table
+
+    root = str(tmp_path / "lake")
+    res = views.publish_view(tables, "vw_empresas_com_uf", root, "2026-03")
+    assert res.rows == 5
+    mart = read_table(spark, root, "mart", "vw_empresas_com_uf", "2026-03")
+    rj = mart.where("uf = 'RJ'")
+    assert [r.cnpj_basico for r in rj.collect()] == ["A"]
+    plan = rj._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "(uf#" in plan.split("PartitionFilters")[1].split("]")[0] + "]"
+    assert mart.count() == 5 and mart.where("uf IS NULL").count() == 1
