@@ -31,27 +31,37 @@ def year_filter(year: str, month_col: str = MONTH) -> Column:
     return (F.col(month_col) >= F.lit(f"{year}-01")) & (F.col(month_col) <= F.lit(f"{year}-12"))
 
 
+def _distinct(key: str, approximate: bool, rsd: float) -> Column:
+    """Exact distinct count, or HyperLogLog++ (``approx_count_distinct``) when
+    ``approximate``: one fixed-size sketch per group instead of a shuffle of
+    every (group, key) pair."""
+    return F.approx_count_distinct(key, rsd) if approximate else F.countDistinct(key)
+
+
 def distinct_per_month(df: DataFrame, key: str, month_col: str = MONTH,
-                       out: str = "distinct_companies") -> DataFrame:
+                       out: str = "distinct_companies", approximate: bool = False,
+                       rsd: float = 0.01) -> DataFrame:
     """Distinct keys per month."""
-    return df.groupBy(F.col(month_col)).agg(F.countDistinct(key).alias(out))
+    return df.groupBy(F.col(month_col)).agg(_distinct(key, approximate, rsd).alias(out))
 
 
 def distinct_per_year_month(df: DataFrame, key: str, month_col: str = MONTH,
-                            year: str | None = None,
-                            out: str = "distinct_companies") -> DataFrame:
+                            year: str | None = None, out: str = "distinct_companies",
+                            approximate: bool = False, rsd: float = 0.01) -> DataFrame:
     """Distinct keys at (year, month) grain; optional F2 year filter."""
     if year is not None:
         df = df.where(year_filter(year, month_col))
     return df.groupBy(year_of(month_col).alias("year"), F.col(month_col)).agg(
-        F.countDistinct(key).alias(out)
+        _distinct(key, approximate, rsd).alias(out)
     )
 
 
 def distinct_per_year(df: DataFrame, key: str, month_col: str = MONTH,
-                      out: str = "distinct_companies") -> DataFrame:
+                      out: str = "distinct_companies", approximate: bool = False,
+                      rsd: float = 0.01) -> DataFrame:
     """A10: distinct keys per year; a key seen in several months counts once."""
-    return df.groupBy(year_of(month_col).alias("year")).agg(F.countDistinct(key).alias(out))
+    return df.groupBy(year_of(month_col).alias("year")).agg(
+        _distinct(key, approximate, rsd).alias(out))
 
 
 def month_slice_top(df: DataFrame, month: str, order: Sequence[str], n: int = 100,

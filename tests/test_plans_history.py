@@ -114,3 +114,22 @@ def test_branch_rules_and_alerts(spark):
     types = sorted(r.alert_type for r in alerts.collect())
     assert types == ["cep_format", "flag_domain", "start_date_valid", "unique_key", "unique_key", "valid_town"]
     assert set(alerts.columns) == {"alert_type", "alert_message", "record_line", "severity", "field_name", "created_at"}
+
+
+def test_approximate_distinct_is_close(spark):
+    from regspark.operators.rollups import distinct_per_month
+
+    df = spark.range(0, 20000).selectExpr("id % 7000 AS k", "CASE WHEN id % 2 = 0 THEN '2026-01' ELSE '2026-02' END AS data_version")
+    exact = {r.data_version: r.distinct_companies for r in distinct_per_month(df, "k").collect()}
+    approx = {r.data_version: r.distinct_companies for r in distinct_per_month(df, "k", approximate=True).collect()}
+    assert exact == {"2026-01": 3500, "2026-02": 3500}
+    assert all(abs(approx[m] - exact[m]) / exact[m] < 0.05 for m in exact)
+
+
+def test_spread_is_a_no_op_on_wide_scans(spark):
+    from regspark.queries.tables import spread
+
+    wide = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism + 1)
+    assert spread(wide) is wide
+    narrow = spark.range(0, 1000, numPartitions=1)
+    assert spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
