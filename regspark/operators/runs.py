@@ -98,6 +98,18 @@ def recent_runs(runs: DataFrame, n: int = 20, status: str | None = None) -> Data
     return runs.orderBy(F.desc_nulls_last("finished_at"), F.desc("run_id")).limit(n)
 
 
+def recent_alerts(alerts: DataFrame, n: int = 20, severity: str | None = None) -> DataFrame:
+    """O2 + F5: the newest ``n`` alert rows (optionally of one severity)."""
+    if severity is not None:
+        alerts = alerts.where(F.col("severity") == severity)
+    return alerts.orderBy(F.desc_nulls_last("created_at"), F.desc_nulls_last("record_line")).limit(n)
+
+
+def alerts_by(alerts: DataFrame, keys: Sequence[str] = ("alert_type", "severity")) -> DataFrame:
+    """Alert counts per type and severity (map-side partial count)."""
+    return alerts.groupBy(*keys).agg(F.count(F.lit(1)).alias("alerts"))
+
+
 def run_summary(runs: DataFrame, alerts: DataFrame) -> DataFrame:
     """Per run: status, duration in whole seconds, alerts, critical alerts.
 

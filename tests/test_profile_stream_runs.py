@@ -90,3 +90,17 @@ def test_run_metrics(spark):
         "dataset string, from_encoding string, to_encoding string, bad_before int, bad_after int")
     fb = encoding_fallbacks(audit).collect()
     assert [(x.dataset, x.switches, x.recovered_cells) for x in fb] == [("paises", 2, 5)]
+
+
+def test_alert_listing(spark):
+    from regspark.operators.runs import alerts_by, recent_alerts
+
+    t = dt.datetime(2026, 3, 1)
+    alerts = spark.createDataFrame(
+        [("unique_key", "CRITICAL", 1, t), ("cep_format", "WARNING", 2, t + dt.timedelta(seconds=1)),
+         ("unique_key", "CRITICAL", 3, t + dt.timedelta(seconds=2))],
+        "alert_type string, severity string, record_line long, created_at timestamp")
+    assert [r.record_line for r in recent_alerts(alerts, 2).collect()] == [3, 2]
+    assert [r.record_line for r in recent_alerts(alerts, 5, severity="CRITICAL").collect()] == [3, 1]
+    counts = {(r.alert_type, r.severity): r.alerts for r in alerts_by(alerts).collect()}
+    assert counts == {("unique_key", "CRITICAL"): 2, ("cep_format", "WARNING"): 1}
