@@ -5,6 +5,7 @@ rule checks with a per-row score and bands, orphan codes, alert rows.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +28,8 @@ class QualityGateError(ValueError):
 
 # --- Q1 / A5: key null rate --------------------------------------------------------
 
-def key_null_stats(df: DataFrame, keys: Sequence[str], threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
+def key_null_stats(df: DataFrame, keys: Sequence[str],
+                   threshold: int | float = DEFAULT_THRESHOLD) -> DataFrame:
     """One row: NULL rate of the first key column before and after dedup on ``keys``.
 
     Post-dedup numbers count distinct key tuples (NULLs group together, as
@@ -44,15 +46,17 @@ def key_null_stats(df: DataFrame, keys: Sequence[str], threshold: int = DEFAULT_
         F.count(F.lit(1)).alias("distinct_keys"),
         F.count_if(F.col(first).isNull()).alias("null_keys"),
     )
-    limit = 100 - threshold
+    # Exact decimal limit, so a fractional threshold (e.g. 92.5) is exact too.
+    limit = Decimal(100) - Decimal(str(threshold))
     return stats.select(
         "total_rows", "null_rows",
         (F.col("null_rows").cast("double") / F.col("total_rows").cast("double")).alias("null_rate"),
         "distinct_keys", "null_keys",
         (F.col("null_keys").cast("double") / F.col("distinct_keys").cast("double")).alias("null_rate_dedup"),
-        F.lit(threshold).alias("threshold"),
-        (F.coalesce(F.col("null_keys"), F.lit(0)) * 100
-         <= F.lit(limit) * F.coalesce(F.col("distinct_keys"), F.lit(0))).alias("passed"),
+        F.lit(threshold).alias("threshold"),  # as given (int stays int)
+        (F.coalesce(F.col("null_keys"), F.lit(0)).cast("decimal(38,0)") * 100
+         <= F.lit(limit) * F.coalesce(F.col("distinct_keys"), F.lit(0)).cast("decimal(38,0)"))
+        .alias("passed"),
     )
 
 
@@ -147,10 +151,17 @@ def unique_key_rule(df: DataFrame, keys: Sequence[str], name: str = "unique_key"
     """Add boolean ``name``: the record's key occurs exactly once.
 
     A count per key joined back (aggregate, then join on the key) rather than
-    a window, so a hot key is pre-aggregated map-side.
+    a window, so a hot key is pre-aggregated map-side and a skewed join side
+    is split by AQE. NULL keys group together (null-safe join), as they do
+    in a GROUP BY.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__key_n"))
-    out = df.join(counts, list(keys), "left")
+    counts = counts.select(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)], "__key_n")
+    cond = None
+    for i, k in enumerate(keys):
+        c = df[k].eqNullSafe(counts[f"__key_{i}"])
+        cond = c if cond is None else cond & c
+    out = df.join(counts, cond, "left").select(*[df[c] for c in df.columns], counts["__key_n"])
     return out.withColumn(name, F.col("__key_n") == 1).drop("__key_n")
 
 

@@ -57,6 +57,42 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], sep: str = "
     return reader.csv(list(paths) if not isinstance(paths, str) else paths)
 
 
+def _quoted_sep_regex(sep: str) -> str:
+    return "".join("\\" + ch if ch in r".^$*+?()[]{}|\/" else ch for ch in sep)
+
+
+def row_field_count(line: Column, sep: str = ";") -> Column:
+    """Fields of one delimited line, quote-aware: quoted segments (with
+    doubled-quote escapes) are removed before the separators are counted."""
+    unquoted = F.regexp_replace(line, '"([^"]|"")*"', "")
+    return F.size(F.split(unquoted, _quoted_sep_regex(sep), -1))
+
+
+def read_delimited_rows(spark: SparkSession, paths: Sequence[str], width: int, sep: str = ";",
+                        encoding: str = DEFAULT_ENCODING) -> DataFrame:
+    """S1 with a true per-row field count (``_row_column_count``).
+
+    Lines are read as text (raw bytes), decoded with the charset, parsed by
+    ``from_csv`` with the same options as :func:`read_delimited` into
+    ``width`` columns, and counted by :func:`row_field_count`. Blank lines
+    are skipped, as the CSV reader does.
+    """
+    charset = spark_charset(encoding)
+    value = F.col("value")
+    text = (F.make_valid_utf8(value) if charset == "UTF-8"
+            else F.decode(value.cast("binary"), charset))
+    lines = spark.read.text(list(paths)).select(text.alias("__line"), F.col("_metadata"))
+    lines = lines.where(F.trim("__line") != "")
+    schema = ", ".join(f"_c{i} STRING" for i in range(width))
+    opts = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    parsed = lines.select(
+        F.from_csv("__line", schema, opts).alias("__r"),
+        row_field_count(F.col("__line"), sep).alias("_row_column_count"),
+        "_metadata",
+    )
+    return parsed.select("__r.*", "_row_column_count", "_metadata")
+
+
 def resolve_sources(spark: SparkSession, spec: str) -> list[str]:
     """Alternatives separated by ``|``; the first that lists at least one
     usable file wins. Hidden files (Spark skips ``.`` and ``_`` names) and
@@ -99,9 +135,15 @@ def apply_layout(raw: DataFrame, dataset: str) -> DataFrame:
         status = "ok" if width == expected else "mismatch"
         audit = [f"{width} AS _column_count", f"{expected} AS _layout_expected",
                  f"'{status}' AS _layout_status"]
+        if "_row_column_count" in raw.columns:
+            audit += ["_row_column_count",
+                      f"CASE WHEN _row_column_count = {expected} THEN 'ok' ELSE 'mismatch' END "
+                      "AS _row_layout_status"]
     else:
         cols = [f"{null_marker_sql(c)} AS {ident(f'col_{i}')}" for i, c in enumerate(source, start=1)]
         audit = [f"{width} AS _column_count"]
+        if "_row_column_count" in raw.columns:
+            audit.append("_row_column_count")
     return raw.selectExpr(*cols, *audit, "_metadata")
 
 
@@ -162,18 +204,25 @@ def choose_encoding(spark: SparkSession, paths: Sequence[str], dataset: str,
 
 def read_bronze(spark: SparkSession, source: str | Sequence[str], dataset: str, month: str,
                 encoding: str = DEFAULT_ENCODING, sep: str = ";",
-                full_path: bool | None = None) -> tuple[DataFrame, EncodingChoice]:
+                full_path: bool | None = None,
+                row_widths: bool = False) -> tuple[DataFrame, EncodingChoice]:
     """Text files of one dataset and month as a bronze frame (lazy).
 
     ``source`` is a path, a glob, ``|``-separated alternatives, or a list.
     Lineage holds the bare file name for a single file and the full URI for
     several, as the two ingest modes of the registry jobs do.
+    ``_column_count`` is the width of the first line (one value per read);
+    ``row_widths=True`` adds the true per-row ``_row_column_count`` and
+    ``_row_layout_status`` (same parse, via text + ``from_csv``).
     """
     paths = resolve_sources(spark, source) if isinstance(source, str) else list(source)
     if full_path is None:
         full_path = len(paths) > 1 or (isinstance(source, str) and any(ch in source for ch in "*?[|"))
     choice = choose_encoding(spark, paths, dataset, encoding)
     raw = read_delimited(spark, paths, sep=sep, encoding=choice.to_encoding)
+    if row_widths:
+        width = len([c for c in raw.columns if c.startswith("_c")])
+        raw = read_delimited_rows(spark, paths, width, sep=sep, encoding=choice.to_encoding)
     df = apply_layout(raw, dataset)
     df = strip_code_list(df, dataset)
     return add_lineage(df, dataset, month, full_path), choice

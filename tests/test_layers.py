@@ -46,6 +46,23 @@ def test_short_branch_line_is_padded(spark, workdir):
     assert (row._column_count, row._layout_expected, row._layout_status) == (30, 32, "mismatch")
 
 
+def test_per_row_widths_opt_in(spark, workdir):
+    first = ";".join(f"f{i}" for i in range(32))
+    short = ";".join(f"s{i}" for i in range(30))
+    quoted = ";".join(['"a;b"'] + [f"q{i}" for i in range(31)])
+    src = write_lines(f"{workdir}/rw/Estab.txt", [first, short, "", quoted])
+    plain, _ = read_bronze(spark, src, "estabelecimentos", "2026-03")
+    rows, _ = read_bronze(spark, src, "estabelecimentos", "2026-03", row_widths=True)
+    key = lambda r: r.cnpj_basico
+    got = sorted(rows.collect(), key=key)
+    assert [(r.cnpj_basico, r._row_column_count, r._row_layout_status) for r in got] == [
+        ("a;b", 32, "ok"), ("f0", 32, "ok"), ("s0", 30, "mismatch")]
+    assert all(r._column_count == 32 for r in got)
+    layout = [c for c in plain.columns if not c.startswith("_") and c not in ("ingestion_ts",)]
+    strip = lambda df: sorted([tuple(r[c] for c in layout) for r in df.collect()], key=str)
+    assert strip(plain) == strip(rows)
+
+
 def test_unknown_dataset_generic_names(spark, workdir):
     src = write_lines(f"{workdir}/in/x.txt", ["a;b;c"])
     df, _ = read_bronze(spark, src, "simples", "2026-03")

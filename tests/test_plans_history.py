@@ -133,3 +133,14 @@ def test_spread_is_a_no_op_on_wide_scans(spark):
     assert spread(wide) is wide
     narrow = spark.range(0, 1000, numPartitions=1)
     assert spread(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_unique_key_rule_groups_null_keys(spark):
+    from regspark.operators.quality import unique_key_rule
+
+    df = spark.createDataFrame([(None, "a"), (None, "b"), ("1", "c"), ("2", "d"), ("2", "e")],
+                               "k string, v string")
+    got = {r.v: r.unique_key for r in unique_key_rule(df, ["k"]).collect()}
+    assert got == {"a": False, "b": False, "c": True, "d": False, "e": False}
+    one_null = spark.createDataFrame([(None, "a"), ("1", "b")], "k string, v string")
+    assert {r.v: r.unique_key for r in unique_key_rule(one_null, ["k"]).collect()} == {"a": True, "b": True}
