@@ -590,3 +590,23 @@ def run_summary(spark: SparkSession, d: str) -> DataFrame:
         F.when(F.col("value") >= 100, "CRITICAL").otherwise("WARNING").alias("severity"),
     )
     return summary(runs, alerts)
+
+
+@register
+def run_current_state(spark: SparkSession, d: str) -> DataFrame:
+    """K10 read side: events as run events (one run per user), the latest
+    event of each run is its current state."""
+    from regspark.operators.runs import current_runs
+
+    e = table(spark, d, "events").select(
+        F.col("user_id").alias("run_id"), F.col("event_id"), F.col("ts").alias("event_ts"),
+        F.when(F.col("event_type") == "error", "failed").otherwise("completed").alias("status"),
+    )
+    return current_runs(e).select("run_id", "event_id", "event_ts", "status")
+
+
+@register
+def alert_counts(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.operators.runs import alerts_by
+
+    return alerts_by(quality_alerts(spark, d))

@@ -619,3 +619,17 @@ SELECT CAST(o_custkey AS VARCHAR) AS cnpj_basico,
        {_M} AS dataset_month, {_M} AS data_version
 FROM orders
 """
+
+SQL["run_current_state"] = """
+SELECT run_id, event_id, event_ts, status FROM (
+  SELECT user_id AS run_id, event_id, ts AS event_ts,
+         CASE WHEN event_type = 'error' THEN 'failed' ELSE 'completed' END AS status,
+         ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id, event_type) AS rn
+  FROM events) WHERE rn = 1
+"""
+
+SQL["alert_counts"] = f"""
+SELECT alert_type, severity, COUNT(*) AS alerts FROM ({SQL["quality_alerts"]}) GROUP BY 1, 2
+"""
+
+SQL["published_state_view"] = SQL["registry_companies_with_state"]

@@ -260,3 +260,20 @@ def branch_lines(spark: SparkSession, d: str) -> DataFrame:
 @register
 def text_ingest_branches(spark: SparkSession, d: str) -> DataFrame:
     return ingest_derived(spark, branch_lines(spark, d), "estabelecimentos", "Estabelecimentos")
+
+
+@register
+def published_state_view(spark: SparkSession, d: str) -> DataFrame:
+    """V1 materialized for the month into the mart layer (partitioned by
+    state) and read back whole."""
+    from regspark.session import scratch_path
+    from regspark.sinks.lake import read_table
+
+    root = scratch_path(spark, "mart")
+    views.publish_view(registry_tables(spark, d), "vw_empresas_com_uf", root, REGISTRY_MONTH)
+    back = read_table(spark, root, "mart", "vw_empresas_com_uf", REGISTRY_MONTH)
+    return back.select(
+        "cnpj_basico", "razao_social", "natureza_juridica", "qualificacao_responsavel",
+        "capital_social", "porte_empresa", "ente_federativo_responsavel",
+        F.col("uf").cast("string").alias("uf"), "municipio", "dataset_month", "data_version",
+    )
