@@ -33,6 +33,11 @@ def _c(col: Column | str) -> Column:
 # call into the JVM instead of one per function, which matters when a rule is
 # applied to every column of a wide layout. Results are identical.
 
+def regex_literal(text: str) -> str:
+    """``text`` escaped for use as a literal inside a Java regex."""
+    return "".join("\\" + ch if ch in r".^$*+?()[]{}|\/" else ch for ch in text)
+
+
 def ident(name: str) -> str:
     """Back-quoted SQL identifier."""
     return "`" + name.replace("`", "``") + "`"

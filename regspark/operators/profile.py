@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regspark.functions.cleanse import REPLACEMENT_CHAR
+from regspark.functions.cleanse import REPLACEMENT_CHAR, regex_literal
 
 # ---------------------------------------------------------------------------
 # Fixed values of the encoding scorer: candidate order (ties keep this order),
@@ -34,14 +34,10 @@ BOM = "\ufeff"
 
 def line_field_counts(text: Column, delimiter: str = ";") -> Column:
     """Array with the number of ``delimiter``-separated fields of each line."""
-    pattern = _regex_literal(delimiter)
+    pattern = regex_literal(delimiter)
     return F.transform(F.split(text, "\n"), lambda line: F.size(F.split(line, pattern, -1)))
 
 
-def _regex_literal(s: str) -> str:
-    return "".join("\\" + ch if ch in r".^$*+?()[]{}|\/" else ch for ch in s)
-
-
 def text_profile(df: DataFrame, text_col: str, delimiter: str = ";") -> DataFrame:
     """Per row: line count and min / max / distinct field counts (no shuffle)."""
     counts = line_field_counts(F.col(text_col), delimiter)
@@ -59,7 +55,7 @@ def file_profile(lines: DataFrame, delimiter: str = ";") -> DataFrame:
     Per file: lines, min / max / distinct field counts, size in bytes, the
     extension. The distinct set holds field *counts*, so it stays tiny.
     """
-    pattern = _regex_literal(delimiter)
+    pattern = regex_literal(delimiter)
     per_line = lines.select(
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_size").alias("size_bytes"),

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regspark.functions.cleanse import (
-    REPLACEMENT_CHAR, ident, null_marker_sql, strip_replacement_sql,
+    REPLACEMENT_CHAR, ident, null_marker_sql, regex_literal, strip_replacement_sql,
 )
 from regspark.layouts import CODE_LISTS, MONTH_COLUMNS, layout_columns, normalize_dataset
 
@@ -57,15 +57,11 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], sep: str = "
     return reader.csv(list(paths) if not isinstance(paths, str) else paths)
 
 
-def _quoted_sep_regex(sep: str) -> str:
-    return "".join("\\" + ch if ch in r".^$*+?()[]{}|\/" else ch for ch in sep)
-
-
 def row_field_count(line: Column, sep: str = ";") -> Column:
     """Fields of one delimited line, quote-aware: quoted segments (with
     doubled-quote escapes) are removed before the separators are counted."""
     unquoted = F.regexp_replace(line, '"([^"]|"")*"', "")
-    return F.size(F.split(unquoted, _quoted_sep_regex(sep), -1))
+    return F.size(F.split(unquoted, regex_literal(sep), -1))
 
 
 def read_delimited_rows(spark: SparkSession, paths: Sequence[str], width: int, sep: str = ";",
