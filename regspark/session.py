@@ -22,6 +22,12 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only what is proven small: no broadcast from *estimated* plan
+    # sizes; code lists are broadcast by lookup() after a bounded row probe,
+    # and AQE may still broadcast a side whose *measured* shuffle output is
+    # under the adaptive threshold.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     # Fall back from whole-stage codegen when a generated method would exceed
     # the JVM's JIT limit (8000 bytes of bytecode): wide registry layouts
     # (32 columns, a rule per cell) otherwise run as interpreted bytecode,
