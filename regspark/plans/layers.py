@@ -110,7 +110,8 @@ def run_month(spark: SparkSession, source, dataset: str, month: str, root: str,
     result = MonthResult(name, month)
     try:
         result.bronze, result.encoding = run_bronze(spark, source, name, month, root, encoding, sep)
-        if runs:
+        if runs and result.encoding.from_encoding != result.encoding.to_encoding:
+            # Only switches feed the fallback metrics; skip a write otherwise.
             runs.record_encoding(result.encoding, month)
         result.silver, result.quality = run_silver(spark, name, month, root, keys, threshold)
         result.gold = run_gold(spark, name, month, root)
