@@ -53,3 +53,14 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def lower_ascii(col: Column) -> Column:
     """A-Z to a-z; every other character stays."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def process_cache(key: str, make):
+    """``make()`` once per Python worker process, kept between its tasks."""
+    import sys
+    import types
+
+    store = sys.modules.setdefault("regspark_worker_cache", types.ModuleType("regspark_worker_cache")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]

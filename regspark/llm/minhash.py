@@ -20,11 +20,12 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, mix64, pick, stored
+from .common import pick, stored
 from .components import connected_components
 from .shingles import jaccard_counts, shingle_set, superminhash
 
@@ -34,15 +35,15 @@ TILE_SHINGLES = 1 << 17
 
 def _signatures(width: int, slots: int):
     def run(batches):
-        for pdf in batches:
-            sets = [shingle_set(t, width) for t in pdf.text]
+        for batch in batches:
+            sets = [shingle_set(t.as_py(), width) for t in batch.column(1)]
             sig = superminhash(sets, slots).astype("<u4")
-            yield pd.DataFrame({
-                "doc_id": pdf.doc_id,
-                "n": [len(s) for s in sets],
-                "fp": [xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets],
-                "sig": [row.tobytes() for row in sig],
-            })
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0),
+                pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets], pa.string()),
+                pa.array([row.tobytes() for row in sig], pa.binary()),
+            ], names=["doc_id", "n", "fp", "sig"])
     return run
 
 
@@ -168,7 +169,7 @@ def minhash_groups(
     """
     slots = bands * band_rows
     docs = pick(docs, doc_id="long", text="string")
-    sigs = stored(docs.mapInPandas(_signatures(width, slots), "doc_id long, n long, fp string, sig binary"), "minhash-sig")
+    sigs = stored(docs.mapInArrow(_signatures(width, slots), "doc_id long, n long, fp string, sig binary"), "minhash-sig")
     reps = stored(
         sigs.where("doc_id is not null and n > 0").groupBy("fp", "n", "sig").agg(F.min("doc_id").alias("id")),
         "minhash-reps")

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontaminate import contaminated
 from .embedding_dedup import embedding_links
+from .langid import identify
 from .minhash import minhash_groups
+from .packing import pack_documents
+from .pii import find_personal_data
 
 
 def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,4 +21,21 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_groups(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op3_minhash_dedup)}
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), window=2048)
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_embedding_dedup, op3_minhash_dedup, op5_language_id, op6_packing, op8_pii, op10_decontamination)}
