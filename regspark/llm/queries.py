@@ -11,16 +11,35 @@ from .langid import identify
 from .minhash import minhash_groups
 from .packing import pack_documents
 from .pii import find_personal_data
+from .sharding import shard_rows
+from .url_filter import Rule, judge_urls, mostly_blocked_hosts
+
+URL_RULES = [
+    Rule("org", "/", "allow"),
+    Rule("example.org", "/es/", "block"),
+    Rule("example.org", "/en/1", "block"),
+    Rule("com", "/fr/", "allow"),
+    Rule("com", "/de/", "block"),
+]
 
 
 def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_links(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return judge_urls(pages, URL_RULES, mostly_blocked_hosts(pages, URL_RULES))
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_groups(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_rows(table(spark, sf_dir, "documents"), shards=8)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
@@ -38,4 +57,5 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_embedding_dedup, op3_minhash_dedup, op5_language_id, op6_packing, op8_pii, op10_decontamination)}
+    op1_embedding_dedup, op2_url_filter, op3_minhash_dedup, op4_sharding, op5_language_id, op6_packing, op8_pii,
+    op10_decontamination)}
