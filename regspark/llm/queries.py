@@ -8,6 +8,7 @@ from .common import table
 from .decontaminate import contaminated
 from .embedding_dedup import embedding_links
 from .langid import identify
+from .licenses import scan_licenses
 from .minhash import minhash_groups
 from .packing import pack_documents
 from .pii import find_personal_data
@@ -52,10 +53,14 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_embedding_dedup, op2_url_filter, op3_minhash_dedup, op4_sharding, op5_language_id, op6_packing, op8_pii,
-    op10_decontamination)}
+    op9_license_scan, op10_decontamination)}
