@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .decontaminate import contaminated
 from .embedding_dedup import embedding_links
+from .html_text import main_text
 from .langid import identify
 from .licenses import scan_licenses
 from .minhash import minhash_groups
@@ -49,6 +50,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), window=2048)
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
 
@@ -62,5 +67,5 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_embedding_dedup, op2_url_filter, op3_minhash_dedup, op4_sharding, op5_language_id, op6_packing, op8_pii,
-    op9_license_scan, op10_decontamination)}
+    op1_embedding_dedup, op2_url_filter, op3_minhash_dedup, op4_sharding, op5_language_id, op6_packing,
+    op7_html_text, op8_pii, op9_license_scan, op10_decontamination)}
