@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 
 from .common import pick, stored
 from .components import connected_components
-from .shingles import jaccard_counts, shingle_set, superminhash
+from .shingles import shingle_set, superminhash
 
-TILE_DOCS = 256
-TILE_SHINGLES = 1 << 17
+TILE_DOCS = 512
+TILE_SHINGLES = 1 << 18
 
 
 def _signatures(width: int, slots: int):
@@ -49,20 +49,12 @@ def _signatures(width: int, slots: int):
 
 def _sets(width: int):
     def run(batches):
-        for pdf in batches:
-            yield pd.DataFrame({"id": pdf.doc_id, "shingles": [shingle_set(t, width).astype("<u8").tobytes() for t in pdf.text]})
-    return run
-
-
-def _verify(percent: int):
-    """Pairs with both sets to the pairs that are links."""
-    def run(batches):
-        for pdf in batches:
-            hit = []
-            for x, y in zip(pdf.sa, pdf.sb):
-                both, either = jaccard_counts(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"))
-                hit.append(100 * both >= percent * either)
-            yield pdf.loc[np.array(hit, bool), ["a", "b"]]
+        for batch in batches:
+            sets = [np.sort(shingle_set(t.as_py(), width).view(np.int64)) for t in batch.column(1)]
+            ends = np.cumsum([0, *map(len, sets)])
+            values = np.concatenate([np.empty(0, np.int64), *sets])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))], names=["id", "shingles"])
     return run
 
 
@@ -88,7 +80,7 @@ def _compare_tiles(percent: int, band_rows: int, agree: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["side", "id"], kind="stable")
         sig = np.stack([np.frombuffer(s, "<u4") for s in pdf.sig])
-        sets = [np.frombuffer(s, "<u8") for s in pdf.shingles]
+        sets = list(pdf.shingles)
         size = np.array([len(s) for s in sets])
         side, comp, ids = pdf.side.to_numpy(), pdf.comp.to_numpy(), pdf.id.to_numpy()
         band = int(pdf.band.iloc[0])
@@ -120,7 +112,7 @@ def _compare_tiles(percent: int, band_rows: int, agree: int):
 
 
 def _tile_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Each member once per tile pair it takes part in.
+    """Each member with the list of tile pairs it takes part in.
 
     Members of a bucket are dealt by set size into bands one ratio wide (a link
     joins equal or neighbouring bands) and by hash into tiles of bounded weight.
@@ -145,28 +137,27 @@ def _tile_pairs(members: DataFrame, percent: int) -> DataFrame:
           transform({others.format(n='coalesce(after, 0)')}, t -> named_struct('s1', step, 't1', tile, 's2', step + 1, 't2', t, 'side', 0)),
           transform({others.format(n='coalesce(before, 0)')}, t -> named_struct('s1', step - 1, 't1', t, 's2', step, 't2', tile, 'side', 1)))
     """)
-    return m.withColumn("pair", F.explode(pairs)).select(
-        "key", "band", "id", "n", "comp", "pair.s1", "pair.t1", "pair.s2", "pair.t2", "pair.side",
-        F.expr("pair.s1 = pair.s2 and pair.t1 = pair.t2").alias("same"))
+    return m.select("key", "band", "id", "comp", pairs.alias("pairs"))
 
 
 def minhash_groups(
-    docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 16, band_rows: int = 4,
+    docs: DataFrame, width: int = 5, percent: int = 80, band_rows: int = 4, missed: float = 1e-5,
 ) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
 
     Two documents are linked when ``100 * |A & B| >= percent * |A | B|`` for
     their sets of distinct ``width``-word shingles; a component is everything
     reachable by links and is named by its smallest doc_id; ``kept`` marks that
-    document. With the default 16 bands of 4 slots a link at exactly 0.85 is a
-    candidate with probability above 0.99999 (0.9998 at 0.80); every candidate
-    is confirmed on full sets.
+    document. There are as many bands of ``band_rows`` slots as it takes to miss
+    a link right at the threshold with odds below ``missed`` (16 bands at 0.85,
+    22 at 0.80); every candidate is confirmed on full sets.
 
     Defined cases: a null or wordless text has an empty set and is linked with
     nothing; rows with a null doc_id are linked with nothing, have a null
     component and are kept; rows that repeat a doc_id count as one document.
     An empty table gives an empty result; other columns are ignored.
     """
+    bands = max(1, math.ceil(math.log(missed) / math.log(1 - min(0.999, percent / 100) ** band_rows)))
     slots = bands * band_rows
     docs = pick(docs, doc_id="long", text="string")
     sigs = stored(docs.mapInArrow(_signatures(width, slots), "doc_id long, n long, fp string, sig binary"), "minhash-sig")
@@ -182,15 +173,13 @@ def minhash_groups(
 
     wanted = hot.select(F.col("id").alias("doc_id")).distinct()
     sets = stored(
-        docs.where("doc_id is not null").join(wanted, "doc_id", "left_semi").mapInPandas(_sets(width), "id long, shingles binary")
-        .where("length(shingles) > 0"), "minhash-sets")
+        docs.where("doc_id is not null").join(wanted, "doc_id", "left_semi").mapInArrow(_sets(width), "id long, shingles array<bigint>")
+        .where("size(shingles) > 0"), "minhash-sets")
 
     first = hot.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
-    first = (
-        first.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
-        .select("a", "b", "sa", "sb").mapInPandas(_verify(percent), "a long, b long")
-    )
-    grouped = stored(connected_components(first), "minhash-first")
+    both = first.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").withColumn("both", F.size(F.array_intersect("sa", "sb")))
+    linked = both.where(F.expr(f"100 * both >= {percent} * (size(sa) + size(sb) - both)")).select("a", "b")
+    grouped = stored(connected_components(stored(linked, "minhash-links")), "minhash-first")
 
     left = (
         hot.where("id <> pivot").join(grouped.withColumnRenamed("node", "id"), "id", "left")
@@ -201,11 +190,12 @@ def minhash_groups(
     pairs = _tile_pairs(stored(left.join(mixed, "key"), "minhash-mixed"), percent)
     agree = max(band_rows, int(slots * percent / 100 - 5.2 * math.sqrt(slots * percent * (100 - percent)) / 100))
     second = (
-        pairs.join(reps.select("id", "sig"), "id").join(sets, "id")
+        pairs.join(sets, "id").join(reps.select("id", "sig"), "id")
+        .select("key", "band", "id", "comp", "sig", "shingles", F.explode("pairs").alias("pair"))
+        .select("*", "pair.*", F.expr("pair.s1 = pair.s2 and pair.t1 = pair.t2").alias("same")).drop("pair")
         .groupBy("key", "s1", "t1", "s2", "t2").applyInPandas(_compare_tiles(percent, band_rows, agree), "a long, b long")
     )
-    links = grouped.toDF("a", "b").union(second)
-    comp = connected_components(links)
+    comp = connected_components(stored(grouped.toDF("a", "b").union(second), "minhash-links"))
 
     named = reps.join(comp.withColumnRenamed("node", "id"), "id", "left").select(
         "fp", F.coalesce("component", "id").alias("found"))

@@ -36,7 +36,7 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
 
 
 def superminhash(sets: list[np.ndarray], m: int) -> np.ndarray:
-    """SuperMinHash signatures, uint32, one row of ``m`` slots per non-empty set.
+    """SuperMinHash signatures, uint32, one row of ``m`` slots (at most 1024) per set.
 
     Element x walks its own random permutation of the slots; at step j it offers
     ``j + r`` to the j-th slot, so the ranks of one element are correlated (each
@@ -53,7 +53,7 @@ def superminhash(sets: list[np.ndarray], m: int) -> np.ndarray:
     owner = np.repeat(np.arange(len(sets)), sizes)
     for lo in range(0, len(elem), 1 << 18):  # bounded memory for very long texts
         x, doc = elem[lo : lo + (1 << 18)], owner[lo : lo + (1 << 18)]
-        perm = np.tile(np.arange(m, dtype=np.uint8), (len(x), 1)) if m > 1 else np.zeros((len(x), 1), np.uint8)
+        perm = np.tile(np.arange(m, dtype=np.uint8 if m <= 256 else np.uint16), (len(x), 1))
         live = np.arange(len(x))
         for j in range(m):
             open_docs = (out.max(axis=1) >> U64(32)) >= j
@@ -68,7 +68,7 @@ def superminhash(sets: list[np.ndarray], m: int) -> np.ndarray:
             slot = perm[live, k]
             perm[live, k] = perm[live, j]
             np.minimum.at(flat, doc[live] * m + slot, (U64(j) << U64(32)) | (r & U64(0xFFFFFFFF)))
-    return ((out >> U64(32)) << U64(26) | (out & U64(0xFFFFFFFF)) >> U64(6)).astype(np.uint32)
+    return ((out >> U64(32)) << U64(22) | (out & U64(0xFFFFFFFF)) >> U64(10)).astype(np.uint32)
 
 
 def jaccard_counts(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
