@@ -28,12 +28,12 @@ FROM v JOIN (SELECT id, min(seen) AS component_id FROM reach GROUP BY id) m ON m
 OP3 = rf"""
 WITH RECURSIVE w AS (
     SELECT doc_id AS id, list_filter(string_split_regex(
-        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D ]+'), x -> x <> '') AS ws
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D ]+'), lambda x: x <> '') AS ws
     FROM documents
 ), s AS (
     SELECT id, CASE WHEN len(ws) = 0 THEN []
         WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
-        ELSE list_distinct(list_transform(range(1, len(ws) - 1), i -> ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS sh
+        ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS sh
     FROM w
 ), nodes AS (SELECT id FROM s),
 e AS MATERIALIZED (SELECT id, len(sh) AS n, hash(unnest(sh)) AS h FROM s),
