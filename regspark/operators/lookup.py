@@ -1,13 +1,11 @@
 """Left lookups of descriptions in code lists, and key-aligned attaches.
 
-``lookup`` broadcasts the code list only after proving a row bound on it
-with a bounded job: ``take(n + 1)`` of a zero-column projection, which scans
-partitions incrementally (1, then 4x more, ...) and stops as soon as n + 1
-rows are seen, so the check never reads a large table in full. Above the
-bound it lets Catalyst plan a shuffle join (and AQE may still turn it into
-a broadcast from real runtime sizes). Dims that are themselves the result
-of a shuffle should pass ``broadcast=False`` (the check would compute them). A NULL or unmatched code keeps the fact row with
-NULL descriptions, as a LEFT JOIN does.
+A lookup is a plain LEFT JOIN on a slim projection of the code list. Building
+it starts no job: Catalyst broadcasts the list when its pruned size is under
+``spark.sql.autoBroadcastJoinThreshold`` bytes, adaptive execution does so from
+the measured size, and beyond that both sides shuffle on the code, where a hot
+code is split by the skew-join rule. A NULL or
+unmatched code keeps the fact row with NULL descriptions.
 """
 
 from __future__ import annotations
@@ -18,39 +16,19 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default bound for broadcasting a code list. A code list row is a short code
-# plus one description (well under 256 bytes), so this caps a broadcast near
-# 64 MB before compression.
-DEFAULT_BROADCAST_MAX_ROWS = 250_000
-CONF_BROADCAST_MAX_ROWS = "regspark.lookup.broadcastMaxRows"
-
 _tags = itertools.count()
 
 
-def broadcast_bound(df: DataFrame) -> int:
-    value = df.sparkSession.conf.get(CONF_BROADCAST_MAX_ROWS, None)
-    return int(value) if value else DEFAULT_BROADCAST_MAX_ROWS
-
-
-def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; looks at most at max_rows + 1."""
-    bound = broadcast_bound(df) if max_rows is None else max_rows
-    return len(df.select(F.lit(1).alias("x")).take(bound + 1)) <= bound
-
-
 def lookup(
     fact: DataFrame,
     dim: DataFrame,
     on: Mapping[str, str] | Sequence[tuple[str, str]],
     columns: Mapping[str, str],
-    broadcast: bool | None = None,
-    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """``fact LEFT JOIN dim ON fact[f] = dim[d] ...``, adding ``dim`` columns.
 
     on:       fact column -> dim column (all pairs ANDed).
     columns:  dim column -> output name.
-    broadcast: None = decide by the row bound, True/False = force.
     ``dim`` must be unique on its key columns (code lists are deduplicated
     by the silver layer), otherwise fact rows multiply.
     """
@@ -58,14 +36,11 @@ def lookup(
     tag = f"__lk{next(_tags)}_"
     needed = {d for _, d in pairs} | set(columns)
     slim = dim.select([F.col(d).alias(tag + d) for d in sorted(needed)])
-    if broadcast is None:
-        broadcast = fits_broadcast(slim, max_broadcast_rows)
-    right = F.broadcast(slim) if broadcast else slim
     cond = None
     for f, d in pairs:
-        c = fact[f] == right[tag + d]
+        c = fact[f] == slim[tag + d]
         cond = c if cond is None else cond & c
-    joined = fact.join(right, cond, "left")
+    joined = fact.join(slim, cond, "left")
     return joined.select(
         *[fact[c] for c in fact.columns],
         *[F.col(tag + d).alias(out) for d, out in columns.items()],

@@ -71,8 +71,13 @@ def preferred_row(
 def dedup(df: DataFrame, keys: Sequence[str], deterministic: bool = True) -> DataFrame:
     """One row per key. Deterministic: the smallest row by all other columns.
 
-    ``deterministic=False`` uses ``dropDuplicates`` (hash aggregate, any row).
+    The sort compares other columns only among rows of one key, so nearly
+    unique keys cost no more than the keys. ``deterministic=False`` uses
+    ``dropDuplicates`` (hash aggregate, any row). A key that is not a column raises.
     """
+    unknown = [k for k in keys if k not in df.columns]
+    if unknown:
+        raise ValueError(f"deduplication keys {unknown} are not among the columns {df.columns}")
     if not keys:
         return df
     if not deterministic:

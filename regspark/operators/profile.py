@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regspark.functions.cleanse import REPLACEMENT_CHAR, regex_literal
+from regspark.sources.text import CP1252_UPPER, LATIN1_UPPER
 
 # ---------------------------------------------------------------------------
 # Fixed values of the encoding scorer: candidate order (ties keep this order),
@@ -23,12 +24,10 @@ CANDIDATES = ("latin1", "cp1252", "utf-8", "utf-8-sig")
 WEIGHT_DECODE_ERROR = 100
 WEIGHT_MOJIBAKE = 10
 WEIGHT_CONTROL = 5
+# The second character is written as "not a line feed": the dot of Java's
+# patterns also skips other line ends, which would miss some mojibake.
 MOJIBAKE_PATTERNS = ("Ã[^\n]", "Â[^\n]", REPLACEMENT_CHAR)
 ACCENTED = "áàâãäéèêëíìîïóòôõöúùûüçÁÀÂÃÄÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇ"
-CONTROL_PATTERN = "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]"
-
-BOM = "\ufeff"
-
 
 # --- Q3: field counts per line ------------------------------------------------------
 
@@ -52,51 +51,62 @@ def text_profile(df: DataFrame, text_col: str, delimiter: str = ";") -> DataFram
 def file_profile(lines: DataFrame, delimiter: str = ";") -> DataFrame:
     """Q3 over ``spark.read.text`` output (all files, all lines).
 
-    Per file: lines, min / max / distinct field counts, size in bytes, the
-    extension. The distinct set holds field *counts*, so it stays tiny.
+    Per file (by its full path): folder, name, extension, size in bytes, lines,
+    min / max / distinct field counts and the first line. The distinct set holds
+    field *counts*, so it stays tiny; the first line is the one at the smallest
+    offset, kept by a map-side partial aggregate.
     """
     pattern = regex_literal(delimiter)
+    path = F.col("_metadata.file_path")
     per_line = lines.select(
-        F.col("_metadata.file_name").alias("file_name"),
+        path.alias("file_path"),
         F.col("_metadata.file_size").alias("size_bytes"),
+        # lines of a split come in order, and splits of a file by their start
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("__at"),
+        "value",
         F.size(F.split(F.col("value"), pattern, -1)).alias("n_fields"),
     )
-    out = per_line.groupBy("file_name", "size_bytes").agg(
+    out = per_line.groupBy("file_path", "size_bytes").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.min("n_fields").alias("min_fields"),
         F.max("n_fields").alias("max_fields"),
         F.array_join(F.array_sort(F.collect_set("n_fields")), ",").alias("distinct_fields"),
+        F.min_by("value", "__at").alias("first_line"),
     )
-    ext = F.regexp_extract(F.col("file_name"), r"(\.[^./]+)$", 1)
-    return out.withColumn("extension", F.when(ext == "", F.lit("none")).otherwise(ext))
+    name = F.element_at(F.split("file_path", "/"), -1)
+    ext = F.regexp_extract(name, r"(\.[^./]+)$", 1)
+    return out.select(
+        F.regexp_extract("file_path", r"^(.*)/[^/]*$", 1).alias("folder"), name.alias("file_name"),
+        F.when(ext == "", F.lit("none")).otherwise(ext).alias("extension"), *out.columns[1:], "file_path")
+
+
+def folder_profile(files: DataFrame) -> DataFrame:
+    """Q3 rolled up: per folder, its files, lines and smallest and largest field counts."""
+    return files.groupBy("folder").agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("n_lines").alias("n_lines"),
+        F.min("min_fields").alias("min_fields"), F.max("max_fields").alias("max_fields"))
 
 
 # --- Q2: encoding scoring ------------------------------------------------------------
 
-def candidate_texts(raw: Column, candidates: Sequence[str] = CANDIDATES,
-                    legacy_charsets: bool = False) -> list[tuple[str, Column]]:
+def candidate_texts(raw: Column, candidates: Sequence[str] = CANDIDATES) -> list[tuple[str, Column]]:
     """The text each candidate encoding would produce from the bytes ``raw``.
 
-    latin1 maps every byte; utf-8 turns bad bytes into U+FFFD via
-    ``make_valid_utf8`` (plain ``decode`` throws on them); utf-8-sig is
-    utf-8 without a leading BOM. cp1252 needs Spark's legacy charset
-    setting and is skipped unless ``legacy_charsets``.
+    latin1 maps every byte; cp1252 and utf-8 turn bytes they do not define into
+    U+FFFD; utf-8-sig is utf-8 without a leading BOM.
     """
-    out = []
+    unknown = set(candidates) - set(CANDIDATES)
+    if unknown:
+        raise ValueError(f"unknown candidate encodings {sorted(unknown)}")
     utf8 = F.make_valid_utf8(raw.cast("string"))
-    for name in candidates:
-        if name == "latin1":
-            out.append((name, F.decode(raw, "ISO-8859-1")))
-        elif name == "cp1252":
-            if legacy_charsets:
-                out.append((name, F.decode(raw, "windows-1252")))
-        elif name == "utf-8":
-            out.append((name, utf8))
-        elif name == "utf-8-sig":
-            out.append((name, F.regexp_replace(utf8, "^" + BOM, "")))
-        else:
-            raise ValueError(f"unknown candidate encoding {name!r}")
-    return out
+    texts = {
+        "latin1": F.decode(raw, "ISO-8859-1"),
+        "cp1252": F.translate(F.decode(raw, "ISO-8859-1"), LATIN1_UPPER, CP1252_UPPER),
+        "utf-8": utf8,
+        # A leading BOM is counted by no term, so utf-8-sig scores exactly as utf-8.
+        "utf-8-sig": utf8,
+    }
+    return [(name, texts[name]) for name in candidates]
 
 
 CONTROL_CHARS = "".join(chr(i) for i in range(32) if chr(i) not in "\n\r\t")
@@ -138,38 +148,49 @@ def text_metrics(text: Column) -> dict[str, Column]:
     }
 
 
-def best_encoding(df: DataFrame, raw_col: str, candidates: Sequence[str] = CANDIDATES,
-                  legacy_charsets: bool = False) -> DataFrame:
+TERMS = ("decode_errors", "mojibake_hits", "control_chars", "accented_chars")
+
+
+def encoding_scores(df: DataFrame, raw_col: str, candidates: Sequence[str] = CANDIDATES) -> DataFrame:
+    """Per row one row per candidate: ``pos``, ``encoding``, ``score`` and its terms."""
+    structs = []
+    for pos, (name, text) in enumerate(candidate_texts(F.col(raw_col), candidates)):
+        m = text_metrics(text)
+        structs.append(F.struct(F.lit(pos).alias("pos"), F.lit(name).alias("encoding"), *[c.alias(k) for k, c in m.items()]))
+    rest = [c for c in df.columns if c != raw_col]
+    return df.select(*rest, F.explode(F.array(*structs)).alias("__c")).select(*rest, "__c.*")
+
+
+def best_encoding(df: DataFrame, raw_col: str, candidates: Sequence[str] = CANDIDATES) -> DataFrame:
     """Per row: the candidate with the lowest score; ties keep candidate order.
 
     All candidates are scored in one pass over the row; the winner is the
     minimum of an array of structs ordered (score, candidate position).
     """
-    texts = candidate_texts(F.col(raw_col), candidates, legacy_charsets)
     structs = []
-    by_name = dict(texts)
-    for pos, (name, text) in enumerate(texts):
-        # A leading BOM is counted by no term, so utf-8-sig scores exactly as
-        # utf-8; reuse that text instead of scanning a second copy.
-        if name == "utf-8-sig" and "utf-8" in by_name:
-            text = by_name["utf-8"]
+    for pos, (name, text) in enumerate(candidate_texts(F.col(raw_col), candidates)):
+        if name == "utf-8-sig" and "utf-8" in candidates:
+            continue  # never before its equal, utf-8
         m = text_metrics(text)
         structs.append(F.struct(
             m["score"].alias("score"), F.lit(pos).alias("pos"), F.lit(name).alias("encoding"),
-            m["decode_errors"].alias("decode_errors"), m["mojibake_hits"].alias("mojibake_hits"),
-            m["control_chars"].alias("control_chars"), m["accented_chars"].alias("accented_chars"),
-        ))
-    best = F.array_min(F.array(*structs))
-    out = df.withColumn("__best", best)
-    return out.select(
-        *[c for c in df.columns],
-        F.col("__best.encoding").alias("encoding"),
-        F.col("__best.score").alias("score"),
-        F.col("__best.decode_errors").alias("decode_errors"),
-        F.col("__best.mojibake_hits").alias("mojibake_hits"),
-        F.col("__best.control_chars").alias("control_chars"),
-        F.col("__best.accented_chars").alias("accented_chars"),
-    )
+            *[m[t].alias(t) for t in TERMS]))
+    out = df.withColumn("__best", F.array_min(F.array(*structs)))
+    return out.select(*df.columns, *[F.col(f"__best.{c}").alias(c) for c in ("encoding", "score", *TERMS)])
+
+
+def file_encodings(lines: DataFrame, candidates: Sequence[str] = CANDIDATES) -> DataFrame:
+    """Q2 per file over ``spark.read.text`` output, whole files line by line.
+
+    One row per file and candidate with the summed score and terms and its
+    ``rank`` (1 is the file's winner; ties keep candidate order). Lines are
+    summed map-side, so a file of any size is one partial row a task.
+    """
+    raw = lines.select(F.col("_metadata.file_path").alias("file_path"), F.col("value").cast("binary").alias("raw"))
+    per_file = encoding_scores(raw, "raw", candidates).groupBy("file_path", "pos", "encoding").agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in ("score", *TERMS)])
+    order = Window.partitionBy("file_path").orderBy("score", "pos")
+    return per_file.withColumn("rank", F.row_number().over(order)).drop("pos")
 
 
 def encoding_vote(best: DataFrame, group_col: str, candidates: Sequence[str] = CANDIDATES) -> DataFrame:
@@ -184,8 +205,3 @@ def encoding_vote(best: DataFrame, group_col: str, candidates: Sequence[str] = C
     votes = best.groupBy(group_col, "encoding").agg(F.count(F.lit(1)).alias("wins"))
     top = preferred_row(votes, [group_col], [F.col("wins").desc(), order.asc()])
     return top.select(group_col, "encoding", "wins")
-
-
-def replacement_recovery(default_count: Column, chosen_count: Column) -> Column:
-    """Cells recovered by switching encoding: max(before - after, 0)."""
-    return F.greatest(default_count - chosen_count, F.lit(0))

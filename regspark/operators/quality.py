@@ -6,6 +6,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,12 +64,10 @@ def key_null_stats(df: DataFrame, keys: Sequence[str],
 
 def enforce_gate(stats_row, key: str, threshold: int) -> None:
     """Raise :class:`QualityGateError` when the post-dedup gate failed."""
-    if stats_row is None or not stats_row["distinct_keys"]:
-        return
-    if not stats_row["passed"]:
-        rate = stats_row["null_keys"] / stats_row["distinct_keys"]
+    if stats_row and stats_row["distinct_keys"] and not stats_row["passed"]:
         raise QualityGateError(
-            f"quality below threshold: {rate:.1%} NULL in '{key}' (limit {1 - threshold / 100:.1%})"
+            f"{stats_row['null_keys']} of {stats_row['distinct_keys']} rows have no '{key}'; "
+            f"the gate asks for at least {threshold} % with one"
         )
 
 
@@ -75,18 +75,12 @@ def enforce_gate(stats_row, key: str, threshold: int) -> None:
 
 def replacement_flags(columns: Sequence[str]) -> list[Column]:
     """A3: per column, 1 when any value holds U+FFFD, else 0 (aggregate exprs)."""
-    return [
-        F.max(F.when(has_replacement(c), 1).otherwise(0)).alias(f"bad_{c}") for c in columns
-    ]
+    return [F.coalesce(F.bool_or(has_replacement(c)), F.lit(False)).cast("int").alias(f"bad_{c}") for c in columns]
 
 
 def replacement_cells(columns: Sequence[str], alias: str = "bad_cells") -> Column:
     """A4: number of *cells* holding U+FFFD over all ``columns`` (aggregate expr)."""
-    total = None
-    for c in columns:
-        term = F.sum(F.when(has_replacement(c), 1).otherwise(0))
-        total = term if total is None else total + term
-    return total.cast("bigint").alias(alias)
+    return reduce(add, [F.count_if(has_replacement(c)) for c in columns]).alias(alias)
 
 
 # --- Q4 / Q6: rules, score, bands, alerts ------------------------------------------
@@ -138,7 +132,7 @@ def rule_alerts(df: DataFrame, rules: Mapping[str, tuple[Column, str, str]],
         for name, (check, field, severity) in rules.items()
     ]
     exploded = df.select(
-        F.col(line_col).cast("bigint").alias("record_line"),
+        F.col(line_col).try_cast("bigint").alias("record_line"),
         F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("a"),
     )
     return exploded.select(
@@ -150,19 +144,19 @@ def rule_alerts(df: DataFrame, rules: Mapping[str, tuple[Column, str, str]],
 def unique_key_rule(df: DataFrame, keys: Sequence[str], name: str = "unique_key") -> DataFrame:
     """Add boolean ``name``: the record's key occurs exactly once.
 
-    A count per key joined back (aggregate, then join on the key) rather than
-    a window, so a hot key is pre-aggregated map-side and a skewed join side
-    is split by AQE. NULL keys group together (null-safe join), as they do
-    in a GROUP BY.
+    Only keys that occur more than once are joined back: counts are
+    pre-aggregated map-side, and the side that comes back is nearly empty, so
+    AQE broadcasts it and the table itself is not shuffled for the join. NULL
+    keys group together (null-safe join), as they do in a GROUP BY.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__key_n"))
-    counts = counts.select(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)], "__key_n")
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__key_n")).where("__key_n > 1")
+    repeated = repeated.select(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)], "__key_n")
     cond = None
     for i, k in enumerate(keys):
-        c = df[k].eqNullSafe(counts[f"__key_{i}"])
+        c = df[k].eqNullSafe(repeated[f"__key_{i}"])
         cond = c if cond is None else cond & c
-    out = df.join(counts, cond, "left").select(*[df[c] for c in df.columns], counts["__key_n"])
-    return out.withColumn(name, F.col("__key_n") == 1).drop("__key_n")
+    out = df.join(repeated, cond, "left").select(*[df[c] for c in df.columns], repeated["__key_n"])
+    return out.withColumn(name, F.col("__key_n").isNull()).drop("__key_n")
 
 
 def orphans(fact: DataFrame, dim: DataFrame, on: Mapping[str, str]) -> DataFrame:

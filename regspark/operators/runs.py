@@ -1,7 +1,9 @@
 """Aggregations over the run table (stage runs of the monthly jobs).
 
-Run table columns used here: run_id, stage, dataset, status, data_version,
-started_at, finished_at, duration_seconds (double), records (bigint).
+Run table columns used here, as ``sinks.runlog`` writes them: run_id, stage,
+dataset, status, data_version, started_at, finished_at, duration_seconds
+(double), records and records_failed (bigint). Metrics take current states
+(:func:`current_runs`), of which totals and rates count the finished ones.
 All metrics are grouped aggregates with map-side partial aggregation; the
 duration histogram has a fixed, tiny number of buckets.
 """
@@ -33,9 +35,14 @@ def _pct(part: Column, total: Column) -> Column:
     )
 
 
+def finished_runs(runs: DataFrame) -> DataFrame:
+    """Runs that ended, well or not."""
+    return runs.where(F.col("status").isin(STATUS_COMPLETED, STATUS_FAILED))
+
+
 def run_rates(runs: DataFrame) -> DataFrame:
-    """A12 + A14: total runs, successes, failures, success and error rate."""
-    agg = runs.agg(
+    """A12 + A14: finished runs, successes, failures, success and error rate."""
+    agg = finished_runs(runs).agg(
         F.count(F.lit(1)).alias("total_runs"),
         F.count_if(F.col("status") == STATUS_COMPLETED).alias("successes"),
         F.count_if(F.col("status") == STATUS_FAILED).alias("failures"),
@@ -47,6 +54,21 @@ def run_rates(runs: DataFrame) -> DataFrame:
     )
 
 
+def record_rates(runs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """A12 by record: processed and failed records of finished runs over their total."""
+    zero = F.lit(0).cast("bigint")
+    agg = finished_runs(runs).groupBy(*keys).agg(
+        F.coalesce(F.sum("records"), zero).cast("bigint").alias("processed"),
+        F.coalesce(F.sum("records_failed"), zero).cast("bigint").alias("failed"),
+    )
+    total = F.col("processed") + F.col("failed")
+    return agg.select(
+        *keys, "processed", "failed",
+        _pct(F.col("processed"), total).alias("record_success_rate"),
+        _pct(F.col("failed"), total).alias("record_error_rate"),
+    )
+
+
 def runs_by(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
     """A15 + A16: runs, records, mean and max duration per group.
 
@@ -129,15 +151,19 @@ def run_summary(runs: DataFrame, alerts: DataFrame) -> DataFrame:
     )
 
 
-def current_runs(events: DataFrame) -> DataFrame:
-    """K10 read side: the latest event of every run is its current state."""
-    return preferred_row(events, ["run_id"], [F.col("event_ts").desc_nulls_last()])
+def current_runs(events: DataFrame, keys: Sequence[str] = ("run_id",)) -> DataFrame:
+    """K10 read side: the latest event of every run is its current state.
+
+    On the library's own run table the keys are ``("run_id", "stage")``.
+    """
+    return preferred_row(events, list(keys), [F.col("event_ts").desc_nulls_last()])
 
 
 def encoding_fallbacks(audit: DataFrame) -> DataFrame:
     """Encoding switches and recovered cells per (dataset, from, to).
 
-    ``audit`` rows: dataset, from_encoding, to_encoding, bad_before, bad_after.
+    ``audit`` rows: dataset, from_encoding, to_encoding, bad_before, bad_after
+    (cells holding U+FFFD under the first and the second encoding).
     """
     switched = audit.where(F.col("from_encoding") != F.col("to_encoding"))
     return switched.groupBy("dataset", "from_encoding", "to_encoding").agg(

@@ -78,9 +78,9 @@ def branches_by_state(spark: SparkSession, root: str, scores: DataFrame | None =
 # --- Q6 rule checks of the branch table -----------------------------------------------
 
 BRANCH_KEY = ["cnpj_basico", "cnpj_ordem", "cnpj_dv", "data_version"]
-# Head-office flag domain and the CEP layout (8 digits).
+# Head-office flag domain and the CEP layout (12345678 or 12345-678).
 FLAG_DOMAIN = ("1", "2")
-CEP_PATTERN = "^[0-9]{8}$"
+CEP_PATTERN = "^[0-9]{5}-?[0-9]{3}$"
 
 
 def branch_rules(branches: DataFrame, towns: DataFrame) -> tuple[DataFrame, dict[str, Column]]:

@@ -3,24 +3,26 @@
 Each layer is one Spark job that writes one month partition (see
 :mod:`regspark.sinks.lake`); data crosses layers through storage, so a
 layer can be re-run alone and an executor loss only repeats tasks of the
-current write. The silver quality gate is checked on key columns *before*
-silver is written, so a failing month never replaces a good one.
+current write. The silver quality gate is judged on counts that the silver
+write itself gathers, before its month is switched in, so a failing month
+never replaces a good one and the month is scanned and shuffled once.
 """
 
 from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass, field
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from regspark.functions.cleanse import cast_dataset, tidy_strings
-from regspark.layouts import (
-    DATE_COLUMNS, MONEY_COLUMNS, default_keys, layout_columns, normalize_dataset,
-)
+from regspark.layouts import dataset_spec
 from regspark.operators.preferred import dedup
-from regspark.operators.quality import DEFAULT_THRESHOLD, enforce_gate, key_null_stats
+from regspark.operators.quality import DEFAULT_THRESHOLD, enforce_gate
 from regspark.sinks.lake import (
     WriteResult, drop_month_all_layers, publish_month, read_table,
 )
@@ -34,21 +36,28 @@ BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
 # --- frames (pure, lazy) ------------------------------------------------------------
 
+def typed_frame(bronze: DataFrame, dataset: str) -> DataFrame:
+    """P10 tidy and P11/P12/N1 casts."""
+    spec = dataset_spec(dataset)
+    return cast_dataset(tidy_strings(bronze), list(spec.money), list(spec.dates))
+
+
 def silver_frame(bronze: DataFrame, dataset: str, keys: Sequence[str] | None = None,
                  deterministic: bool = True) -> DataFrame:
-    """P10 tidy, P11/P12/N1 casts, A1 dedup on the dataset keys."""
-    name = normalize_dataset(dataset)
-    df = tidy_strings(bronze)
-    df = cast_dataset(df, MONEY_COLUMNS.get(name, []), DATE_COLUMNS.get(name, []))
-    resolved = default_keys(name, list(keys) if keys else None)
-    resolved = [k for k in resolved if k in df.columns]
-    return dedup(df, resolved, deterministic) if resolved else df
+    """Typed rows, A1 deduplicated on the dataset's (or the given) keys.
+
+    Keys that are not columns raise: deduplicating on what is left would
+    drop rows that differ.
+    """
+    return dedup(typed_frame(bronze, dataset), list(keys or dataset_spec(dataset).keys),
+                 deterministic)
 
 
 def gold_frame(silver: DataFrame, dataset: str) -> DataFrame:
-    """Layout columns in layout order (unknown datasets keep everything)."""
-    business = [c for c in layout_columns(dataset) if c in silver.columns]
-    return silver.select(*business) if business else silver
+    """The dataset's business columns in layout order; an unknown dataset has no layout and stays whole."""
+    present = set(silver.columns)
+    layout = dataset_spec(dataset).layout
+    return silver.select([c for c in layout if c in present]) if present & set(layout) else silver
 
 
 # --- layer jobs ---------------------------------------------------------------------
@@ -66,32 +75,49 @@ class MonthResult:
 
 def run_bronze(spark: SparkSession, source, dataset: str, month: str, root: str,
                encoding: str = DEFAULT_ENCODING, sep: str = ";") -> tuple[WriteResult, EncodingChoice]:
-    name = normalize_dataset(dataset)
+    name = dataset_spec(dataset).name
     df, choice = read_bronze(spark, source, name, month, encoding=encoding, sep=sep)
     return publish_month(df, root, BRONZE, name, month), choice
 
 
+def gate_row(total: int, nulls: int, kept: int, kept_nulls: int, threshold: int | float) -> dict:
+    """Q1/A5 numbers from the counts before and after deduplication, compared exactly."""
+    limit = Decimal(100) - Decimal(str(threshold))
+    return {
+        "total_rows": total, "null_rows": nulls, "null_rate": nulls / total if total else None,
+        "distinct_keys": kept, "null_keys": kept_nulls, "null_rate_dedup": kept_nulls / kept if kept else None,
+        "threshold": threshold, "passed": Decimal(kept_nulls) * 100 <= limit * kept,
+    }
+
+
 def run_silver(spark: SparkSession, dataset: str, month: str, root: str,
                keys: Sequence[str] | None = None,
                threshold: int = DEFAULT_THRESHOLD) -> tuple[WriteResult, dict]:
-    """Silver for one month: gate on the key columns, then one write job."""
-    name = normalize_dataset(dataset)
-    bronze = read_table(spark, root, BRONZE, name, month).drop("data_version")
-    cleaned = silver_frame(bronze, name, keys)
-    resolved = [k for k in default_keys(name, list(keys) if keys else None) if k in bronze.columns]
+    """Silver for one month: one scan, one shuffle, one write; the gate decides before the switch."""
+    spec = dataset_spec(dataset)
+    bronze = read_table(spark, root, BRONZE, spec.name, month).drop("data_version")
+    resolved = list(keys or spec.keys)
+    if not resolved:
+        return publish_month(typed_frame(bronze, spec.name), root, SILVER, spec.name, month), {}
+    typed = typed_frame(bronze, spec.name)
+    before = Observation(f"silver-in-{spec.name}-{month}")
+    missing = F.count_if(F.col(resolved[0]).isNull()) if resolved[0] in typed.columns else F.lit(0)
+    typed = typed.observe(before, F.count(F.lit(1)).alias("rows"), missing.alias("nulls"))
     quality: dict = {}
-    if resolved:
-        # Key columns only: pre- and post-dedup NULL rates in one aggregate.
-        typed = cast_dataset(tidy_strings(bronze), MONEY_COLUMNS.get(name, []),
-                             DATE_COLUMNS.get(name, []))
-        row = key_null_stats(typed, resolved, threshold).first()
-        quality = row.asDict() if row is not None else {}
-        enforce_gate(row, resolved[0], threshold)
-    return publish_month(cleaned, root, SILVER, name, month), quality
+
+    def gate(after: dict) -> None:
+        seen = before.get
+        quality.update(gate_row(seen["rows"], seen["nulls"], after["rows"], after["null_keys"], threshold))
+        enforce_gate(quality, resolved[0], threshold)
+
+    result = publish_month(
+        dedup(typed, resolved), root, SILVER, spec.name, month,
+        metrics={"null_keys": F.count_if(F.col(resolved[0]).isNull())}, check=gate)
+    return result, quality
 
 
 def run_gold(spark: SparkSession, dataset: str, month: str, root: str) -> WriteResult:
-    name = normalize_dataset(dataset)
+    name = dataset_spec(dataset).name
     silver = read_table(spark, root, SILVER, name, month)
     return publish_month(gold_frame(silver, name), root, GOLD, name, month)
 
@@ -100,39 +126,56 @@ def run_month(spark: SparkSession, source, dataset: str, month: str, root: str,
               keys: Sequence[str] | None = None, encoding: str = DEFAULT_ENCODING,
               sep: str = ";", threshold: int = DEFAULT_THRESHOLD,
               record_runs: bool = True) -> MonthResult:
-    """Bronze -> silver -> gold in one session, with a run record.
+    """Bronze -> silver -> gold in one session, with a record of the run and of each stage.
 
-    Any failure marks the run failed and re-raises.
+    Any failure marks its stage and the run failed and re-raises.
     """
-    name = normalize_dataset(dataset)
+    name = dataset_spec(dataset).name
     runs = RunLog(spark, root) if record_runs else None
-    run = runs.start(f"registry_{name}", str(source), month) if runs else None
+    run = runs.start(f"registry_{name}", name, str(source), month) if runs else None
     result = MonthResult(name, month)
+
+    def stage(which: str):
+        return runs.stage(run, which) if runs else nullcontext({})
+
+    def note(out: dict, written: WriteResult) -> None:
+        out["records"], out["output_path"] = written.rows, written.path
+
     try:
-        result.bronze, result.encoding = run_bronze(spark, source, name, month, root, encoding, sep)
+        with stage(BRONZE) as out:
+            result.bronze, result.encoding = run_bronze(spark, source, name, month, root, encoding, sep)
+            note(out, result.bronze)
         if runs and result.encoding.from_encoding != result.encoding.to_encoding:
             # Only switches feed the fallback metrics; skip a write otherwise.
             runs.record_encoding(result.encoding, month)
-        result.silver, result.quality = run_silver(spark, name, month, root, keys, threshold)
-        result.gold = run_gold(spark, name, month, root)
+        with stage(SILVER) as out:
+            result.silver, result.quality = run_silver(spark, name, month, root, keys, threshold)
+            note(out, result.silver)
+        with stage(GOLD) as out:
+            result.gold = run_gold(spark, name, month, root)
+            note(out, result.gold)
     except Exception:
         if runs:
-            runs.finish(run, "failed", processed=0, failed=1)
+            runs.finish(run, "failed", failed=1)
         raise
     if runs:
-        runs.finish(run, "completed", processed=result.gold.rows, failed=0,
-                    output_path=result.gold.path)
+        runs.finish(run, "completed", result.gold.rows, output_path=result.gold.path)
     return result
 
 
 def reingest_month(spark: SparkSession, source, dataset: str, month: str, root: str,
                    skip_cleanup: bool = False, skip_run: bool = False,
                    dry_run: bool = False, **kwargs) -> dict:
-    """K8: drop one dataset and month from every layer, then rebuild it."""
+    """K8: rebuild one dataset and month in every layer, or only drop it.
+
+    Each layer's month is replaced when its rebuild has succeeded, so a failing
+    rebuild loses nothing; without a rebuild the month is dropped.
+    """
     out: dict = {}
     if not skip_cleanup:
-        out["dropped"] = drop_month_all_layers(spark, root, normalize_dataset(dataset), month,
-                                               dry_run=dry_run)
+        rebuild = not skip_run and not dry_run
+        out["dropped"] = drop_month_all_layers(spark, root, dataset_spec(dataset).name, month,
+                                               dry_run=dry_run or rebuild)
     if not skip_run and not dry_run:
         out["result"] = run_month(spark, source, dataset, month, root, **kwargs)
     return out

@@ -4,12 +4,12 @@
 ``data_version``). All joins are LEFT joins on (key, data_version) from the
 fact side. The windows, the partner count and the company/branch join all
 partition on (cnpj_basico, data_version), so Spark reuses one hash
-partitioning for them; code lists are broadcast after a row-bound check.
+partitioning for them; code lists are plain lookups that start no job.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,18 +25,26 @@ HEAD_OFFICE = "1"
 Tables = Mapping[str, DataFrame]
 
 
-def preferred_branches(branches: DataFrame) -> DataFrame:
+BRANCH_ORDER = ["identificador_matriz_filial", "cnpj_ordem", "cnpj_dv"]
+
+
+def preferred_branches(branches: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per company and month, the head office first, then the lowest
-    cnpj_ordem, cnpj_dv (nulls last), then the whole row."""
-    return preferred_row(
-        branches, KEY,
+    cnpj_ordem, cnpj_dv (nulls last), then the wanted columns.
+
+    Only the key, the order columns and ``columns`` are read and sorted."""
+    wanted = list(dict.fromkeys([*KEY, *BRANCH_ORDER, *columns]))
+    first = preferred_row(
+        branches.select(*wanted), KEY,
         [flag_first("identificador_matriz_filial", HEAD_OFFICE), "cnpj_ordem", "cnpj_dv"],
     )
+    return first.select(*KEY, *columns)
 
 
-def preferred_companies(companies: DataFrame) -> DataFrame:
-    """One company row per key and month, first by razao_social."""
-    return preferred_row(companies, KEY, ["razao_social"])
+def preferred_companies(companies: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One company row per key and month, first by razao_social, then the wanted columns."""
+    wanted = list(dict.fromkeys([*KEY, "razao_social", *columns]))
+    return preferred_row(companies.select(*wanted), KEY, ["razao_social"]).select(*KEY, *columns)
 
 
 def partner_counts(partners: DataFrame) -> DataFrame:
@@ -52,7 +60,7 @@ def _code(fact: DataFrame, dim: DataFrame, code_col: str, out: str) -> DataFrame
 
 def companies_with_state(t: Tables) -> DataFrame:
     """V1: every company row (no W2) with its preferred branch's state and town."""
-    est = preferred_branches(t["estabelecimentos"]).select(*KEY, "uf", "municipio")
+    est = preferred_branches(t["estabelecimentos"], ["uf", "municipio"])
     emp = t["empresas"]
     out = attach(emp, est, KEY)
     return out.select(
@@ -64,12 +72,15 @@ def companies_with_state(t: Tables) -> DataFrame:
 
 def company_context(t: Tables) -> DataFrame:
     """V2: one row per company and month with branch, town and activity text."""
-    emp = preferred_companies(t["empresas"])
-    est = preferred_branches(t["estabelecimentos"]).select(
-        *KEY, "identificador_matriz_filial", "nome_fantasia", "situacao_cadastral",
+    emp = preferred_companies(t["empresas"], [
+        "razao_social", "natureza_juridica", "qualificacao_responsavel", "capital_social",
+        "porte_empresa", "ente_federativo_responsavel", "dataset_month",
+    ])
+    est = preferred_branches(t["estabelecimentos"], [
+        "identificador_matriz_filial", "nome_fantasia", "situacao_cadastral",
         "data_inicio_atividade", "uf", "municipio", "cnae_fiscal_principal", "ddd1",
         "telefone1", "correio_eletronico",
-    )
+    ])
     out = attach(emp, est, KEY)
     out = _code(out, t["municipios"], "municipio", "municipio_nome")
     out = _code(out, t["cnaes"], "cnae_fiscal_principal", "cnae_principal_descricao")
@@ -120,11 +131,13 @@ def partner_context(t: Tables) -> DataFrame:
 def consolidated(t: Tables) -> DataFrame:
     """V5: one row per company and month with its preferred branch, town and
     activity text and its partner count (0 when it has none)."""
-    emp = preferred_companies(t["empresas"])
-    est = preferred_branches(t["estabelecimentos"]).select(
-        *KEY, "cnpj_ordem", "cnpj_dv", "identificador_matriz_filial", "nome_fantasia",
+    emp = preferred_companies(t["empresas"], [
+        "razao_social", "natureza_juridica", "porte_empresa", "dataset_month",
+    ])
+    est = preferred_branches(t["estabelecimentos"], [
+        "cnpj_ordem", "cnpj_dv", "identificador_matriz_filial", "nome_fantasia",
         "situacao_cadastral", "uf", "municipio", "cnae_fiscal_principal",
-    )
+    ])
     out = attach(emp, est, KEY)
     out = attach(out, partner_counts(t["socios"]), KEY)
     out = _code(out, t["municipios"], "municipio", "municipio_nome")
@@ -139,12 +152,13 @@ def consolidated(t: Tables) -> DataFrame:
     )
 
 
+# The published view names.
 VIEWS = {
     "vw_empresas_com_uf": companies_with_state,
-    "vw_empresas_contexto": company_context,
-    "vw_estabelecimentos_contexto": branch_context,
-    "vw_socios_contexto": partner_context,
-    "vw_cnpj_consolidado": consolidated,
+    "vw_agente_empresas_contexto": company_context,
+    "vw_agente_estabelecimentos_contexto": branch_context,
+    "vw_agente_socios_contexto": partner_context,
+    "vw_agente_cnpj_consolidado": consolidated,
 }
 
 

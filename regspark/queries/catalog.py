@@ -43,6 +43,13 @@ def _preferred_customers(customer: DataFrame) -> DataFrame:
     return preferred_row(customer, ["c_custkey"], ["c_name"])
 
 
+def _with_newcomers(customer: DataFrame) -> DataFrame:
+    """All customers, and for every seventh one more company under a key that no
+    order has (no branch, no partner)."""
+    extra = customer.where(F.col("c_custkey") % 7 == 0).withColumn("c_custkey", -F.col("c_custkey"))
+    return customer.unionByName(extra)
+
+
 def _with_branch(companies: DataFrame, branches: DataFrame, cols: list[str]) -> DataFrame:
     """Company LEFT JOIN its preferred branch on the company key."""
     slim = branches.select(F.col("o_custkey").alias("c_custkey"), *cols)
@@ -90,11 +97,9 @@ def preferred_company(spark: SparkSession, d: str) -> DataFrame:
 
 @register
 def preferred_unmatched(spark: SparkSession, d: str) -> DataFrame:
-    orders = table(spark, d, "orders").where(
-        (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P")
-    )
-    pref = _preferred_orders(orders)
-    out = _with_branch(table(spark, d, "customer"), pref, ["o_orderkey", "o_orderdate"])
+    """J1 with companies that have no branch: every seventh has a twin under an unknown key."""
+    pref = _preferred_orders(table(spark, d, "orders"))
+    out = _with_branch(_with_newcomers(table(spark, d, "customer")), pref, ["o_orderkey", "o_orderdate"])
     return out.select("c_custkey", "c_name", "o_orderkey", _order_date())
 
 
@@ -153,14 +158,13 @@ def partner_context(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _partner_counts(spark: SparkSession, d: str) -> DataFrame:
-    """A6 on the test tables: qualifying lines per customer.
+    """A6 on the test tables: lines per customer.
 
     Lines are pre-aggregated per order (map-side partial aggregation) before
     the join to orders, so the join shuffles one row per order, not per line.
     """
     per_order = (
         table(spark, d, "lineitem")
-        .where((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 49))
         .groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
     )
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey")
@@ -173,7 +177,7 @@ def _partner_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @register
 def consolidated(spark: SparkSession, d: str) -> DataFrame:
-    companies = _preferred_customers(table(spark, d, "customer"))
+    companies = _preferred_customers(_with_newcomers(table(spark, d, "customer")))
     pref = _preferred_orders(table(spark, d, "orders"))
     out = _with_branch(
         companies, pref, ["o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus"]
@@ -310,6 +314,14 @@ def year_month_distinct(spark: SparkSession, d: str) -> DataFrame:
     return distinct_per_year_month(_orders_by_month(spark, d), "o_custkey")
 
 
+@register
+def year_filtered_distinct(spark: SparkSession, d: str) -> DataFrame:
+    """A9 + F2: the months of one year."""
+    from regspark.operators.rollups import distinct_per_year_month
+
+    return distinct_per_year_month(_orders_by_month(spark, d), "o_custkey", year="1996")
+
+
 @register
 def year_distinct(spark: SparkSession, d: str) -> DataFrame:
     from regspark.operators.rollups import distinct_per_year
@@ -325,11 +337,24 @@ def month_slice_top(spark: SparkSession, d: str) -> DataFrame:
     return out.select("o_orderkey", "o_custkey", "data_version", "o_totalprice")
 
 
+def _flawed_customers(spark: SparkSession, d: str) -> DataFrame:
+    """Customers with derived flaws, so that every rule fails somewhere: missing
+    and malformed names, unknown nations, an odd segment, repeated keys."""
+    k = F.col("c_custkey")
+    c = table(spark, d, "customer").withColumns({
+        "c_name": F.when(k % 41 == 0, F.lit(None)).when(k % 43 == 0, F.lit("  ")).when(k % 37 == 0, F.lower("c_name"))
+        .otherwise(F.col("c_name")),
+        "c_nationkey": F.when(k % 31 == 0, F.col("c_nationkey") + 100).otherwise(F.col("c_nationkey")),
+        "c_mktsegment": F.when(k % 29 == 0, F.lit("OTHER")).otherwise(F.col("c_mktsegment")),
+    })
+    return c.unionByName(c.where(k % 47 == 0))
+
+
 def _customer_rules(spark: SparkSession, d: str) -> tuple[DataFrame, dict]:
     """Q6 rules over customers: required, format, valid code, range, domain, unique."""
     from regspark.operators.quality import unique_key_rule
 
-    c = table(spark, d, "customer")
+    c = _flawed_customers(spark, d)
     c = lookup(c, table(spark, d, "nation"), {"c_nationkey": "n_nationkey"},
                {"n_nationkey": "__nation_found"})
     c = unique_key_rule(c, ["c_custkey"], "__unique")
@@ -381,12 +406,13 @@ def state_rollup(spark: SparkSession, d: str) -> DataFrame:
     from regspark.operators.rollups import state_rollup as rollup
 
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    # The scores come out of a shuffle (unique-key count): no size probe,
-    # Catalyst / AQE pick the join from sizes.
-    o = lookup(o, _customer_scores(spark, d), {"o_custkey": "c_custkey"},
-               {"c_nationkey": "nation_code", "rules_passed": "rules_passed"}, broadcast=False)
+    # exact decimals: the mean does not depend on the order of the sum
+    scores = _customer_scores(spark, d).select(
+        "c_custkey", "c_nationkey", F.col("quality_score").cast("decimal(9,6)").alias("quality_score")).distinct()
+    o = lookup(o, scores, {"o_custkey": "c_custkey"},
+               {"c_nationkey": "nation_code", "quality_score": "quality_score"})
     o = lookup(o, table(spark, d, "nation"), {"nation_code": "n_nationkey"}, {"n_name": "uf"})
-    return rollup(o, "uf", "o_custkey", "rules_passed")
+    return rollup(o, "uf", "o_custkey", "quality_score")
 
 
 @register
@@ -423,17 +449,15 @@ def null_rate(spark: SparkSession, d: str) -> DataFrame:
 def orphan_codes(spark: SparkSession, d: str) -> DataFrame:
     from regspark.operators.quality import orphans
 
-    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    c = table(spark, d, "customer").where(F.col("c_mktsegment") != "FURNITURE")
-    return orphans(o, c, {"o_custkey": "c_custkey"})
+    code = F.when(F.col("o_orderkey") % 5 == 0, -F.col("o_custkey")).otherwise(F.col("o_custkey"))
+    o = table(spark, d, "orders").select("o_orderkey", code.alias("o_custkey"))
+    return orphans(o, table(spark, d, "customer"), {"o_custkey": "c_custkey"})
 
 
 def _documents_with_bad_chars(spark: SparkSession, d: str) -> DataFrame:
     from regspark.functions.cleanse import REPLACEMENT_CHAR
 
-    from regspark.queries.tables import spread
-
-    return spread(table(spark, d, "documents")).select(
+    return table(spark, d, "documents").select(
         "doc_id", "lang",
         F.replace(F.col("text"), F.lit("é"), F.lit(REPLACEMENT_CHAR)).alias("text"),
         F.when(F.col("source") == "src7", F.lit("src" + REPLACEMENT_CHAR))
@@ -457,14 +481,20 @@ def bad_char_cells(spark: SparkSession, d: str) -> DataFrame:
 
 # --- Q2 / Q3 profiling --------------------------------------------------------------------------
 
+def _flawed_text() -> F.Column:
+    """Document texts with derived flaws: mojibake, control characters, U+FFFD."""
+    k = F.col("doc_id") % 7
+    return (F.when(k == 1, F.concat(F.lit("Ã©Â© "), "text")).when(k == 2, F.concat("text", F.lit("\x01\x02")))
+            .when(k == 3, F.concat(F.lit("\ufffd"), "text")).otherwise(F.col("text")))
+
+
 def _doc_encodings(spark: SparkSession, d: str) -> DataFrame:
     from regspark.operators.profile import best_encoding
 
-    from regspark.queries.tables import spread
-
-    docs = spread(table(spark, d, "documents")).select(
-        "doc_id", "source", F.encode(F.col("text"), "UTF-8").alias("raw")
-    )
+    raw = F.encode(_flawed_text(), "UTF-8")
+    # every seventh text ends in a byte that is no UTF-8
+    raw = F.when(F.col("doc_id") % 7 == 4, F.concat(raw, F.unhex(F.lit("E9")))).otherwise(raw)
+    docs = table(spark, d, "documents").select("doc_id", "source", raw.alias("raw"))
     return best_encoding(docs, "raw").drop("raw")
 
 
@@ -480,13 +510,37 @@ def encoding_vote(spark: SparkSession, d: str) -> DataFrame:
     return vote(_doc_encodings(spark, d), "source")
 
 
+@register
+def folder_encoding_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Q2 on files: documents written as text, one folder per language; every
+    candidate's summed score over the files of a folder."""
+    from regspark.operators.profile import TERMS, file_encodings
+    from regspark.session import scratch_path
+
+    base = scratch_path(spark, "encodings")
+    table(spark, d, "documents").select("lang", _flawed_text().alias("value")).write.partitionBy("lang").text(base)
+    files = file_encodings(spark.read.text(base))
+    folder = F.regexp_extract("file_path", "lang=([^/]*)/", 1)
+    return files.groupBy(folder.alias("folder"), "encoding").agg(*[F.sum(c).alias(c) for c in ("score", *TERMS)])
+
+
+@register
+def folder_layout_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Q3 on files: lines and field counts per folder of written text files."""
+    from regspark.operators.profile import file_profile, folder_profile
+    from regspark.session import scratch_path
+
+    base = scratch_path(spark, "profile")
+    table(spark, d, "documents").select("lang", F.col("text").alias("value")).write.partitionBy("lang").text(base)
+    out = folder_profile(file_profile(spark.read.text(base), delimiter=","))
+    return out.select(F.regexp_extract("folder", "lang=(.*)$", 1).alias("folder"), "n_lines", "min_fields", "max_fields")
+
+
 @register
 def field_profile(spark: SparkSession, d: str) -> DataFrame:
     from regspark.operators.profile import text_profile
 
-    from regspark.queries.tables import spread
-
-    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
+    docs = table(spark, d, "documents").select("doc_id", "text")
     return text_profile(docs, "text", delimiter=",").drop("text")
 
 
@@ -494,10 +548,12 @@ def field_profile(spark: SparkSession, d: str) -> DataFrame:
 
 @register
 def typed_to_text(spark: SparkSession, d: str) -> DataFrame:
-    from regspark.sinks.mart import mart_projection
+    """S7 + K3 + K4: the target's columns come from the catalog."""
+    from regspark.sinks.mart import mart_projection, target_columns
 
-    target = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_comment"]
-    return mart_projection(table(spark, d, "customer"), target)
+    target = "c_custkey string, c_name string, c_nationkey string, c_mktsegment string, c_comment string"
+    spark.createDataFrame([], target).createOrReplaceTempView("mart_customer")
+    return mart_projection(table(spark, d, "customer"), target_columns(spark, "mart_customer"))
 
 
 @register
@@ -535,9 +591,42 @@ def _runs(spark: SparkSession, d: str) -> DataFrame:
         F.col("ts").alias("finished_at"),
         F.col("value").cast("decimal(12,2)").alias("duration_seconds"),
         F.col("user_id").alias("records"),
+        F.when(F.col("event_type") == "error", F.col("event_id") % 11).otherwise(0).alias("records_failed"),
     )
 
 
+@register
+def runs_by_state(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.operators.runs import runs_by
+
+    return runs_by(_runs(spark, d), ["stage", "dataset", "status", "data_version"])
+
+
+@register
+def record_rates(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.operators.runs import record_rates as rates
+
+    return rates(_runs(spark, d), ["stage"])
+
+
+@register
+def recent_failed_runs(spark: SparkSession, d: str) -> DataFrame:
+    from regspark.operators.runs import recent_runs as recent
+
+    return recent(_runs(spark, d), 20, status="failed").select("run_id", "stage", "status", "finished_at")
+
+
+@register
+def recent_critical_alerts(spark: SparkSession, d: str) -> DataFrame:
+    """O2 + F5: the newest alerts of one severity; error events are alerts."""
+    from regspark.operators.runs import recent_alerts
+
+    alerts = table(spark, d, "events").where(F.col("event_type") == "error").select(
+        F.col("event_id").alias("record_line"), F.col("ts").alias("created_at"),
+        F.when(F.col("value") >= 100, "CRITICAL").otherwise("WARNING").alias("severity"))
+    return recent_alerts(alerts, 20, severity="CRITICAL")
+
+
 @register
 def runs_by_stage(spark: SparkSession, d: str) -> DataFrame:
     from regspark.operators.runs import runs_by

@@ -17,9 +17,13 @@ _PREF_ORDERS = """
 _PARTNER_COUNTS = """
   SELECT o.o_custkey AS c_custkey, CAST(COUNT(*) AS BIGINT) AS partner_count
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-  WHERE l.l_returnflag = 'R' AND l.l_quantity >= 49
   GROUP BY o.o_custkey"""
 
+_NEWCOMERS = """
+  SELECT * FROM customer
+  UNION ALL
+  SELECT * REPLACE (-c_custkey AS c_custkey) FROM customer WHERE c_custkey % 7 = 0"""
+
 SQL: dict[str, str] = {}
 
 SQL["preferred_order"] = f"""
@@ -44,13 +48,10 @@ SELECT c_nationkey, c_mktsegment, c_custkey, c_name FROM (
   FROM customer) WHERE rn = 1
 """
 
-SQL["preferred_unmatched"] = """
+SQL["preferred_unmatched"] = f"""
 SELECT c.c_custkey, c.c_name, p.o_orderkey, CAST(p.o_orderdate AS DATE) AS o_orderdate
-FROM customer c
-LEFT JOIN (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn
-  FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'
-) p ON p.o_custkey = c.c_custkey AND p.rn = 1
+FROM ({_NEWCOMERS}) c
+LEFT JOIN ({_PREF_ORDERS}) p ON p.o_custkey = c.c_custkey AND p.rn = 1
 """
 
 SQL["company_context"] = f"""
@@ -91,7 +92,7 @@ SQL["consolidated"] = f"""
 WITH comp AS (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY c_custkey
       ORDER BY c_name, c_nationkey, c_acctbal, c_mktsegment) AS rn
-  FROM customer),
+  FROM ({_NEWCOMERS})),
 pc AS ({_PARTNER_COUNTS})
 SELECT c.c_custkey, c.c_name, c.c_mktsegment, p.o_orderkey,
        CAST(p.o_orderdate AS DATE) AS o_orderdate, p.o_orderpriority, p.o_orderstatus,
@@ -181,6 +182,10 @@ SELECT left({_OM}, 4) AS year, {_OM} AS data_version,
        COUNT(DISTINCT o_custkey) AS distinct_companies
 FROM orders GROUP BY 1, 2
 """
+SQL["year_filtered_distinct"] = f"""
+SELECT '1996' AS year, {_OM} AS data_version, COUNT(DISTINCT o_custkey) AS distinct_companies
+FROM orders WHERE year(o_orderdate) = 1996 GROUP BY 2
+"""
 SQL["year_distinct"] = f"""
 SELECT left({_OM}, 4) AS year, COUNT(DISTINCT o_custkey) AS distinct_companies
 FROM orders GROUP BY 1
@@ -203,9 +208,16 @@ _RULE_FIELDS = {
     "valid_nation": ("c_nationkey", "ERROR"), "balance_range": ("c_acctbal", "WARNING"),
     "segment_domain": ("c_mktsegment", "WARNING"), "unique_key": ("c_custkey", "CRITICAL"),
 }
-_CUST_CHECKED = """
+_FLAWED = """
+  SELECT c.* REPLACE (
+           CASE WHEN c_custkey % 41 = 0 THEN NULL WHEN c_custkey % 43 = 0 THEN '  '
+                WHEN c_custkey % 37 = 0 THEN lower(c_name) ELSE c_name END AS c_name,
+           CASE WHEN c_custkey % 31 = 0 THEN c_nationkey + 100 ELSE c_nationkey END AS c_nationkey,
+           CASE WHEN c_custkey % 29 = 0 THEN 'OTHER' ELSE c_mktsegment END AS c_mktsegment)
+  FROM customer c, range(CASE WHEN c.c_custkey % 47 = 0 THEN 2 ELSE 1 END)"""
+_CUST_CHECKED = f"""
   SELECT c.*, n.n_nationkey AS nf, COUNT(*) OVER (PARTITION BY c.c_custkey) AS kn
-  FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey"""
+  FROM ({_FLAWED}) c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey"""
 _PASSED = " + ".join(f"CAST(COALESCE({e}, false) AS INTEGER)" for e in _RULES.values())
 _SCORES = f"""
   SELECT c_custkey, c_nationkey, {_PASSED} AS rules_passed, 6 AS rules_total
@@ -227,11 +239,13 @@ SQL["quality_alerts"] = "WITH c AS (" + _CUST_CHECKED + ")\n" + "\nUNION ALL\n".
 )
 
 SQL["state_rollup"] = f"""
-WITH s AS ({_SCORES}),
-o AS (SELECT o.o_orderkey, o.o_custkey, s.c_nationkey AS nation_code, s.rules_passed
+WITH s AS (SELECT DISTINCT c_custkey, c_nationkey,
+                  CAST(CAST(rules_passed AS DOUBLE) * 100.0::DOUBLE / 6.0::DOUBLE AS DECIMAL(9, 6)) AS q
+           FROM ({_SCORES})),
+o AS (SELECT o.o_orderkey, o.o_custkey, s.c_nationkey AS nation_code, s.q
       FROM orders o LEFT JOIN s ON s.c_custkey = o.o_custkey)
 SELECT n.n_name AS uf, COUNT(*) AS n_rows, COUNT(DISTINCT o.o_custkey) AS n_companies,
-       CAST(SUM(o.rules_passed) AS DOUBLE) / CAST(COUNT(o.rules_passed) AS DOUBLE) AS mean_quality
+       CAST(SUM(o.q) AS DOUBLE) / CAST(COUNT(o.q) AS DOUBLE) AS mean_quality
 FROM o LEFT JOIN nation n ON n.n_nationkey = o.nation_code
 GROUP BY n.n_name
 """
@@ -264,9 +278,9 @@ FROM k
 """
 
 SQL["orphan_codes"] = """
-SELECT o_orderkey, o_custkey FROM orders o
-WHERE NOT EXISTS (SELECT 1 FROM customer c
-                  WHERE c.c_mktsegment <> 'FURNITURE' AND c.c_custkey = o.o_custkey)
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN -o_custkey ELSE o_custkey END AS o_custkey FROM orders)
+SELECT o_orderkey, o_custkey FROM o
+WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey)
 """
 
 SQL["bad_char_cells"] = """
@@ -300,27 +314,58 @@ def _n(pattern: str) -> str:
 
 
 _ACCENTED = "áàâãäéèêëíìîïóòôõöúùûüçÁÀÂÃÄÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇ"
-_ENC_BEST = f"""
-  WITH c AS (
-    SELECT doc_id, source, 0 AS pos, 'latin1' AS encoding, {_LATIN1_VIEW} AS t FROM documents
-    UNION ALL SELECT doc_id, source, 1, 'utf-8', text FROM documents
-    UNION ALL SELECT doc_id, source, 2, 'utf-8-sig', regexp_replace(text, '^' || chr(65279), '')
-    FROM documents),
+# windows-1252 reading of the same bytes: other characters for 0x80 to 0x9F.
+_CP1252 = "translate(t, '" + "".join(map(chr, range(128, 160))) + "', '€\ufffd‚ƒ„…†‡ˆ‰Š‹Œ\ufffdŽ\ufffd\ufffd‘’“”•–—˜™š›œ\ufffdžŸ')"
+_FLAWED_TEXT = """CASE doc_id % 7 WHEN 1 THEN 'Ã©Â© ' || text WHEN 2 THEN text || chr(1) || chr(2)
+    WHEN 3 THEN chr(65533) || text ELSE text END"""
+
+
+def _scored(extra_byte: bool) -> str:
+    """Every candidate's terms for every document."""
+    latin1_tail, utf8_tail = ("CASE WHEN doc_id % 7 = 4 THEN 'é' ELSE '' END", "CASE WHEN doc_id % 7 = 4 THEN chr(65533) ELSE '' END") \
+        if extra_byte else ("''", "''")
+    return f"""
+  d AS (SELECT doc_id, source, lang, {_FLAWED_TEXT} AS text FROM documents),
+  l AS (SELECT doc_id, source, lang, {_LATIN1_VIEW} || {latin1_tail} AS t, text || {utf8_tail} AS u FROM d),
+  c AS (
+    SELECT doc_id, source, lang, 0 AS pos, 'latin1' AS encoding, t FROM l
+    UNION ALL SELECT doc_id, source, lang, 1, 'cp1252', {_CP1252} FROM l
+    UNION ALL SELECT doc_id, source, lang, 2, 'utf-8', u FROM l
+    UNION ALL SELECT doc_id, source, lang, 3, 'utf-8-sig', u FROM l),
   m AS (
-    SELECT doc_id, source, pos, encoding,
+    SELECT doc_id, source, lang, pos, encoding,
            {_n("chr(65533)")} AS decode_errors,
            {_n("'Ã[^\\n]'")} + {_n("'Â[^\\n]'")} + {_n("chr(65533)")} AS mojibake_hits,
            {_n("'[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]'")} AS control_chars,
            {_n("'[" + _ACCENTED + "]'")} AS accented_chars
     FROM c),
   s AS (SELECT *, decode_errors * 100 + mojibake_hits * 10 + control_chars * 5 - accented_chars AS score
-        FROM m)
+        FROM m)"""
+
+
+_ENC_BEST = f"""
+  WITH {_scored(True)}
   SELECT doc_id, source, encoding, CAST(score AS BIGINT) AS score,
          CAST(decode_errors AS BIGINT) AS decode_errors, CAST(mojibake_hits AS BIGINT) AS mojibake_hits,
          CAST(control_chars AS BIGINT) AS control_chars, CAST(accented_chars AS BIGINT) AS accented_chars
   FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY doc_id ORDER BY score, pos) AS rn FROM s)
   WHERE rn = 1"""
 
+SQL["folder_encoding_scores"] = f"""
+WITH {_scored(False)}
+SELECT lang AS folder, encoding, CAST(SUM(score) AS BIGINT) AS score,
+       CAST(SUM(decode_errors) AS BIGINT) AS decode_errors, CAST(SUM(mojibake_hits) AS BIGINT) AS mojibake_hits,
+       CAST(SUM(control_chars) AS BIGINT) AS control_chars, CAST(SUM(accented_chars) AS BIGINT) AS accented_chars
+FROM s GROUP BY lang, encoding
+"""
+
+SQL["folder_layout_profile"] = """
+SELECT lang AS folder, COUNT(*) AS n_lines, CAST(MIN(n) AS INTEGER) AS min_fields, CAST(MAX(n) AS INTEGER) AS max_fields
+FROM (SELECT lang, len(string_split(l, ',')) AS n
+      FROM (SELECT lang, unnest(string_split(regexp_replace(text, '\n$', ''), chr(10))) AS l FROM documents))
+GROUP BY lang
+"""
+
 SQL["encoding_score"] = _ENC_BEST
 
 SQL["encoding_vote"] = f"""
@@ -365,6 +410,36 @@ SELECT event_type AS stage, 'events' AS dataset, COUNT(*) AS runs,
 FROM events GROUP BY event_type
 """
 
+SQL["runs_by_state"] = f"""
+SELECT event_type AS stage, 'events' AS dataset, {_STATUS} AS status, strftime(ts, '%Y-%m') AS data_version,
+       COUNT(*) AS runs, CAST(SUM(user_id) AS BIGINT) AS records,
+       CAST(SUM(CAST(value AS DECIMAL(12, 2))) AS DOUBLE) / CAST(COUNT(value) AS DOUBLE) AS mean_duration,
+       MAX(CAST(value AS DECIMAL(12, 2))) AS max_duration
+FROM events GROUP BY ALL
+"""
+
+SQL["record_rates"] = """
+WITH e AS (SELECT event_type AS stage, CAST(SUM(user_id) AS BIGINT) AS processed,
+                  CAST(SUM(CASE WHEN event_type = 'error' THEN event_id % 11 ELSE 0 END) AS BIGINT) AS failed
+           FROM events GROUP BY event_type)
+SELECT stage, processed, failed,
+       CASE WHEN processed + failed = 0 THEN 0::DOUBLE
+            ELSE processed::DOUBLE * 100::DOUBLE / (processed + failed)::DOUBLE END AS record_success_rate,
+       CASE WHEN processed + failed = 0 THEN 0::DOUBLE
+            ELSE failed::DOUBLE * 100::DOUBLE / (processed + failed)::DOUBLE END AS record_error_rate
+FROM e
+"""
+
+SQL["recent_failed_runs"] = """
+SELECT event_id AS run_id, event_type AS stage, 'failed' AS status, ts AS finished_at
+FROM events WHERE event_type = 'error' ORDER BY ts DESC NULLS LAST, event_id DESC LIMIT 20
+"""
+
+SQL["recent_critical_alerts"] = """
+SELECT event_id AS record_line, ts AS created_at, 'CRITICAL' AS severity
+FROM events WHERE event_type = 'error' AND value >= 100 ORDER BY ts DESC NULLS LAST, event_id DESC LIMIT 20
+"""
+
 SQL["run_rates"] = """
 SELECT COUNT(*) AS total_runs,
        COUNT(*) FILTER (WHERE event_type <> 'error') AS successes,
@@ -418,13 +493,17 @@ FROM runs r LEFT JOIN a ON a.run_id = r.run_id
 
 _M = "'2026-03'"
 _V = "CAST(NULL AS VARCHAR)"
+_MONTHS = "(VALUES ('2026-03'), ('2026-04')) mon(m)"
+_SECOND = "mon.m = '2026-03' OR"
 _REG = f"""
+kinds AS (SELECT * FROM (VALUES ('own', 1), ('new', 10), ('twin', 15)) k(kind, every)),
 empresas AS (
-  SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS cnpj_basico, c_name AS razao_social,
+  SELECT CASE WHEN kind = 'new' THEN 'N' ELSE '' END || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS cnpj_basico,
+         CASE WHEN kind = 'twin' THEN 'A ' ELSE '' END || c_name AS razao_social,
          CAST(c_nationkey AS VARCHAR) AS natureza_juridica, c_mktsegment AS qualificacao_responsavel,
          CAST(c_acctbal AS DECIMAL(18, 2)) AS capital_social, '01' AS porte_empresa,
-         {_V} AS ente_federativo_responsavel, {_M} AS dataset_month, {_M} AS data_version
-  FROM customer),
+         {_V} AS ente_federativo_responsavel, mon.m AS dataset_month, mon.m AS data_version
+  FROM customer JOIN kinds ON c_custkey % every = 0 CROSS JOIN {_MONTHS} WHERE {_SECOND} c_custkey % 3 <> 0),
 est AS (
   SELECT lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS cnpj_basico,
          lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS cnpj_ordem,
@@ -434,15 +513,16 @@ est AS (
          CAST(o_orderdate AS DATE) AS data_situacao_cadastral,
          CAST(o_orderkey % 7 AS VARCHAR) AS motivo_situacao_cadastral,
          CAST(o_orderdate AS DATE) AS data_inicio_atividade,
-         CAST(o_custkey % 5 AS VARCHAR) AS cnae_fiscal_principal,
-         substr(o_orderstatus, 1, 1) AS uf, CAST(o_custkey % 25 AS VARCHAR) AS municipio,
+         CAST(o_custkey % 7 AS VARCHAR) AS cnae_fiscal_principal,
+         substr(o_orderstatus, 1, 1) AS uf, CAST(o_custkey % 29 AS VARCHAR) AS municipio,
          '11' AS ddd1, CAST(o_orderkey AS VARCHAR) AS telefone1,
          CASE WHEN o_orderkey % 13 = 0 THEN '0000-000'
+              WHEN o_orderkey % 13 = 1 THEN lpad(CAST(o_custkey AS VARCHAR), 5, '0') || '-001'
               ELSE lpad(CAST(o_custkey AS VARCHAR), 8, '0') END AS cep,
          {_V} AS tipo_logradouro, {_V} AS logradouro, {_V} AS numero, {_V} AS complemento,
          {_V} AS bairro, {_V} AS ddd2, {_V} AS telefone2, {_V} AS correio_eletronico,
-         {_M} AS dataset_month, {_M} AS data_version
-  FROM orders),
+         mon.m AS dataset_month, mon.m AS data_version
+  FROM orders CROSS JOIN {_MONTHS} WHERE {_SECOND} o_orderkey % 4 <> 0),
 soc AS (
   SELECT lpad(CAST(o.o_custkey AS VARCHAR), 8, '0') AS cnpj_basico,
          CAST(l.l_linenumber AS VARCHAR) AS identificador_socio,
@@ -454,13 +534,16 @@ soc AS (
          {_V} AS representante_legal, {_V} AS nome_representante,
          {_V} AS qualificacao_representante_legal,
          CAST(CAST(l.l_quantity AS INTEGER) AS VARCHAR) AS faixa_etaria,
-         {_M} AS dataset_month, {_M} AS data_version
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
-municipios AS (SELECT CAST(n_nationkey AS VARCHAR) AS codigo, n_name AS descricao, {_M} AS data_version FROM nation),
-paises AS (SELECT CAST(n_nationkey AS VARCHAR) AS codigo, 'PAIS ' || n_name AS descricao, {_M} AS data_version FROM nation),
-qualificacoes AS (SELECT CAST(n_nationkey AS VARCHAR) AS codigo, 'QUALIF ' || n_name AS descricao, {_M} AS data_version FROM nation),
-cnaes AS (SELECT CAST(r_regionkey AS VARCHAR) AS codigo, r_name AS descricao, {_M} AS data_version FROM region),
-motivos AS (SELECT CAST(r_regionkey AS VARCHAR) AS codigo, 'MOTIVO ' || r_name AS descricao, {_M} AS data_version FROM region),
+         mon.m AS dataset_month, mon.m AS data_version
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  CROSS JOIN {_MONTHS} WHERE {_SECOND} l.l_linenumber <= 2),
+nations AS (SELECT *, mon.m AS data_version FROM nation CROSS JOIN {_MONTHS} WHERE {_SECOND} n_nationkey < 20),
+regions AS (SELECT *, mon.m AS data_version FROM region CROSS JOIN {_MONTHS} WHERE {_SECOND} r_regionkey < 20),
+municipios AS (SELECT CAST(n_nationkey AS VARCHAR) AS codigo, n_name AS descricao, data_version FROM nations),
+paises AS (SELECT CAST(n_nationkey AS VARCHAR) AS codigo, 'PAIS ' || n_name AS descricao, data_version FROM nations),
+qualificacoes AS (SELECT CAST(n_nationkey AS VARCHAR) AS codigo, 'QUALIF ' || n_name AS descricao, data_version FROM nations),
+cnaes AS (SELECT CAST(r_regionkey AS VARCHAR) AS codigo, r_name AS descricao, data_version FROM regions),
+motivos AS (SELECT CAST(r_regionkey AS VARCHAR) AS codigo, 'MOTIVO ' || r_name AS descricao, data_version FROM regions),
 pref_est AS (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY cnpj_basico, data_version
       ORDER BY CASE WHEN identificador_matriz_filial = '1' THEN 0 ELSE 1 END, cnpj_ordem, cnpj_dv) AS rn
@@ -570,7 +653,7 @@ chk AS (
 r AS (
   SELECT cnpj_basico, cnpj_ordem, cnpj_dv, data_version,
          CAST(COALESCE(cnpj_basico IS NOT NULL AND cnpj_ordem IS NOT NULL AND cnpj_dv IS NOT NULL, false) AS INTEGER)
-       + CAST(COALESCE(regexp_full_match(cep, '[0-9]{{8}}'), false) AS INTEGER)
+       + CAST(COALESCE(regexp_full_match(cep, '[0-9]{{5}}-?[0-9]{{3}}'), false) AS INTEGER)
        + CAST(COALESCE(data_inicio_atividade IS NOT NULL, false) AS INTEGER)
        + CAST(COALESCE(tf IS NOT NULL, false) AS INTEGER)
        + CAST(COALESCE(identificador_matriz_filial IN ('1', '2'), false) AS INTEGER)
@@ -632,4 +715,49 @@ SQL["alert_counts"] = f"""
 SELECT alert_type, severity, COUNT(*) AS alerts FROM ({SQL["quality_alerts"]}) GROUP BY 1, 2
 """
 
-SQL["published_state_view"] = SQL["registry_companies_with_state"]
+SQL["published_state_view"] = SQL["registry_companies_with_state"] + f"WHERE e.data_version = {_M}"
+
+SQL["mart_replace_drop"] = """
+SELECT '2026-03' AS data_version, lpad(CAST(o_custkey % 29 AS VARCHAR), 4, '0') AS municipio, COUNT(*) AS n_rows,
+       CAST((SELECT COUNT(*) FROM orders WHERE o_orderstatus = 'F') AS INTEGER) AS rows_written,
+       CAST((SELECT COUNT(*) FROM orders WHERE o_orderkey % 4 <> 0) AS INTEGER) AS rows_dropped
+FROM orders WHERE o_orderstatus = 'F' GROUP BY 2
+"""
+
+_UNEVEN = """
+  SELECT c_custkey, c_name, c_nationkey, CASE c_custkey % 3 WHEN 0 THEN 3 WHEN 1 THEN 7 ELSE 9 END AS w FROM customer"""
+
+SQL["layout_audit"] = f"""
+SELECT mode, CAST(c_custkey AS VARCHAR) AS cnpj_basico, c_name AS razao_social,
+       CASE WHEN w > 3 THEN '01' END AS porte_empresa, CASE WHEN w > 3 THEN 'a;b' END AS ente_federativo_responsavel,
+       CAST(w AS INTEGER) AS _column_count, 7 AS _layout_expected, CASE WHEN w = 7 THEN 'ok' ELSE 'mismatch' END AS _layout_status
+FROM ({_UNEVEN}), (VALUES ('batch'), ('stream')) v(mode)
+"""
+
+SQL["generic_columns"] = f"""
+SELECT CAST(c_custkey AS VARCHAR) AS col_1, c_name AS col_2, CAST(c_nationkey AS VARCHAR) AS col_3,
+       CASE WHEN w > 3 THEN '49' END AS col_4, CASE WHEN w > 3 THEN '10,00' END AS col_5, CASE WHEN w > 3 THEN '01' END AS col_6,
+       CASE WHEN w > 3 THEN 'a;b' END AS col_7, CASE WHEN w = 9 THEN 'x' END AS col_8, CASE WHEN w = 9 THEN 'y' END AS col_9,
+       CAST(w AS INTEGER) AS _column_count
+FROM ({_UNEVEN})
+"""
+
+SQL["source_selection"] = f"""
+SELECT CAST(n_nationkey AS VARCHAR) AS codigo, 'A' || n_name AS descricao, 'paises' AS file_type,
+       {_M} AS dataset_month, {_M} AS data_version, true AS has_source, true AS has_time
+FROM nation
+"""
+
+SQL["encoding_switch"] = """
+SELECT 'paises' AS dataset, 'utf-8' AS from_encoding, 'latin1' AS to_encoding, 1::BIGINT AS switches,
+       COUNT(*) FILTER (WHERE n_nationkey % 2 = 0) + COUNT(*) FILTER (WHERE n_nationkey % 4 = 0) AS recovered_cells
+FROM nation
+"""
+
+SQL["runlog_stages"] = f"""
+WITH n AS (SELECT COUNT(*) AS n FROM customer)
+SELECT stage, 'empresas' AS dataset, 'completed' AS status, {_M} AS data_version, 1::BIGINT AS runs,
+       n * times AS records, n * times AS processed, 0::BIGINT AS failed, 100::DOUBLE AS record_success_rate,
+       0::DOUBLE AS record_error_rate, 4::BIGINT AS total_runs, 100::DOUBLE AS success_rate
+FROM n, (VALUES ('bronze', 2), ('silver', 1), ('gold', 1), ('run', 1)) v(stage, times)
+"""

@@ -19,37 +19,45 @@ from regspark.plans import views
 from regspark.queries.catalog import register
 from regspark.queries.tables import table
 
-# Month stamped on the derived registry tables.
-REGISTRY_MONTH = "2026-03"
+# Months of the derived registry tables; single-month jobs use the first.
+MONTHS = ("2026-03", "2026-04")
+REGISTRY_MONTH = MONTHS[0]
 
 
 def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-def _shape(df: DataFrame, dataset: str, values: dict[str, str]) -> DataFrame:
-    """Project to the dataset layout (missing columns NULL) plus month columns.
+def _shape(df: DataFrame, dataset: str, values: dict[str, str], in_second_month: str) -> DataFrame:
+    """Project to the dataset layout (missing columns NULL) for both months.
 
-    ``values`` holds SQL expressions; the whole projection is one selectExpr.
+    ``values`` holds SQL expressions; the second month has the rows that
+    ``in_second_month`` keeps. The whole projection is one selectExpr.
     """
     cols = [f"{values.get(c, 'CAST(NULL AS STRING)')} AS {c}" for c in LAYOUTS[dataset]]
-    month = f"'{REGISTRY_MONTH}'"
-    return df.selectExpr(*cols, f"{month} AS dataset_month", f"{month} AS data_version")
+    both = df.withColumn("__month", F.explode(F.array(*[F.lit(m) for m in MONTHS])))
+    both = both.where(f"__month = '{MONTHS[0]}' OR ({in_second_month})")
+    return both.selectExpr(*cols, "__month AS dataset_month", "__month AS data_version")
 
 
 def registry_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Two months: repeated companies (W2), companies without branch or partner,
+    codes that no list of the month has."""
     customer = table(spark, d, "customer")
     orders = table(spark, d, "orders")
     nation = table(spark, d, "nation")
     region = table(spark, d, "region")
-    empresas = _shape(customer, "empresas", {
-        "cnpj_basico": "lpad(CAST(c_custkey AS STRING), 8, '0')",
-        "razao_social": "c_name",
+    company = "lpad(CAST(c_custkey AS STRING), 8, '0')"
+    people = customer.withColumn("kind", F.explode(F.expr(
+        "filter(array('own', if(c_custkey % 10 = 0, 'new', NULL), if(c_custkey % 15 = 0, 'twin', NULL)), x -> x IS NOT NULL)")))
+    empresas = _shape(people, "empresas", {
+        "cnpj_basico": f"if(kind = 'new', concat('N', {company}), {company})",
+        "razao_social": "if(kind = 'twin', concat('A ', c_name), c_name)",
         "natureza_juridica": "CAST(c_nationkey AS STRING)",
         "qualificacao_responsavel": "c_mktsegment",
         "capital_social": "CAST(c_acctbal AS DECIMAL(18, 2))",
         "porte_empresa": "'01'",
-    })
+    }, "c_custkey % 3 <> 0")
     estabelecimentos = _shape(orders, "estabelecimentos", {
         "cnpj_basico": "lpad(CAST(o_custkey AS STRING), 8, '0')",
         "cnpj_ordem": "lpad(CAST(o_orderkey AS STRING), 8, '0')",
@@ -60,14 +68,15 @@ def registry_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         "data_situacao_cadastral": "CAST(o_orderdate AS DATE)",
         "motivo_situacao_cadastral": "CAST(o_orderkey % 7 AS STRING)",
         "data_inicio_atividade": "CAST(o_orderdate AS DATE)",
-        "cnae_fiscal_principal": "CAST(o_custkey % 5 AS STRING)",
+        "cnae_fiscal_principal": "CAST(o_custkey % 7 AS STRING)",
         "uf": "substring(o_orderstatus, 1, 1)",
-        "municipio": "CAST(o_custkey % 25 AS STRING)",
+        "municipio": "CAST(o_custkey % 29 AS STRING)",
         "ddd1": "'11'",
         "telefone1": "CAST(o_orderkey AS STRING)",
         "cep": "CASE WHEN o_orderkey % 13 = 0 THEN '0000-000' "
+               "WHEN o_orderkey % 13 = 1 THEN concat(lpad(CAST(o_custkey AS STRING), 5, '0'), '-001') "
                "ELSE lpad(CAST(o_custkey AS STRING), 8, '0') END",
-    })
+    }, "o_orderkey % 4 <> 0")
     lines = table(spark, d, "lineitem").join(
         orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")
     )
@@ -80,10 +89,10 @@ def registry_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         "data_entrada_sociedade": "CAST(l_shipdate AS DATE)",
         "pais": "CAST(l_suppkey % 30 AS STRING)",
         "faixa_etaria": "CAST(CAST(l_quantity AS INT) AS STRING)",
-    })
+    }, "l_linenumber <= 2")
 
     def code(df: DataFrame, key: str, desc: str) -> DataFrame:
-        return _shape(df, "cnaes", {"codigo": f"CAST({key} AS STRING)", "descricao": desc})
+        return _shape(df, "cnaes", {"codigo": f"CAST({key} AS STRING)", "descricao": desc}, f"{key} < 20")
 
     return {
         "empresas": empresas,
@@ -180,19 +189,29 @@ def partner_lines(spark: SparkSession, d: str) -> DataFrame:
     ).alias("value"))
 
 
-def ingest_derived(spark: SparkSession, lines: DataFrame, dataset: str, file_name: str) -> DataFrame:
+def write_landing(spark: SparkSession, lines: DataFrame, dataset: str, file_name: str) -> str:
     """Write ``lines`` as extract files (Latin-1 is a superset of this ASCII
-    text) under the scratch folder, run bronze -> silver -> gold, return gold."""
-    from regspark.plans.layers import run_month
+    text) under the scratch folder; returns the folder."""
     from regspark.session import scratch_path
-    from regspark.sinks.lake import read_table
 
     base = scratch_path(spark, f"ingest-{dataset}")
     lines.write.mode("overwrite").text(f"{base}/landing/{file_name}")
+    return base
+
+
+def ingest_landing(spark: SparkSession, base: str, dataset: str, file_name: str) -> DataFrame:
+    """Run bronze -> silver -> gold over the written files, return gold."""
+    from regspark.plans.layers import run_month
+    from regspark.sinks.lake import read_table
+
     run_month(spark, f"{base}/landing/{file_name}/part-*", dataset, REGISTRY_MONTH, f"{base}/lake")
     return read_table(spark, f"{base}/lake", "gold", dataset)
 
 
+def ingest_derived(spark: SparkSession, lines: DataFrame, dataset: str, file_name: str) -> DataFrame:
+    return ingest_landing(spark, write_landing(spark, lines, dataset, file_name), dataset, file_name)
+
+
 @register
 def text_ingest_companies(spark: SparkSession, d: str) -> DataFrame:
     return ingest_derived(spark, company_lines(spark, d), "empresas", "Empresas")
@@ -264,7 +283,7 @@ def text_ingest_branches(spark: SparkSession, d: str) -> DataFrame:
 
 @register
 def published_state_view(spark: SparkSession, d: str) -> DataFrame:
-    """V1 materialized for the month into the mart layer (partitioned by
+    """V1 of the first month materialized into the mart layer (partitioned by
     state) and read back whole."""
     from regspark.session import scratch_path
     from regspark.sinks.lake import read_table
@@ -277,3 +296,120 @@ def published_state_view(spark: SparkSession, d: str) -> DataFrame:
         "capital_social", "porte_empresa", "ente_federativo_responsavel",
         F.col("uf").cast("string").alias("uf"), "municipio", "dataset_month", "data_version",
     )
+
+
+# --- replace, drop and empty on a state-partitioned mart ------------------------------
+
+@register
+def mart_replace_drop(spark: SparkSession, d: str) -> DataFrame:
+    """K1/K2/K6 on a table with a second partition level: both months are
+    published by town, the first is replaced by its state F, the second dropped
+    and a third left empty; town codes keep their leading zeros."""
+    from regspark.session import scratch_path
+    from regspark.sinks.lake import drop_month, publish_month, read_table
+
+    root = scratch_path(spark, "mart")
+    branches = registry_tables(spark, d)["estabelecimentos"].select(
+        "cnpj_basico", "cnpj_ordem", "uf", F.lpad("municipio", 4, "0").alias("municipio"), "data_version")
+    for month in MONTHS:
+        rows = branches.where(F.col("data_version") == month)
+        publish_month(rows, root, "mart", "branches", month, cluster_by="municipio")
+    kept = branches.where((F.col("data_version") == MONTHS[0]) & (F.col("uf") == "F"))
+    written = publish_month(kept, root, "mart", "branches", MONTHS[0], cluster_by="municipio").rows
+    publish_month(kept.where("false"), root, "mart", "branches", "2026-05", cluster_by="municipio")
+    dropped = drop_month(spark, root, "mart", "branches", MONTHS[1])
+    return read_table(spark, root, "mart", "branches").groupBy("data_version", "municipio").agg(
+        F.count(F.lit(1)).alias("n_rows")).select("*", F.lit(written).alias("rows_written"), F.lit(dropped).alias("rows_dropped"))
+
+
+# --- bronze audits over files that Spark writes ----------------------------------------
+
+def _uneven_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Company lines of 3, 7 and 9 fields."""
+    k = F.col("c_custkey")
+    short = F.concat_ws(";", _s(k), F.col("c_name"), _s(F.col("c_nationkey")))
+    full = F.concat_ws(";", short, F.lit("49"), F.lit("10,00"), F.lit("01"), F.lit('"a;b"'))
+    return table(spark, d, "customer").select(
+        F.when(k % 3 == 0, short).when(k % 3 == 1, full).otherwise(F.concat(full, F.lit(";x;y"))).alias("value"))
+
+
+@register
+def layout_audit(spark: SparkSession, d: str) -> DataFrame:
+    """Every row judged by its own width, in a batch and in a stream."""
+    from regspark.session import scratch_path
+    from regspark.sources.text import read_bronze
+    from regspark.streaming.archive import ingest_available
+
+    base = scratch_path(spark, "audit")
+    _uneven_lines(spark, d).write.text(f"{base}/landing")
+    batch, _ = read_bronze(spark, f"{base}/landing/part-*", "empresas", REGISTRY_MONTH)
+    ingest_available(spark, f"{base}/landing", "empresas", REGISTRY_MONTH, f"{base}/bronze", f"{base}/checkpoint")
+    cols = ["cnpj_basico", "razao_social", "porte_empresa", "ente_federativo_responsavel", "_column_count",
+            "_layout_expected", "_layout_status"]
+    stream = spark.read.parquet(f"{base}/bronze")
+    return batch.select(F.lit("batch").alias("mode"), *cols).union(stream.select(F.lit("stream").alias("mode"), *cols))
+
+
+@register
+def generic_columns(spark: SparkSession, d: str) -> DataFrame:
+    """A dataset without a layout gets as many columns as its widest row."""
+    from regspark.session import scratch_path
+    from regspark.sources.text import read_bronze
+
+    base = scratch_path(spark, "generic")
+    _uneven_lines(spark, d).write.text(f"{base}/landing")
+    df, _ = read_bronze(spark, f"{base}/landing/part-*", "simples", REGISTRY_MONTH)
+    return df.select(*[f"col_{i}" for i in range(1, 10)], "_column_count")
+
+
+@register
+def source_selection(spark: SparkSession, d: str) -> DataFrame:
+    """S2-S4 + P6: the first alternative with files wins, blanks in its path
+    included; every row carries its file, time, type and month."""
+    from regspark.session import scratch_path
+    from regspark.sources.text import read_bronze
+
+    base = scratch_path(spark, "sources")
+    nation = table(spark, d, "nation")
+    for folder, first in (("Paises 01 [a]", "A"), ("Paises 02", "B")):
+        nation.select(F.concat_ws(";", _s(F.col("n_nationkey")), F.concat(F.lit(first), "n_name")).alias("value")).write.text(f"{base}/{folder}")
+    alternatives = f"{base}/none/*.CSV|{base}/Paises 01 \\[a\\]/part-*|{base}/Paises 02/part-*"
+    df, _ = read_bronze(spark, alternatives, "paises", REGISTRY_MONTH)
+    return df.select(
+        "codigo", "descricao", "file_type", "dataset_month", "data_version",
+        F.col("source_file").rlike("Paises(%20| )01.*/part-").alias("has_source"),
+        (F.col("ingestion_ts") <= F.current_timestamp()).alias("has_time"))
+
+
+@register
+def encoding_switch(spark: SparkSession, d: str) -> DataFrame:
+    """Q5 + A19: Latin-1 files read with a UTF-8 default switch; the audit counts cells."""
+    from regspark.operators.runs import encoding_fallbacks
+    from regspark.plans.layers import run_month
+    from regspark.session import scratch_path
+    from regspark.sinks.runlog import RunLog
+
+    base = scratch_path(spark, "switch")
+    accent = F.when(F.col("n_nationkey") % 2 == 0, F.concat("n_name", F.lit(" é"))).otherwise(F.col("n_name"))
+    code = F.when(F.col("n_nationkey") % 4 == 0, F.concat(_s(F.col("n_nationkey")), F.lit("ã"))).otherwise(_s(F.col("n_nationkey")))
+    table(spark, d, "nation").select(code.alias("a"), accent.alias("b")).write.csv(
+        f"{base}/landing", sep=";", quote="", encoding="ISO-8859-1")
+    run_month(spark, f"{base}/landing/part-*", "paises", REGISTRY_MONTH, f"{base}/lake", encoding="utf-8")
+    return encoding_fallbacks(RunLog(spark, f"{base}/lake").encoding_audit())
+
+
+@register
+def runlog_stages(spark: SparkSession, d: str) -> DataFrame:
+    """K10 + A12-A18 on rows that the run log wrote: one ingest's stages, their
+    states and records."""
+    from regspark.operators.runs import current_runs, finished_runs, record_rates, run_rates, runs_by
+    from regspark.plans.layers import run_month
+    from regspark.session import scratch_path
+    from regspark.sinks.runlog import RunLog
+
+    base = scratch_path(spark, "runlog")
+    company_lines(spark, d).write.text(f"{base}/landing")
+    run_month(spark, f"{base}/landing/part-*", "empresas", REGISTRY_MONTH, f"{base}/lake")
+    runs = current_runs(RunLog(spark, f"{base}/lake").events(), ["run_id", "stage"])
+    by = runs_by(finished_runs(runs), ["stage", "dataset", "status", "data_version"]).drop("mean_duration", "max_duration")
+    return by.join(record_rates(runs, ["stage"]), "stage").crossJoin(run_rates(runs).select("total_runs", "success_rate"))

@@ -25,16 +25,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def order_month(col: str = "o_orderdate") -> Column:
     """Month version ``yyyy-MM`` of a timestamp column."""
     return F.date_format(F.col(col), "yyyy-MM")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition only when a scan yields fewer partitions than
-    the cluster's default parallelism (e.g. one large row group), so CPU-heavy
-    per-row text work uses every core. On large inputs the scan already has
-    more partitions and this is a no-op (no extra shuffle)."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    try:
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (remote session)
-        return df
-    return df.repartition(target) if parts < target else df

@@ -1,37 +1,32 @@
 """Session settings the library relies on, and the shared scratch folder.
 
 Only settings that change results are forced here (parser policy, zone).
-Cluster sizing (executors, shuffle partitions) stays with the caller.
+Cluster sizing, broadcast thresholds and AQE stay with the caller.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every job of this library expects.
+# Settings that change results; forced on every session the library uses.
 REQUIRED_CONF = {
     # Bad dates give NULL instead of throwing or guessing.
     "spark.sql.legacy.timeParserPolicy": "CORRECTED",
     "spark.sql.session.timeZone": "UTC",
-    # Runtime re-planning: coalesce small shuffles, split skewed join partitions,
-    # turn sort-merge joins into broadcasts when the real size is small.
+}
+
+# Defaults of sessions built here; an existing session keeps its own.
+SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Broadcast only what is proven small: no broadcast from *estimated* plan
-    # sizes; code lists are broadcast by lookup() after a bounded row probe,
-    # and AQE may still broadcast a side whose *measured* shuffle output is
-    # under the adaptive threshold.
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     # Fall back from whole-stage codegen when a generated method would exceed
     # the JVM's JIT limit (8000 bytes of bytecode): wide registry layouts
     # (32 columns, a rule per cell) otherwise run as interpreted bytecode,
-    # 2-3x slower. Does not change results.
+    # 2-3x slower.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
@@ -46,7 +41,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(REQUIRED_CONF)
+    conf = {**SESSION_DEFAULTS, **REQUIRED_CONF}
     conf.setdefault("spark.ui.enabled", "false")
     conf.setdefault("spark.ui.showConsoleProgress", "false")
     if shuffle_partitions:
@@ -73,34 +68,32 @@ def _context(spark: SparkSession):
         return None
 
 
+def _is_local(sc) -> bool:
+    """One machine: ``local`` or ``local[n]``, not ``local-cluster``."""
+    return sc is not None and sc.master.partition("[")[0] == "local"
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints and scratch tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir). Only when nothing is configured (local tests) a private
-    folder is created and registered as the checkpoint dir.
+    checkpoint dir). When nothing is configured, a private folder is made on a
+    local master only; on a cluster every executor would write to its own
+    disk, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        if not _is_local(sc):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="regspark-ckpt-")
-        if sc is not None:
-            sc.setCheckpointDir(root)
-            root = sc.getCheckpointDir() or root
+        sc.setCheckpointDir(root)
+        root = sc.getCheckpointDir() or root
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for plain-Python file access in tests."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

@@ -1,29 +1,33 @@
 """Month-partitioned Parquet tables: publish, replace, drop, read back.
 
 Layout: ``{root}/{layer}/{dataset}/data_version=YYYY-MM/part-*.parquet``.
-Replacing one month writes straight into that partition directory with
-mode ``overwrite``, which also works for an empty frame (the month is then
-empty, not left stale). Row counts come from an ``Observation`` collected
-during the same write job: no cache and no second pass.
+A month is written to a hidden staging folder beside its place and switched in
+only when the write, and any check of its counts, has succeeded: a failing job
+or gate leaves the old month as it was. An empty frame gives an empty month
+(not a stale one). Row counts come from an ``Observation`` collected during
+the same write job: no cache and no second pass.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from regspark.layouts import MONTH_COLUMNS
 
 MONTH = "data_version"
+_TYPE_INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
 
 @dataclass(frozen=True)
 class WriteResult:
     path: str
     rows: int
+    metrics: dict = field(default_factory=dict)
 
 
 def table_path(root: str, layer: str, dataset: str) -> str:
@@ -39,21 +43,50 @@ def stamp_month(df: DataFrame, month: str) -> DataFrame:
     return df.withColumns({c: F.lit(month) for c in MONTH_COLUMNS})
 
 
-def _observed_write(df: DataFrame, path: str, name: str, partition_by: str | None = None,
-                    dynamic: bool = True) -> int:
-    obs = Observation(name)
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = observed.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-        if dynamic:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
-    return int(obs.get.get("rows", 0) or 0)
+class Folder:
+    """A path on the file system Spark uses for it (local, HDFS, object store)."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        jvm = spark._jvm
+        self.path = jvm.org.apache.hadoop.fs.Path(path)
+        self.fs = self.path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+    def exists(self) -> bool:
+        return self.fs.exists(self.path)
+
+    def delete(self) -> bool:
+        return self.fs.delete(self.path, True)
+
+    def move_to(self, other: "Folder") -> None:
+        self.fs.mkdirs(other.path.getParent())
+        if not self.fs.rename(self.path, other.path):
+            raise OSError(f"could not move {self.path} to {other.path}")
+
+
+def _switch(spark: SparkSession, staged: str, place: str) -> None:
+    """Put a finished folder in its place; the old one stays beside it, hidden, until that is done."""
+    new, old, kept = Folder(spark, staged), Folder(spark, place), None
+    if old.exists():
+        kept = Folder(spark, f"{place.rpartition('/')[0]}/_replaced-{uuid.uuid4().hex}")
+        old.move_to(kept)
+    try:
+        new.move_to(old)
+    except Exception:
+        if kept is not None:
+            kept.move_to(old)
+        raise
+    if kept is not None:
+        kept.delete()
+
+
+def _observed(df: DataFrame, name: str, metrics: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    obs = Observation(f"{name}-{uuid.uuid4().hex}")
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in metrics.items()]), obs
 
 
 def publish_month(df: DataFrame, root: str, layer: str, dataset: str, month: str,
-                  cluster_by: str | None = None) -> WriteResult:
+                  cluster_by: str | None = None, metrics: Mapping[str, Column] | None = None,
+                  check: Callable[[dict], None] | None = None) -> WriteResult:
     """K1/K2: replace one month of one dataset in one layer; returns the row count.
 
     The month columns are stamped first; ``data_version`` lives in the
@@ -62,66 +95,72 @@ def publish_month(df: DataFrame, root: str, layer: str, dataset: str, month: str
     rebalanced on it (AQE merges small and splits skewed groups, so a state
     holding a third of the rows is written by several tasks), and readers
     filtering on it read only their directories. The whole month is replaced.
+
+    ``metrics`` are aggregates over the written rows, gathered by the write
+    itself; ``check`` gets them, with ``rows``, before the month is switched in
+    and refuses the month by raising.
     """
+    spark = df.sparkSession
     path = month_path(root, layer, dataset, month)
+    staged = f"{table_path(root, layer, dataset)}/_staged-{uuid.uuid4().hex}"
     stamped = stamp_month(df, month).drop(MONTH)
     if cluster_by:
         stamped = stamped.hint("rebalance", cluster_by)
-    rows = _observed_write(stamped, path, f"publish-{layer}-{dataset}-{month}",
-                           partition_by=cluster_by, dynamic=False)
-    return WriteResult(path, rows)
+    stamped, obs = _observed(stamped, f"publish-{layer}-{dataset}-{month}", metrics or {})
+    writer = stamped.write.partitionBy(cluster_by) if cluster_by else stamped.write
+    try:
+        writer.parquet(staged)
+        got = dict(obs.get)
+        if check is not None:
+            check(got)
+        _switch(spark, staged, path)
+    finally:
+        Folder(spark, staged).delete()
+    return WriteResult(path, int(got.get("rows") or 0), got)
 
 
 def publish_months(df: DataFrame, root: str, layer: str, dataset: str) -> WriteResult:
-    """Write a frame holding several months; only the months present are replaced."""
+    """Write a frame holding several months; only the months present are replaced,
+    each by the commit of the one job."""
     path = table_path(root, layer, dataset)
-    rows = _observed_write(df, path, f"publish-{layer}-{dataset}", partition_by=MONTH)
-    return WriteResult(path, rows)
+    df, obs = _observed(df, f"publish-{layer}-{dataset}", {})
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+    return WriteResult(path, int(obs.get.get("rows") or 0))
 
 
 def read_table(spark: SparkSession, root: str, layer: str, dataset: str,
                month: str | None = None) -> DataFrame:
-    """Read a layer table; ``month`` becomes a partition filter (pruned).
+    """Read a layer table; with ``month`` only that month's folder is listed and read.
 
-    ``data_version`` is always read as a string (no type inference).
+    Partition columns are strings, as written: town code ``0075`` keeps its zeros.
     """
     path = table_path(root, layer, dataset)
-    df = (
-        spark.read.option("basePath", path)
-        .option("recursiveFileLookup", "false")
-        .parquet(path)
-    )
-    df = df.withColumn(MONTH, F.col(MONTH).cast("string"))
-    if month is not None:
-        df = df.where(F.col(MONTH) == F.lit(month))
-    return df
+    inferred = spark.conf.get(_TYPE_INFERENCE)
+    spark.conf.set(_TYPE_INFERENCE, "false")
+    try:
+        reader = spark.read.option("basePath", path)
+        if month is not None and Folder(spark, month_path(root, layer, dataset, month)).exists():
+            return reader.parquet(month_path(root, layer, dataset, month))
+        df = reader.parquet(path)
+    finally:
+        spark.conf.set(_TYPE_INFERENCE, inferred)
+    return df if month is None else df.where(F.col(MONTH) == F.lit(month))
 
 
 def month_rows(spark: SparkSession, root: str, layer: str, dataset: str, month: str) -> int:
     """K6 dry run: rows currently stored for one month."""
-    try:
-        return read_table(spark, root, layer, dataset, month).count()
-    except Exception as exc:  # noqa: BLE001 - missing table or month
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-            return 0
-        raise
+    if not Folder(spark, month_path(root, layer, dataset, month)).exists():
+        return 0
+    return read_table(spark, root, layer, dataset, month).count()
 
 
 def drop_month(spark: SparkSession, root: str, layer: str, dataset: str, month: str,
                dry_run: bool = False) -> int:
-    """K6/K7: empty one month of one table; returns the rows it held.
-
-    The partition directory is overwritten with an empty frame of the same
-    schema, so readers see zero rows for that month and other months are
-    untouched.
-    """
+    """K6/K7: remove one month of one table, any directory level below it included;
+    returns the rows it held. Other months are untouched."""
     rows = month_rows(spark, root, layer, dataset, month)
-    if dry_run or rows == 0:
-        return rows
-    current = read_table(spark, root, layer, dataset)
-    schema = T.StructType([f for f in current.schema.fields if f.name != MONTH])
-    empty = spark.createDataFrame([], schema)
-    empty.write.mode("overwrite").parquet(month_path(root, layer, dataset, month))
+    if not dry_run:
+        Folder(spark, month_path(root, layer, dataset, month)).delete()
     return rows
 
 

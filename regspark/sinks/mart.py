@@ -6,13 +6,12 @@ truth; the mart is a copy. Export errors raise (they are never only logged).
 
 from __future__ import annotations
 
-import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-log = logging.getLogger(__name__)
+from regspark.layouts import MONTH_COLUMNS
 
 
 def target_columns(spark: SparkSession, table: str, jdbc: dict[str, str] | None = None) -> list[str]:
@@ -25,14 +24,15 @@ def target_columns(spark: SparkSession, table: str, jdbc: dict[str, str] | None
     return spark.read.format("jdbc").options(**opts).load().columns
 
 
-def mart_projection(df: DataFrame, columns: Sequence[str]) -> DataFrame | None:
-    """K3 + K4: columns of the target that exist in ``df``, in target order,
-    cast to string. ``None`` (with a warning) when nothing matches."""
-    keep = [c for c in columns if c in df.columns]
-    if not keep:
-        log.warning("no compatible column for the mart table")
-        return None
-    return df.select([F.col(c).cast("string").alias(c) for c in keep])
+def mart_projection(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """K3 + K4: what ``df`` has of the target's columns, in the target's order, as text.
+
+    A frame that shares no column with its target is a wiring mistake and raises.
+    """
+    shared = sorted(set(columns) & set(df.columns), key=list(columns).index)
+    if not shared:
+        raise ValueError(f"the mart table {list(columns)} and the frame {df.columns} share no column")
+    return df.select(*(df[name].cast("string").alias(name) for name in shared))
 
 
 def jdbc_options(table: str, conn: dict[str, str]) -> dict[str, str]:
@@ -44,23 +44,29 @@ def jdbc_options(table: str, conn: dict[str, str]) -> dict[str, str]:
     return opts
 
 
-def export_month(df: DataFrame, table: str, columns: Sequence[str], conn: dict[str, str],
-                 month: str, month_cols: Sequence[str] = ("dataset_month", "data_version")) -> int:
-    """K2 + K5 on the mart: replace one month by appending the stringified rows.
+def delete_statement(table: str, month_cols: Sequence[str] = MONTH_COLUMNS) -> str:
+    """Statement that removes one month from the mart (one ``?`` per column)."""
+    return f"DELETE FROM {table} WHERE " + " OR ".join(f"{c} = ?" for c in month_cols)
 
-    The caller's database must delete the month first (``delete_sql``); here
-    only the append runs, as one distributed JDBC write.
-    """
-    out = mart_projection(df, columns)
-    if out is None:
-        return 0
-    obs = Observation(f"export-{table}-{month}")
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
+
+def append_rows(df: DataFrame, table: str, conn: dict[str, str]) -> int:
+    """K5: one distributed JDBC append; returns the rows it wrote."""
+    obs = Observation(f"append-{table}")
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     out.write.format("jdbc").options(**jdbc_options(table, conn)).mode("append").save()
-    return int(obs.get.get("rows", 0) or 0)
+    return int(obs.get.get("rows") or 0)
+
 
+def replace_month(df: DataFrame, table: str, columns: Sequence[str], conn: dict[str, str], month: str,
+                  execute: Callable[[str, list[str]], None],
+                  append: Callable[[DataFrame, str, dict[str, str]], int] = append_rows,
+                  month_cols: Sequence[str] = MONTH_COLUMNS) -> int:
+    """K2 + K5 on the mart: delete the month, then append its rows; a second call gives the same mart.
 
-def delete_sql(table: str, month_cols: Sequence[str] = ("dataset_month", "data_version")) -> str:
-    """Statement that removes one month from the mart (parameter ``?`` per column)."""
-    cond = " OR ".join(f"{c} = ?" for c in month_cols)
-    return f"DELETE FROM {table} WHERE {cond}"
+    ``execute`` runs a statement with parameters on the caller's own database
+    connection (any DB-API cursor's ``execute`` fits). Nothing is deleted
+    when the frame does not fit the table.
+    """
+    out = mart_projection(df, columns)
+    execute(delete_statement(table, month_cols), [month] * len(month_cols))
+    return append(out, table, conn)

@@ -1,99 +1,114 @@
 """Run records (K10) as an append-only Parquet table of events.
 
-A run writes a ``running`` event when it starts and a ``completed`` or
-``failed`` event when it ends; the current state of a run is its latest
-event (:func:`regspark.operators.runs.current_runs`). Appends never rewrite
-older events, so concurrent runs do not conflict.
+Every stage of a run (and the run as a whole, stage ``run``) writes a
+``running`` event when it starts and a ``completed`` or ``failed`` event when it
+ends; its current state is its latest event
+(:func:`regspark.operators.runs.current_runs`). Appends never rewrite older
+events, so concurrent runs do not conflict.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
-
-RUN_EVENT_SCHEMA = T.StructType([
-    T.StructField("run_id", T.StringType()),
-    T.StructField("pipeline_name", T.StringType()),
-    T.StructField("source_file", T.StringType()),
-    T.StructField("data_version", T.StringType()),
-    T.StructField("dataset_month", T.StringType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("start_time", T.TimestampType()),
-    T.StructField("end_time", T.TimestampType()),
-    T.StructField("duration_seconds", T.IntegerType()),
-    T.StructField("records_processed", T.LongType()),
-    T.StructField("records_failed", T.LongType()),
-    T.StructField("output_path", T.StringType()),
-    T.StructField("event_ts", T.TimestampType()),
-])
-
-
-ENCODING_AUDIT_SCHEMA = T.StructType([
-    T.StructField("dataset", T.StringType()),
-    T.StructField("data_version", T.StringType()),
-    T.StructField("from_encoding", T.StringType()),
-    T.StructField("to_encoding", T.StringType()),
-    T.StructField("bad_before", T.LongType()),
-    T.StructField("bad_after", T.LongType()),
-    T.StructField("event_ts", T.TimestampType()),
-])
+
+RUN_EVENT_SCHEMA = (
+    "run_id string, pipeline_name string, stage string, dataset string, source_file string, "
+    "data_version string, dataset_month string, status string, started_at timestamp, "
+    "finished_at timestamp, duration_seconds double, records bigint, records_failed bigint, "
+    "output_path string, event_ts timestamp"
+)
+ENCODING_AUDIT_SCHEMA = (
+    "dataset string, data_version string, from_encoding string, to_encoding string, "
+    "bad_before bigint, bad_after bigint, event_ts timestamp"
+)
+# The alert table, with the run it belongs to.
+ALERT_SCHEMA = (
+    "run_id string, alert_type string, alert_message string, record_line bigint, severity string, "
+    "field_name string, created_at timestamp"
+)
+WHOLE_RUN = "run"
 
 
 def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
 class RunLog:
-    """Appends run events under ``{root}/_runs``."""
+    """Appends run events, alerts and encoding switches under ``{root}``."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
-        self.path = f"{root.rstrip('/')}/_runs"
+        self.root = root.rstrip("/")
 
-    def _append(self, row: dict) -> None:
-        values = [row.get(f.name) for f in RUN_EVENT_SCHEMA.fields]
-        self.spark.createDataFrame([values], RUN_EVENT_SCHEMA).write.mode("append").parquet(self.path)
+    def _append(self, schema: str, table: str, row: dict) -> None:
+        values = [row.get(c) for c in _names(schema)]
+        self.spark.createDataFrame([values], schema).write.mode("append").parquet(f"{self.root}/{table}")
 
-    def start(self, pipeline_name: str, source_file: str, month: str) -> dict:
+    def start(self, pipeline_name: str, dataset: str, source_file: str, month: str,
+              stage: str = WHOLE_RUN, run_id: str | None = None) -> dict:
+        began = _now()
         run = {
-            "run_id": uuid.uuid4().hex,
-            "pipeline_name": pipeline_name,
-            "source_file": source_file,
-            "data_version": month,
-            "dataset_month": month,
-            "status": "running",
-            "start_time": _now(),
+            "run_id": run_id or uuid.uuid4().hex, "pipeline_name": pipeline_name, "stage": stage,
+            "dataset": dataset, "source_file": source_file, "data_version": month,
+            "dataset_month": month, "status": "running", "started_at": began, "event_ts": began,
         }
-        self._append({**run, "event_ts": run["start_time"]})
+        self._append(RUN_EVENT_SCHEMA, "_runs", run)
         return run
 
-    def finish(self, run: dict, status: str, processed: int = 0, failed: int = 0,
+    def finish(self, run: dict, status: str, records: int = 0, failed: int = 0,
                output_path: str | None = None) -> None:
         end = _now()
-        self._append({
-            **run, "status": status, "end_time": end,
-            "duration_seconds": int((end - run["start_time"]).total_seconds()),
-            "records_processed": processed, "records_failed": failed,
-            "output_path": output_path, "event_ts": end,
+        self._append(RUN_EVENT_SCHEMA, "_runs", {
+            **run, "status": status, "finished_at": end,
+            "duration_seconds": (end - run["started_at"]).total_seconds(),
+            "records": records, "records_failed": failed, "output_path": output_path, "event_ts": end,
         })
 
+    @contextmanager
+    def stage(self, run: dict, stage: str):
+        """Record one stage of ``run``; the body puts the written rows and path into the given dict."""
+        own = self.start(run["pipeline_name"], run["dataset"], run["source_file"], run["data_version"],
+                         stage, run["run_id"])
+        out: dict = {"records": 0, "output_path": None}
+        try:
+            yield out
+        except Exception:
+            self.finish(own, "failed", failed=1)
+            raise
+        self.finish(own, "completed", out["records"], output_path=out["output_path"])
+
     def events(self) -> DataFrame:
-        return self.spark.read.schema(RUN_EVENT_SCHEMA).parquet(self.path)
+        return self.spark.read.schema(RUN_EVENT_SCHEMA).parquet(f"{self.root}/_runs")
 
-    # --- encoding audit (input of the A19 fallback metrics) -------------------
+    # --- alerts of a run (input of A13) ------------------------------------------
 
-    @property
-    def audit_path(self) -> str:
-        return self.path.rsplit("/", 1)[0] + "/_encoding_audit"
+    def record_alerts(self, run: dict, alerts: DataFrame) -> None:
+        """Append alert rows (``quality.rule_alerts``) linked to their run."""
+        from pyspark.sql import functions as F
+
+        linked = alerts.withColumn("run_id", F.lit(run["run_id"]))
+        linked.select(*_names(ALERT_SCHEMA)).write.mode("append").parquet(f"{self.root}/_alerts")
+
+    def alerts(self) -> DataFrame:
+        return self.spark.read.schema(ALERT_SCHEMA).parquet(f"{self.root}/_alerts")
+
+    # --- encoding audit (input of the A19 fallback metrics) -------------------
 
     def record_encoding(self, choice, month: str) -> None:
-        """One audit row per ingest: dataset, encodings, U+FFFD lines before/after."""
-        row = [choice.dataset, month, choice.from_encoding, choice.to_encoding,
-               int(choice.bad_before), int(choice.bad_after), _now()]
-        self.spark.createDataFrame([row], ENCODING_AUDIT_SCHEMA).write.mode("append").parquet(self.audit_path)
+        """One audit row per switch: dataset, encodings, U+FFFD cells before and after."""
+        self._append(ENCODING_AUDIT_SCHEMA, "_encoding_audit", {
+            "dataset": choice.dataset, "data_version": month, "from_encoding": choice.from_encoding,
+            "to_encoding": choice.to_encoding, "bad_before": int(choice.bad_before),
+            "bad_after": int(choice.bad_after), "event_ts": _now(),
+        })
 
     def encoding_audit(self) -> DataFrame:
-        return self.spark.read.schema(ENCODING_AUDIT_SCHEMA).parquet(self.audit_path)
+        return self.spark.read.schema(ENCODING_AUDIT_SCHEMA).parquet(f"{self.root}/_encoding_audit")

@@ -1,23 +1,28 @@
 """Delimited text scan of the monthly extracts (bronze input).
 
-One reader serves single files and globs. The column count is taken from
-the first line, as Spark does for a CSV read without schema; layout names
-are then applied by position (missing trailing columns become NULL, extra
-ones are dropped) and every cell goes through the null-marker rule.
+One parser serves single files, globs and streams: lines are read as raw
+bytes, decoded, split by ``from_csv`` into the dataset's layout and counted, so
+every row's own width is known. Missing trailing fields become NULL, fields
+beyond the layout are dropped, and both are reported in that row's audit
+columns; no row is judged by another one's width. Every cell goes through the
+null-marker rule.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regspark.functions.cleanse import (
-    REPLACEMENT_CHAR, ident, null_marker_sql, regex_literal, strip_replacement_sql,
+    ident, null_marker_sql, strip_replacement_sql,
 )
-from regspark.layouts import CODE_LISTS, MONTH_COLUMNS, layout_columns, normalize_dataset
+from regspark.layouts import MONTH_COLUMNS, dataset_spec
+from regspark.operators.quality import replacement_cells
 
 # ---------------------------------------------------------------------------
 # Python-style encoding names accepted by the jobs and the
@@ -44,49 +49,60 @@ def spark_charset(encoding: str) -> str:
     return CHARSETS.get(key, encoding)
 
 
-def read_delimited(spark: SparkSession, paths: str | Sequence[str], sep: str = ";",
-                   encoding: str = DEFAULT_ENCODING, schema=None) -> DataFrame:
-    """No header, ``"`` quotes with doubled-quote escape, one record per
-    line, PERMISSIVE. Without ``schema`` the width comes from the first line."""
-    reader = spark.read.options(
-        header="false", sep=sep, quote='"', escape='"', multiLine="false",
-        mode="PERMISSIVE", encoding=spark_charset(encoding),
-    )
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(list(paths) if not isinstance(paths, str) else paths)
+# The characters of bytes 0x80 to 0x9F in windows-1252 (U+FFFD: undefined).
+CP1252_UPPER = "€\ufffd‚ƒ„…†‡ˆ‰Š‹Œ\ufffdŽ\ufffd\ufffd‘’“”•–—˜™š›œ\ufffdžŸ"
+LATIN1_UPPER = "".join(map(chr, range(0x80, 0xA0)))
+BOM = "\ufeff"
+
+
+def decoded(raw: Column, encoding: str = DEFAULT_ENCODING) -> Column:
+    """Text of the bytes ``raw``; what the encoding does not define becomes U+FFFD.
+
+    windows-1252 is Latin-1 with another upper control block, so it needs no
+    charset beyond Spark's own; a byte order mark is dropped.
+    """
+    charset = spark_charset(encoding)
+    if charset == "UTF-8":
+        text = F.make_valid_utf8(raw.cast("string"))
+        return F.when(text.startswith(BOM), F.substr(text, F.lit(2))).otherwise(text)
+    if charset == "windows-1252":
+        return F.translate(F.decode(raw.cast("binary"), "ISO-8859-1"), LATIN1_UPPER, CP1252_UPPER)
+    return F.decode(raw.cast("binary"), charset)
 
 
 def row_field_count(line: Column, sep: str = ";") -> Column:
     """Fields of one delimited line, quote-aware: quoted segments (with
     doubled-quote escapes) are removed before the separators are counted."""
-    unquoted = F.regexp_replace(line, '"([^"]|"")*"', "")
-    return F.size(F.split(unquoted, regex_literal(sep), -1))
+    bare = F.when(F.contains(line, F.lit('"')), F.regexp_replace(line, '"([^"]|"")*"', "")).otherwise(line)
+    return ((F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit("")))) / F.lit(len(sep)) + 1).cast("int")
 
 
-def read_delimited_rows(spark: SparkSession, paths: Sequence[str], width: int, sep: str = ";",
-                        encoding: str = DEFAULT_ENCODING) -> DataFrame:
-    """S1 with a true per-row field count (``_row_column_count``).
+def decoded_lines(lines: DataFrame, encoding: str = DEFAULT_ENCODING) -> DataFrame:
+    """``__line`` and ``_metadata`` of a text scan (batch or stream), blank lines left out."""
+    text = lines.select(decoded(F.col("value"), encoding).alias("__line"), F.col("_metadata"))
+    return text.where(F.trim("__line") != "")
 
-    Lines are read as text (raw bytes), decoded with the charset, parsed by
-    ``from_csv`` with the same options as :func:`read_delimited` into
-    ``width`` columns, and counted by :func:`row_field_count`. Blank lines
-    are skipped, as the CSV reader does.
-    """
-    charset = spark_charset(encoding)
-    value = F.col("value")
-    text = (F.make_valid_utf8(value) if charset == "UTF-8"
-            else F.decode(value.cast("binary"), charset))
-    lines = spark.read.text(list(paths)).select(text.alias("__line"), F.col("_metadata"))
-    lines = lines.where(F.trim("__line") != "")
+
+def parse_lines(lines: DataFrame, width: int, sep: str = ";") -> DataFrame:
+    """``_c0.._c{width-1}`` and the row's own ``_column_count``; no header,
+    ``"`` quotes with doubled-quote escape, one record per line, PERMISSIVE."""
     schema = ", ".join(f"_c{i} STRING" for i in range(width))
     opts = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
-    parsed = lines.select(
+    return lines.select(
         F.from_csv("__line", schema, opts).alias("__r"),
-        row_field_count(F.col("__line"), sep).alias("_row_column_count"),
+        row_field_count(F.col("__line"), sep).alias("_column_count"),
         "_metadata",
-    )
-    return parsed.select("__r.*", "_row_column_count", "_metadata")
+    ).select("__r.*", "_column_count", "_metadata")
+
+
+def scan_lines(spark: SparkSession, paths: str | Sequence[str], encoding: str = DEFAULT_ENCODING) -> DataFrame:
+    return decoded_lines(spark.read.text([paths] if isinstance(paths, str) else list(paths)), encoding)
+
+
+def scan_width(lines: DataFrame, dataset: str, sep: str = ";") -> int:
+    """Columns to parse: the layout's, or for an unknown dataset the widest row of the whole input."""
+    layout = dataset_spec(dataset).layout
+    return len(layout) or int(lines.agg(F.max(row_field_count(F.col("__line"), sep))).first()[0] or 1)
 
 
 def resolve_sources(spark: SparkSession, spec: str) -> list[str]:
@@ -101,7 +117,7 @@ def resolve_sources(spark: SparkSession, spec: str) -> list[str]:
                 continue
             raise
         usable = sorted(
-            f for f in files
+            _as_pattern(f) for f in files
             if not f.rsplit("/", 1)[-1].startswith((".", "_"))
             and not f.lower().endswith(SKIPPED_SUFFIXES)
         )
@@ -110,36 +126,28 @@ def resolve_sources(spark: SparkSession, spec: str) -> list[str]:
     raise FileNotFoundError(f"no input file matches {spec!r}")
 
 
+def _as_pattern(uri: str) -> str:
+    """A listed file's URI as a path for the reader: percent codes resolved, glob signs escaped."""
+    return re.sub(r"([\\*?{}\[\]])", r"\\\1", unquote(uri))
+
+
 def apply_layout(raw: DataFrame, dataset: str) -> DataFrame:
-    """Layout names by position with null markers, plus audit columns.
+    """Layout names by position with null markers, plus the row's audit columns.
 
-    Known dataset: its layout columns, then ``_column_count`` (width of the
-    read), ``_layout_expected`` and ``_layout_status`` (ok / mismatch).
+    Known dataset: its layout columns, then ``_column_count`` (fields of this
+    row), ``_layout_expected`` and ``_layout_status`` (ok / mismatch).
     Unknown dataset: ``col_1..col_n`` and ``_column_count``.
     """
-    layout = layout_columns(dataset)
-    source = [c for c in raw.columns if c.startswith("_c")]
-    width = len(source)
+    layout = dataset_spec(dataset).layout
+    source = [c for c in raw.columns if c.startswith("_c") and c != "_column_count"]
+    names = layout or [f"col_{i}" for i in range(1, len(source) + 1)]
+    cells = dict(zip(names, source))
     # One selectExpr for the whole layout (a single call into the JVM).
+    cols = [f"{null_marker_sql(cells[n]) if n in cells else 'CAST(NULL AS STRING)'} AS {ident(n)}" for n in names]
+    audit = ["_column_count"]
     if layout:
-        cols = [
-            f"{null_marker_sql(source[i])} AS {ident(name)}" if i < width
-            else f"CAST(NULL AS STRING) AS {ident(name)}"
-            for i, name in enumerate(layout)
-        ]
-        expected = len(layout)
-        status = "ok" if width == expected else "mismatch"
-        audit = [f"{width} AS _column_count", f"{expected} AS _layout_expected",
-                 f"'{status}' AS _layout_status"]
-        if "_row_column_count" in raw.columns:
-            audit += ["_row_column_count",
-                      f"CASE WHEN _row_column_count = {expected} THEN 'ok' ELSE 'mismatch' END "
-                      "AS _row_layout_status"]
-    else:
-        cols = [f"{null_marker_sql(c)} AS {ident(f'col_{i}')}" for i, c in enumerate(source, start=1)]
-        audit = [f"{width} AS _column_count"]
-        if "_row_column_count" in raw.columns:
-            audit.append("_row_column_count")
+        audit += [f"{len(layout)} AS _layout_expected",
+                  f"CASE WHEN _column_count = {len(layout)} THEN 'ok' ELSE 'mismatch' END AS _layout_status"]
     return raw.selectExpr(*cols, *audit, "_metadata")
 
 
@@ -150,7 +158,7 @@ def add_lineage(df: DataFrame, dataset: str, month: str, full_path: bool) -> Dat
         *[c for c in df.columns if c != "_metadata"],
         F.current_timestamp().alias("ingestion_ts"),
         src.alias("source_file"),
-        F.lit(normalize_dataset(dataset)).alias("file_type"),
+        F.lit(dataset_spec(dataset).name).alias("file_type"),
         *[F.lit(month).alias(c) for c in MONTH_COLUMNS],
     )
     return out
@@ -158,10 +166,10 @@ def add_lineage(df: DataFrame, dataset: str, month: str, full_path: bool) -> Dat
 
 def strip_code_list(df: DataFrame, dataset: str) -> DataFrame:
     """Code lists lose every U+FFFD in their layout columns."""
-    if normalize_dataset(dataset) not in CODE_LISTS:
+    spec = dataset_spec(dataset)
+    if not spec.code_list:
         return df
-    layout = set(layout_columns(dataset))
-    return df.selectExpr(*[f"{strip_replacement_sql(c)} AS {ident(c)}" if c in layout else ident(c)
+    return df.selectExpr(*[f"{strip_replacement_sql(c)} AS {ident(c)}" if c in spec.layout else ident(c)
                            for c in df.columns])
 
 
@@ -174,51 +182,40 @@ class EncodingChoice:
     bad_after: int
 
 
-def bad_utf8_lines() -> Column:
-    """Aggregate over ``spark.read.text`` rows: lines whose UTF-8 reading holds
-    U+FFFD (invalid bytes, or a replacement character already in the file)."""
-    return F.count_if(F.instr(F.make_valid_utf8(F.col("value")), REPLACEMENT_CHAR) > 0)
-
-
 def choose_encoding(spark: SparkSession, paths: Sequence[str], dataset: str,
-                    default: str = DEFAULT_ENCODING) -> EncodingChoice:
-    """Q5: best encoding for a code list in one text pass.
+                    default: str = DEFAULT_ENCODING, sep: str = ";") -> EncodingChoice:
+    """Q5: the encoding to read a code list with, in at most one pass.
 
-    ISO-8859-1 maps every byte, so it never yields U+FFFD: with a Latin-1
-    default nothing is checked. With a UTF-8 default, lines whose bytes are
-    not valid UTF-8 are counted in one aggregate; any such line switches the
-    read to ISO-8859-1 (the first candidate, which always scores zero).
+    Counts the cells that hold U+FFFD under the default (bytes the encoding
+    does not define, or the character itself). Latin-1 defines every byte, so a
+    Latin-1 default is never checked, and it takes over where any cell is bad.
     """
-    name = normalize_dataset(dataset)
-    if name not in CODE_LISTS or spark_charset(default) == "ISO-8859-1":
-        return EncodingChoice(name, default, default, 0, 0)
-    bad = spark.read.text(list(paths)).agg(bad_utf8_lines().alias("bad")).first()["bad"]
-    if not bad:
-        return EncodingChoice(name, default, default, 0, 0)
-    return EncodingChoice(name, default, "latin1", int(bad), 0)
+    spec = dataset_spec(dataset)
+    if not spec.code_list or spark_charset(default) == "ISO-8859-1":
+        return EncodingChoice(spec.name, default, default, 0, 0)
+    cells = parse_lines(scan_lines(spark, paths, default), len(spec.layout), sep)
+    bad = cells.agg(replacement_cells([f"_c{i}" for i in range(len(spec.layout))])).first()[0] or 0
+    return EncodingChoice(spec.name, default, "latin1" if bad else default, int(bad), 0)
+
+
+def bronze_rows(lines: DataFrame, dataset: str, width: int, sep: str = ";") -> DataFrame:
+    """Layout, null markers and code-list cleaning of decoded lines (batch or stream)."""
+    return strip_code_list(apply_layout(parse_lines(lines, width, sep), dataset), dataset)
 
 
 def read_bronze(spark: SparkSession, source: str | Sequence[str], dataset: str, month: str,
                 encoding: str = DEFAULT_ENCODING, sep: str = ";",
-                full_path: bool | None = None,
-                row_widths: bool = False) -> tuple[DataFrame, EncodingChoice]:
+                full_path: bool | None = None) -> tuple[DataFrame, EncodingChoice]:
     """Text files of one dataset and month as a bronze frame (lazy).
 
     ``source`` is a path, a glob, ``|``-separated alternatives, or a list.
     Lineage holds the bare file name for a single file and the full URI for
     several, as the two ingest modes of the registry jobs do.
-    ``_column_count`` is the width of the first line (one value per read);
-    ``row_widths=True`` adds the true per-row ``_row_column_count`` and
-    ``_row_layout_status`` (same parse, via text + ``from_csv``).
     """
     paths = resolve_sources(spark, source) if isinstance(source, str) else list(source)
     if full_path is None:
         full_path = len(paths) > 1 or (isinstance(source, str) and any(ch in source for ch in "*?[|"))
-    choice = choose_encoding(spark, paths, dataset, encoding)
-    raw = read_delimited(spark, paths, sep=sep, encoding=choice.to_encoding)
-    if row_widths:
-        width = len([c for c in raw.columns if c.startswith("_c")])
-        raw = read_delimited_rows(spark, paths, width, sep=sep, encoding=choice.to_encoding)
-    df = apply_layout(raw, dataset)
-    df = strip_code_list(df, dataset)
+    choice = choose_encoding(spark, paths, dataset, encoding, sep)
+    lines = scan_lines(spark, paths, choice.to_encoding)
+    df = bronze_rows(lines, dataset, scan_width(lines, dataset, sep), sep)
     return add_lineage(df, dataset, month, full_path), choice

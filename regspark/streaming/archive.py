@@ -7,51 +7,41 @@ processes every file not yet seen (tracked in the checkpoint) and stops.
 so the newest batch's files stay in the landing folder until more files
 arrive; they are never read twice, because the checkpoint records them.
 The sink is the Parquet file sink, whose commit log makes the folder
-exactly-once across retries and executor loss.
+exactly-once across retries and executor loss. Rows are parsed by the same
+code as a batch ingest, so both give equal rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from regspark.functions.cleanse import null_marker
-from regspark.layouts import MONTH_COLUMNS, layout_columns, normalize_dataset, text_schema
-from regspark.sources.text import DEFAULT_ENCODING, spark_charset
+from regspark.layouts import dataset_spec
+from regspark.sources.text import DEFAULT_ENCODING, add_lineage, bronze_rows, decoded_lines
 
 
 def stream_frame(spark: SparkSession, source_dir: str, dataset: str, month: str,
                  archive_dir: str | None, encoding: str = DEFAULT_ENCODING,
                  sep: str = ";", max_files: int | None = None) -> DataFrame:
-    """Streaming bronze frame of one dataset: layout schema, null markers, lineage."""
-    name = normalize_dataset(dataset)
-    reader = spark.readStream.schema(text_schema(name)).options(
-        header="false", sep=sep, quote='"', escape='"', multiLine="false", mode="PERMISSIVE",
-        encoding=spark_charset(encoding),
-    )
+    """Streaming bronze frame of one known dataset: layout, null markers, audit, lineage.
+
+    The encoding is given, not chosen: a stream has no whole input to judge.
+    """
+    spec = dataset_spec(dataset)
+    if not spec.layout:
+        raise ValueError(f"a stream needs a known dataset, not {dataset!r}")
+    reader = spark.readStream
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    raw = reader.csv(source_dir)
-    layout = layout_columns(name)
-    return raw.select(
-        *[null_marker(c).alias(c) for c in layout],
-        F.lit(len(layout)).alias("_column_count"),
-        F.lit(len(layout)).alias("_layout_expected"),
-        F.lit("ok").alias("_layout_status"),
-        F.current_timestamp().alias("ingestion_ts"),
-        F.col("_metadata.file_name").alias("source_file"),
-        F.lit(name).alias("file_type"),
-        *[F.lit(month).alias(c) for c in MONTH_COLUMNS],
-    )
+    lines = decoded_lines(reader.text(source_dir), encoding)
+    return add_lineage(bronze_rows(lines, spec.name, len(spec.layout), sep), spec.name, month, full_path=False)
 
 
 def ingest_available(spark: SparkSession, source_dir: str, dataset: str, month: str,
                      target_dir: str, checkpoint_dir: str, archive_dir: str | None = None,
                      encoding: str = DEFAULT_ENCODING, sep: str = ";") -> int:
-    """Run the available-now ingest; returns the rows appended by this call."""
-    before = _rows(spark, target_dir)
+    """Run the available-now ingest; returns the lines read by this call (the query's own counters)."""
     q = (
         stream_frame(spark, source_dir, dataset, month, archive_dir, encoding, sep)
         .writeStream.format("parquet")
@@ -61,13 +51,4 @@ def ingest_available(spark: SparkSession, source_dir: str, dataset: str, month:
         .start()
     )
     q.awaitTermination()
-    return _rows(spark, target_dir) - before
-
-
-def _rows(spark: SparkSession, path: str) -> int:
-    try:
-        return spark.read.parquet(path).count()
-    except Exception as exc:  # noqa: BLE001 - nothing written yet
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-            return 0
-        raise
+    return sum(int(p["numInputRows"]) for p in q.recentProgress)

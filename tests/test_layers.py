@@ -12,7 +12,7 @@ from conftest import write_lines
 from regspark.operators.quality import QualityGateError
 from regspark.plans.layers import gold_frame, reingest_month, run_month, silver_frame
 from regspark.sinks.lake import drop_month, publish_month, read_table
-from regspark.sinks.mart import delete_sql, jdbc_options, mart_projection
+from regspark.sinks.mart import jdbc_options, mart_projection, replace_month
 from regspark.sources.text import choose_encoding, read_bronze, resolve_sources
 
 
@@ -46,21 +46,29 @@ def test_short_branch_line_is_padded(spark, workdir):
     assert (row._column_count, row._layout_expected, row._layout_status) == (30, 32, "mismatch")
 
 
-def test_per_row_widths_opt_in(spark, workdir):
-    first = ";".join(f"f{i}" for i in range(32))
-    short = ";".join(f"s{i}" for i in range(30))
-    quoted = ";".join(['"a;b"'] + [f"q{i}" for i in range(31)])
-    src = write_lines(f"{workdir}/rw/Estab.txt", [first, short, "", quoted])
-    plain, _ = read_bronze(spark, src, "estabelecimentos", "2026-03")
-    rows, _ = read_bronze(spark, src, "estabelecimentos", "2026-03", row_widths=True)
-    key = lambda r: r.cnpj_basico
-    got = sorted(rows.collect(), key=key)
-    assert [(r.cnpj_basico, r._row_column_count, r._row_layout_status) for r in got] == [
-        ("a;b", 32, "ok"), ("f0", 32, "ok"), ("s0", 30, "mismatch")]
-    assert all(r._column_count == 32 for r in got)
-    layout = [c for c in plain.columns if not c.startswith("_") and c not in ("ingestion_ts",)]
-    strip = lambda df: sorted([tuple(r[c] for c in layout) for r in df.collect()], key=str)
-    assert strip(plain) == strip(rows)
+def test_every_row_has_its_own_width(spark, workdir):
+    first = "1;ACME;2062"
+    full = '2;"BETA;B";2062;49;"10,00";01;'
+    long = "3;GAMA;1;2;3,00;05;;x;y"
+    src = write_lines(f"{workdir}/rw/Empresas.txt", [first, full, "", long])
+    df, _ = read_bronze(spark, src, "empresas", "2026-03")
+    rows = {r.cnpj_basico: r for r in df.collect()}
+    assert {k: (r._column_count, r._layout_status) for k, r in rows.items()} == {
+        "1": (3, "mismatch"), "2": (7, "ok"), "3": (9, "mismatch")}
+    # the short first line costs the others nothing
+    assert rows["2"].capital_social == "10,00" and rows["2"].porte_empresa == "01" and rows["2"].razao_social == "BETA;B"
+
+
+def test_stream_and_batch_give_equal_rows(spark, workdir):
+    from regspark.streaming.archive import ingest_available
+
+    lines = ["1;Com\ufffdrcio", "2", "3;x;y", '4;"a;b"', "5;N/A"]
+    write_lines(f"{workdir}/sb/in/Cnaes.txt", lines, encoding="utf-8")
+    batch, _ = read_bronze(spark, f"{workdir}/sb/in/Cnaes.txt", "cnaes", "2026-03", encoding="latin1")
+    ingest_available(spark, f"{workdir}/sb/in", "cnaes", "2026-03", f"{workdir}/sb/out", f"{workdir}/sb/ckpt")
+    strip = lambda df: sorted((tuple(r) for r in df.drop("ingestion_ts").collect()), key=str)
+    stream = spark.read.parquet(f"{workdir}/sb/out").select(batch.columns)
+    assert strip(batch) == strip(stream) and len(strip(batch)) == 5
 
 
 def test_unknown_dataset_generic_names(spark, workdir):
@@ -78,6 +86,10 @@ def test_source_selection(spark, workdir):
     assert [os.path.basename(f) for f in files] == ["K3241.EMPRECSV"]
     with pytest.raises(FileNotFoundError):
         resolve_sources(spark, f"{workdir}/none/*|{workdir}/none2/*")
+    write_lines(f"{workdir}/c/Empresas 01%.txt", ['7;"X";1;1;1,00;01;'])
+    write_lines(f"{workdir}/c/Empresas [2].txt", ['8;"Y";1;1;1,00;01;'])
+    df, _ = read_bronze(spark, f"{workdir}/c/*.txt", "empresas", "2026-03")
+    assert sorted(r.cnpj_basico for r in df.collect()) == ["7", "8"]
 
 
 def test_encoding_choice_for_code_lists(spark, workdir):
@@ -86,6 +98,14 @@ def test_encoding_choice_for_code_lists(spark, workdir):
     choice = choose_encoding(spark, [src], "paises", default="utf-8")
     assert (choice.from_encoding, choice.to_encoding, choice.bad_before) == ("utf-8", "latin1", 1)
     assert choose_encoding(spark, [src], "paises", default="latin1").to_encoding == "latin1"
+    # valid windows-1252 stays; its undefined bytes switch; cells count, not lines
+    good = write_lines(f"{workdir}/enc/Good.txt", ["1;CAFÉ – €", "2;x"], encoding="cp1252")
+    assert choose_encoding(spark, [good], "paises", default="cp1252").to_encoding == "cp1252"
+    df, _ = read_bronze(spark, good, "paises", "2026-03", encoding="cp1252")
+    assert sorted(r.descricao for r in df.collect()) == ["CAFÉ – €", "x"]
+    bad = write_lines(f"{workdir}/enc/Bad.txt", ["\x81;\x8d", "2;x"])
+    choice = choose_encoding(spark, [bad], "paises", default="cp1252")
+    assert (choice.to_encoding, choice.bad_before) == ("latin1", 2)
     df, _ = read_bronze(spark, src, "paises", "2026-03", encoding="utf-8")
     assert sorted(r.descricao for r in df.collect()) == ["ALEMANHA", "BRASIL", "ÇATALÃO"]
 
@@ -140,8 +160,13 @@ def test_three_layers_and_month_replace(spark, workdir):
     assert dropped == 2
     left = read_table(spark, root, "gold", "empresas")
     assert [r.cnpj_basico for r in left.collect()] == ["3"]
-    runs = spark.read.parquet(f"{root}/_runs")
-    assert runs.where(F.col("status") == "completed").count() == 3
+    from regspark.operators.runs import current_runs, run_rates, runs_by
+    from regspark.sinks.runlog import RunLog
+
+    states = current_runs(RunLog(spark, root).events(), ["run_id", "stage"])
+    assert states.count() == 12 and run_rates(states).first().success_rate == 100.0
+    by = {r.stage: r for r in runs_by(states, ["stage"]).collect()}
+    assert (by["bronze"].records, by["silver"].records, by["gold"].records, by["run"].runs) == (7, 5, 5, 3)
 
 
 def test_quality_gate_exact_boundary(spark, workdir):
@@ -160,8 +185,58 @@ def test_quality_gate_exact_boundary(spark, workdir):
     with pytest.raises(QualityGateError):
         run_month(spark, src2, "socios", "2026-04", root, keys=["cnpj_basico", "identificador_socio"])
     assert read_table(spark, root, "silver", "socios").where("data_version = '2026-04'").count() == 0
-    failed = spark.read.parquet(f"{root}/_runs").where(F.col("status") == "failed").count()
-    assert failed == 1
+    failed = spark.read.parquet(f"{root}/_runs").where(F.col("status") == "failed")
+    assert sorted(r.stage for r in failed.collect()) == ["run", "silver"]
+    # A month that fails the gate later keeps what it had.
+    with pytest.raises(QualityGateError):
+        run_month(spark, src2, "socios", "2026-03", root, keys=["cnpj_basico", "identificador_socio"])
+    assert read_table(spark, root, "silver", "socios", "2026-03").count() == 10
+    assert not [f for f in os.listdir(f"{root}/silver/socios") if f.startswith("_")]
+
+
+def test_unknown_key_raises(spark):
+    df = spark.createDataFrame([("1", "1", "1"), ("1", "2", "1")], "cnpj_basico string, cnpj_ordem string, cnpj_dv string")
+    with pytest.raises(ValueError, match="cnpj_ordm"):
+        silver_frame(df, "estabelecimentos", ["cnpj_basico", "cnpj_ordm"])
+
+
+def test_failing_write_keeps_the_old_month(spark, workdir):
+    root = f"{workdir}/atomic"
+    df = spark.range(5).selectExpr("string(id) AS x")
+    publish_month(df, root, "gold", "t", "2026-01")
+    broken = df.selectExpr("if(x = '3', raise_error('disk'), x) AS x")
+    with pytest.raises(Exception, match="disk"):
+        publish_month(broken, root, "gold", "t", "2026-01")
+    assert read_table(spark, root, "gold", "t", "2026-01").count() == 5
+    assert os.listdir(f"{root}/gold/t") == ["data_version=2026-01"]
+
+
+def test_month_drop_on_a_clustered_table(spark, workdir):
+    root = f"{workdir}/clustered"
+    df = spark.createDataFrame([("a", "0075"), ("b", "0001"), ("c", None)], "x string, town string")
+    for month in ("2026-01", "2026-02"):
+        publish_month(df, root, "mart", "t", month, cluster_by="town")
+    assert drop_month(spark, root, "mart", "t", "2026-01", dry_run=True) == 3
+    assert drop_month(spark, root, "mart", "t", "2026-01") == 3
+    back = read_table(spark, root, "mart", "t")
+    assert sorted((r.x, r.town) for r in back.where("town is not null").collect()) == [("a", "0075"), ("b", "0001")]
+    assert read_table(spark, root, "mart", "t", "2026-02").count() == 3
+    assert read_table(spark, root, "mart", "t", "2026-01").count() == 0
+
+
+def test_no_private_folder_off_a_local_master():
+    from types import SimpleNamespace as Fake
+
+    from regspark import session
+
+    def fake(master, named=None):
+        context = Fake(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda path: None)
+        return Fake(conf=Fake(get=lambda key, default: named), sparkContext=context)
+
+    assert session.checkpoint_root(fake("spark://host:7077", "hdfs://x/y/")) == "hdfs://x/y"
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.checkpoint_root(fake(master))
 
 
 def test_silver_dates_keep_raw(spark):
@@ -186,11 +261,25 @@ def test_gold_projection_and_mart(spark):
     assert g.columns == ["codigo", "descricao"]
     mart = mart_projection(df, ["codigo", "descricao", "dataset_month", "data_version", "id"])
     assert mart.columns == ["codigo", "descricao", "dataset_month", "data_version"]
-    assert mart_projection(df, ["nothing"]) is None
-    opts = jdbc_options("cnpj_gold.cnaes", {"url": "jdbc:postgresql://db/x", "user": "u",
-                                            "password": "p", "driver": "org.postgresql.Driver"})
-    assert opts["dbtable"] == "cnpj_gold.cnaes" and opts["driver"] == "org.postgresql.Driver"
-    assert delete_sql("t") == "DELETE FROM t WHERE dataset_month = ? OR data_version = ?"
+    with pytest.raises(ValueError):
+        mart_projection(df, ["nothing"])
+    opts = jdbc_options("mart.codes", {"url": "jdbc:postgresql://db/x", "user": "u",
+                                       "password": "p", "driver": "org.postgresql.Driver"})
+    assert opts["dbtable"] == "mart.codes" and opts["driver"] == "org.postgresql.Driver"
+
+
+def test_mart_replace_deletes_before_it_appends(spark):
+    """Statement order only: no database is started here."""
+    df = spark.createDataFrame([("01", "2026-03")], "codigo string, data_version string")
+    calls = []
+    run = lambda sql, params: calls.append((sql, params))
+    append = lambda out, table, conn: calls.append((table, out.columns)) or 1
+    assert replace_month(df, "mart.codes", ["codigo", "data_version"], {"url": "x"}, "2026-03", run, append) == 1
+    assert calls == [("DELETE FROM mart.codes WHERE dataset_month = ? OR data_version = ?", ["2026-03", "2026-03"]),
+                     ("mart.codes", ["codigo", "data_version"])]
+    with pytest.raises(ValueError):
+        replace_month(df, "mart.codes", ["other"], {"url": "x"}, "2026-03", run, append)
+    assert len(calls) == 2
 
 
 def test_publish_month_empty_replaces(spark, workdir):
@@ -211,3 +300,8 @@ def test_reingest_dry_run_counts(spark, workdir):
     assert out["dropped"] == {"bronze": 1, "silver": 1, "gold": 1}
     out = reingest_month(spark, src, "empresas", "2026-05", root, record_runs=False)
     assert out["result"].gold.rows == 1
+    with pytest.raises(FileNotFoundError):
+        reingest_month(spark, f"{workdir}/none", "empresas", "2026-05", root, record_runs=False)
+    assert read_table(spark, root, "gold", "empresas", "2026-05").count() == 1
+    assert reingest_month(spark, src, "empresas", "2026-05", root, skip_run=True)["dropped"]["gold"] == 1
+    assert read_table(spark, root, "gold", "empresas").count() == 0 if os.listdir(f"{root}/gold/empresas") else True

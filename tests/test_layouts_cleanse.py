@@ -10,27 +10,21 @@ from pyspark.sql import functions as F
 from regspark.functions.cleanse import (
     full_id, null_marker, parse_date, parse_money, strip_replacement, tidy,
 )
-from regspark.layouts import LAYOUTS, default_keys, layout_columns, normalize_dataset
-
-
-def test_aliases_and_layouts():
-    assert normalize_dataset("empresa") == "empresas"
-    assert normalize_dataset("SOCIOS") == "socios"
-    assert normalize_dataset(" Municipio ") == "municipios"
-    assert normalize_dataset("pais") == "paises"
-    assert normalize_dataset("qualificacao") == "qualificacoes"
-    assert normalize_dataset("Outro") == "outro"
-    est = layout_columns("estabelecimento")
-    assert len(est) == 32 and est[-2:] == ["extra_col_1", "extra_col_2"]
-    assert layout_columns("desconhecido") == []
+from regspark.layouts import LAYOUTS, dataset_spec
+
+
+def test_dataset_specs():
+    for asked, name in {"empresa": "empresas", "SOCIOS": "socios", " Municipio ": "municipios", "pais": "paises",
+                        "qualificacao": "qualificacoes", "Outro": "outro", None: ""}.items():
+        assert dataset_spec(asked).name == name
+    est = dataset_spec("estabelecimento")
+    assert len(est.layout) == 32 and est.layout[-2:] == ("extra_col_1", "extra_col_2")
+    assert est.keys == ("cnpj_basico", "cnpj_ordem", "cnpj_dv") and not est.code_list
+    unknown = dataset_spec("desconhecido")
+    assert unknown.layout == unknown.keys == () and dataset_spec("paises").code_list
     assert len(LAYOUTS["socios"]) == 11 and len(LAYOUTS["empresas"]) == 7
-
-
-def test_default_keys_and_override():
-    assert default_keys("empresas") == ["cnpj_basico"]
-    assert default_keys("estabelecimentos") == ["cnpj_basico", "cnpj_ordem", "cnpj_dv"]
-    assert default_keys("socios")[0] == "cnpj_basico" and len(default_keys("socios")) == 6
-    assert default_keys("empresas", ["foo", "bar"]) == ["foo", "bar"]
+    assert dataset_spec("socios").keys[0] == "cnpj_basico" and len(dataset_spec("socios").keys) == 6
+    assert dataset_spec("empresas").money == ("capital_social",)
 
 
 def _col(spark, values, expr):

@@ -8,7 +8,9 @@ import os
 from pyspark.sql import functions as F
 
 from conftest import write_lines
-from regspark.operators.profile import best_encoding, encoding_vote, file_profile
+from regspark.operators.profile import (
+    best_encoding, encoding_vote, file_encodings, file_profile, folder_profile,
+)
 from regspark.operators.runs import (
     current_runs, duration_histogram, encoding_fallbacks, run_rates, run_summary,
 )
@@ -24,6 +26,10 @@ def test_encoding_scorer_picks_each_file(spark, workdir):
     best = best_encoding(files.select(F.col("path"), F.col("content")), "content")
     got = {os.path.basename(r.path): r.encoding for r in best.collect()}
     assert got == {"utf8.txt": "utf-8", "latin.txt": "latin1", "ascii.txt": "latin1"}
+    # the file-level form: whole files line by line, every candidate ranked
+    ranked = file_encodings(spark.read.text(f"{workdir}/enc")).collect()
+    assert len(ranked) == 12
+    assert {os.path.basename(r.file_path): r.encoding for r in ranked if r.rank == 1} == got
     vote = encoding_vote(best.withColumn("g", F.lit(1)), "g").first()
     assert vote.encoding == "latin1" and vote.wins == 2
 
@@ -31,8 +37,12 @@ def test_encoding_scorer_picks_each_file(spark, workdir):
 def test_layout_profile(spark, workdir):
     write_lines(f"{workdir}/prof/a.txt", ["1;2", "3;4", "1;2;3;4;5"])
     write_lines(f"{workdir}/prof/B", ["x"])
-    prof = file_profile(spark.read.text(f"{workdir}/prof"))
-    rows = {r.file_name: r for r in prof.collect()}
+    write_lines(f"{workdir}/prof2/a.txt", ["9;9", "8;8", "1;2;3;4;5"])  # same name and size, another file
+    prof = file_profile(spark.read.text([f"{workdir}/prof", f"{workdir}/prof2"]))
+    assert prof.count() == 3
+    rows = {r.file_name: r for r in prof.where("folder not like '%prof2'").collect()}
+    assert rows["a.txt"].first_line == "1;2"
+    assert {r.folder[-5:]: (r.n_files, r.n_lines) for r in folder_profile(prof).collect()} == {"/prof": (2, 4), "prof2": (1, 3)}
     a = rows["a.txt"]
     assert (a.n_lines, a.min_fields, a.max_fields, a.distinct_fields) == (3, 2, 5, "2,5")
     assert a.extension == ".txt" and rows["B"].extension == "none"

@@ -147,7 +147,7 @@ def test_v5_consolidated(tables):
 
 def test_register_views(spark, tables):
     views.register_views(tables)
-    n = spark.sql("SELECT count(*) FROM vw_cnpj_consolidado").first()[0]
+    n = spark.sql("SELECT count(*) FROM vw_agente_cnpj_consolidado").first()[0]
     assert n == 5
 
 
