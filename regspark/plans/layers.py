@@ -10,8 +10,9 @@ never replaces a good one and the month is scanned and shuffled once.
 
 from __future__ import annotations
 
-import logging
-from collections.abc import Sequence
+import functools
+import itertools
+from collections.abc import Callable, Sequence
 from contextlib import nullcontext
 from dataclasses import dataclass, field
 from decimal import Decimal
@@ -24,12 +25,12 @@ from regspark.layouts import dataset_spec
 from regspark.operators.preferred import dedup
 from regspark.operators.quality import DEFAULT_THRESHOLD, enforce_gate
 from regspark.sinks.lake import (
-    WriteResult, drop_month_all_layers, publish_month, read_table,
+    Folder, WriteResult, drop_month_all_layers, publish_month, read_table,
 )
 from regspark.sinks.runlog import RunLog
-from regspark.sources.text import DEFAULT_ENCODING, EncodingChoice, read_bronze
-
-log = logging.getLogger(__name__)
+from regspark.sources.text import (
+    DEFAULT_ENCODING, EncodingChoice, read_bronze, resolve_sources,
+)
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
 
@@ -125,14 +126,58 @@ def run_gold(spark: SparkSession, dataset: str, month: str, root: str) -> WriteR
 def run_month(spark: SparkSession, source, dataset: str, month: str, root: str,
               keys: Sequence[str] | None = None, encoding: str = DEFAULT_ENCODING,
               sep: str = ";", threshold: int = DEFAULT_THRESHOLD,
-              record_runs: bool = True) -> MonthResult:
+              record_runs: bool = True, archive_to: str | None = None) -> MonthResult:
     """Bronze -> silver -> gold in one session, with a record of the run and of each stage.
 
-    Any failure marks its stage and the run failed and re-raises.
+    Any failure marks its stage and the run failed and re-raises. With
+    ``archive_to`` the consumed files are moved there (K9) once gold is written;
+    ``source`` must then be a path, a glob or alternatives.
     """
     name = dataset_spec(dataset).name
+    files = resolve_sources(spark, source) if archive_to else []
+    read = functools.partial(run_bronze, spark, source, name, month, root, encoding, sep)
+    return _build_month(spark, read, name, str(source), month, root, keys, threshold, record_runs,
+                        lambda: archive_files(spark, files, archive_to, name, month))
+
+
+def run_arrivals(spark: SparkSession, source_dir: str, dataset: str, month: str, root: str,
+                 archive_dir: str | None = None, keys: Sequence[str] | None = None,
+                 encoding: str = DEFAULT_ENCODING, sep: str = ";", threshold: int = DEFAULT_THRESHOLD,
+                 record_runs: bool = True) -> MonthResult:
+    """R1 + R3: take in the files that arrived since the last call, then rebuild the month from all of them."""
+    from regspark.streaming.archive import ingest_available
+
+    name = dataset_spec(dataset).name
+    arrivals = f"{root.rstrip('/')}/_arrivals/{name}/{month}"
+
+    def take_in() -> tuple[WriteResult, EncodingChoice]:
+        ingest_available(spark, source_dir, name, month, f"{arrivals}/rows", f"{arrivals}/checkpoint", archive_dir,
+                         encoding, sep)
+        rows = spark.read.parquet(f"{arrivals}/rows")
+        return publish_month(rows, root, BRONZE, name, month), EncodingChoice(name, encoding, encoding, 0, 0)
+
+    return _build_month(spark, take_in, name, source_dir, month, root, keys, threshold, record_runs)
+
+
+def archive_files(spark: SparkSession, files: Sequence[str], archive_root: str | None, dataset: str, month: str) -> list[str]:
+    """K9: move consumed files below dataset and month; a name that is taken gets a number."""
+    moved = []
+    for path in files:
+        folder, name = f"{archive_root.rstrip('/')}/{dataset}/{month}", path.rpartition("/")[2]
+        stem, dot, suffix = name.rpartition(".")
+        stem, suffix = (stem, dot + suffix) if stem else (name, "")
+        names = itertools.chain([name], (f"{stem}-{k}{suffix}" for k in itertools.count(1)))
+        free = next(n for n in names if not Folder(spark, f"{folder}/{n}").exists())
+        Folder(spark, path).move_to(Folder(spark, f"{folder}/{free}"))
+        moved.append(f"{folder}/{free}")
+    return moved
+
+
+def _build_month(spark: SparkSession, read_in: Callable[[], tuple[WriteResult, EncodingChoice]], name: str, source: str,
+                 month: str, root: str, keys: Sequence[str] | None, threshold: int | float, record_runs: bool,
+                 afterwards: Callable[[], object] = lambda: None) -> MonthResult:
     runs = RunLog(spark, root) if record_runs else None
-    run = runs.start(f"registry_{name}", name, str(source), month) if runs else None
+    run = runs.start(f"registry_{name}", name, source, month) if runs else None
     result = MonthResult(name, month)
 
     def stage(which: str):
@@ -143,7 +188,7 @@ def run_month(spark: SparkSession, source, dataset: str, month: str, root: str,
 
     try:
         with stage(BRONZE) as out:
-            result.bronze, result.encoding = run_bronze(spark, source, name, month, root, encoding, sep)
+            result.bronze, result.encoding = read_in()
             note(out, result.bronze)
         if runs and result.encoding.from_encoding != result.encoding.to_encoding:
             # Only switches feed the fallback metrics; skip a write otherwise.
@@ -154,6 +199,7 @@ def run_month(spark: SparkSession, source, dataset: str, month: str, root: str,
         with stage(GOLD) as out:
             result.gold = run_gold(spark, name, month, root)
             note(out, result.gold)
+        afterwards()
     except Exception:
         if runs:
             runs.finish(run, "failed", failed=1)

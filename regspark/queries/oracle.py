@@ -761,3 +761,5 @@ SELECT stage, 'empresas' AS dataset, 'completed' AS status, {_M} AS data_version
        0::DOUBLE AS record_error_rate, 4::BIGINT AS total_runs, 100::DOUBLE AS success_rate
 FROM n, (VALUES ('bronze', 2), ('silver', 1), ('gold', 1), ('run', 1)) v(stage, times)
 """
+
+SQL["stream_to_gold"] = SQL["text_ingest_companies"]

@@ -238,6 +238,23 @@ def stream_ingest_companies(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@register
+def stream_to_gold(spark: SparkSession, d: str) -> DataFrame:
+    """R1 + R3: arriving files through all layers, in two calls; the second
+    brings the other half and rebuilds the month from both."""
+    from regspark.plans.layers import run_arrivals
+    from regspark.session import scratch_path
+    from regspark.sinks.lake import read_table
+
+    base = scratch_path(spark, "arrivals")
+    lines = company_lines(spark, d)
+    for half in (0, 1):
+        part = lines.where(F.crc32(F.col("value").cast("binary")) % 2 == half)
+        part.write.mode("append").text(f"{base}/landing")
+        run_arrivals(spark, f"{base}/landing", "empresas", REGISTRY_MONTH, f"{base}/lake", f"{base}/archive")
+    return read_table(spark, f"{base}/lake", "gold", "empresas")
+
+
 def branch_lines(spark: SparkSession, d: str) -> DataFrame:
     """``Estabelecimentos`` extract lines from orders (all 32 fields): quoted
     street names, null markers, an invalid start date for some branches."""

@@ -106,8 +106,8 @@ def scan_width(lines: DataFrame, dataset: str, sep: str = ";") -> int:
 
 
 def resolve_sources(spark: SparkSession, spec: str) -> list[str]:
-    """Alternatives separated by ``|``; the first that lists at least one
-    usable file wins. Hidden files (Spark skips ``.`` and ``_`` names) and
+    """Paths of the first of the ``|``-separated alternatives that lists at
+    least one usable file. Hidden files (Spark skips ``.`` and ``_`` names) and
     ``.zip`` archives do not count. Only file names reach the driver."""
     for alt in [a.strip() for a in spec.split("|") if a.strip()]:
         try:
@@ -117,7 +117,7 @@ def resolve_sources(spark: SparkSession, spec: str) -> list[str]:
                 continue
             raise
         usable = sorted(
-            _as_pattern(f) for f in files
+            f for f in map(unquote, files)
             if not f.rsplit("/", 1)[-1].startswith((".", "_"))
             and not f.lower().endswith(SKIPPED_SUFFIXES)
         )
@@ -126,9 +126,9 @@ def resolve_sources(spark: SparkSession, spec: str) -> list[str]:
     raise FileNotFoundError(f"no input file matches {spec!r}")
 
 
-def _as_pattern(uri: str) -> str:
-    """A listed file's URI as a path for the reader: percent codes resolved, glob signs escaped."""
-    return re.sub(r"([\\*?{}\[\]])", r"\\\1", unquote(uri))
+def as_pattern(path: str) -> str:
+    """A listed file's path for the reader, which takes patterns: glob signs escaped."""
+    return re.sub(r"([\\*?{}\[\]])", r"\\\1", path)
 
 
 def apply_layout(raw: DataFrame, dataset: str) -> DataFrame:
@@ -212,7 +212,7 @@ def read_bronze(spark: SparkSession, source: str | Sequence[str], dataset: str,
     Lineage holds the bare file name for a single file and the full URI for
     several, as the two ingest modes of the registry jobs do.
     """
-    paths = resolve_sources(spark, source) if isinstance(source, str) else list(source)
+    paths = [as_pattern(p) for p in resolve_sources(spark, source)] if isinstance(source, str) else list(source)
     if full_path is None:
         full_path = len(paths) > 1 or (isinstance(source, str) and any(ch in source for ch in "*?[|"))
     choice = choose_encoding(spark, paths, dataset, encoding, sep)

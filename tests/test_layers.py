@@ -305,3 +305,30 @@ def test_reingest_dry_run_counts(spark, workdir):
     assert read_table(spark, root, "gold", "empresas", "2026-05").count() == 1
     assert reingest_month(spark, src, "empresas", "2026-05", root, skip_run=True)["dropped"]["gold"] == 1
     assert read_table(spark, root, "gold", "empresas").count() == 0 if os.listdir(f"{root}/gold/empresas") else True
+
+
+def test_archive_after_gold_with_a_suffix_on_a_clash(spark, workdir):
+    root, archive = f"{workdir}/lake-a", f"{workdir}/archive"
+    for k in range(2):
+        src = _empresas(workdir, "arch", [f'{k};"X";1;1;1,00;01;'])
+        run_month(spark, src, "empresa", "2026-03", root, archive_to=archive, record_runs=False)
+        assert not os.path.exists(src)
+    assert sorted(f for f in os.listdir(f"{archive}/empresas/2026-03") if not f.startswith(".")) == ["Empresas-1.txt", "Empresas.txt"]
+    bad = _empresas(workdir, "arch", [';"X";1;1;1,00;01;'])
+    with pytest.raises(QualityGateError):
+        run_month(spark, bad, "empresas", "2026-03", root, archive_to=archive, record_runs=False)
+    assert os.path.exists(bad)  # not consumed
+
+
+def test_alerts_of_a_run_feed_its_summary(spark, workdir):
+    from regspark.operators.quality import rule_alerts
+    from regspark.operators.runs import current_runs, run_summary
+    from regspark.sinks.runlog import RunLog
+
+    log = RunLog(spark, f"{workdir}/lake-r")
+    run = log.start("registry_x", "x", "f", "2026-03")
+    df = spark.createDataFrame([(1, None), (2, "v")], "line long, v string")
+    log.record_alerts(run, rule_alerts(df, {"required": (F.col("v").isNotNull(), "v", "CRITICAL")}, "line"))
+    log.finish(run, "completed", 2)
+    got = run_summary(current_runs(log.events(), ["run_id", "stage"]), log.alerts()).first()
+    assert (got.status, got.alert_count, got.critical_alerts) == ("completed", 1, 1)
