@@ -169,8 +169,12 @@ def best_encoding(df: DataFrame, raw_col: str, candidates: Sequence[str] = CANDI
     """
     structs = []
     for pos, (name, text) in enumerate(candidate_texts(F.col(raw_col), candidates)):
-        if name == "utf-8-sig" and "utf-8" in candidates:
-            continue  # never before its equal, utf-8
+        # utf-8-sig equals utf-8; cp1252 differs from latin1 by decode errors only
+        # (no accented or control character lies between 0x80 and 0x9F): neither
+        # can win over its earlier twin, so it need not be scored.
+        twin = {"utf-8-sig": "utf-8", "cp1252": "latin1"}.get(name)
+        if twin in candidates[:pos]:
+            continue
         m = text_metrics(text)
         structs.append(F.struct(
             m["score"].alias("score"), F.lit(pos).alias("pos"), F.lit(name).alias("encoding"),

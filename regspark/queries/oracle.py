@@ -754,12 +754,23 @@ SELECT 'paises' AS dataset, 'utf-8' AS from_encoding, 'latin1' AS to_encoding, 1
 FROM nation
 """
 
+_STAGES = "(VALUES ('bronze', 2), ('silver', 1), ('gold', 1), ('run', 1)) v(stage, times)"
+
 SQL["runlog_stages"] = f"""
-WITH n AS (SELECT COUNT(*) AS n FROM customer)
 SELECT stage, 'empresas' AS dataset, 'completed' AS status, {_M} AS data_version, 1::BIGINT AS runs,
-       n * times AS records, n * times AS processed, 0::BIGINT AS failed, 100::DOUBLE AS record_success_rate,
-       0::DOUBLE AS record_error_rate, 4::BIGINT AS total_runs, 100::DOUBLE AS success_rate
-FROM n, (VALUES ('bronze', 2), ('silver', 1), ('gold', 1), ('run', 1)) v(stage, times)
+       times * (SELECT COUNT(*) FROM customer) AS records
+FROM {_STAGES}
+"""
+
+SQL["runlog_record_rates"] = f"""
+SELECT stage, times * (SELECT COUNT(*) FROM customer) AS processed, 0::BIGINT AS failed,
+       100::DOUBLE AS record_success_rate, 0::DOUBLE AS record_error_rate
+FROM {_STAGES}
+"""
+
+SQL["runlog_rates"] = """
+SELECT 4::BIGINT AS total_runs, 4::BIGINT AS successes, 0::BIGINT AS failures,
+       100::DOUBLE AS success_rate, 0::DOUBLE AS error_rate
 """
 
 SQL["stream_to_gold"] = SQL["text_ingest_companies"]

@@ -415,11 +415,9 @@ def encoding_switch(spark: SparkSession, d: str) -> DataFrame:
     return encoding_fallbacks(RunLog(spark, f"{base}/lake").encoding_audit())
 
 
-@register
-def runlog_stages(spark: SparkSession, d: str) -> DataFrame:
-    """K10 + A12-A18 on rows that the run log wrote: one ingest's stages, their
-    states and records."""
-    from regspark.operators.runs import current_runs, finished_runs, record_rates, run_rates, runs_by
+def _logged_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Current states of one ingest's run and stages, from the rows that the run log wrote."""
+    from regspark.operators.runs import current_runs
     from regspark.plans.layers import run_month
     from regspark.session import scratch_path
     from regspark.sinks.runlog import RunLog
@@ -427,6 +425,29 @@ def runlog_stages(spark: SparkSession, d: str) -> DataFrame:
     base = scratch_path(spark, "runlog")
     company_lines(spark, d).write.text(f"{base}/landing")
     run_month(spark, f"{base}/landing/part-*", "empresas", REGISTRY_MONTH, f"{base}/lake")
-    runs = current_runs(RunLog(spark, f"{base}/lake").events(), ["run_id", "stage"])
-    by = runs_by(finished_runs(runs), ["stage", "dataset", "status", "data_version"]).drop("mean_duration", "max_duration")
-    return by.join(record_rates(runs, ["stage"]), "stage").crossJoin(run_rates(runs).select("total_runs", "success_rate"))
+    return current_runs(RunLog(spark, f"{base}/lake").events(), ["run_id", "stage"])
+
+
+@register
+def runlog_stages(spark: SparkSession, d: str) -> DataFrame:
+    """K10 + A15: runs and records by stage, dataset, status and month."""
+    from regspark.operators.runs import runs_by
+
+    by = runs_by(_logged_runs(spark, d), ["stage", "dataset", "status", "data_version"])
+    return by.drop("mean_duration", "max_duration")
+
+
+@register
+def runlog_record_rates(spark: SparkSession, d: str) -> DataFrame:
+    """K10 + A12: record-level rates by stage."""
+    from regspark.operators.runs import record_rates
+
+    return record_rates(_logged_runs(spark, d), ["stage"])
+
+
+@register
+def runlog_rates(spark: SparkSession, d: str) -> DataFrame:
+    """K10 + A12 + A14: totals and rates of finished runs."""
+    from regspark.operators.runs import run_rates
+
+    return run_rates(_logged_runs(spark, d))

@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from regspark.layouts import MONTH_COLUMNS
 
@@ -128,23 +129,34 @@ def publish_months(df: DataFrame, root: str, layer: str, dataset: str) -> WriteR
     return WriteResult(path, int(obs.get.get("rows") or 0))
 
 
-def read_table(spark: SparkSession, root: str, layer: str, dataset: str,
-               month: str | None = None) -> DataFrame:
+def read_table(spark: SparkSession, root: str, layer: str, dataset: str, month: str | None = None,
+               within: Mapping[str, str] | None = None, schema: T.StructType | None = None) -> DataFrame:
     """Read a layer table; with ``month`` only that month's folder is listed and read.
 
-    Partition columns are strings, as written: town code ``0075`` keeps its zeros.
+    ``within`` names values of the directory levels below the month, in order,
+    and narrows listing and reading to their folder. ``schema`` (of an earlier
+    read) saves the look into the files. Partition columns are strings, as
+    written: town code ``0075`` keeps its zeros.
     """
     path = table_path(root, layer, dataset)
     inferred = spark.conf.get(_TYPE_INFERENCE)
     spark.conf.set(_TYPE_INFERENCE, "false")
     try:
         reader = spark.read.option("basePath", path)
-        if month is not None and Folder(spark, month_path(root, layer, dataset, month)).exists():
-            return reader.parquet(month_path(root, layer, dataset, month))
+        if schema is not None:
+            reader = reader.schema(schema)
+        if month is not None:
+            folder = "/".join([month_path(root, layer, dataset, month), *(f"{k}={v}" for k, v in (within or {}).items())])
+            if Folder(spark, folder).exists():
+                return reader.parquet(folder)
         df = reader.parquet(path)
     finally:
         spark.conf.set(_TYPE_INFERENCE, inferred)
-    return df if month is None else df.where(F.col(MONTH) == F.lit(month))
+    if month is not None:
+        df = df.where(F.col(MONTH) == F.lit(month))
+    for column, value in (within or {}).items():
+        df = df.where(F.col(column) == F.lit(value))
+    return df
 
 
 def month_rows(spark: SparkSession, root: str, layer: str, dataset: str, month: str) -> int:

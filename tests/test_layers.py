@@ -220,7 +220,11 @@ def test_month_drop_on_a_clustered_table(spark, workdir):
     assert drop_month(spark, root, "mart", "t", "2026-01") == 3
     back = read_table(spark, root, "mart", "t")
     assert sorted((r.x, r.town) for r in back.where("town is not null").collect()) == [("a", "0075"), ("b", "0001")]
-    assert read_table(spark, root, "mart", "t", "2026-02").count() == 3
+    february = read_table(spark, root, "mart", "t", "2026-02")
+    assert february.count() == 3
+    one = read_table(spark, root, "mart", "t", "2026-02", {"town": "0075"}, february.schema)
+    assert [tuple(r) for r in one.collect()] == [tuple(r) for r in february.where("town = '0075'").collect()] and one.count() == 1
+    assert read_table(spark, root, "mart", "t", "2026-02", {"town": "none"}).count() == 0
     assert read_table(spark, root, "mart", "t", "2026-01").count() == 0
 
 
