@@ -774,3 +774,9 @@ SELECT 4::BIGINT AS total_runs, 4::BIGINT AS successes, 0::BIGINT AS failures,
 """
 
 SQL["stream_to_gold"] = SQL["text_ingest_companies"]
+
+SQL["reingest_companies"] = f"""
+WITH n AS (SELECT COUNT(*) AS n FROM customer)
+SELECT layer, {_M} AS data_version, n AS n_rows, CAST(n * times AS INTEGER) AS had, CAST(n * times AS INTEGER) AS dropped
+FROM n, (VALUES ('bronze', 2), ('silver', 1), ('gold', 1)) v(layer, times)
+"""

@@ -415,6 +415,28 @@ def encoding_switch(spark: SparkSession, d: str) -> DataFrame:
     return encoding_fallbacks(RunLog(spark, f"{base}/lake").encoding_audit())
 
 
+@register
+def reingest_companies(spark: SparkSession, d: str) -> DataFrame:
+    """K7 + K8: a month is ingested, then rebuilt from other files; a second
+    month is dropped from every layer. Returns what is left, with the counts."""
+    from regspark.plans.layers import reingest_month, run_month
+    from regspark.session import scratch_path
+    from regspark.sinks.lake import drop_month_all_layers, read_table
+
+    base = scratch_path(spark, "reingest")
+    lines = company_lines(spark, d)
+    lines.write.text(f"{base}/first")
+    lines.where(~F.contains("value", F.lit(" LTDA"))).write.text(f"{base}/second")
+    for month in MONTHS:
+        run_month(spark, f"{base}/first/part-*", "empresas", month, f"{base}/lake", record_runs=False)
+    had = reingest_month(spark, f"{base}/second/part-*", "empresa", MONTHS[0], f"{base}/lake", record_runs=False)["dropped"]
+    dropped = drop_month_all_layers(spark, f"{base}/lake", "empresas", MONTHS[1])
+    rows = [read_table(spark, f"{base}/lake", layer, "empresas").groupBy("data_version").agg(F.count(F.lit(1)).alias("n_rows"))
+            .select(F.lit(layer).alias("layer"), "data_version", "n_rows", F.lit(had[layer]).alias("had"),
+                    F.lit(dropped[layer]).alias("dropped")) for layer in ("bronze", "silver", "gold")]
+    return rows[0].union(rows[1]).union(rows[2])
+
+
 def _logged_runs(spark: SparkSession, d: str) -> DataFrame:
     """Current states of one ingest's run and stages, from the rows that the run log wrote."""
     from regspark.operators.runs import current_runs
