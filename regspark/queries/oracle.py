@@ -545,12 +545,10 @@ qualificacoes AS (SELECT CAST(n_nationkey AS VARCHAR) AS codigo, 'QUALIF ' || n_
 cnaes AS (SELECT CAST(r_regionkey AS VARCHAR) AS codigo, r_name AS descricao, data_version FROM regions),
 motivos AS (SELECT CAST(r_regionkey AS VARCHAR) AS codigo, 'MOTIVO ' || r_name AS descricao, data_version FROM regions),
 pref_est AS (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY cnpj_basico, data_version
-      ORDER BY CASE WHEN identificador_matriz_filial = '1' THEN 0 ELSE 1 END, cnpj_ordem, cnpj_dv) AS rn
-  FROM est),
+  SELECT unnest(arg_min(est, {{'f': identificador_matriz_filial <> '1', 'o': cnpj_ordem, 'd': cnpj_dv}})), 1 AS rn
+  FROM est GROUP BY cnpj_basico, data_version),
 pref_emp AS (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY cnpj_basico, data_version ORDER BY razao_social) AS rn
-  FROM empresas)"""
+  SELECT unnest(arg_min(empresas, razao_social)), 1 AS rn FROM empresas GROUP BY cnpj_basico, data_version)"""
 
 SQL["registry_companies_with_state"] = f"""
 WITH {_REG}

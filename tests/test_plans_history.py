@@ -14,7 +14,6 @@ from regspark.operators.lookup import lookup
 from regspark.operators.preferred import flag_first, preferred_row
 from regspark.plans import history
 from regspark.plans.layers import run_month
-from regspark.sinks.lake import read_table
 
 SF = "/root/testdata/sf0.001"
 
