@@ -117,7 +117,7 @@ def _tile_pairs(members: DataFrame, percent: int) -> DataFrame:
     Members of a bucket are dealt by set size into bands one ratio wide (a link
     joins equal or neighbouring bands) and by hash into tiles of bounded weight.
     """
-    ratio = math.log(100 / percent) if percent < 100 else 1e-9
+    ratio = math.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1e-9  # rounding must not skip a band
     m = members.withColumn("step", F.floor(F.log("n") / F.lit(ratio)).cast("long"))
     tiles = m.groupBy("key", "step").agg(
         F.ceil(F.greatest(F.count("*") / TILE_DOCS, F.sum("n") / TILE_SHINGLES)).cast("int").alias("parts"))
@@ -171,9 +171,10 @@ def minhash_groups(
     pivots = members.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("c")).where("c > 1").drop("c")
     hot = stored(members.join(pivots, "key"), "minhash-buckets")
 
+    # merged, never broadcast: the list of ids grows with the corpus
     wanted = hot.select(F.col("id").alias("doc_id")).distinct()
     sets = stored(
-        docs.where("doc_id is not null").join(wanted, "doc_id", "left_semi").mapInArrow(_sets(width), "id long, shingles array<bigint>")
+        docs.where("doc_id is not null").join(wanted.hint("merge"), "doc_id", "left_semi").mapInArrow(_sets(width), "id long, shingles array<bigint>")
         .where("size(shingles) > 0"), "minhash-sets")
 
     first = hot.where("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
@@ -209,5 +210,7 @@ def minhash_groups(
 
 def near_duplicates_dropped(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without all but the smallest doc_id of every group; columns unchanged."""
-    gone = minhash_groups(docs, width, percent).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    gone = minhash_groups(docs, width, percent).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])  # by position: names may clash
+    key = plain[f"_c{docs.columns.index('doc_id')}"].cast("long")
+    return plain.join(gone.hint("merge"), key == gone["gone"], "left_anti").toDF(*docs.columns)
