@@ -174,7 +174,7 @@ def _predict(model: Model, min_gap: float):
     return run
 
 
-def identify(docs: DataFrame, model: Model | None = None, min_gap: float = 0.05) -> DataFrame:
+def identify(docs: DataFrame, model: Model | None = None, min_gap: float = 0.01) -> DataFrame:
     """One row per document: ``doc_id, held_out, lang_pred, score, ambiguous``.
 
     ``score`` (0 to 1) is the share of the chosen codeword in the softmax of
@@ -201,6 +201,6 @@ def _accepted(model: Model, min_gap: float, column: int):
     return run
 
 
-def unknown_dropped(docs: DataFrame, min_gap: float = 0.05) -> DataFrame:
+def unknown_dropped(docs: DataFrame, min_gap: float = 0.01) -> DataFrame:
     """The rows of ``docs`` with a clear language; columns and kept rows unchanged."""
     return docs.mapInArrow(_accepted(train(docs), min_gap, docs.columns.index("text")), docs.schema)

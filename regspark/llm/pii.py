@@ -20,7 +20,6 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import U64, pick
 
@@ -483,13 +482,19 @@ def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
     return "".join(out) + text[at:]
 
 
-def _redacted(crf: Crf, column: int):
+def _redacted(crf: Crf, column: int, size: int | None):
     def run(batches):
         memory: dict = {}
         for batch in batches:
             texts = [t.as_py() for t in batch.column(column)]
-            new = pa.array([t and redact(t, all_spans(crf, t, memory)[1]) for t in texts], pa.string())
-            yield batch.set_column(column, batch.schema.field(column), new.cast(batch.schema.field(column).type))
+            new = [t and redact(t, all_spans(crf, t, memory)[1]) for t in texts]
+            columns = list(batch.columns)
+            columns[column] = pa.array(new, pa.string()).cast(batch.schema.field(column).type)
+            if size is not None:
+                kept = columns[size].to_pylist()
+                counts = [old if t is None else len(t) for t, old in zip(new, kept)]
+                columns[size] = pa.array(counts, batch.schema.field(size).type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
     return run
 
 
@@ -498,7 +503,6 @@ def masked(docs: DataFrame, crf: Crf | None = None) -> DataFrame:
 
     ``n_chars``, if there, is the new text's length; null texts stay null.
     """
-    out = docs.mapInArrow(_redacted(crf or Crf(), docs.columns.index("text")), docs.schema)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
-    return out
+    names = docs.columns
+    size = names.index("n_chars") if "n_chars" in names else None
+    return docs.mapInArrow(_redacted(crf or Crf(), names.index("text"), size), docs.schema)

@@ -8,7 +8,7 @@ import pytest
 from regspark.llm.components import connected_components, local_roots
 from regspark.llm.embedding_dedup import embedding_links, linked_pairs
 from regspark.llm.minhash import minhash_groups, near_duplicates_dropped
-from regspark.llm.shingles import shingle_set, superminhash
+from regspark.llm.shingles import superminhash
 
 
 def components(ids, links):
@@ -117,6 +117,8 @@ def test_minhash_null_ids_repeats_extra_columns_and_empty(spark):
     assert got == sorted([(1, 1, True), (2, 1, False), (2, 1, False), (None, None, True)], key=str)
     kept = near_duplicates_dropped(df)
     assert kept.columns == df.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "None"]
+    clash = df.toDF("doc_id", "text", "DOC_ID", "TEXT")  # names that differ in case only
+    assert near_duplicates_dropped(clash).columns == clash.columns and near_duplicates_dropped(clash).count() == 2
     assert minhash_groups(df.where("false")).count() == 0
     with pytest.raises(ValueError):
         minhash_groups(df.drop("text"))

@@ -134,6 +134,8 @@ def test_masking_keeps_rows(spark):
     df = spark.createDataFrame([(1, "write a@b.cc or 1.2.3.4!", 24), (2, None, 7), (3, "clean text", 10)], "doc_id long, text string, n_chars long")
     got = {r.doc_id: (r.text, r.n_chars) for r in pii.masked(df).collect()}
     assert got == {1: ("write [EMAIL] or [IP]!", 22), 2: (None, 7), 3: ("clean text", 10)}
+    clash = df.selectExpr("doc_id", "text", "'x' AS TEXT")
+    assert sorted(str(r[1]) for r in pii.masked(clash).collect()) == ["None", "clean text", "write [EMAIL] or [IP]!"]
     assert pii.redact("abcdef", [("ip", 1, 4), ("card", 2, 3), ("phone", 3, 5)]) == "a[IP]f"
 
 
