@@ -28,6 +28,15 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return plain.select(*out)
 
 
+def map_rows(df: DataFrame, fn) -> DataFrame:
+    """All columns of ``df`` as Arrow batches through ``fn``, which gives back the same columns.
+
+    Columns go by position, so names may repeat or differ in case only.
+    """
+    plain = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
+    return plain.mapInArrow(fn, plain.schema).toDF(*df.columns)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` written to the shared scratch folder and read back.
 

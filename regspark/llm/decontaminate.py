@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, process_cache
+from .common import map_rows, pick, process_cache
 
 BLOCK_CHARS = 4_000_000
 _GAPS = re.compile(r"[\W_]+")
@@ -175,5 +175,5 @@ def _clean_rows(items: list[tuple[int, str]], rate: float, key: str, column: int
 def leaked_dropped(docs: DataFrame, benchmark: DataFrame, rate: float = 0.06, min_words: int = 8) -> DataFrame:
     """The rows of ``docs`` that contain no benchmark item; columns and all other rows unchanged."""
     for items, key in _blocks(benchmark, min_words, BLOCK_CHARS):
-        docs = docs.mapInArrow(_clean_rows(items, rate, key, docs.columns.index("text")), docs.schema)
+        docs = map_rows(docs, _clean_rows(items, rate, key, docs.columns.index("text")))
     return docs

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, mix64, pick
+from .common import U64, map_rows, mix64, pick
 
 FEATURES = 1 << 14
 MAX_LANGUAGES = 512
@@ -203,4 +203,4 @@ def _accepted(model: Model, min_gap: float, column: int):
 
 def unknown_dropped(docs: DataFrame, min_gap: float = 0.01) -> DataFrame:
     """The rows of ``docs`` with a clear language; columns and kept rows unchanged."""
-    return docs.mapInArrow(_accepted(train(docs), min_gap, docs.columns.index("text")), docs.schema)
+    return map_rows(docs, _accepted(train(docs), min_gap, docs.columns.index("text")))

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import U64, pick
+from .common import U64, map_rows, pick
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE = KINDS[:4]
@@ -505,4 +505,4 @@ def masked(docs: DataFrame, crf: Crf | None = None) -> DataFrame:
     """
     names = docs.columns
     size = names.index("n_chars") if "n_chars" in names else None
-    return docs.mapInArrow(_redacted(crf or Crf(), names.index("text"), size), docs.schema)
+    return map_rows(docs, _redacted(crf or Crf(), names.index("text"), size))
