@@ -1,12 +1,13 @@
 """Licence scan by a positional rare-token index, with array functions only.
 
 The index holds, for each licence template, its rarest words and their places;
-rarity is the inverse document frequency counted over the whole corpus. For a
-file, its own highest-IDF licence words are looked up; every occurrence and
-every posting of the word give a place where the template would begin, and the
-places are intersected by testing the template's other rare words at their
-relative positions. What is left must hold the template's key phrases. Texts
-are read twice (counts, scan) and never shuffled.
+rarity is the inverse document frequency counted over the whole corpus. Of a
+template's n rare words, ``need`` must stand at their places, so one of its
+n - need + 1 rarest does: each place of those in a file gives a place where the
+template would begin, whatever else the file holds, and the places are
+intersected by testing the template's rare words at their relative positions.
+What is left must hold the template's key phrases. Texts are read twice
+(counts, scan) and never shuffled.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ TEMPLATES = [
 ]
 
 RARE_WORDS = 5
-FILE_WORDS = 12
+FILE_WORDS = 12  # of the SQL oracle alone, which looks up no more words of a file; the scan has no such bound
 
 
 @dataclass(frozen=True)
@@ -63,6 +64,16 @@ class Posting:
     phrases: list[str]
     rare: list[tuple[str, int]]
 
+    @property
+    def need(self) -> int:
+        """How many of the rare words must stand at their places."""
+        return min(max(2, math.ceil(0.6 * len(self.rare))), len(self.rare))
+
+    @property
+    def anchors(self) -> list[tuple[str, int]]:
+        """The rarest words, of which every set of ``need`` rare words holds one."""
+        return self.rare[: len(self.rare) - self.need + 1]
+
 
 def words_of(text: Column) -> Column:
     """Words of ASCII letters, digits and any non-ASCII characters; A-Z lowered, null text has none.
@@ -114,9 +125,8 @@ def _index_literal(index: list[Posting]) -> str:
     rows = []
     for p in index:
         rare = ", ".join(f"named_struct('w', '{w}', 'p', {at})" for w, at in p.rare)
-        need = max(2, math.ceil(0.6 * len(p.rare)))
         rows.append(f"named_struct('label', '{p.label}', 'words', {_strings(p.words)}, 'phrases', {_strings(p.phrases)}, "
-                    f"'rare', array({rare}), 'need', {min(need, len(p.rare))})")
+                    f"'rare', array({rare}), 'need', {p.need}, 'anchors', {len(p.anchors)})")
     return "array(" + ", ".join(rows) + ")"
 
 
@@ -135,15 +145,15 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     rows = pick(docs, doc_id="long", text="string")
     vocabulary = sorted({w for _, text, _ in TEMPLATES for w in text.split()})
     index, idf = rare_index(*document_frequencies(rows, vocabulary))
-    looked_up = sorted({w for p in index for w, _ in p.rare}, key=lambda w: (-idf[w], w))
+    looked_up = sorted({w for p in index for w, _ in p.anchors}, key=lambda w: (-idf[w], w))
 
     out = rows.select("doc_id", words_of(F.col("text")).alias("words"))
     out = out.select(
-        "doc_id", "words", F.expr(f"slice(array_intersect({_strings(looked_up)}, words), 1, {FILE_WORDS})").alias("rare"),
+        "doc_id", "words", F.expr(f"array_intersect({_strings(looked_up)}, words)").alias("rare"),
         *[F.expr(_places(phrase)).alias(f"at{k}") for k, (phrase, _) in enumerate(BASE_PHRASES)])
     hits = ("if(size(rare) = 0, filter(array(named_struct('w', '', 'i', 0)), x -> false), "
             "filter(transform(words, (w, i) -> named_struct('w', w, 'i', i)), x -> array_contains(rare, x.w)))")
-    starts = ("array_distinct(flatten(transform(t.rare, r -> transform(filter(hits, h -> h.w = r.w), h -> h.i - r.p))))")
+    starts = ("array_distinct(flatten(transform(slice(t.rare, 1, t.anchors), r -> transform(filter(hits, h -> h.w = r.w), h -> h.i - r.p))))")
     agree = f"filter({starts}, s -> size(filter(t.rare, r -> get(words, s + r.p) = r.w)) >= t.need)"
     span = "concat(' ', array_join(slice(words, greatest(s, 0) + 1, size(t.words) + least(s, 0)), ' '), ' ')"
     sure = f"filter({agree}, s -> forall(t.phrases, f -> contains({span}, concat(' ', f, ' '))))"

@@ -4,7 +4,7 @@ import random
 import re
 import zlib
 
-from regspark.llm.licenses import BASE_PHRASES, scan_licenses
+from regspark.llm.licenses import BASE_PHRASES, TEMPLATES, scan_licenses
 from regspark.llm.sharding import feistel_int, shard_rows
 from regspark.llm.url_filter import Rule, build_cascade, judge_urls, listed_in, mostly_blocked_hosts
 
@@ -95,6 +95,23 @@ def test_license_base_and_method(spark):
     assert scan_licenses(df.where("false")).count() == 0
 
 
+def test_license_scan_finds_every_notice_of_a_text(spark):
+    by_start = {text.split()[0] + str(k): (label, text) for k, (label, text, _) in enumerate(TEMPLATES)}
+    apache, gpl2 = by_start["you2"], by_start["gnu9"]
+    mit = by_start["permission13"]
+    assert (apache[0], gpl2[0], mit[0]) == ("apache-2", "gpl-2", "mit")
+    rng = random.Random(8)
+    picks = [TEMPLATES, TEMPLATES[::-1]] + [rng.sample(TEMPLATES, k) for k in (3, 4, 5, 5, 6, 8, 12) for _ in range(6)]
+    notices = [[(label, text) for label, text, _ in pick] for pick in picks] + [[apache, gpl2, mit]]
+    # common licence words in other texts, so that rarity differs between the templates' words
+    texts = [" filler words between the parts ".join(text for _, text in part) for part in notices]
+    common = [(1000 + k, "gnu general public license version lesser affero sharealike creative commons") for k in range(40)]
+    df = spark.createDataFrame([*enumerate(texts), *common], "doc_id long, text string")
+    got = {r.doc_id: set(r.labels.split(",")) for r in scan_licenses(df).collect()}
+    for k, part in enumerate(notices):
+        assert {label for label, _ in part} <= got[k], (k, {label for label, _ in part} - got[k])
+
+
 def test_feistel_is_a_permutation():
     for n in (1, 2, 3, 7, 100, 1009, 4096):
         assert sorted(feistel_int(i, n, 5) for i in range(n)) == list(range(n))
