@@ -6,6 +6,7 @@ One Aho-Corasick automaton finds all pieces of a block of items in one pass
 over each text; every hit fixes a window of the text, overlapping windows of
 an item are merged, and Myers' algorithm (one Python integer is the bit vector
 of a whole item) finds the smallest distance of the item to any substring.
+Short items are found as exact whole words, by the same automaton.
 
 Items are handled in blocks of bounded size, each a pass over the documents,
 so neither the driver nor a task ever holds an unbounded benchmark.
@@ -25,7 +26,12 @@ from pyspark.sql import functions as F
 from .common import map_rows, pick, process_cache
 
 BLOCK_CHARS = 4_000_000
+SHORT_WORD = 4  # characters: items of fewer words, but of that many characters a word, are not short
 _GAPS = re.compile(r"[\W_]+")
+# Scripts written without blanks between words; a word may begin or end at any of their letters.
+_UNSPACED = re.compile(
+    "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u30ff\u3100-\u312f\u31a0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+    "\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff]")
 SCHEMA = "doc_id long, item_id long, edits long, budget long"
 
 
@@ -41,6 +47,17 @@ def pieces(item: str, budget: int) -> list[tuple[int, str]]:
     return [(lo, item[lo:hi]) for lo, hi in zip(cuts, cuts[1:])]
 
 
+def is_short(item: str, min_words: int) -> bool:
+    """Too few words, and too few characters for a text whose words are not set apart."""
+    return len(item.split()) < min_words and len(item) < SHORT_WORD * min_words
+
+
+def whole_words(text: str, lo: int, hi: int) -> bool:
+    """Whether ``text[lo:hi]`` neither begins nor ends inside a word."""
+    inside = lambda k: 0 < k < len(text) and " " not in text[k - 1 : k + 1] and not _UNSPACED.search(text, k - 1, k + 1)
+    return not inside(lo) and not inside(hi)
+
+
 def substring_distance(item: str, text: str, masks: dict[str, int] | None = None) -> int:
     """Smallest edit distance of ``item`` to any substring of ``text`` (Myers 1999)."""
     m = len(item)
@@ -77,12 +94,13 @@ def letter_masks(item: str) -> dict[str, int]:
 class Matcher:
     """Finds all items of a block in texts."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float):
+    def __init__(self, items: list[tuple[int, str]], rate: float, min_words: int):
         import ahocorasick
 
-        self.items = [(i, t, math.floor(rate * len(t)), letter_masks(t)) for i, t in items]
+        self.items = [(i, t, 0 if short else math.floor(rate * len(t)), letter_masks(t), short)
+                      for i, t in items for short in [is_short(t, min_words)]]
         found: dict[str, list[tuple[int, int]]] = {}
-        for at, (_, text, budget, _) in enumerate(self.items):
+        for at, (_, text, budget, _, _) in enumerate(self.items):
             for lo, piece in pieces(text, budget):
                 found.setdefault(piece, []).append((at, lo))
         self.automaton = ahocorasick.Automaton()
@@ -102,7 +120,11 @@ class Matcher:
                 starts.setdefault(at, set()).add(end + 1 - size - lo)
         out = []
         for at, diagonals in starts.items():
-            item_id, item, budget, masks = self.items[at]
+            item_id, item, budget, masks, short = self.items[at]
+            if short:  # one piece, so every start is an exact place
+                if any(whole_words(text, d, d + len(item)) for d in diagonals):
+                    out.append((item_id, 0, 0))
+                continue
             if item in text:
                 out.append((item_id, 0, budget))
                 continue
@@ -121,9 +143,9 @@ class Matcher:
         return out
 
 
-def _scan(items: list[tuple[int, str]], rate: float, key: str):
+def _scan(items: list[tuple[int, str]], rate: float, min_words: int, key: str):
     def run(batches):
-        matcher = process_cache(f"matcher:{key}", lambda: Matcher(items, rate))
+        matcher = process_cache(f"matcher:{key}", lambda: Matcher(items, rate, min_words))
         schema = pa.schema([(c.split()[0], pa.int64()) for c in SCHEMA.split(", ")])
         for batch in batches:
             rows = []
@@ -134,14 +156,14 @@ def _scan(items: list[tuple[int, str]], rate: float, key: str):
     return run
 
 
-def _blocks(benchmark: DataFrame, min_words: int, block_chars: int):
+def _blocks(benchmark: DataFrame, block_chars: int):
     """Items in blocks of about ``block_chars`` characters, one block on the driver at a time."""
     bench = pick(benchmark, item_id="long", text="string").where("item_id is not null and text is not null")
     size = bench.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_chars))
     for block in range(blocks):
         rows = bench.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).distinct().collect()
-        yield [(r.item_id, text) for r in rows if len((text := normalise(r.text)).split()) >= min_words], uuid.uuid4().hex
+        yield [(r.item_id, text) for r in rows if (text := normalise(r.text))], uuid.uuid4().hex
 
 
 def contaminated(
@@ -151,22 +173,24 @@ def contaminated(
 
     An item is found when some substring of the normalised text is within
     ``floor(rate * length)`` edits of the normalised item; ``edits`` is the
-    smallest such distance. Whole texts are searched.
-
-    Defined cases: null or empty texts contain nothing; items with fewer than
-    ``min_words`` words, null items and items with a null id are never found
-    (too short to prove a leak); a null doc_id is carried as null; repeated
-    rows give repeated results; empty tables give no rows. Other columns are
-    ignored.
+    smallest such distance. Whole texts are searched. A short item, of fewer
+    than ``min_words`` words and fewer than four times as many characters, is
+    found where it stands exactly and as whole words (budget 0); in scripts
+    without blanks a word may begin and end at any letter.
+
+    Defined cases: null or empty texts contain nothing; null items, items
+    without a letter or digit and items with a null id are never found; a null
+    doc_id is carried as null; repeated rows give repeated results; empty tables
+    give no rows. Other columns are ignored.
     """
     docs = pick(docs, doc_id="long", text="string")
-    parts = [docs.mapInArrow(_scan(items, rate, key), SCHEMA) for items, key in _blocks(benchmark, min_words, block_chars)]
+    parts = [docs.mapInArrow(_scan(items, rate, min_words, key), SCHEMA) for items, key in _blocks(benchmark, block_chars)]
     return reduce(DataFrame.union, parts)
 
 
-def _clean_rows(items: list[tuple[int, str]], rate: float, key: str, column: int):
+def _clean_rows(items: list[tuple[int, str]], rate: float, min_words: int, key: str, column: int):
     def run(batches):
-        matcher = process_cache(f"matcher:{key}", lambda: Matcher(items, rate))
+        matcher = process_cache(f"matcher:{key}", lambda: Matcher(items, rate, min_words))
         for batch in batches:
             yield batch.filter(pa.array([not matcher.match(normalise(t.as_py())) for t in batch.column(column)], pa.bool_()))
     return run
@@ -174,6 +198,6 @@ def _clean_rows(items: list[tuple[int, str]], rate: float, key: str, column: int
 
 def leaked_dropped(docs: DataFrame, benchmark: DataFrame, rate: float = 0.06, min_words: int = 8) -> DataFrame:
     """The rows of ``docs`` that contain no benchmark item; columns and all other rows unchanged."""
-    for items, key in _blocks(benchmark, min_words, BLOCK_CHARS):
-        docs = map_rows(docs, _clean_rows(items, rate, key, docs.columns.index("text")))
+    for items, key in _blocks(benchmark, BLOCK_CHARS):
+        docs = map_rows(docs, _clean_rows(items, rate, min_words, key, docs.columns.index("text")))
     return docs

@@ -188,7 +188,6 @@ def test_encoder_agrees_on_odd_unicode():
         text = "".join(rng.choice(pool + [" "] * 40 + ["\n", "\t", "'s", "'ll"]) for _ in range(60))
         assert encoder.encode_ordinary(text) == judge.encode(text, add_special_tokens=False).ids
 
-
 def test_sum_of_squares_rule_is_the_minimum():
     rng = np.random.default_rng(3)
     w = packing.Windows(16, 0)
@@ -266,6 +265,19 @@ def test_contamination_matches_brute_force(spark, block_chars):
     assert contaminated(df.where("false"), bench).count() == contaminated(df, bench.where("false")).count() == 0
 
 
+def test_short_and_unspaced_items_are_found(spark):
+    items = [(1, "What is the capital of France?"), (2, "光合作用によって植物は二酸化炭素と水から糖と酸素を作り出すことができる"), (3, "中国的首都"),
+             (4, "Paris"), (5, " -- "), (6, "")]
+    texts = ["Q: WHAT is the capital -- of France", "what is the capital of Frances", "昨日、光合作用によって植物は二酸化炭素と水から糖と酸素を作り出すことができると聞いた",
+             "光合作用によって植物は二酸化炭素と水から塩と酸素を作り出すことができる", "请问中国的首都是哪里", "comParison", "in paris.", "--", None,
+             "what was the capital of france"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.edits, r.budget) for r in contaminated(df, bench).collect())
+    assert got == [(0, 1, 0, 0), (2, 2, 0, 2), (3, 2, 1, 2), (4, 3, 0, 0), (6, 4, 0, 0)]
+    assert [r.doc_id for r in leaked_dropped(df, bench).orderBy("doc_id").collect()] == [1, 5, 7, 8, 9]
+
+
 # --- pages --------------------------------------------------------------------------------
 
 def test_blocks_cut_pages_into_leaves():
