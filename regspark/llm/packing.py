@@ -32,8 +32,20 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """The added tokens of a ``tokenizers`` JSON, which cut a text wherever they stand in it."""
+    import json
+
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    for token in added:
+        if any(token[flag] for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"added token {token['content']!r} of {path} is not matched as a plain string")
+    return {token["content"]: token["id"] for token in added}
+
+
 def load_encoder(path: str):
-    """Byte-level BPE from a ranks file, with the pattern of the public vocabulary."""
+    """Byte-level BPE from a ranks file, with the pattern and added tokens of the public vocabulary."""
     import base64
 
     import public_tokenizers
@@ -41,7 +53,8 @@ def load_encoder(path: str):
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    added = added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
 
 class Windows:
@@ -131,7 +144,7 @@ def _pack(window: int, path: str):
 
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.array([*encoder.encode_ordinary(text.as_py() or ""), END_ID], np.uint32)
+                ids = np.array([*encoder.encode(text.as_py() or "", allowed_special="all"), END_ID], np.uint32)
                 for at in range(0, len(ids), window):
                     state.place(doc, at, ids[at : at + window], len(ids))
             if state.rows:
@@ -147,8 +160,8 @@ def pack_documents(docs: DataFrame, window: int = 2048, path: str | None = None)
 
     ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``: the
     piece holds the document's ids ``start .. start + length`` at ``offset`` of
-    its sequence. Strings of special tokens in a text are ordinary text; every
-    document ends with id 1.
+    its sequence. The string of an added token in a text is that token, as
+    ``tokenizers`` reads it; every document ends with id 1.
 
     Defined cases: a null or empty text is the single id 1; a null doc_id is
     carried as null; repeated rows are packed once each; an empty table gives

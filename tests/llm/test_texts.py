@@ -188,6 +188,23 @@ def test_encoder_agrees_on_odd_unicode():
         text = "".join(rng.choice(pool + [" "] * 40 + ["\n", "\t", "'s", "'ll"]) for _ in range(60))
         assert encoder.encode_ordinary(text) == judge.encode(text, add_special_tokens=False).ids
 
+
+def test_added_tokens_are_read_as_by_tokenizers(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    judge = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"one {end} two", end, end * 3, f"{end}x", f"ä {end}\n\n{end} 漢", "<|endoftext|", "<|endof" + end + "text|>", f"a{end}'s <|x|>", "<|EndOfText|>"]
+    want = {i: [*judge.encode(t, add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
+    assert want[0] == [505, 220, 50256, 734, 1]
+    got = packing.pack_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), 64).collect()
+    for r in got:
+        ids = want[r.doc_id]
+        assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes())
+    assert {r.doc_id for r in got} == set(want)
+
+
 def test_sum_of_squares_rule_is_the_minimum():
     rng = np.random.default_rng(3)
     w = packing.Windows(16, 0)
