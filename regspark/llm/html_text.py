@@ -1,8 +1,10 @@
 """Main text of web pages: a recurrent labeller over the page's leaf blocks.
 
 A page is cut into leaf blocks (stretches of text between block-level tags).
-Each block is a vector: mean embedding of its tag path (tags, classes and ids of
-all open elements), mean embedding of its hashed words, and six plain numbers.
+Each block is a vector: mean embedding of its tag path (the different tags,
+classes and ids of all open elements, however deep, that the training pages
+know; others have no trained embedding and would only dilute the mean), mean
+embedding of its hashed words, and six plain numbers.
 A bidirectional LSTM in numpy reads the whole sequence, so every decision sees
 the page before and after the block. It is trained here, on pages drawn from a
 seeded grammar of page layouts whose labels are known by construction.
@@ -124,12 +126,13 @@ def _bucket(token: str, size: int) -> int:
     return zlib.crc32(token.encode("utf-8", "surrogatepass")) % size
 
 
-def encode(page: list[Block]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Path, word and plain features: bags as row-normalised counts."""
+def encode(page: list[Block], known: frozenset[str] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Path, word and plain features: bags as row-normalised counts; path tokens count once, and only ``known`` ones if given."""
     n = len(page)
     p, w, x = np.zeros((n, PATHS), np.float32), np.zeros((n, WORDS), np.float32), np.zeros((n, PLAIN), np.float32)
     for i, b in enumerate(page):
-        for t in b.path[-24:] + ["leaf:" + (b.path[-1] if b.path else "")]:
+        path = b.path if known is None else [t for t in b.path if t in known]
+        for t in [*dict.fromkeys(path), "leaf:" + (path[-1] if path else "")]:
             p[i, _bucket(t, PATHS)] += 1
         words = b.text.lower().split()
         w[i] = np.bincount([zlib.crc32(t.encode("utf-8", "surrogatepass")) % WORDS for t in words], minlength=WORDS) / len(words)
@@ -153,6 +156,7 @@ class Labeller:
     """Bidirectional LSTM with trained embeddings; all arrays are a few hundred kilobytes."""
 
     def __init__(self, seed: int = 3):
+        self.known: frozenset[str] | None = None  # path tokens of the training pages
         r = np.random.default_rng(seed)
         d = PATH_DIM + WORD_DIM + PLAIN
         init = lambda *s: (r.standard_normal(s) * 0.3 / np.sqrt(s[0] if len(s) > 1 else 1)).astype(np.float32)
@@ -255,7 +259,7 @@ class Labeller:
             while at + len(group) < len(order) and len(group) < 256 and (len(group) + 1) * len(pages[order[at + len(group)]]) <= 8192:
                 group.append(order[at + len(group)])
             at += len(group)
-            p, q, x, live = padded([encode(pages[i]) for i in group])
+            p, q, x, live = padded([encode(pages[i], self.known) for i in group])
             z = self.logits(p, q, x, live)
             for row, i in enumerate(group):
                 out[i] = z[row, : len(pages[i])] > 0
@@ -368,19 +372,21 @@ def training_page(rng: random.Random) -> str:
 def train(pages: int = 400, seed: int = 11) -> Labeller:
     """Fit on ``pages`` pages of the grammar (its only bound; no corpus row is used)."""
     rng = random.Random(seed)
-    seqs, labels = [], []
+    seqs, labels, known = [], [], set()
     while len(seqs) < pages:
         page = blocks(training_page(rng))[:60]
         if page:
             labels.append([b.text[0] == "\1" for b in page])
             for b in page:
                 b.text = b.text.replace("\1", "") or "-"
+                known.update(b.path)
             seqs.append(encode(page))
     p, q, x, live = padded(seqs)
     y = np.zeros(live.shape, np.float32)
     for i, row in enumerate(labels):
         y[i, : len(row)] = row
     net = Labeller()
+    net.known = frozenset(known)
     net.fit(p, q, x, y, live)
     return net
 

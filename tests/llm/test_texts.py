@@ -307,6 +307,18 @@ def test_blocks_cut_pages_into_leaves():
     assert [b.text for b in html_text.blocks("<p>cut <a hre")] == ["cut"]
 
 
+def test_deep_markup_does_not_hide_the_deciding_ancestor():
+    net = html_text.train()
+    article = ("<article><h1>The long way home</h1><p>The river ran slowly past the old mill and the children watched it from the bridge.</p>"
+               "<p>Later that day the miller told them a story about the flood of the year before.</p></article>")
+    replies = "<p>I remember that flood well, we lost the whole harvest that year.</p><p>Nice story, thank you for writing it down for us.</p>"
+    for names in ("col-md-6 mb-3 px-2", "row flex gap-4 w-full"):
+        for deep in (0, 2, 4, 10, 30):
+            wrap, end = f"<div class='{names}'>" * deep, "</div>" * deep
+            inside = html_text.blocks(f"<body>{article}<section class='comments'>{wrap}{replies}{end}</section></body>")
+            around = html_text.blocks(f"<body>{wrap}{article}<section class='comments'>{replies}</section>{end}</body>")
+            assert [net.label([page])[0].tolist() for page in (inside, around)] == [[True] * 3 + [False] * 2] * 2, (names, deep)
+
 def test_back_propagation_matches_finite_differences():
     rng = random.Random(2)
     pages = []
