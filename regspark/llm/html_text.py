@@ -32,6 +32,9 @@ _SPLIT = re.compile(r"[^a-z0-9]+")
 # Fixed values of the markup language: elements whose content is no page text,
 # elements that do not break a line, elements without content.
 _RAW = {"script", "style", "title", "noscript", "template", "textarea", "svg", "iframe", "object", "math"}
+# Of these: a tag that ends in "/>" is an empty element; without an end tag, only the tag itself is left out.
+_FOREIGN = {"svg", "math"}
+_OPEN = _FOREIGN | {"noscript", "object"}
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd",
            "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -54,6 +57,7 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, list[str]]] = []
     parts: list[str] = []
     linked = links = 0
+    unclosed: set[str] = set()
 
     def flush():
         nonlocal linked
@@ -88,10 +92,17 @@ def blocks(page: str) -> list[Block]:
                     break
             continue
         if name in _RAW:
-            end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
             if name != "svg" and name not in _INLINE:
                 flush()
-            at = end.end() if end else n
+            if name in _FOREIGN and m[3].endswith("/"):
+                continue
+            end = None if name in unclosed else re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
+            if end:
+                at = end.end()
+            elif name in _OPEN:
+                unclosed.add(name)  # none further on either
+            else:
+                at = n
             continue
         if name not in _INLINE:
             flush()

@@ -319,6 +319,20 @@ def test_deep_markup_does_not_hide_the_deciding_ancestor():
             around = html_text.blocks(f"<body>{wrap}{article}<section class='comments'>{replies}</section>{end}</body>")
             assert [net.label([page])[0].tolist() for page in (inside, around)] == [[True] * 3 + [False] * 2] * 2, (names, deep)
 
+
+def test_empty_and_unclosed_raw_elements_take_no_text_away():
+    def texts(page):
+        return [b.text for b in html_text.blocks(page)]
+
+    assert texts("<p>one <svg class='i' />two</p><p>three</p>") == ["one two", "three"]
+    assert texts("<p>one <svg/>two</p><p>three</p><svg><text>no</text></svg><p>four") == ["one two", "three", "four"]
+    assert texts("<p>a</p><math display='block'/><p>b</p>") == ["a", "b"]
+    for tag in ("object", "noscript", "svg", "math"):
+        assert texts(f"<p>a</p><{tag} x='1'><p>b</p><{tag}><p>c") == ["a", "b", "c"]
+        assert texts(f"<p>a</p><{tag}>no</{tag}><p>b") == ["a", "b"]
+    assert texts("<p>a</p><script>var b") == ["a"]
+
+
 def test_back_propagation_matches_finite_differences():
     rng = random.Random(2)
     pages = []
