@@ -723,7 +723,8 @@ FROM orders WHERE o_orderstatus = 'F' GROUP BY 2
 """
 
 _UNEVEN = """
-  SELECT c_custkey, c_name, c_nationkey, CASE c_custkey % 3 WHEN 0 THEN 3 WHEN 1 THEN 7 ELSE 9 END AS w FROM customer"""
+  SELECT c_custkey, CASE WHEN c_custkey % 500 = 1 THEN rpad(c_name, 99999, ';') || '.' ELSE c_name END AS c_name,
+         c_nationkey, CASE c_custkey % 3 WHEN 0 THEN 3 WHEN 1 THEN 7 ELSE 9 END AS w FROM customer"""
 
 SQL["layout_audit"] = f"""
 SELECT mode, CAST(c_custkey AS VARCHAR) AS cnpj_basico, c_name AS razao_social,

@@ -342,9 +342,10 @@ def mart_replace_drop(spark: SparkSession, d: str) -> DataFrame:
 # --- bronze audits over files that Spark writes ----------------------------------------
 
 def _uneven_lines(spark: SparkSession, d: str) -> DataFrame:
-    """Company lines of 3, 7 and 9 fields."""
+    """Company lines of 3, 7 and 9 fields; some names are quoted cells of 100,000 characters."""
     k = F.col("c_custkey")
-    short = F.concat_ws(";", _s(k), F.col("c_name"), _s(F.col("c_nationkey")))
+    name = F.when(k % 500 == 1, F.concat(F.lit('"'), F.rpad("c_name", 99_999, ";"), F.lit('."'))).otherwise(F.col("c_name"))
+    short = F.concat_ws(";", _s(k), name, _s(F.col("c_nationkey")))
     full = F.concat_ws(";", short, F.lit("49"), F.lit("10,00"), F.lit("01"), F.lit('"a;b"'))
     return table(spark, d, "customer").select(
         F.when(k % 3 == 0, short).when(k % 3 == 1, full).otherwise(F.concat(full, F.lit(";x;y"))).alias("value"))

@@ -59,6 +59,17 @@ def test_every_row_has_its_own_width(spark, workdir):
     assert rows["2"].capital_social == "10,00" and rows["2"].porte_empresa == "01" and rows["2"].razao_social == "BETA;B"
 
 
+def test_very_long_quoted_fields(spark, workdir):
+    big = "x;" * 500_000
+    lines = [f'1;"{big}";2062;49;"10,00";01;', f'2;"A ""{big}"" B";1;2;3,00;05;', f'3;"open;{big}']
+    src = write_lines(f"{workdir}/big/Empresas.txt", lines)
+    df, _ = read_bronze(spark, src, "empresas", "2026-03")
+    rows = {r.cnpj_basico: r for r in df.collect()}
+    assert rows["1"].razao_social == big and rows["2"].razao_social == f'A "{big}" B'
+    assert [rows[k]._column_count for k in "123"] == [7, 7, 500_003]
+    assert [rows[k]._layout_status for k in "123"] == ["ok", "ok", "mismatch"]
+
+
 def test_stream_and_batch_give_equal_rows(spark, workdir):
     from regspark.streaming.archive import ingest_available
 
