@@ -205,6 +205,38 @@ def test_added_tokens_are_read_as_by_tokenizers(spark):
     assert {r.doc_id for r in got} == set(want)
 
 
+def test_long_runs_of_white_space(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    judge = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder = packing.Encoder(packing.vocabulary_path())
+    end = "<|endoftext|>"
+    texts = ["a" + "\n" * 1_000_000, " " * 2_000_000 + "word", "x" + " " * 2001 + end + " " * 2500 + end + "y", "\xa0" * 2200 + " q",
+             "a" + " " * 3000 + "\n" * 3000 + "b \t" * 2000 + "\u3000" * 2100 + "\x1c" * 2100 + "z", " " * 1999 + "'s"]
+    for text in texts:
+        assert encoder.ids(text) == judge.encode(text, add_special_tokens=False).ids
+    rows = packing.pack_documents(spark.createDataFrame([(1, " " * 2_000_000), (2, None)], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.doc_tokens for r in rows} == {1: 2_000_001, 2: 1}
+
+
+def test_open_windows_are_bounded(monkeypatch):
+    monkeypatch.setattr(packing, "MAX_OPEN", 20)
+    w = packing.Windows(2048, 0)
+    for k in range(1000):
+        w.place(k, 0, np.full(1500, k, np.uint32), 1500)
+        assert len(w.held) <= 20 and sum(map(len, w.open.values())) == len(w.held) == w.count.sum()
+    w.finish()
+    assert not w.held and sum(r[2] for r in w.rows) == 1_500_000
+    filled = {}
+    for doc, start, length, _, _, window, offset in w.rows:
+        filled[window] = filled.get(window, 0) + length
+    assert sum(n < 2048 for n in filled.values()) <= 1
+    for doc in range(1000):
+        pieces = sorted((r[1], r[2]) for r in w.rows if r[0] == doc)
+        assert [a for a, _ in pieces] == [0, *np.cumsum([n for _, n in pieces])[:-1]] and sum(n for _, n in pieces) == 1500
+
+
 def test_sum_of_squares_rule_is_the_minimum():
     rng = np.random.default_rng(3)
     w = packing.Windows(16, 0)
