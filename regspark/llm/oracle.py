@@ -174,7 +174,80 @@ FROM d LEFT JOIN bs ON bs.i = d.i LEFT JOIN ls ON ls.i = d.i LEFT JOIN sc ON sc.
 """
 
 
+def _op11(k: int = 16, rounds: int = 3) -> str:
+    ctes = [f"""
+v AS MATERIALIZED (
+    SELECT row_number() OVER () AS i, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY h, e) - 1 AS k, e
+    FROM (SELECT sha256('1:' || vec_id) AS h, e FROM v WHERE vec_id IS NOT NULL ORDER BY h, e LIMIT {k})
+)"""]
+    for r in range(rounds + 1):
+        ctes.append(f"""
+a{r} AS MATERIALIZED (
+    SELECT v.i, any_value(v.vec_id) AS vec_id, any_value(v.e) AS e, min((d, k)) AS best
+    FROM (SELECT v.*, c.k, list_sum(list_transform(range(1, 65), lambda j: (v.e[j] - c.e[j]) * (v.e[j] - c.e[j])))::BIGINT AS d
+          FROM v, c{r} c) v GROUP BY v.i
+)""")
+        if r < rounds:
+            ctes.append(f"""
+c{r + 1} AS MATERIALIZED (
+    SELECT c.k, coalesce(n.e, c.e) AS e FROM c{r} c LEFT JOIN (
+        SELECT k, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS e
+        FROM (SELECT best[2] AS k, j, sum(e[j]) AS s, count(*) AS n FROM a{r}, range(1, 65) t(j) GROUP BY 1, 2) GROUP BY k
+    ) n ON n.k = c.k
+)""")
+    last = f"a{rounds}"
+    return "WITH " + ",".join(ctes) + f"""
+SELECT a.vec_id, a.best[2]::INTEGER AS cluster, a.best[1]::BIGINT AS distance,
+       (sum(a.best[1]) OVER (PARTITION BY a.best[2]))::BIGINT AS cluster_inertia, (sum(a.best[1]) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c.e, ',')) AS centroid_sha256
+FROM {last} a JOIN c{rounds} c ON c.k = a.best[2]
+"""
+
+
+OP13 = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+           list_filter(string_split_regex(coalesce(text, ''), '[\x09-\x0D ]+'), lambda x: x <> '') AS ws
+    FROM documents
+), f AS (
+    SELECT doc_id, part,
+           (len(ws) < 100)::INT + 2 * (100 * len(list_distinct(ws)) < 80 * len(ws))::INT
+           + 4 * (100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 10 * length(t))::INT
+           + 8 * regexp_matches(t, '[#$%&*|]')::INT
+           + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS mask
+    FROM d
+), l AS (
+    SELECT doc_id, bool_or(quality IS NOT DISTINCT FROM 1) AS good, bool_or(toxic IS NOT DISTINCT FROM 1) AS toxic FROM labels GROUP BY doc_id
+), m AS (
+    SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS n_good, count(*) FILTER (WHERE l.toxic) AS n_toxic
+    FROM f LEFT JOIN l ON l.doc_id = f.doc_id GROUP BY part, mask
+), x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), s AS (
+    SELECT m.*, filter_order, step, (mask >> (ascii(substr(filter_order, step, 1)) - 65)) & 1 = 1 AS fails,
+           coalesce(list_min(list_filter(range(1, 6), lambda k: (mask >> (ascii(substr(filter_order, k::INT, 1)) - 65)) & 1 = 1)), 6) AS gone
+    FROM m, o, (SELECT unnest(range(1, 6))::INT AS step)
+), r AS (
+    SELECT part, filter_order, step, coalesce(sum(n) FILTER (WHERE gone > step), 0) AS kept,
+           coalesce(sum(n) FILTER (WHERE gone = step), 0) AS removed,
+           coalesce(sum(n) FILTER (WHERE fails AND gone < step), 0) AS redundant,
+           coalesce(sum(n) FILTER (WHERE fails AND bit_count(mask) = 1), 0) AS unique_fails,
+           coalesce(sum(n_good) FILTER (WHERE gone = step), 0) AS good_lost,
+           coalesce(sum(n_toxic) FILTER (WHERE gone = step), 0) AS toxic_lost
+    FROM s GROUP BY part, filter_order, step
+)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, substr(filter_order, step, 1)))::BIGINT AS shapley
+FROM r
+"""
+
 SQL = {
     "op1_embedding_dedup": OP1, "op2_url_filter": _op2(), "op3_minhash_dedup": OP3, "op4_sharding": _op4(),
-    "op9_license_scan": _op9(),
+    "op9_license_scan": _op9(), "op11_centroid_clusters": _op11(), "op13_filter_audit": OP13,
 }

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .centroids import cluster_vectors
 from .common import table
 from .decontaminate import contaminated
 from .embedding_dedup import embedding_links
+from .filter_audit import audit_filters
 from .html_text import main_text
 from .langid import identify
 from .licenses import scan_licenses
@@ -66,6 +68,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"), k=16, rounds=3)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_embedding_dedup, op2_url_filter, op3_minhash_dedup, op4_sharding, op5_language_id, op6_packing,
-    op7_html_text, op8_pii, op9_license_scan, op10_decontamination)}
+    op7_html_text, op8_pii, op9_license_scan, op10_decontamination, op11_centroid_clusters, op13_filter_audit)}
