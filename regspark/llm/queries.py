@@ -16,6 +16,7 @@ from .minhash import minhash_groups
 from .packing import pack_documents
 from .pii import find_personal_data
 from .sharding import shard_rows
+from .suffix_dedup import drop_repeats
 from .url_filter import Rule, judge_urls, mostly_blocked_hosts
 
 URL_RULES = [
@@ -72,10 +73,15 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(table(spark, sf_dir, "embeddings"), k=16, rounds=3)
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeats(table(spark, sf_dir, "documents"), length=400)
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_embedding_dedup, op2_url_filter, op3_minhash_dedup, op4_sharding, op5_language_id, op6_packing,
-    op7_html_text, op8_pii, op9_license_scan, op10_decontamination, op11_centroid_clusters, op13_filter_audit)}
+    op7_html_text, op8_pii, op9_license_scan, op10_decontamination, op11_centroid_clusters,
+    op12_suffix_dedup, op13_filter_audit)}
