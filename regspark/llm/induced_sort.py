@@ -247,19 +247,29 @@ def _inner_min(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def sorted_in_memory(text: np.ndarray, depth: int, emit) -> None:
-    """What ``Level.sort`` gives, by doubling sorted prefixes: the end of the recursion, for few symbols."""
-    n, rank, span = len(text), text.astype(np.int64), 1
-    levels = [rank.astype(np.int32)]  # ranks by the first 1, 2, 4, ... symbols, up to depth
+    """What ``Level.sort`` gives, by doubling sorted prefixes: the end of the recursion, for few symbols.
+
+    A suffix's rank is the place of the first suffix of its group, so suffixes
+    alone in their group are done and only the others are sorted on.
+    """
+    n, span = len(text), 1
+    order = np.argsort(text, kind="stable")
+    rank, active = np.empty(n, np.int64), np.arange(n)  # places in the order that still share a group
+    sorted_by = text.astype(np.int64)[order]
+    levels = []  # ranks by the first 1, 2, 4, ... symbols, up to depth
     while True:
-        pair = rank * (n + 1)
-        pair[: n - span] += rank[span:] + 1
-        order = np.argsort(pair, kind="stable")
-        rank[order] = np.append(0, np.cumsum(pair[order[1:]] != pair[order[:-1]]))
-        span *= 2
+        fresh = np.append(True, sorted_by[1:] != sorted_by[:-1])
+        rank[order[active]] = active[np.maximum.accumulate(np.where(fresh, np.arange(len(active)), 0))]
         if span <= depth:
             levels.append(rank.astype(np.int32))
-        if rank[order[-1]] == n - 1:
+        active = active[~(fresh & np.append(fresh[1:], True))]
+        if not len(active):
             break
+        suffix = order[active]
+        pair = rank[suffix] * (n + 1) + np.where(suffix + span < n, rank[np.minimum(suffix + span, n - 1)] + 1, 0)
+        by = np.argsort(pair, kind="stable")
+        order[active], sorted_by = suffix[by], pair[by]
+        span *= 2
     a, b = order[:-1].copy(), order[1:].copy()
     for k, r in reversed(list(enumerate(levels))):
         same = (np.maximum(a, b) < n) & (r[np.minimum(a, n - 1)] == r[np.minimum(b, n - 1)])
