@@ -32,7 +32,7 @@ from .common import mix64, pick, stored
 from .induced_sort import sorted_suffixes
 
 U64 = np.uint64
-GRAM = 32  # bytes of a k-gram
+GRAM = 64  # bytes of a k-gram
 PLACE_BITS = 20  # places of one scan buffer, packed below the leading hash bits
 MAX_STARTS = 4096  # starts of one segment; longer runs are cut
 SHARD_BYTES = 12 << 20  # segment bytes a shard should hold
