@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +12,7 @@ from regspark.layouts import LAYOUTS
 from regspark.operators import rollups
 from regspark.operators.lookup import lookup
 from regspark.operators.quality import rule_alerts, score_rules, unique_key_rule
-from regspark.sinks.lake import read_table
+from regspark.sinks.lake import TableNotFound, manifest_of, read_table
 
 
 def lake_tables(spark: SparkSession, root: str, layer: str = "gold",
@@ -23,23 +22,32 @@ def lake_tables(spark: SparkSession, root: str, layer: str = "gold",
     for name in LAYOUTS:
         try:
             out[name] = read_table(spark, root, layer, name, month)
-        except AnalysisException as exc:
-            if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-                continue
-            raise
+        except TableNotFound:
+            continue
     return out
 
 
+def _published(spark: SparkSession, root: str, layer: str) -> list[tuple[str, str, int]]:
+    """(table, month, rows) of every published month, from the manifests: no data is scanned."""
+    return [(name, month, entry.rows) for name in LAYOUTS
+            for month, entry in manifest_of(spark, root, layer, name).months.items()]
+
+
 def table_sizes(spark: SparkSession, root: str, layer: str = "gold",
                 month: str | None = None) -> DataFrame:
-    """U1 + O3 over the lake: rows per table, biggest first."""
-    return rollups.table_sizes(lake_tables(spark, root, layer, month))
+    """U1 + O3 over the lake: rows per table, biggest first, from the manifests."""
+    rows: dict[str, int] = {}
+    for name, published, n in _published(spark, root, layer):
+        if month in (None, published):
+            rows[name] = rows.get(name, 0) + n
+    return spark.createDataFrame(list(rows.items()), "tabela string, total long").orderBy(F.desc("total"), F.asc("tabela"))
 
 
 def months_present(spark: SparkSession, root: str, layer: str = "gold") -> DataFrame:
     """U2 + F5: months that hold rows in at least one table (empty tables and
-    emptied months contribute nothing)."""
-    return rollups.months_present(list(lake_tables(spark, root, layer).values()))
+    emptied months contribute nothing), from the manifests."""
+    months = sorted({month for _, month, n in _published(spark, root, layer) if n})
+    return spark.createDataFrame([(m,) for m in months], "data_version string")
 
 
 def month_slice(spark: SparkSession, root: str, dataset: str, month: str,

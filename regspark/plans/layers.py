@@ -25,8 +25,10 @@ from regspark.layouts import dataset_spec
 from regspark.operators.preferred import dedup
 from regspark.operators.quality import DEFAULT_THRESHOLD, enforce_gate
 from regspark.sinks.lake import (
-    Folder, WriteResult, drop_month_all_layers, publish_month, read_table,
+    BUCKET, Folder, WriteResult, drop_month_all_layers, manifest_of, month_path, month_rows, publish_month,
+    read_parts, read_table, replace_buckets,
 )
+from regspark.sinks.manifest import Month
 from regspark.sinks.runlog import RunLog
 from regspark.sources.text import (
     DEFAULT_ENCODING, EncodingChoice, read_bronze, resolve_sources,
@@ -143,20 +145,92 @@ def run_month(spark: SparkSession, source, dataset: str, month: str, root: str,
 def run_arrivals(spark: SparkSession, source_dir: str, dataset: str, month: str, root: str,
                  archive_dir: str | None = None, keys: Sequence[str] | None = None,
                  encoding: str = DEFAULT_ENCODING, sep: str = ";", threshold: int = DEFAULT_THRESHOLD,
-                 record_runs: bool = True) -> MonthResult:
-    """R1 + R3: take in the files that arrived since the last call, then rebuild the month from all of them."""
-    from regspark.streaming.archive import ingest_available
+                 record_runs: bool = True, buckets: int = 64) -> MonthResult:
+    """R1 + R3: take in the files that arrived since the last call and merge them into the month.
+
+    Each batch of files becomes a part of the bronze month. Silver and gold are
+    kept in ``buckets`` by key hash; only the buckets that new parts touch are
+    read, merged and written. What a layer has merged stands in its manifest,
+    so a call after a failure goes on where the last one stopped and a replayed
+    batch changes nothing. The gate judges the whole month as it would be.
+    """
+    from regspark.streaming.archive import ingest_parts
 
     name = dataset_spec(dataset).name
-    arrivals = f"{root.rstrip('/')}/_arrivals/{name}/{month}"
+    checkpoint = f"{root.rstrip('/')}/_arrivals/{name}/{month}/checkpoint"
 
     def take_in() -> tuple[WriteResult, EncodingChoice]:
-        ingest_available(spark, source_dir, name, month, f"{arrivals}/rows", f"{arrivals}/checkpoint", archive_dir,
-                         encoding, sep)
-        rows = spark.read.parquet(f"{arrivals}/rows")
-        return publish_month(rows, root, BRONZE, name, month), EncodingChoice(name, encoding, encoding, 0, 0)
+        ingest_parts(spark, source_dir, name, month, root, BRONZE, checkpoint, archive_dir, encoding, sep)
+        rows = month_rows(spark, root, BRONZE, name, month)
+        return WriteResult(month_path(root, BRONZE, name, month), rows), EncodingChoice(name, encoding, encoding, 0, 0)
+
+    return _build_month(spark, take_in, name, source_dir, month, root, keys, threshold, record_runs,
+                        silver=lambda: merge_silver(spark, name, month, root, keys, threshold, buckets),
+                        gold=lambda: merge_gold(spark, name, month, root))
+
+
+def _unchanged(entry: Month, root: str, layer: str, name: str, month: str) -> WriteResult:
+    return WriteResult(month_path(root, layer, name, month), entry.rows if entry else 0, {"buckets": []})
+
 
-    return _build_month(spark, take_in, name, source_dir, month, root, keys, threshold, record_runs)
+def merge_silver(spark: SparkSession, dataset: str, month: str, root: str, keys: Sequence[str] | None = None,
+                 threshold: int = DEFAULT_THRESHOLD, buckets: int = 64) -> tuple[WriteResult, dict]:
+    """Bronze parts that silver has not seen, merged into the buckets of their keys.
+
+    The kept row of a key is the smallest by all columns, so merging the kept
+    rows with the new ones gives what deduplicating all rows at once gives.
+    """
+    spec = dataset_spec(dataset)
+    resolved = list(keys or spec.keys)
+    if not resolved:
+        raise ValueError(f"arrivals of {dataset!r} need keys to merge on")
+    below, base = manifest_of(spark, root, BRONZE, spec.name), manifest_of(spark, root, SILVER, spec.name)
+    parts, entry = below.months[month].parts if month in below.months else {}, base.months.get(month)
+    known = entry.metrics if entry else {"merged": [], "rows_in": 0, "nulls_in": 0, "n_buckets": buckets}
+    fresh = sorted(set(parts) - set(known["merged"]))
+    if not fresh:
+        return _unchanged(entry, root, SILVER, spec.name, month), {}
+    arrived = typed_frame(read_parts(spark, root, BRONZE, spec.name, month, below, fresh).drop("data_version"), spec.name)
+    missing = [k for k in resolved if k not in arrived.columns]
+    if missing:
+        raise ValueError(f"deduplication keys {missing} are not columns")
+    place = F.lpad(F.pmod(F.xxhash64(*resolved), F.lit(known["n_buckets"])).cast("string"), 4, "0")
+    arrived = arrived.withColumn(BUCKET, place)
+    null_key = F.col(resolved[0]).isNull()
+    seen = arrived.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("rows"), F.count_if(null_key).alias("nulls")).collect()
+    touched = sorted(r[0] for r in seen)  # at most n_buckets
+    rows = arrived
+    if entry is not None:
+        old = read_parts(spark, root, SILVER, spec.name, month, base, touched).drop("data_version")
+        rows = old.select(*arrived.columns).unionAll(arrived)
+    total = {"rows_in": known["rows_in"] + sum(r["rows"] for r in seen), "nulls_in": known["nulls_in"] + sum(r["nulls"] for r in seen)}
+    quality: dict = {}
+
+    def gate(after: dict) -> None:
+        quality.update(gate_row(total["rows_in"], total["nulls_in"], after["rows"], after["null_keys"], threshold))
+        enforce_gate(quality, resolved[0], threshold)
+
+    result = replace_buckets(
+        dedup(rows, resolved), root, SILVER, spec.name, month, base,
+        {**total, "merged": sorted([*known["merged"], *fresh]), "n_buckets": known["n_buckets"]},
+        counts={"null_keys": F.count_if(null_key)}, check=gate, buckets=touched)
+    return result, quality
+
+
+def merge_gold(spark: SparkSession, dataset: str, month: str, root: str) -> WriteResult:
+    """Gold buckets of the silver buckets that changed since gold was written."""
+    name = dataset_spec(dataset).name
+    below, base = manifest_of(spark, root, SILVER, name), manifest_of(spark, root, GOLD, name)
+    parts, entry = below.months[month].parts if month in below.months else {}, base.months.get(month)
+    made_from = dict(entry.metrics["made_from"]) if entry else {}
+    changed = sorted(b for b, p in parts.items() if made_from.get(b) != p[0])
+    if not changed:
+        return _unchanged(entry, root, GOLD, name, month)
+    rows = read_parts(spark, root, SILVER, name, month, below, changed)
+    out = gold_frame(rows, name)
+    out = rows.select(*out.columns, BUCKET) if BUCKET not in out.columns else out
+    return replace_buckets(out, root, GOLD, name, month, base,
+                           {"made_from": {b: p[0] for b, p in parts.items()}}, buckets=changed)
 
 
 def archive_files(spark: SparkSession, files: Sequence[str], archive_root: str | None, dataset: str, month: str) -> list[str]:
@@ -175,7 +249,11 @@ def archive_files(spark: SparkSession, files: Sequence[str], archive_root: str |
 
 def _build_month(spark: SparkSession, read_in: Callable[[], tuple[WriteResult, EncodingChoice]], name: str, source: str,
                  month: str, root: str, keys: Sequence[str] | None, threshold: int | float, record_runs: bool,
-                 afterwards: Callable[[], object] = lambda: None) -> MonthResult:
+                 afterwards: Callable[[], object] = lambda: None,
+                 silver: Callable[[], tuple[WriteResult, dict]] | None = None,
+                 gold: Callable[[], WriteResult] | None = None) -> MonthResult:
+    silver = silver or (lambda: run_silver(spark, name, month, root, keys, threshold))
+    gold = gold or (lambda: run_gold(spark, name, month, root))
     runs = RunLog(spark, root) if record_runs else None
     run = runs.start(f"registry_{name}", name, source, month) if runs else None
     result = MonthResult(name, month)
@@ -194,10 +272,10 @@ def _build_month(spark: SparkSession, read_in: Callable[[], tuple[WriteResult, E
             # Only switches feed the fallback metrics; skip a write otherwise.
             runs.record_encoding(result.encoding, month)
         with stage(SILVER) as out:
-            result.silver, result.quality = run_silver(spark, name, month, root, keys, threshold)
+            result.silver, result.quality = silver()
             note(out, result.silver)
         with stage(GOLD) as out:
-            result.gold = run_gold(spark, name, month, root)
+            result.gold = gold()
             note(out, result.gold)
         afterwards()
     except Exception:

@@ -574,6 +574,37 @@ def month_overwrite_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return back.groupBy("data_version").agg(F.count(F.lit(1)).alias("n_orders"))
 
 
+@register
+def manifest_publish(spark: SparkSession, d: str) -> DataFrame:
+    """K1/K2/K6 by manifest: a reader planned before a publish keeps its rows, a
+    rival publisher of the same month is refused, a dropped month is gone."""
+    from regspark.session import scratch_path
+    from regspark.sinks.lake import PublishConflict, drop_month, publish_month, publish_months, read_table
+
+    root = scratch_path(spark, "manifest")
+    orders = _orders_by_month(spark, d).select("o_orderkey", "o_orderstatus", "data_version")
+    publish_months(orders, root, "gold", "orders")
+    before = read_table(spark, root, "gold", "orders")
+    month = orders.where("data_version = '1997-05'").drop("data_version")
+    done: list = []
+
+    def rival() -> None:
+        if not done:
+            done.append(publish_month(month.where("o_orderstatus = 'F'"), root, "gold", "orders", "1997-05"))
+
+    try:
+        publish_month(month.where("o_orderstatus = 'O'"), root, "gold", "orders", "1997-05", meanwhile=rival)
+        refused = False
+    except PublishConflict:
+        refused = True
+    dropped = drop_month(spark, root, "gold", "orders", "1998-01", dry_run=True)
+    drop_month(spark, root, "gold", "orders", "1998-02")
+    old = before.where("data_version <> '1998-02'").groupBy("data_version").agg(F.count(F.lit(1)).alias("n_before"))
+    new = read_table(spark, root, "gold", "orders").groupBy("data_version").agg(F.count(F.lit(1)).alias("n_after"))
+    return old.join(new, "data_version", "full").select(
+        "data_version", "n_before", "n_after", F.lit(refused).alias("rival_refused"), F.lit(dropped).alias("would_drop"))
+
+
 # --- A12-A19 / O2 run metrics ------------------------------------------------------------------
 
 def _runs(spark: SparkSession, d: str) -> DataFrame:

@@ -400,6 +400,14 @@ WHERE data_version <> '1998-01' AND (data_version <> '1997-05' OR o_orderstatus
 GROUP BY data_version
 """
 
+SQL["manifest_publish"] = """
+WITH o AS (SELECT strftime(o_orderdate, '%Y-%m') AS data_version, o_orderstatus FROM orders)
+SELECT data_version, COUNT(*) AS n_before,
+       CASE WHEN data_version <> '1997-05' THEN COUNT(*) ELSE NULLIF(COUNT(*) FILTER (WHERE o_orderstatus = 'F'), 0) END AS n_after,
+       true AS rival_refused, (SELECT COUNT(*) FROM o WHERE data_version = '1998-01')::INTEGER AS would_drop
+FROM o WHERE data_version <> '1998-02' GROUP BY data_version
+"""
+
 _STATUS = "CASE WHEN event_type = 'error' THEN 'failed' ELSE 'completed' END"
 
 SQL["runs_by_stage"] = """

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from regspark.layouts import dataset_spec
+from regspark.sinks.manifest import Folder
 from regspark.sources.text import DEFAULT_ENCODING, add_lineage, bronze_rows, decoded_lines
 
 
@@ -38,10 +39,40 @@ def stream_frame(spark: SparkSession, source_dir: str, dataset: str, month: str,
     return add_lineage(bronze_rows(lines, spec.name, len(spec.layout), sep), spec.name, month, full_path=False)
 
 
+def ingest_parts(spark: SparkSession, source_dir: str, dataset: str, month: str, root: str, layer: str,
+                 checkpoint_dir: str, archive_dir: str | None = None, encoding: str = DEFAULT_ENCODING, sep: str = ";") -> int:
+    """Run the available-now ingest into a month's parts, one a batch; returns the rows it added.
+
+    A batch is published under its id, so a batch that is replayed after a
+    failure finds its part and changes nothing.
+    """
+    from regspark.sinks.lake import append_part
+
+    name, added = dataset_spec(dataset).name, []
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        result = append_part(batch, root, layer, name, month, f"batch-{batch_id:09d}")
+        added.append(0 if result.metrics.get("replayed") else result.rows)
+
+    q = (stream_frame(spark, source_dir, dataset, month, archive_dir, encoding, sep)
+         .writeStream.foreachBatch(take).option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return sum(added)
+
+
 def ingest_available(spark: SparkSession, source_dir: str, dataset: str, month: str,
                      target_dir: str, checkpoint_dir: str, archive_dir: str | None = None,
                      encoding: str = DEFAULT_ENCODING, sep: str = ";") -> int:
-    """Run the available-now ingest; returns the lines read by this call (the query's own counters)."""
+    """Run the available-now ingest into Parquet files; returns the rows that this call wrote.
+
+    The sink's commit log names each batch's files; the rows are those of the
+    files that are new, counted from their footers.
+    """
+    def files() -> set[str]:
+        return set(spark.read.parquet(target_dir).inputFiles()) if (log.exists() and log.names()) else set()
+
+    log = Folder(spark, f"{target_dir}/_spark_metadata")
+    before = files()
     q = (
         stream_frame(spark, source_dir, dataset, month, archive_dir, encoding, sep)
         .writeStream.format("parquet")
@@ -51,4 +82,5 @@ def ingest_available(spark: SparkSession, source_dir: str, dataset: str, month:
         .start()
     )
     q.awaitTermination()
-    return sum(int(p["numInputRows"]) for p in q.recentProgress)
+    new = sorted(files() - before)
+    return spark.read.parquet(*new).count() if new else 0

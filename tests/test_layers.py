@@ -202,7 +202,8 @@ def test_quality_gate_exact_boundary(spark, workdir):
     with pytest.raises(QualityGateError):
         run_month(spark, src2, "socios", "2026-03", root, keys=["cnpj_basico", "identificador_socio"])
     assert read_table(spark, root, "silver", "socios", "2026-03").count() == 10
-    assert not [f for f in os.listdir(f"{root}/silver/socios") if f.startswith("_")]
+    assert len(os.listdir(f"{root}/silver/socios/data_version=2026-03")) == 1
+    assert os.listdir(f"{root}/silver/socios/data_version=2026-04") == []
 
 
 def test_unknown_key_raises(spark):
@@ -219,7 +220,66 @@ def test_failing_write_keeps_the_old_month(spark, workdir):
     with pytest.raises(Exception, match="disk"):
         publish_month(broken, root, "gold", "t", "2026-01")
     assert read_table(spark, root, "gold", "t", "2026-01").count() == 5
-    assert os.listdir(f"{root}/gold/t") == ["data_version=2026-01"]
+    assert len(os.listdir(f"{root}/gold/t/data_version=2026-01")) == 1  # the broken write left nothing
+
+
+def test_readers_see_the_old_or_the_new_month(spark, workdir):
+    from regspark.sinks.lake import expire_commits, manifest_of, publish_months
+
+    root = f"{workdir}/manifest"
+    df = spark.range(6).selectExpr("string(id) AS x", "if(id < 4, '2026-01', '2026-02') AS data_version")
+    publish_months(df, root, "gold", "t")
+    held = read_table(spark, root, "gold", "t")  # planned before the next publish
+    files = {f for f in held.inputFiles()}
+    seen = []
+    publish_month(df.limit(1), root, "gold", "t", "2026-01",
+                  meanwhile=lambda: seen.append(read_table(spark, root, "gold", "t", "2026-01").count()))
+    assert seen == [4] and read_table(spark, root, "gold", "t", "2026-01").count() == 1
+    assert held.count() == 6 and set(held.inputFiles()) == files  # nothing it reads was moved
+    manifest = manifest_of(spark, root, "gold", "t")
+    assert manifest.version == 2 and {m: e.rows for m, e in manifest.months.items()} == {"2026-01": 1, "2026-02": 2}
+    assert expire_commits(spark, root, "gold", "t") == 1
+    assert read_table(spark, root, "gold", "t").count() == 3 and manifest_of(spark, root, "gold", "t") == manifest
+
+
+def test_two_publishers_cannot_both_win(spark, workdir):
+    from regspark.sinks.lake import PublishConflict, manifest_of
+
+    root = f"{workdir}/race"
+    df = spark.range(3).selectExpr("string(id) AS x")
+    publish_month(df, root, "gold", "t", "2026-01")
+
+    def rival(month, rows):
+        done = []
+        return lambda: done or done.append(publish_month(df.limit(rows), root, "gold", "t", month))
+
+    with pytest.raises(PublishConflict):
+        publish_month(df.limit(2), root, "gold", "t", "2026-01", meanwhile=rival("2026-01", 1))
+    assert read_table(spark, root, "gold", "t", "2026-01").count() == 1  # the rival's
+    # Another month's publisher costs a second attempt only; both months stand.
+    publish_month(df.limit(2), root, "gold", "t", "2026-01", meanwhile=rival("2026-02", 3))
+    assert {m: e.rows for m, e in manifest_of(spark, root, "gold", "t").months.items()} == {"2026-01": 2, "2026-02": 3}
+    assert len(os.listdir(f"{root}/gold/t/data_version=2026-01")) == 3  # the loser's folder is gone
+
+
+def test_manifest_file_is_created_once_and_whole(spark, workdir):
+    from regspark.sinks.manifest import Folder
+
+    place = Folder(spark, f"{workdir}/once/v1.json")
+    place.fs.mkdirs(place.path.getParent())
+    assert place.create_whole("a") and not place.create_whole("b") and place.read_text() == "a"
+    assert [n for n in os.listdir(f"{workdir}/once") if not n.endswith(".crc")] == ["v1.json"]
+    # The branch for other file systems: a rename that refuses to overwrite.
+    from regspark.sinks.manifest import _no_overwrite
+
+    context = place.jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.fs.getUri(), place.conf)
+    draft = Folder(spark, f"{workdir}/once/draft")
+    draft.write_text("c")
+    with pytest.raises(Exception, match="FileAlreadyExists"):
+        context.rename(draft.path, place.path, _no_overwrite(place.jvm))
+    free = Folder(spark, f"{workdir}/once/v2.json")
+    context.rename(draft.path, free.path, _no_overwrite(place.jvm))
+    assert free.read_text() == "c" and place.read_text() == "a"
 
 
 def test_month_drop_on_a_clustered_table(spark, workdir):
@@ -319,7 +379,7 @@ def test_reingest_dry_run_counts(spark, workdir):
         reingest_month(spark, f"{workdir}/none", "empresas", "2026-05", root, record_runs=False)
     assert read_table(spark, root, "gold", "empresas", "2026-05").count() == 1
     assert reingest_month(spark, src, "empresas", "2026-05", root, skip_run=True)["dropped"]["gold"] == 1
-    assert read_table(spark, root, "gold", "empresas").count() == 0 if os.listdir(f"{root}/gold/empresas") else True
+    assert read_table(spark, root, "gold", "empresas").count() == 0
 
 
 def test_archive_after_gold_with_a_suffix_on_a_clash(spark, workdir):
@@ -347,3 +407,42 @@ def test_alerts_of_a_run_feed_its_summary(spark, workdir):
     log.finish(run, "completed", 2)
     got = run_summary(current_runs(log.events(), ["run_id", "stage"]), log.alerts()).first()
     assert (got.status, got.alert_count, got.critical_alerts) == ("completed", 1, 1)
+
+
+def test_arrivals_merge_only_touched_buckets(spark, workdir):
+    from regspark.plans.layers import merge_silver, run_arrivals
+    from regspark.sinks.lake import append_part, manifest_of
+
+    root, src = f"{workdir}/inc", f"{workdir}/landing"
+    first = [f'{k:08d};"NOME {k}";2062;49;1,00;01;' for k in range(200)]
+    write_lines(f"{src}/Empresas1.txt", first)
+    one = run_arrivals(spark, src, "empresas", "2026-03", root, buckets=16)
+    assert one.gold.rows == one.silver.rows == 200 and len(one.gold.metrics["buckets"]) == 16
+    old = {layer: manifest_of(spark, root, layer, "empresas").months["2026-03"] for layer in ("silver", "gold")}
+    # An older name of one company, and a name that sorts after the kept one.
+    write_lines(f"{src}/Empresas2.txt", ['00000007;"ALFA";2062;49;1,00;01;', '00000007;"ZETA";2062;49;1,00;01;'])
+    two = run_arrivals(spark, src, "empresas", "2026-03", root, buckets=99)  # the month keeps its number of buckets
+    assert two.bronze.rows == 202 and two.gold.rows == 200
+    for layer in ("silver", "gold"):
+        new = manifest_of(spark, root, layer, "empresas").months["2026-03"]
+        changed = [b for b in new.parts if new.parts[b] != old[layer].parts[b]]
+        assert len(changed) == 1 and two.silver.metrics["buckets"] == two.gold.metrics["buckets"] == changed
+    rows = {r.cnpj_basico: r.razao_social for r in read_table(spark, root, "gold", "empresas", "2026-03").collect()}
+    assert len(rows) == 200 and rows["00000007"] == "ALFA" and rows["00000008"] == "NOME 8"
+    assert two.quality["total_rows"] == 202 and two.quality["distinct_keys"] == 200
+    # Nothing new, and a replayed batch: nothing is written.
+    three = run_arrivals(spark, src, "empresas", "2026-03", root)
+    assert three.gold.metrics["buckets"] == [] and three.gold.rows == 200
+    bronze = read_table(spark, root, "bronze", "empresas").drop("data_version")
+    assert append_part(bronze, root, "bronze", "empresas", "2026-03", "batch-000000000").metrics == {"replayed": True}
+    assert merge_silver(spark, "empresas", "2026-03", root)[0].metrics == {"buckets": []}
+    # The same rows at once give the same gold.
+    write_lines(f"{workdir}/whole/Empresas.txt", first + ['00000007;"ALFA";2062;49;1,00;01;', '00000007;"ZETA";2062;49;1,00;01;'])
+    run_month(spark, f"{workdir}/whole/Empresas.txt", "empresas", "2026-03", f"{workdir}/whole-lake", record_runs=False)
+    whole = read_table(spark, f"{workdir}/whole-lake", "gold", "empresas")
+    assert whole.exceptAll(read_table(spark, root, "gold", "empresas")).count() == 0
+    # A gate that fails leaves silver as it was; the next good call would take the batch again.
+    write_lines(f"{src}/Empresas3.txt", [f';"X{k}";2062;49;1,00;01;' for k in range(3)])
+    with pytest.raises(QualityGateError):
+        run_arrivals(spark, src, "empresas", "2026-03", root, threshold=100)
+    assert read_table(spark, root, "silver", "empresas").count() == 200
