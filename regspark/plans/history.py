@@ -4,15 +4,18 @@ month / year rollups and rule checks of the registry tables."""
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regspark.layouts import LAYOUTS
 from regspark.operators import rollups
+from regspark.operators.keysets import key_set, merged_count
 from regspark.operators.lookup import lookup
 from regspark.operators.quality import rule_alerts, score_rules, unique_key_rule
-from regspark.sinks.lake import TableNotFound, manifest_of, read_table
+from regspark.sinks.lake import MONTH, TableNotFound, WriteResult, manifest_of, publish_month, read_table
+from regspark.sinks.manifest import Month
 
 
 def lake_tables(spark: SparkSession, root: str, layer: str = "gold",
@@ -57,20 +60,64 @@ def month_slice(spark: SparkSession, root: str, dataset: str, month: str,
                                    ["cnpj_basico"], n)
 
 
+# --- A8-A10 from key sets kept beside the gold months ----------------------------------
+
+KEY_SETS = "keysets"
+COMPANY = "cnpj_basico"
+
+
+def publish_key_set(spark: SparkSession, root: str, month: str, dataset: str = "empresas", key: str = COMPANY) -> WriteResult | None:
+    """Write the distinct keys of one published gold month beside it, unless they stand for that gold already.
+
+    The key set's manifest names the gold version of the month that it was made from.
+    """
+    gold = manifest_of(spark, root, "gold", dataset).months.get(month)
+    made = manifest_of(spark, root, KEY_SETS, dataset).months.get(month)
+    if gold is None or (made is not None and made.metrics.get("made_from") == _source(gold)):
+        return None
+    rows = key_set(read_table(spark, root, "gold", dataset, month), key, [])
+    return publish_month(rows, root, KEY_SETS, dataset, month, facts={"made_from": _source(gold)})
+
+
+def _source(entry: Month) -> str:
+    """Names the files a month is made of."""
+    return entry.commit or " ".join(sorted(p[0] for p in entry.parts.values()))
+
+
+def _company_keys(spark: SparkSession, root: str, year: str | None = None) -> DataFrame:
+    """Key sets of the gold months (of a year): as written, or made here where a month has none that is current."""
+    gold = {m: e for m, e in manifest_of(spark, root, "gold", "empresas").months.items() if e.rows and m.startswith(year or "")}
+    made = manifest_of(spark, root, KEY_SETS, "empresas").months
+    current = [m for m, e in gold.items() if m in made and made[m].metrics.get("made_from") == _source(e)]
+    columns = [MONTH, "key_bucket", "key_bits", "other_key"]
+    frames = []
+    if current:
+        frames.append(read_table(spark, root, KEY_SETS, "empresas").where(F.col(MONTH).isin(current)).select(*columns))
+        empty = [m for m in current if not made[m].rows]  # months with NULL keys only
+        if empty:
+            frames.append(spark.createDataFrame([(m, None, None, None) for m in empty], "data_version string, key_bucket long, key_bits binary, other_key string"))
+    left = sorted(set(gold) - set(current))
+    if left:
+        rows = read_table(spark, root, "gold", "empresas").where(F.col(MONTH).isin(left))
+        frames.append(key_set(rows, COMPANY, [MONTH]).select(*columns))
+    if not frames:
+        return spark.createDataFrame([], "data_version string, key_bucket long, key_bits binary, other_key string")
+    return reduce(DataFrame.unionAll, frames)
+
+
 def companies_per_month(spark: SparkSession, root: str) -> DataFrame:
-    """A8 on the company table."""
-    return rollups.distinct_per_month(read_table(spark, root, "gold", "empresas"), "cnpj_basico")
+    """A8 on the company table, from its key sets."""
+    return merged_count(_company_keys(spark, root), {MONTH: F.col(MONTH)}, "distinct_companies")
 
 
 def companies_per_year_month(spark: SparkSession, root: str, year: str | None = None) -> DataFrame:
-    """A9 (+ F2 when ``year`` is given, pruned to that year's partitions)."""
-    return rollups.distinct_per_year_month(read_table(spark, root, "gold", "empresas"),
-                                           "cnpj_basico", year=year)
+    """A9 (+ F2 when ``year`` is given: only that year's key sets are read)."""
+    return merged_count(_company_keys(spark, root, year), {"year": rollups.year_of(), MONTH: F.col(MONTH)}, "distinct_companies")
 
 
 def companies_per_year(spark: SparkSession, root: str) -> DataFrame:
-    """A10: a company present in several months of a year counts once."""
-    return rollups.distinct_per_year(read_table(spark, root, "gold", "empresas"), "cnpj_basico")
+    """A10: a company present in several months of a year counts once; bitmaps of the months are merged."""
+    return merged_count(_company_keys(spark, root), {"year": rollups.year_of()}, "distinct_companies")
 
 
 def branches_by_state(spark: SparkSession, root: str, scores: DataFrame | None = None) -> DataFrame:

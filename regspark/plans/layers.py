@@ -35,6 +35,8 @@ from regspark.sources.text import (
 )
 
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
+# Tables whose distinct keys are kept beside every gold month.
+KEY_SET_TABLES = ("empresas",)
 
 
 # --- frames (pure, lazy) ------------------------------------------------------------
@@ -277,6 +279,10 @@ def _build_month(spark: SparkSession, read_in: Callable[[], tuple[WriteResult, E
         with stage(GOLD) as out:
             result.gold = gold()
             note(out, result.gold)
+        if name in KEY_SET_TABLES:
+            from regspark.plans.history import publish_key_set
+
+            publish_key_set(spark, root, month, name)
         afterwards()
     except Exception:
         if runs:

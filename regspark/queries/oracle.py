@@ -787,3 +787,17 @@ WITH n AS (SELECT COUNT(*) AS n FROM customer)
 SELECT layer, {_M} AS data_version, n AS n_rows, CAST(n * times AS INTEGER) AS had, CAST(n * times AS INTEGER) AS dropped
 FROM n, (VALUES ('bronze', 2), ('silver', 1), ('gold', 1)) v(layer, times)
 """
+
+SQL["lake_distinct_companies"] = """
+WITH c AS (
+  SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS k FROM customer
+  UNION SELECT 'N' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') FROM customer WHERE c_custkey % 10 = 0
+), m AS (
+  SELECT '2025-12' AS data_version, k FROM c UNION ALL
+  SELECT '2026-01', k FROM c WHERE k LIKE '%3' UNION ALL
+  SELECT '2026-02', k FROM c WHERE k LIKE 'N%'
+)
+SELECT left(data_version, 4) AS year, data_version, COUNT(DISTINCT k) AS distinct_companies FROM m GROUP BY ALL
+UNION ALL
+SELECT left(data_version, 4), NULL, COUNT(DISTINCT k) FROM m GROUP BY ALL
+"""

@@ -438,6 +438,25 @@ def reingest_companies(spark: SparkSession, d: str) -> DataFrame:
     return rows[0].union(rows[1]).union(rows[2])
 
 
+@register
+def lake_distinct_companies(spark: SparkSession, d: str) -> DataFrame:
+    """A8-A10 at lake level: key sets written beside three months of two years,
+    one of them behind its gold, merged into month and year counts."""
+    from regspark.plans import history
+    from regspark.session import scratch_path
+    from regspark.sinks.lake import publish_month
+
+    root = scratch_path(spark, "keysets")
+    companies = registry_tables(spark, d)["empresas"].where(F.col("data_version") == MONTHS[0])
+    for month, kept in (("2025-12", "true"), ("2026-01", "cnpj_basico LIKE '%3'"), ("2026-02", "porte_empresa = '01'")):
+        publish_month(companies.where(kept), root, "gold", "empresas", month)
+        history.publish_key_set(spark, root, month)
+    publish_month(companies.where("cnpj_basico LIKE 'N%'"), root, "gold", "empresas", "2026-02")
+    by_month = history.companies_per_year_month(spark, root)
+    by_year = history.companies_per_year(spark, root)
+    return by_month.unionByName(by_year.withColumn("data_version", F.lit(None).cast("string")))
+
+
 def _logged_runs(spark: SparkSession, d: str) -> DataFrame:
     """Current states of one ingest's run and stages, from the rows that the run log wrote."""
     from regspark.operators.runs import current_runs

@@ -70,7 +70,8 @@ def _commit_path(root: str, layer: str, dataset: str, month: str, commit_id: str
 
 def publish_month(df: DataFrame, root: str, layer: str, dataset: str, month: str,
                   cluster_by: str | None = None, metrics: Mapping[str, Column] | None = None,
-                  check: Callable[[dict], None] | None = None, meanwhile: Callable[[], None] = lambda: None) -> WriteResult:
+                  check: Callable[[dict], None] | None = None, meanwhile: Callable[[], None] = lambda: None,
+                  facts: Mapping[str, str] | None = None) -> WriteResult:
     """K1/K2: replace one month of one dataset in one layer; returns the row count.
 
     The month columns are stamped first; ``data_version`` lives in the
@@ -81,7 +82,7 @@ def publish_month(df: DataFrame, root: str, layer: str, dataset: str, month: str
     filtering on it read only their directories. The whole month is replaced.
 
     ``metrics`` are aggregates over the written rows, gathered by the write
-    itself and kept in the manifest; ``check`` gets them, with ``rows``, before
+    itself and kept in the manifest, with the given ``facts``; ``check`` gets them, with ``rows``, before
     the month is published and refuses it by raising. Of two publishers of one
     month the second to finish raises ``PublishConflict``; the folder it wrote
     is removed. The replaced folder stays for readers that hold the old version,
@@ -102,7 +103,7 @@ def publish_month(df: DataFrame, root: str, layer: str, dataset: str, month: str
             check(got)
         levels = (cluster_by,) if cluster_by else ()
         entry = Month(commit_id, int(got.get("rows") or 0), stamped.schema.json(), levels,
-                      {k: v for k, v in got.items() if k != "rows"})
+                      {**{k: v for k, v in got.items() if k != "rows"}, **(facts or {})})
         commit(spark, table_path(root, layer, dataset), base, {month: entry}, meanwhile=meanwhile)
     except BaseException:
         Folder(spark, path).delete()

@@ -29,7 +29,7 @@ def mart_projection(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     A frame that shares no column with its target is a wiring mistake and raises.
     """
-    shared = sorted(set(columns) & set(df.columns), key=list(columns).index)
+    shared = [name for name in columns if name in df.columns]
     if not shared:
         raise ValueError(f"the mart table {list(columns)} and the frame {df.columns} share no column")
     return df.select(*(df[name].cast("string").alias(name) for name in shared))

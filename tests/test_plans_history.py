@@ -128,7 +128,9 @@ def test_lake_rollups(spark, lake):
     assert per_year == {"2025": 2, "2026": 2}
     ym = history.companies_per_year_month(spark, lake, year="2025")
     assert sorted((r.year, r.data_version) for r in ym.collect()) == [("2025", "2025-11"), ("2025", "2025-12")]
-    assert "PartitionFilters: [isnotnull(data_version" in _plan(ym)
+    for counted in (ym, history.companies_per_month(spark, lake), history.companies_per_year(spark, lake)):
+        plan = _plan(counted)
+        assert "/keysets/empresas" in plan and "/gold/" not in plan  # no gold scan
     sizes = [(r.tabela, r.total) for r in history.table_sizes(spark, lake).collect()]
     assert sizes == [("empresas", 5), ("municipios", 1)]
     months = sorted(r.data_version for r in history.months_present(spark, lake).collect())
@@ -137,6 +139,31 @@ def test_lake_rollups(spark, lake):
     assert [r.cnpj_basico for r in top] == ["1"]
 
 
+def test_key_sets_count_exactly_and_follow_gold(spark, workdir):
+    from regspark.operators.keysets import key_set, merged_count
+    from regspark.sinks.lake import publish_month
+
+    rows = [("a", "00000001"), ("a", "1"), ("a", "00000001"), ("a", "99999999"), ("a", None), ("b", "00000001"), ("b", "N0000001"),
+            ("b", "٣٣٣٣٣٣٣٣"), ("b", " 0000001"), ("b", "00032768"), ("b", "00032767"), ("b", ""), ("c", "7")]
+    df = spark.createDataFrame(rows, "g string, k string")
+    keys = key_set(df, "k", ["g"])
+    assert {r.g: r.n for r in merged_count(keys, {"g": F.col("g")}, "n").collect()} == {"a": 3, "b": 7, "c": 1}
+    assert merged_count(keys, {"one": F.lit(1)}, "n").first().n == len({k for _, k in rows if k is not None})
+    root = f"{workdir}/keys"
+    gold = df.selectExpr("k AS cnpj_basico")
+    publish_month(gold, root, "gold", "empresas", "2026-01")
+    publish_month(gold.limit(2), root, "gold", "empresas", "2026-02")
+    assert history.publish_key_set(spark, root, "2026-01") and history.publish_key_set(spark, root, "2026-01") is None
+    # A month without a key set, and one whose gold was replaced, are counted from gold.
+    assert {r.data_version: r.distinct_companies for r in history.companies_per_month(spark, root).collect()} == {"2026-01": 10, "2026-02": 2}
+    publish_month(gold.limit(1), root, "gold", "empresas", "2026-01")
+    publish_month(gold.where("cnpj_basico IS NULL"), root, "gold", "empresas", "2026-03")
+    history.publish_key_set(spark, root, "2026-03")
+    assert {r.data_version: r.distinct_companies for r in history.companies_per_month(spark, root).collect()} == {
+        "2026-01": 1, "2026-02": 2, "2026-03": 0}
+    assert [tuple(r) for r in history.companies_per_year(spark, root).collect()] == [("2026", 2)]
+
+
 def test_branch_rules_and_alerts(spark):
     cols = ["cnpj_basico", "cnpj_ordem", "cnpj_dv", "identificador_matriz_filial", "cep",
             "data_inicio_atividade", "municipio", "data_version"]
