@@ -73,3 +73,15 @@ def process_cache(key: str, make):
     if key not in store:
         store[key] = make()
     return store[key]
+
+
+def process_slot(slot: str, key: str, make):
+    """Like :func:`process_cache`, but a process keeps only the latest key of a slot."""
+    held = process_cache(slot, lambda: (None, None))
+    if held[0] != key:
+        import sys
+
+        store = sys.modules["regspark_worker_cache"].__dict__
+        store[slot] = held = None  # the old one goes before the new one is made
+        store[slot] = held = (key, make())
+    return held[1]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, pick, process_cache
+from .common import map_rows, pick, process_slot, stored
 
 BLOCK_CHARS = 4_000_000
 SHORT_WORD = 4  # characters: items of fewer words, but of that many characters a word, are not short
@@ -145,7 +145,7 @@ class Matcher:
 
 def _scan(items: list[tuple[int, str]], rate: float, min_words: int, key: str):
     def run(batches):
-        matcher = process_cache(f"matcher:{key}", lambda: Matcher(items, rate, min_words))
+        matcher = process_slot("matcher", key, lambda: Matcher(items, rate, min_words))
         schema = pa.schema([(c.split()[0], pa.int64()) for c in SCHEMA.split(", ")])
         for batch in batches:
             rows = []
@@ -157,13 +157,16 @@ def _scan(items: list[tuple[int, str]], rate: float, min_words: int, key: str):
 
 
 def _blocks(benchmark: DataFrame, block_chars: int):
-    """Items in blocks of about ``block_chars`` characters, one block on the driver at a time."""
+    """Items in blocks of about ``block_chars`` characters with a key, and whether there are more blocks than one.
+
+    One block is on the driver at a time, if the caller runs its scan before it asks for the next.
+    """
     bench = pick(benchmark, item_id="long", text="string").where("item_id is not null and text is not null")
     size = bench.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_chars))
     for block in range(blocks):
         rows = bench.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).distinct().collect()
-        yield [(r.item_id, text) for r in rows if (text := normalise(r.text))], uuid.uuid4().hex
+        yield [(r.item_id, text) for r in rows if (text := normalise(r.text))], uuid.uuid4().hex, blocks > 1
 
 
 def contaminated(
@@ -184,13 +187,16 @@ def contaminated(
     give no rows. Other columns are ignored.
     """
     docs = pick(docs, doc_id="long", text="string")
-    parts = [docs.mapInArrow(_scan(items, rate, min_words, key), SCHEMA) for items, key in _blocks(benchmark, block_chars)]
+    parts = []
+    for items, key, many in _blocks(benchmark, block_chars):
+        hits = docs.mapInArrow(_scan(items, rate, min_words, key), SCHEMA)
+        parts.append(stored(hits, "benchmark-hits") if many else hits)
     return reduce(DataFrame.union, parts)
 
 
 def _clean_rows(items: list[tuple[int, str]], rate: float, min_words: int, key: str, column: int):
     def run(batches):
-        matcher = process_cache(f"matcher:{key}", lambda: Matcher(items, rate, min_words))
+        matcher = process_slot("matcher", key, lambda: Matcher(items, rate, min_words))
         for batch in batches:
             yield batch.filter(pa.array([not matcher.match(normalise(t.as_py())) for t in batch.column(column)], pa.bool_()))
     return run
@@ -198,6 +204,9 @@ def _clean_rows(items: list[tuple[int, str]], rate: float, min_words: int, key:
 
 def leaked_dropped(docs: DataFrame, benchmark: DataFrame, rate: float = 0.06, min_words: int = 8) -> DataFrame:
     """The rows of ``docs`` that contain no benchmark item; columns and all other rows unchanged."""
-    for items, key in _blocks(benchmark, BLOCK_CHARS):
-        docs = map_rows(docs, _clean_rows(items, rate, min_words, key, docs.columns.index("text")))
+    names = docs.columns
+    for items, key, many in _blocks(benchmark, BLOCK_CHARS):
+        docs = map_rows(docs, _clean_rows(items, rate, min_words, key, names.index("text")))
+        if many:  # numbered columns, since names may differ in case only
+            docs = stored(docs.toDF(*[f"_c{i}" for i in range(len(names))]), "benchmark-clean").toDF(*names)
     return docs

@@ -26,7 +26,8 @@ from .common import pick
 
 # --- leaf blocks -------------------------------------------------------------
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_TAG_SIGN = re.compile("[>\"']")
 _CLASS = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 # Fixed values of the markup language: elements whose content is no page text,
@@ -44,61 +45,150 @@ _ENDS_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset",
            "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"}
 
 
+class Node:
+    """An open block element: its tokens, those that no open element above has, and its parent."""
+
+    __slots__ = ("parent", "tokens", "fresh", "sums")
+
+    def __init__(self, parent: "Node | None", tokens: list[str], fresh: list[str]):
+        self.parent, self.tokens, self.fresh, self.sums = parent, tokens, fresh, None
+
+
 class Block:
-    __slots__ = ("path", "text", "linked")
+    """A leaf block; its path is a link to the innermost open element, so a block costs its own tokens."""
 
-    def __init__(self, path: list[str], text: str, linked: int):
-        self.path, self.text, self.linked = path, text, linked
+    __slots__ = ("node", "text", "linked")
+
+    def __init__(self, node: Node | None, text: str, linked: int):
+        self.node, self.text, self.linked = node, text, linked
+
+    @property
+    def path(self) -> list[str]:
+        chain, node = [], self.node
+        while node is not None:
+            chain.append(node.tokens)
+            node = node.parent
+        return [t for tokens in reversed(chain) for t in tokens]
+
+
+class Markup:
+    """Tags of a page in one pass over it, also where quotes or tags are never closed.
+
+    A quote that is not closed any more is an ordinary character; from the first
+    tag on that ends only inside quotes, quotes are ordinary too. A tag that
+    never ends takes the rest of the page.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.quoting, self.gone = page, True, set()
+
+    def _find(self, sign: str, at: int) -> int:
+        """Next place of ``sign``, -1 if there is none; that is looked for once."""
+        if sign in self.gone:
+            return -1
+        place = self.page.find(sign, at)
+        if place < 0:
+            self.gone.add(sign)
+        return place
+
+    def tag_end(self, at: int) -> int:
+        """Place of the ``>`` that ends the tag whose name ends at ``at``, -1 if none does."""
+        start = at
+        while self.quoting:
+            sign = _TAG_SIGN.search(self.page, at)
+            if sign is None:
+                self.quoting = False
+                break
+            if sign[0] == ">":
+                return sign.start()
+            close = self._find(sign[0], sign.end())
+            at = close + 1 if close >= 0 else sign.end()
+        return self._find(">", start)
+
+    def next_tag(self, at: int):
+        """(place, end, closes, name, attributes) of the next tag, comment or declaration (no name), or None."""
+        page = self.page
+        while (place := self._find("<", at)) >= 0:
+            if page.startswith("<!--", place):
+                end = self._find("-->", place + 4)
+                return place, end + 3 if end >= 0 else len(page), False, "", ""
+            if page.startswith(("<!", "<?"), place):
+                end = self._find(">", place)
+                return place, end + 1 if end >= 0 else len(page), False, "", ""
+            name = _NAME.match(page, place)
+            if name:
+                end = self.tag_end(name.end())
+                if end < 0:
+                    return place, len(page), False, "", ""
+                return place, end + 1, bool(name[1]), name[2].lower(), page[name.end() : end]
+            at = place + 1
+        return None
+
+    def raw_end(self, name: str, at: int) -> int:
+        """End of the end tag of a raw element, -1 if it has none."""
+        close = re.compile(rf"</{name}\b", re.I).search(self.page, at)
+        end = self._find(">", close.end()) if close else -1
+        return end + 1 if end >= 0 else -1
 
 
 def blocks(page: str) -> list[Block]:
-    """Leaf blocks in page order: tag-path tokens, white-space-normal text, characters inside links."""
+    """Leaf blocks in page order: innermost element, white-space-normal text, characters inside links.
+
+    Linear in the page, whatever is nested or left open.
+    """
     out: list[Block] = []
-    stack: list[tuple[str, list[str]]] = []
+    stack: list[tuple[str, Node | None]] = []  # name and innermost block element so far
     parts: list[str] = []
     linked = links = 0
     unclosed: set[str] = set()
+    open_names: dict[str, int] = {}
+    open_tokens: dict[str, int] = {}
 
     def flush():
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            path = [t for name, tokens in stack if name not in _INLINE for t in tokens]
-            out.append(Block(path, text, linked))
+            out.append(Block(stack[-1][1] if stack else None, text, linked))
         parts.clear()
         linked = 0
 
-    at, n = 0, len(page)
+    def shut_from(k: int):
+        nonlocal links
+        while len(stack) > k:
+            name, node = stack.pop()
+            open_names[name] -= 1
+            links -= name == "a"
+            if name not in _INLINE:
+                for t in node.tokens:
+                    open_tokens[t] -= 1
+
+    markup, at, n = Markup(page), 0, len(page)
     while at < n:
-        m = _TOKEN.search(page, at)
-        piece = page[at : m.start()] if m else page[at:]
+        tag = markup.next_tag(at)
+        piece = page[at : tag[0]] if tag else page[at:]
         if piece:
             parts.append(piece)
             if links:
                 linked += len(piece)
-        if not m:
+        if not tag:
             break
-        at = m.end()
-        name = (m[2] or "").lower()
+        _, at, closes, name, attributes = tag
         if not name:
             continue
-        if m[1]:
+        if closes:
             if name not in _INLINE:
                 flush()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    links -= sum(tag == "a" for tag, _ in stack[k:])
-                    del stack[k:]
-                    break
+            if open_names.get(name):
+                shut_from(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name))
             continue
         if name in _RAW:
             if name != "svg" and name not in _INLINE:
                 flush()
-            if name in _FOREIGN and m[3].endswith("/"):
+            if name in _FOREIGN and attributes.endswith("/"):
                 continue
-            end = None if name in unclosed else re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-            if end:
-                at = end.end()
+            end = -1 if name in unclosed else markup.raw_end(name, at)
+            if end >= 0:
+                at = end
             elif name in _OPEN:
                 unclosed.add(name)  # none further on either
             else:
@@ -106,24 +196,26 @@ def blocks(page: str) -> list[Block]:
             continue
         if name not in _INLINE:
             flush()
-        if name in _VOID or m[3].endswith("/"):
+        if name in _VOID or attributes.endswith("/"):
             continue
         shut = _CLOSES.get(name, set()) | ({"p"} if name in _ENDS_P else set())
         for k in range(len(stack) - 1, max(-1, len(stack) - 8), -1):
             if stack[k][0] in shut:
-                links -= sum(tag == "a" for tag, _ in stack[k:])
-                del stack[k:]
+                shut_from(k)
             elif stack[k][0] not in _INLINE and stack[k][0] not in {"td", "th", "tr"}:
                 break
-        tokens = [name]
-        if m[3] and "=" in m[3]:
-            for a, b, c in _CLASS.findall(m[3]):
-                tokens += ["." + x for x in _SPLIT.split((a or b or c).lower()) if x]
-        stack.append((name, tokens))
+        node = stack[-1][1] if stack else None
+        if name not in _INLINE:
+            tokens = [name]
+            if attributes and "=" in attributes:
+                for a, b, c in _CLASS.findall(attributes):
+                    tokens += ["." + x for x in _SPLIT.split((a or b or c).lower()) if x]
+            node = Node(node, tokens, [t for t in dict.fromkeys(tokens) if not open_tokens.get(t)])
+            for t in tokens:
+                open_tokens[t] = open_tokens.get(t, 0) + 1
+        stack.append((name, node))
+        open_names[name] = open_names.get(name, 0) + 1
         links += name == "a"
-    # a page may break off inside a tag; that rest is markup, not text
-    if parts and (cut := re.search(r"<[a-zA-Z/!][^<>]*\Z", parts[-1])):
-        parts[-1] = parts[-1][: cut.start()]
     flush()
     return out
 
@@ -137,19 +229,28 @@ def _bucket(token: str, size: int) -> int:
     return zlib.crc32(token.encode("utf-8", "surrogatepass")) % size
 
 
+def plain_features(page: list[Block]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the hashed words (block, bucket, share) and the plain features."""
+    n, x, cells = len(page), np.zeros((len(page), PLAIN), np.float32), []
+    for i, b in enumerate(page):
+        words = b.text.lower().split()
+        cells += [(i, zlib.crc32(t.encode("utf-8", "surrogatepass")) % WORDS, 1 / len(words)) for t in words]
+        size = len(b.text)
+        x[i] = (np.log1p(size) / 5, min(1.0, b.linked / size), b.text[-1] in ".!?:;", min(len(words), 50) / 50, (i + 0.5) / n,
+                min(n, 100) / 100)
+    return np.array(cells, np.float64).reshape(-1, 3), x
+
+
 def encode(page: list[Block], known: frozenset[str] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Path, word and plain features: bags as row-normalised counts; path tokens count once, and only ``known`` ones if given."""
     n = len(page)
-    p, w, x = np.zeros((n, PATHS), np.float32), np.zeros((n, WORDS), np.float32), np.zeros((n, PLAIN), np.float32)
+    p, w = np.zeros((n, PATHS), np.float32), np.zeros((n, WORDS), np.float32)
+    cells, x = plain_features(page)
+    np.add.at(w, (cells[:, 0].astype(np.int64), cells[:, 1].astype(np.int64)), cells[:, 2])
     for i, b in enumerate(page):
         path = b.path if known is None else [t for t in b.path if t in known]
         for t in [*dict.fromkeys(path), "leaf:" + (path[-1] if path else "")]:
             p[i, _bucket(t, PATHS)] += 1
-        words = b.text.lower().split()
-        w[i] = np.bincount([zlib.crc32(t.encode("utf-8", "surrogatepass")) % WORDS for t in words], minlength=WORDS) / len(words)
-        size = len(b.text)
-        x[i] = (np.log1p(size) / 5, min(1.0, b.linked / size), b.text[-1] in ".!?:;", min(len(words), 50) / 50, (i + 0.5) / n,
-                min(n, 100) / 100)
     p /= np.maximum(1, p.sum(axis=1, keepdims=True))
     return p, w, x
 
@@ -270,12 +371,61 @@ class Labeller:
             while at + len(group) < len(order) and len(group) < 256 and (len(group) + 1) * len(pages[order[at + len(group)]]) <= 8192:
                 group.append(order[at + len(group)])
             at += len(group)
-            p, q, x, live = padded([encode(pages[i], self.known) for i in group])
-            z = self.logits(p, q, x, live)
+            v = np.zeros((len(group), len(pages[group[-1]]), PATH_DIM + WORD_DIM + PLAIN), np.float32)
+            live = np.zeros(v.shape[:2], bool)
+            for row, i in enumerate(group):
+                v[row, : len(pages[i])], live[row, : len(pages[i])] = self.embedded(pages[i]), True
+            z = np.concatenate([*self._both(v, live), v], axis=-1) @ self.w["out"]
             for row, i in enumerate(group):
-                out[i] = z[row, : len(pages[i])] > 0
+                out[i] = z[row, : len(pages[i]), 0] + self.w["bias"][0] > 0
         return out
 
+    def _path_sums(self, node: Node | None) -> tuple[np.ndarray, int, str]:
+        """Embedding sum and number of the different known tokens above a block, and the last of them; kept at each node."""
+        chain = []
+        while node is not None and node.sums is None:
+            chain.append(node)
+            node = node.parent
+        total, count, last = node.sums if node is not None else (np.zeros(PATH_DIM, np.float32), 0, "")
+        for node in reversed(chain):
+            fresh = [t for t in node.fresh if self.known is None or t in self.known]
+            if fresh:
+                total = total + self.w["path"][[_bucket(t, PATHS) for t in fresh]].sum(axis=0)
+            last = next((t for t in reversed(node.tokens) if self.known is None or t in self.known), last)
+            node.sums = total, count, last = total, count + len(fresh), last
+        return total, count, last
+
+    def embedded(self, page: list[Block]) -> np.ndarray:
+        """What ``_inputs`` makes of ``encode``, without the bags: a block costs its own words and tokens."""
+        cells, x = plain_features(page)
+        v = np.zeros((len(page), PATH_DIM + WORD_DIM + PLAIN), np.float32)
+        for i, b in enumerate(page):
+            total, count, last = self._path_sums(b.node)
+            v[i, :PATH_DIM] = (total + self.w["path"][_bucket("leaf:" + last, PATHS)]) / (count + 1)
+        rows, words = cells[:, 0].astype(np.int64), cells[:, 1].astype(np.int64)
+        for d in range(WORD_DIM):
+            v[:, PATH_DIM + d] = np.bincount(rows, self.w["word"][words, d] * cells[:, 2], minlength=len(page))
+        v[:, PATH_DIM + WORD_DIM :] = x
+        return v
+
+    def _both(self, v: np.ndarray, live: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hidden states of both directions, read in one loop (the second one from the end)."""
+        w, (n, t, _) = self.w, v.shape
+        gates = np.stack([v @ w["xf"] + w["cf"], (v @ w["xb"] + w["cb"])[:, ::-1]]).transpose(2, 0, 1, 3)
+        on = np.stack([live, live[:, ::-1]]).transpose(2, 0, 1)[..., None]
+        whole, weights = on.all(axis=(1, 2, 3)).tolist(), np.stack([w["hf"], w["hb"]])
+        h, c = np.zeros((2, n, HIDDEN), np.float32), np.zeros((2, n, HIDDEN), np.float32)
+        out = np.zeros((t, 2, n, HIDDEN), np.float32)
+        for k in range(t):
+            z = gates[k] + h @ weights
+            s = _sigmoid(z[..., : 3 * HIDDEN])
+            new = s[..., :HIDDEN] * c + s[..., HIDDEN : 2 * HIDDEN] * np.tanh(z[..., 3 * HIDDEN :])
+            read = s[..., 2 * HIDDEN :] * np.tanh(new)
+            c, h = (new, read) if whole[k] else (np.where(on[k], new, c), np.where(on[k], read, h))
+            out[k] = h
+        both = out.transpose(1, 2, 0, 3)
+        return both[0], both[1][:, ::-1]
+
 
 def padded(pages):
     n, t = len(pages), max(len(p[0]) for p in pages)

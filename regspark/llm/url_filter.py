@@ -48,19 +48,19 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     return lower_ascii(F.regexp_extract(text, pattern, 1)), F.regexp_extract(text, pattern, 2)
 
 
-def candidate_keys(lengths: list[int]) -> Column:
-    """All keys of the columns ``host`` and ``path``: every host suffix with the path prefixes of these lengths.
+def candidate_keys(shapes: list[tuple[int, int]]) -> Column:
+    """All keys of the columns ``host`` and ``path`` that a listed key can equal.
 
-    Length 0 stands for the bare host, which only the full host can ask for.
+    ``shapes`` are (labels of the host, length of the path) of the listed keys:
+    a url asks for the last so many labels of its host with the first so many
+    characters of its path, and for its bare full host. So the keys of a url
+    are bounded by the list, however long its host is.
     """
-    sizes = ", ".join(str(x) for x in sorted(set(lengths)) if x) or "cast(null as int)"
-    return F.expr(f"""
-        array_distinct(concat(
-          if(host = '', array(), array(host)),
-          flatten(transform(
-            filter(transform(split(host, '[.]'), (x, i) -> array_join(slice(split(host, '[.]'), i + 1, 1000000), '.')), h -> h <> ''),
-            h -> transform(filter(array({sizes}), n -> n <= length(path)), n -> concat(h, substring(path, 1, n)))))))
-    """)
+    asked = [f"if(size(labels) >= {n} and length(path) >= {k}, concat(substring_index(host, '.', -{n}), substring(path, 1, {k})), null)"
+             for n, k in sorted(set(shapes))]
+    keys = ", ".join(["if(host = '', null, host)", *asked])
+    keys = keys.replace("size(labels)", "(length(host) - length(replace(host, '.', '')) + 1)")
+    return F.expr(f"array_distinct(filter(array({keys}), k -> k is not null and not startswith(k, '/')))")
 
 
 def _position(key: str, j: int, seed: int, bits: int) -> str:
@@ -103,6 +103,10 @@ class Cascade:
         return out
 
 
+class TooManyKeys(ValueError):
+    """A level's filter would pass ``MAX_BITS``: its keys have to be split."""
+
+
 def build_cascade(keys: DataFrame, seed: int = 0) -> Cascade:
     """From the whole universe: rows ``key string, listed boolean``, each key once."""
     levels: list[tuple[bytes, int, int]] = []
@@ -112,6 +116,8 @@ def build_cascade(keys: DataFrame, seed: int = 0) -> Cascade:
         n = wrong.count()
         if not n:
             return Cascade(levels)
+        if n > MAX_BITS / BITS_PER_KEY:
+            raise TooManyKeys(n)
         levels.append((*_filter_bits(wrong, n, seed + depth), seed + depth))
         level, other = Cascade(levels[-1:]), (depth + 1) % 2
         kept = sides[other].select("*", *[c.alias(k) for k, c in level.columns("f").items()])
@@ -130,16 +136,24 @@ def listed_in(rows: DataFrame, listed: DataFrame, out: str) -> DataFrame:
         universe.union(listed.select("key", F.lit(True).alias("listed"))).groupBy("key").agg(F.max("listed").alias("listed")),
         "url-universe")
     size = both.where("listed").count()
-    shards = max(1, math.ceil(2 * BITS_PER_KEY * size / MAX_BITS))
     rows = rows.withColumn(out, F.expr("filter(keys, k -> false)"))
-    for shard in range(shards):
-        own = f"pmod(xxhash64({{}}, 77), {shards}) = {shard}"
-        cascade = build_cascade(both.where(own.format("key")) if shards > 1 else both, seed=100 * (shard + 1))
+    first = max(1, math.ceil(2 * BITS_PER_KEY * size / MAX_BITS))
+    shards, done = [(first, r) for r in range(first)], 0
+    while shards:
+        # Keys whose hash leaves rest r; a shard with a level too large (also of false positives) is halved.
+        parts, rest = shards.pop()
+        own = f"pmod(xxhash64({{}}, 77), {parts}) = {rest}"
+        try:
+            cascade = build_cascade(both.where(own.format("key")) if parts > 1 else both, seed=100 * (done + 1))
+        except TooManyKeys:
+            shards += [(2 * parts, rest), (2 * parts, rest + parts)]
+            continue
+        done += 1
         names = cascade.columns("f")
-        hit = f"{own.format('k')} and {cascade.test('f')}" if shards > 1 else cascade.test("f")
+        hit = f"{own.format('k')} and {cascade.test('f')}" if parts > 1 else cascade.test("f")
         rows = rows.select("*", *[c.alias(k) for k, c in names.items()])
         rows = rows.withColumn(out, F.expr(f"concat({out}, filter(keys, k -> {hit}))")).drop(*names)
-        if shard + 1 < shards:
+        if shards:
             rows = stored(rows, "url-rows")
     return rows
 
@@ -166,7 +180,7 @@ def judge_urls(pages: DataFrame, rules: list[Rule], blocked_hosts: DataFrame | N
     rows = pick(pages, page_id="long", url="string")
     host, path = url_parts(F.col("url"))
     rows = rows.select("page_id", host.alias("host"), path.alias("path"))
-    rows = rows.withColumn("keys", candidate_keys([len(r.path) for r in rules]))
+    rows = rows.withColumn("keys", candidate_keys([(r.host.count(".") + 1, len(r.path)) for r in rules]))
     for verdict in ("allow", "block"):
         listed = spark.createDataFrame([(r.key,) for r in rules if r.verdict == verdict], "key string").distinct()
         if verdict == "block" and blocked_hosts is not None:

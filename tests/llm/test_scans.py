@@ -4,6 +4,8 @@ import random
 import re
 import zlib
 
+import pytest
+
 from regspark.llm.licenses import BASE_PHRASES, TEMPLATES, scan_licenses
 from regspark.llm.sharding import feistel_int, shard_rows
 from regspark.llm.url_filter import Rule, build_cascade, judge_urls, listed_in, mostly_blocked_hosts
@@ -59,6 +61,33 @@ def test_cascade_is_exact_over_its_universe_also_in_shards(spark, monkeypatch):
         assert sorted(k for r in got for k in r.hit) == sorted(listed)
 
 
+def test_long_hosts_ask_for_few_keys(spark):
+    from regspark.llm.url_filter import candidate_keys
+
+    hosts = ["a." * 32_000 + "example.org", "." * 64_000, "x" * 64_000 + ".com", "a..com", "com", ""]
+    rows = spark.createDataFrame([(h, "/de/1") for h in hosts], "host string, path string")
+    got = rows.select(candidate_keys([(1, 1), (1, 4), (2, 4)]).alias("k")).collect()
+    assert all(len(r.k) <= 4 for r in got)
+    assert set(got[3].k) == {"a..com", "com/", "com/de/", ".com/de/"} and got[5].k == []
+    assert {"org/", "org/de/", "example.org/de/", hosts[0]} == set(got[0].k)
+    pages = spark.createDataFrame([(i, f"http://{h}/es/") for i, h in enumerate(hosts)], "page_id long, url string")
+    assert {r.page_id: r.rule for r in judge_urls(pages, RULES).collect()} == {0: "example.org/es/", 1: None, 2: None, 3: None, 4: None, 5: None}
+
+
+def test_a_level_of_false_positives_beyond_the_bound_is_split(spark, monkeypatch):
+    import regspark.llm.url_filter as module
+
+    monkeypatch.setattr(module, "MAX_BITS", 1024)
+    keys = [f"k{i}" for i in range(12000)]
+    rows = spark.createDataFrame([(i, keys[i : i + 3]) for i in range(0, 12000, 3)], "i int, keys array<string>")
+    listed = keys[::300]  # one filter by their number; level 2 holds some 280 false positives
+    both = spark.createDataFrame([(k, k in set(listed)) for k in keys], "key string, listed boolean")
+    with pytest.raises(module.TooManyKeys):
+        build_cascade(both)
+    got = listed_in(rows, spark.createDataFrame([(k,) for k in listed], "key string"), "hit").collect()
+    assert sorted(k for r in got for k in r.hit) == sorted(listed)
+
+
 def words(text):
     low = (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)

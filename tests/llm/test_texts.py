@@ -432,3 +432,90 @@ def test_main_text(spark):
     rows = {r.page_id: r for r in html_text.main_text(odd, net).collect()}
     assert rows[1].text == rows[2].text == "" and rows[None].n_chars == 200_000 * 11 - 1
     assert html_text.main_text(odd.where("false"), net).count() == 0
+
+
+# --- broken and deep mark-up ------------------------------------------------------------
+
+def test_markup_that_is_never_closed_is_read_in_linear_time():
+    import time
+
+    began = time.perf_counter()
+    deep = html_text.blocks("<div>x" * 100_000)
+    assert len(deep) == 100_000 and deep[-1].node.fresh == [] and all(b.text == "x" for b in deep[:5])
+    assert html_text.blocks("<a " * 300_000) == [] and html_text.blocks('<a "' * 200_000) == []
+    assert html_text.blocks('<a ">' * 200_000 + "<p>end") and html_text.blocks('<p "x>y" ' * 100_000) is not None
+    assert html_text.blocks("<div>" * 100_000 + "</p></li>" * 100_000) == []
+    assert html_text.blocks("one<script>" + "</script " * 100_000)[0].text == "one"
+    assert html_text.blocks("<!--" * 200_000 + "<p>x") == [] and len(html_text.blocks("<" * 300_000)) == 1
+    assert time.perf_counter() - began < 30
+
+
+def test_no_markup_in_the_text_of_unclosed_quotes():
+    got = [b.text for b in html_text.blocks('<p>one</p><p title="bad>two</p><p>three</p>')]
+    assert got == ["one", "two", "three"]
+    assert [b.text for b in html_text.blocks("<p class='a>b'>in</p><p id=it's>out</p> a < b <3 </ x")] == ["in", "out", "a < b <3 </ x"]
+    assert [b.text for b in html_text.blocks('<p a="x" b=">">t</p><p "x>y"')] == ["t", 'y"']
+    assert [b.text for b in html_text.blocks("<p>kept</p><div class='end")] == ["kept"]
+
+
+def test_path_sums_are_the_bags_of_the_paths():
+    rng = random.Random(12)
+    net = html_text.Labeller()
+    net.known = frozenset(["div", "p", "nav", ".a", ".b", "li"])
+    page = "".join(rng.choice(["<div class='a b'>", "<p>", "<nav id=c>", "</div>", "</nav>", "<ul><li class=a>", "</ul>", "<b>x</b> y ", "word "]) for _ in range(400))
+    found = html_text.blocks(page)
+    p, q, x = html_text.encode(found, net.known)
+    want = net._inputs(p, q, x)
+    assert len(found) > 50 and np.allclose(net.embedded(found), want, atol=1e-5)
+    other = html_text.blocks(page[:900])
+    v = np.zeros((2, len(found), want.shape[1]), np.float32)
+    v[0], v[1, : len(other)] = want, net.embedded(other)
+    live = np.arange(len(found)) < np.array([[len(found)], [len(other)]])
+    for got, side in zip(net._both(v, live), "fb"):
+        assert np.allclose(got[live], net._run(v, live, side)[live], atol=1e-5)
+
+
+def test_labelling_a_deep_page_is_bounded(spark):
+    import time
+    import tracemalloc
+
+    net = html_text.Labeller()
+    for page in ("<div>x" * 30_000, "<a " * 340_000):
+        began = time.perf_counter()
+        tracemalloc.start()
+        net.label([html_text.blocks(page)])
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 100e6 and time.perf_counter() - began < 60, (peak, time.perf_counter() - began)
+
+
+# --- benchmark in many blocks -------------------------------------------------------------
+
+def test_benchmark_blocks_are_read_one_at_a_time(spark, monkeypatch):
+    from regspark.llm import decontaminate
+
+    rng = random.Random(21)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(500)]
+    items = [(i, " ".join(rng.choice(words) for _ in range(12))) for i in range(40)]
+    docs = [(i, " ".join(rng.choice(words) for _ in range(30)) + (" " + items[i][1] if i % 3 == 0 else "")) for i in range(40)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df = spark.createDataFrame([(*d, "a", "b") for d in docs], "doc_id long, text string, x string, Doc_ID string")
+    whole = sorted(tuple(r) for r in contaminated(df, bench).collect())
+    assert {r[0] for r in whole} >= {i for i in range(40) if i % 3 == 0}
+    split = contaminated(df, bench, block_chars=150)
+    assert sorted(tuple(r) for r in split.collect()) == whole and len(split.inputFiles()) > 0  # hits of blocks lie in files
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 150)
+    clean = leaked_dropped(df, bench)
+    assert clean.columns == df.columns
+    assert sorted(r[0] for r in clean.collect()) == sorted({d[0] for d in docs} - {r[0] for r in whole})
+
+
+def test_a_worker_keeps_one_matcher():
+    import sys
+
+    from regspark.llm.common import process_slot
+
+    made = [process_slot("matcher", str(k), lambda k=k: f"m{k}") for k in (1, 1, 2, 3, 3)]
+    assert made == ["m1", "m1", "m2", "m3", "m3"]
+    kept = sys.modules["regspark_worker_cache"].__dict__
+    assert kept["matcher"] == ("3", "m3")
