@@ -10,6 +10,7 @@ never replaces a good one and the month is scanned and shuffled once.
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
 import itertools
 from collections.abc import Callable, Sequence
@@ -236,13 +237,18 @@ def merge_gold(spark: SparkSession, dataset: str, month: str, root: str) -> Writ
 
 
 def archive_files(spark: SparkSession, files: Sequence[str], archive_root: str | None, dataset: str, month: str) -> list[str]:
-    """K9: move consumed files below dataset and month; a name that is taken gets a number."""
+    """K9: move consumed files below dataset and month; a name that is taken gets the UTC time as a suffix.
+
+    Two files of one name and second get the next free second, so none is lost.
+    """
     moved = []
     for path in files:
         folder, name = f"{archive_root.rstrip('/')}/{dataset}/{month}", path.rpartition("/")[2]
         stem, dot, suffix = name.rpartition(".")
         stem, suffix = (stem, dot + suffix) if stem else (name, "")
-        names = itertools.chain([name], (f"{stem}-{k}{suffix}" for k in itertools.count(1)))
+        now = dt.datetime.now(dt.timezone.utc)
+        times = (now + dt.timedelta(seconds=k) for k in itertools.count())
+        names = itertools.chain([name], (f"{stem}_{t:%Y%m%dT%H%M%SZ}{suffix}" for t in times))
         free = next(n for n in names if not Folder(spark, f"{folder}/{n}").exists())
         Folder(spark, path).move_to(Folder(spark, f"{folder}/{free}"))
         moved.append(f"{folder}/{free}")
@@ -284,9 +290,9 @@ def _build_month(spark: SparkSession, read_in: Callable[[], tuple[WriteResult, E
 
             publish_key_set(spark, root, month, name)
         afterwards()
-    except Exception:
+    except Exception as exc:
         if runs:
-            runs.finish(run, "failed", failed=1)
+            runs.finish(run, "failed", failed=1, error=exc)
         raise
     if runs:
         runs.finish(run, "completed", result.gold.rows, output_path=result.gold.path)

@@ -750,33 +750,33 @@ FROM ({_UNEVEN})
 """
 
 SQL["source_selection"] = f"""
-SELECT CAST(n_nationkey AS VARCHAR) AS codigo, 'A' || n_name AS descricao, 'paises' AS file_type,
+SELECT CAST(c_custkey AS VARCHAR) AS codigo, 'A' || c_name AS descricao, 'paises' AS file_type,
        {_M} AS dataset_month, {_M} AS data_version, true AS has_source, true AS has_time
-FROM nation
+FROM customer
 """
 
 SQL["encoding_switch"] = """
 SELECT 'paises' AS dataset, 'utf-8' AS from_encoding, 'latin1' AS to_encoding, 1::BIGINT AS switches,
-       COUNT(*) FILTER (WHERE n_nationkey % 2 = 0) + COUNT(*) FILTER (WHERE n_nationkey % 4 = 0) AS recovered_cells
-FROM nation
+       COUNT(*) FILTER (WHERE c_custkey % 2 = 0) + COUNT(*) FILTER (WHERE c_custkey % 4 = 0) AS recovered_cells
+FROM customer
 """
 
 _STAGES = "(VALUES ('bronze', 2), ('silver', 1), ('gold', 1), ('run', 1)) v(stage, times)"
 
 SQL["runlog_stages"] = f"""
-SELECT stage, 'empresas' AS dataset, 'completed' AS status, {_M} AS data_version, 1::BIGINT AS runs,
+SELECT stage, 'empresas' AS dataset, 'completed' AS status, data_version, 1::BIGINT AS runs,
        times * (SELECT COUNT(*) FROM customer) AS records
-FROM {_STAGES}
+FROM {_STAGES}, (VALUES ({_M}), ('2026-04')) m(data_version)
 """
 
 SQL["runlog_record_rates"] = f"""
-SELECT stage, times * (SELECT COUNT(*) FROM customer) AS processed, 0::BIGINT AS failed,
+SELECT stage, 2 * times * (SELECT COUNT(*) FROM customer) AS processed, 0::BIGINT AS failed,
        100::DOUBLE AS record_success_rate, 0::DOUBLE AS record_error_rate
 FROM {_STAGES}
 """
 
 SQL["runlog_rates"] = """
-SELECT 4::BIGINT AS total_runs, 4::BIGINT AS successes, 0::BIGINT AS failures,
+SELECT 8::BIGINT AS total_runs, 8::BIGINT AS successes, 0::BIGINT AS failures,
        100::DOUBLE AS success_rate, 0::DOUBLE AS error_rate
 """
 

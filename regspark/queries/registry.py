@@ -388,9 +388,9 @@ def source_selection(spark: SparkSession, d: str) -> DataFrame:
     from regspark.sources.text import read_bronze
 
     base = scratch_path(spark, "sources")
-    nation = table(spark, d, "nation")
+    customer = table(spark, d, "customer")
     for folder, first in (("Paises 01 [a]", "A"), ("Paises 02", "B")):
-        nation.select(F.concat_ws(";", _s(F.col("n_nationkey")), F.concat(F.lit(first), "n_name")).alias("value")).write.text(f"{base}/{folder}")
+        customer.select(F.concat_ws(";", _s(F.col("c_custkey")), F.concat(F.lit(first), "c_name")).alias("value")).write.text(f"{base}/{folder}")
     alternatives = f"{base}/none/*.CSV|{base}/Paises 01 \\[a\\]/part-*|{base}/Paises 02/part-*"
     df, _ = read_bronze(spark, alternatives, "paises", REGISTRY_MONTH)
     return df.select(
@@ -408,9 +408,9 @@ def encoding_switch(spark: SparkSession, d: str) -> DataFrame:
     from regspark.sinks.runlog import RunLog
 
     base = scratch_path(spark, "switch")
-    accent = F.when(F.col("n_nationkey") % 2 == 0, F.concat("n_name", F.lit(" é"))).otherwise(F.col("n_name"))
-    code = F.when(F.col("n_nationkey") % 4 == 0, F.concat(_s(F.col("n_nationkey")), F.lit("ã"))).otherwise(_s(F.col("n_nationkey")))
-    table(spark, d, "nation").select(code.alias("a"), accent.alias("b")).write.csv(
+    accent = F.when(F.col("c_custkey") % 2 == 0, F.concat("c_name", F.lit(" é"))).otherwise(F.col("c_name"))
+    code = F.when(F.col("c_custkey") % 4 == 0, F.concat(_s(F.col("c_custkey")), F.lit("ã"))).otherwise(_s(F.col("c_custkey")))
+    table(spark, d, "customer").select(code.alias("a"), accent.alias("b")).write.csv(
         f"{base}/landing", sep=";", quote="", encoding="ISO-8859-1")
     run_month(spark, f"{base}/landing/part-*", "paises", REGISTRY_MONTH, f"{base}/lake", encoding="utf-8")
     return encoding_fallbacks(RunLog(spark, f"{base}/lake").encoding_audit())
@@ -458,7 +458,7 @@ def lake_distinct_companies(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _logged_runs(spark: SparkSession, d: str) -> DataFrame:
-    """Current states of one ingest's run and stages, from the rows that the run log wrote."""
+    """Current states of two ingests' runs and stages: one's events compacted, the other's as files."""
     from regspark.operators.runs import current_runs
     from regspark.plans.layers import run_month
     from regspark.session import scratch_path
@@ -466,8 +466,11 @@ def _logged_runs(spark: SparkSession, d: str) -> DataFrame:
 
     base = scratch_path(spark, "runlog")
     company_lines(spark, d).write.text(f"{base}/landing")
+    log = RunLog(spark, f"{base}/lake")
     run_month(spark, f"{base}/landing/part-*", "empresas", REGISTRY_MONTH, f"{base}/lake")
-    return current_runs(RunLog(spark, f"{base}/lake").events(), ["run_id", "stage"])
+    log.compact()
+    run_month(spark, f"{base}/landing/part-*", "empresas", MONTHS[1], f"{base}/lake")  # its events are still files
+    return current_runs(log.events(), ["run_id", "stage"])
 
 
 @register

@@ -1,29 +1,37 @@
-"""Run records (K10) as an append-only Parquet table of events.
+"""Run records (K10) as an append-only table of events.
 
 Every stage of a run (and the run as a whole, stage ``run``) writes a
 ``running`` event when it starts and a ``completed`` or ``failed`` event when it
 ends; its current state is its latest event
-(:func:`regspark.operators.runs.current_runs`). Appends never rewrite older
-events, so concurrent runs do not conflict.
+(:func:`regspark.operators.runs.current_runs`). An event is one small JSON file,
+created whole through the file system: recording starts no Spark job, and
+concurrent runs do not conflict. :meth:`RunLog.compact` folds the files into one
+Parquet folder; every event has an id, so a compaction that stops half-way
+leaves events twice on disk and once in the table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from regspark.sinks.manifest import Folder, Month, commit, read_manifest
+
 RUN_EVENT_SCHEMA = (
     "run_id string, pipeline_name string, stage string, dataset string, source_file string, "
     "data_version string, dataset_month string, status string, started_at timestamp, "
     "finished_at timestamp, duration_seconds double, records bigint, records_failed bigint, "
-    "output_path string, event_ts timestamp"
+    "output_path string, event_ts timestamp, error_message string, event_id string"
 )
+# Characters of an error kept in its event: messages of a job can hold a whole plan.
+ERROR_CHARS = 2000
 ENCODING_AUDIT_SCHEMA = (
     "dataset string, data_version string, from_encoding string, to_encoding string, "
-    "bad_before bigint, bad_after bigint, event_ts timestamp"
+    "bad_before bigint, bad_after bigint, event_ts timestamp, event_id string"
 )
 # The alert table, with the run it belongs to.
 ALERT_SCHEMA = (
@@ -49,8 +57,43 @@ class RunLog:
         self.root = root.rstrip("/")
 
     def _append(self, schema: str, table: str, row: dict) -> None:
-        values = [row.get(c) for c in _names(schema)]
-        self.spark.createDataFrame([values], schema).write.mode("append").parquet(f"{self.root}/{table}")
+        event_id = uuid.uuid4().hex
+        values = {**{c: row.get(c) for c in _names(schema)}, "event_id": event_id}
+        body = json.dumps({k: v.isoformat(timespec="microseconds") if isinstance(v, dt.datetime) else v
+                           for k, v in values.items() if v is not None})
+        if not Folder(self.spark, f"{self.root}/{table}/events/{event_id}.json").create_whole(body):
+            raise FileExistsError(f"event {event_id} of {table} exists")
+
+    def _events(self, schema: str, table: str) -> DataFrame:
+        path = f"{self.root}/{table}"
+        compacted = [f"{path}/{e.commit}" for e in read_manifest(self.spark, path).months.values()]
+        files = Folder(self.spark, f"{path}/events")
+        frames = [self.spark.read.schema(schema).json(f"{path}/events")] if files.exists() else []
+        if compacted:
+            frames.append(self.spark.read.schema(schema).parquet(*compacted))
+        if not frames:
+            return self.spark.createDataFrame([], schema)
+        return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1]).dropDuplicates(["event_id"])
+
+    def compact(self, table: str = "_runs") -> int:
+        """Fold the event files of ``_runs`` or ``_encoding_audit`` into Parquet; returns the events folded.
+
+        The Parquet folder counts once its manifest entry stands; only then are
+        its event files deleted. Events that are written meanwhile stay files.
+        """
+        schema = {"_runs": RUN_EVENT_SCHEMA, "_encoding_audit": ENCODING_AUDIT_SCHEMA}[table]
+        path, part = f"{self.root}/{table}", uuid.uuid4().hex
+        names = [n for n in Folder(self.spark, f"{path}/events").names() if n.endswith(".json")]
+        if not names:
+            return 0
+        base = read_manifest(self.spark, path)
+        folder = f"compacted/{part}"
+        rows = self.spark.read.schema(schema).json([f"{path}/events/{n}" for n in names])
+        rows.coalesce(1).write.parquet(f"{path}/{folder}")
+        commit(self.spark, path, base, {part: Month(folder, len(names), rows.schema.json())})
+        for name in names:
+            Folder(self.spark, f"{path}/events/{name}").delete()
+        return len(names)
 
     def start(self, pipeline_name: str, dataset: str, source_file: str, month: str,
               stage: str = WHOLE_RUN, run_id: str | None = None) -> dict:
@@ -64,12 +107,15 @@ class RunLog:
         return run
 
     def finish(self, run: dict, status: str, records: int = 0, failed: int = 0,
-               output_path: str | None = None) -> None:
+               output_path: str | None = None, error: BaseException | None = None) -> None:
+        """The run's last event; a failure's reason is its type and message."""
         end = _now()
+        reason = f"{type(error).__name__}: {error}"[:ERROR_CHARS] if error is not None else None
         self._append(RUN_EVENT_SCHEMA, "_runs", {
             **run, "status": status, "finished_at": end,
             "duration_seconds": (end - run["started_at"]).total_seconds(),
             "records": records, "records_failed": failed, "output_path": output_path, "event_ts": end,
+            "error_message": reason,
         })
 
     @contextmanager
@@ -80,13 +126,13 @@ class RunLog:
         out: dict = {"records": 0, "output_path": None}
         try:
             yield out
-        except Exception:
-            self.finish(own, "failed", failed=1)
+        except Exception as exc:
+            self.finish(own, "failed", failed=1, error=exc)
             raise
         self.finish(own, "completed", out["records"], output_path=out["output_path"])
 
     def events(self) -> DataFrame:
-        return self.spark.read.schema(RUN_EVENT_SCHEMA).parquet(f"{self.root}/_runs")
+        return self._events(RUN_EVENT_SCHEMA, "_runs")
 
     # --- alerts of a run (input of A13) ------------------------------------------
 
@@ -111,4 +157,4 @@ class RunLog:
         })
 
     def encoding_audit(self) -> DataFrame:
-        return self.spark.read.schema(ENCODING_AUDIT_SCHEMA).parquet(f"{self.root}/_encoding_audit")
+        return self._events(ENCODING_AUDIT_SCHEMA, "_encoding_audit")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from decimal import Decimal
 
 import pytest
@@ -196,8 +197,11 @@ def test_quality_gate_exact_boundary(spark, workdir):
     with pytest.raises(QualityGateError):
         run_month(spark, src2, "socios", "2026-04", root, keys=["cnpj_basico", "identificador_socio"])
     assert read_table(spark, root, "silver", "socios").where("data_version = '2026-04'").count() == 0
-    failed = spark.read.parquet(f"{root}/_runs").where(F.col("status") == "failed")
-    assert sorted(r.stage for r in failed.collect()) == ["run", "silver"]
+    from regspark.sinks.runlog import RunLog
+
+    failed = RunLog(spark, root).events().where(F.col("status") == "failed").collect()
+    assert sorted(r.stage for r in failed) == ["run", "silver"]
+    assert all(r.error_message.startswith("QualityGateError: ") for r in failed)
     # A month that fails the gate later keeps what it had.
     with pytest.raises(QualityGateError):
         run_month(spark, src2, "socios", "2026-03", root, keys=["cnpj_basico", "identificador_socio"])
@@ -388,7 +392,8 @@ def test_archive_after_gold_with_a_suffix_on_a_clash(spark, workdir):
         src = _empresas(workdir, "arch", [f'{k};"X";1;1;1,00;01;'])
         run_month(spark, src, "empresa", "2026-03", root, archive_to=archive, record_runs=False)
         assert not os.path.exists(src)
-    assert sorted(f for f in os.listdir(f"{archive}/empresas/2026-03") if not f.startswith(".")) == ["Empresas-1.txt", "Empresas.txt"]
+    kept = sorted(f for f in os.listdir(f"{archive}/empresas/2026-03") if not f.startswith("."))
+    assert kept[0] == "Empresas.txt" and re.fullmatch(r"Empresas_\d{8}T\d{6}Z\.txt", kept[1]) and len(kept) == 2
     bad = _empresas(workdir, "arch", [';"X";1;1;1,00;01;'])
     with pytest.raises(QualityGateError):
         run_month(spark, bad, "empresas", "2026-03", root, archive_to=archive, record_runs=False)
@@ -446,3 +451,41 @@ def test_arrivals_merge_only_touched_buckets(spark, workdir):
     with pytest.raises(QualityGateError):
         run_arrivals(spark, src, "empresas", "2026-03", root, threshold=100)
     assert read_table(spark, root, "silver", "empresas").count() == 200
+
+
+def test_run_log_starts_no_job_and_compacts_safely(spark, workdir, monkeypatch):
+    from regspark.operators.runs import current_runs
+    from regspark.sinks import runlog
+
+    tracker = spark.sparkContext.statusTracker()
+    log = runlog.RunLog(spark, f"{workdir}/runs")
+    assert log.events().count() == 0 and log.compact() == 0
+    spark.sparkContext.setJobGroup("events", "")
+    run = log.start("p", "empresas", "f", "2026-03")
+    with pytest.raises(ValueError), log.stage(run, "bronze"):
+        raise ValueError("no 'space' left ü")
+    log.finish(run, "failed", failed=1, error=RuntimeError("x" * 9000))
+    assert not tracker.getJobIdsForGroup("events")
+    spark.sparkContext.setJobGroup("other", "")
+
+    def states():
+        rows = current_runs(log.events(), ["run_id", "stage"]).drop("event_id").collect()
+        return sorted(map(tuple, rows), key=str)
+
+    before = states()
+    assert [r.error_message for r in log.events().where("stage = 'bronze' AND status = 'failed'").collect()] == ["ValueError: no 'space' left ü"]
+    assert run["started_at"] in {r.started_at for r in log.events().collect()} and log.events().count() == 4
+    # Interrupted after the Parquet folder, then after its manifest entry.
+    monkeypatch.setattr(runlog, "commit", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        log.compact()
+    assert log.events().count() == 4 and states() == before
+    monkeypatch.undo()
+    monkeypatch.setattr(runlog.Folder, "delete", lambda self: 1 / 0 if "/events/" in self.path.toString() and "draft" not in self.path.toString() else self.fs.delete(self.path, True))
+    with pytest.raises(ZeroDivisionError):
+        log.compact()
+    assert log.events().count() == 4 and states() == before  # in both places, once in the table
+    monkeypatch.undo()
+    log.finish(log.start("p", "socios", "g", "2026-03"), "completed", 5)
+    assert log.compact() == 6 and log.compact() == 0
+    assert log.events().count() == 6 and [s for s in states() if s in before] == before
