@@ -253,7 +253,8 @@ def read_table(spark: SparkSession, root: str, layer: str, dataset: str, month:
     frames = []
     for levels, folders in shapes.items():
         if within:
-            folders = [f for f in folders if Folder(spark, f).exists()]
+            table = Folder(spark, path)
+            folders = [f for f in folders if table.below(f).exists()]
         if folders:
             extra = [c for c in (COMMIT, *levels) if c not in schema.names]
             full = T.StructType([*schema.fields, *(T.StructField(c, T.StringType()) for c in extra)])

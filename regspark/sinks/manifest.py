@@ -73,6 +73,13 @@ class Folder:
         self.conf = spark._jsparkSession.sessionState().newHadoopConf()
         self.fs = self.path.getFileSystem(self.conf)
 
+    def below(self, name: str) -> "Folder":
+        """A path below this one, on the same file system object."""
+        out = Folder.__new__(Folder)
+        out.jvm, out.conf, out.fs = self.jvm, self.conf, self.fs
+        out.path = self.jvm.org.apache.hadoop.fs.Path(self.path, name)
+        return out
+
     def exists(self) -> bool:
         return self.fs.exists(self.path)
 
@@ -106,9 +113,7 @@ class Folder:
 
     def create_whole(self, text: str) -> bool:
         """The file with this text, unless it exists: it appears complete, and one of two callers gets False."""
-        draft = Folder.__new__(Folder)
-        draft.jvm, draft.conf, draft.fs = self.jvm, self.conf, self.fs
-        draft.path = self.jvm.org.apache.hadoop.fs.Path(self.path.getParent(), f".draft-{uuid.uuid4().hex}")
+        draft = self.below(f"../.draft-{uuid.uuid4().hex}")
         draft.write_text(text)
         try:
             if self.fs.getUri().getScheme() == "file":  # a hard link is atomic here, a checked rename is not
@@ -144,10 +149,11 @@ def _version_name(version: int) -> str:
 
 def read_manifest(spark: SparkSession, table: str) -> Manifest:
     """The latest published version; version 0 without months for a table that has none."""
-    names = [n for n in Folder(spark, f"{table}/{FOLDER}").names() if n.startswith("v") and n.endswith(".json")]
+    folder = Folder(spark, f"{table}/{FOLDER}")
+    names = [n for n in folder.names() if n.startswith("v") and n.endswith(".json")]
     if not names:
         return Manifest()
-    body = json.loads(Folder(spark, f"{table}/{FOLDER}/{max(names)}").read_text())
+    body = json.loads(folder.below(max(names)).read_text())
     months = {m: Month(**{**e, "levels": tuple(e["levels"])}) for m, e in body["months"].items()}
     return Manifest(int(body["version"]), months, body["last_schema"])
 
