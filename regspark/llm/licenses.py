@@ -3,9 +3,11 @@
 The index holds, for each licence template, its rarest words and their places;
 rarity is the inverse document frequency counted over the whole corpus. Of a
 template's n rare words, ``need`` must stand at their places, so one of its
-n - need + 1 rarest does: each place of those in a file gives a place where the
-template would begin, whatever else the file holds, and the places are
-intersected by testing the template's rare words at their relative positions.
+n - need + 1 rarest does. Those anchors are the postings: a map from word to
+(template, place). A file looks up the anchors it holds, each of their places
+gives one place where a posted template would begin, and only those beginnings
+are tested for the template's other rare words at their relative positions, so
+the work follows the file's own rare words, not the number of templates.
 What is left must hold the template's key phrases. Texts are read twice
 (counts, scan) and never shuffled.
 """
@@ -54,7 +56,6 @@ TEMPLATES = [
 ]
 
 RARE_WORDS = 5
-FILE_WORDS = 12  # of the SQL oracle alone, which looks up no more words of a file; the scan has no such bound
 
 
 @dataclass(frozen=True)
@@ -122,14 +123,24 @@ def _strings(items: list[str]) -> str:
 
 
 def _index_literal(index: list[Posting]) -> str:
+    """SQL: the templates, by number."""
     rows = []
     for p in index:
         rare = ", ".join(f"named_struct('w', '{w}', 'p', {at})" for w, at in p.rare)
         rows.append(f"named_struct('label', '{p.label}', 'words', {_strings(p.words)}, 'phrases', {_strings(p.phrases)}, "
-                    f"'rare', array({rare}), 'need', {p.need}, 'anchors', {len(p.anchors)})")
+                    f"'rare', array({rare}), 'need', {p.need})")
     return "array(" + ", ".join(rows) + ")"
 
 
+def _postings_literal(index: list[Posting], words: list[str]) -> str:
+    """SQL: map from each anchor word to the templates (number, place of the word) it is an anchor of."""
+    rows = []
+    for word in words:
+        at = [(t, place) for t, p in enumerate(index) for w, place in p.anchors if w == word]
+        rows.append("array(" + ", ".join(f"named_struct('t', {t}, 'p', {place})" for t, place in at) + ")")
+    return f"map_from_arrays({_strings(words)}, array({', '.join(rows)}))"
+
+
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score``.
 
@@ -153,15 +164,15 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
         *[F.expr(_places(phrase)).alias(f"at{k}") for k, (phrase, _) in enumerate(BASE_PHRASES)])
     hits = ("if(size(rare) = 0, filter(array(named_struct('w', '', 'i', 0)), x -> false), "
             "filter(transform(words, (w, i) -> named_struct('w', w, 'i', i)), x -> array_contains(rare, x.w)))")
-    starts = ("array_distinct(flatten(transform(slice(t.rare, 1, t.anchors), r -> transform(filter(hits, h -> h.w = r.w), h -> h.i - r.p))))")
-    agree = f"filter({starts}, s -> size(filter(t.rare, r -> get(words, s + r.p) = r.w)) >= t.need)"
-    span = "concat(' ', array_join(slice(words, greatest(s, 0) + 1, size(t.words) + least(s, 0)), ' '), ' ')"
-    sure = f"filter({agree}, s -> forall(t.phrases, f -> contains({span}, concat(' ', f, ' '))))"
-    share = "size(filter(transform(t.words, (w, k) -> get(words, s + k) = w), x -> x)) / size(t.words)"
+    starts = (f"array_distinct(flatten(transform(hits, h -> transform(element_at({_postings_literal(index, looked_up)}, h.w), "
+              "q -> named_struct('t', q.t, 's', h.i - q.p)))))")
+    named = f"transform({starts}, x -> named_struct('t', get({_index_literal(index)}, x.t), 's', x.s))"
+    agree = f"filter({named}, x -> size(filter(x.t.rare, r -> get(words, x.s + r.p) = r.w)) >= x.t.need)"
+    span = "concat(' ', array_join(slice(words, greatest(x.s, 0) + 1, size(x.t.words) + least(x.s, 0)), ' '), ' ')"
+    sure = f"filter({agree}, x -> forall(x.t.phrases, f -> contains({span}, concat(' ', f, ' '))))"
+    share = "size(filter(transform(x.t.words, (w, k) -> get(words, x.s + k) = w), y -> y)) / size(x.t.words)"
     found = (f"if(size(hits) = 0, cast(array() as array<struct<label:string,score:double>>), "
-             f"transform(filter(transform({_index_literal(index)}, t -> named_struct('label', t.label, 'score', "
-             f"array_max(transform({sure}, s -> {share})))), x -> x.score is not null), "
-             f"x -> named_struct('label', x.label, 'score', cast(x.score as double))))")
+             f"transform({sure}, x -> named_struct('label', x.t.label, 'score', cast({share} as double))))")
     every = F.concat(*[F.col(f"at{k}") for k in range(len(BASE_PHRASES))])
     base = F.filter(
         F.array(*[F.when(F.size(f"at{k}") > 0, F.lit(label)) for k, (_, label) in enumerate(BASE_PHRASES)]), lambda x: x.isNotNull())

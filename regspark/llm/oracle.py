@@ -117,7 +117,7 @@ FROM g JOIN p ON p.k = g.k
 
 
 def _op9() -> str:
-    from .licenses import BASE_PHRASES, FILE_WORDS, RARE_WORDS, TEMPLATES
+    from .licenses import BASE_PHRASES, RARE_WORDS, TEMPLATES
 
     def strings(items):
         return "[" + ", ".join(f"'{x}'" for x in items) + "]"
@@ -142,14 +142,8 @@ rare AS (
     SELECT t, w, p, df, count(*) OVER (PARTITION BY t) AS n FROM (
         SELECT t, place.w, p, df, row_number() OVER (PARTITION BY t ORDER BY df, place.w) AS k
         FROM place JOIN df ON df.w = place.w) WHERE k <= {RARE_WORDS}
-), looked AS (SELECT DISTINCT w, df FROM rare),
-own AS (
-    SELECT i, w FROM (
-        SELECT i, w, row_number() OVER (PARTITION BY i ORDER BY df, w) AS k
-        FROM (SELECT DISTINCT occ.i, looked.w, df FROM occ JOIN looked ON looked.w = occ.w)) WHERE k <= {FILE_WORDS}
 ), cand AS (
-    SELECT DISTINCT occ.i, rare.t, occ.pos - rare.p AS s
-    FROM occ JOIN own ON own.i = occ.i AND own.w = occ.w JOIN rare ON rare.w = occ.w
+    SELECT DISTINCT occ.i, rare.t, occ.pos - rare.p AS s FROM occ JOIN rare ON rare.w = occ.w
 ), agreed AS (
     SELECT c.i, c.t, c.s FROM cand c JOIN rare ON rare.t = c.t JOIN occ ON occ.i = c.i AND occ.pos = c.s + rare.p AND occ.w = rare.w
     GROUP BY c.i, c.t, c.s, rare.n HAVING count(*) >= greatest(2, ceil(0.6 * rare.n))

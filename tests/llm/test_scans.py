@@ -4,9 +4,11 @@ import random
 import re
 import zlib
 
+import duckdb
 import pytest
 
 from regspark.llm.licenses import BASE_PHRASES, TEMPLATES, scan_licenses
+from regspark.llm.oracle import SQL
 from regspark.llm.sharding import feistel_int, shard_rows
 from regspark.llm.url_filter import Rule, build_cascade, judge_urls, listed_in, mostly_blocked_hosts
 
@@ -141,6 +143,31 @@ def test_license_scan_finds_every_notice_of_a_text(spark):
         assert {label for label, _ in part} <= got[k], (k, {label for label, _ in part} - got[k])
 
 
+def test_license_sql_and_scan_agree_on_texts_of_many_notices(spark, workdir):
+    rng = random.Random(9)
+    all_words = [w for _, text, _ in TEMPLATES for w in text.split()]
+    texts = [" and ".join(text for _, text, _ in TEMPLATES), *(" ".join(rng.choices(all_words, k=200)) for _ in range(20)), "", None]
+    for _ in range(60):  # notices with words lost, changed or doubled, several a text
+        parts = []
+        for _, text, _ in rng.sample(TEMPLATES, rng.randint(1, 6)):
+            ws = text.split()
+            for _ in range(rng.randint(0, 3)):
+                at = rng.randrange(len(ws))
+                ws[at : at + 1] = rng.choice([[], ["x"], [ws[at], ws[at]]])
+            parts.append(" ".join(ws))
+        texts.append(" -- ".join(parts))
+    df = spark.createDataFrame([*enumerate(texts), (None, texts[0]), (0, texts[0])], "doc_id long, text string")
+    df.coalesce(1).write.parquet(workdir + "/documents")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{workdir}/documents/*.parquet')")
+    cur = con.execute(SQL["op9_license_scan"])
+    names = [c[0] for c in cur.description]
+    expected = sorted(map(repr, cur.fetchall()))
+    got = scan_licenses(df).select(*names).collect()
+    assert sorted(repr(tuple(r)) for r in got) == expected
+    assert set(next(r.labels for r in got if r.doc_id == 0).split(",")) == {label for label, _, _ in TEMPLATES}
+
+
 def test_feistel_is_a_permutation():
     for n in (1, 2, 3, 7, 100, 1009, 4096):
         assert sorted(feistel_int(i, n, 5) for i in range(n)) == list(range(n))
