@@ -73,13 +73,13 @@ def publish_key_set(spark: SparkSession, root: str, month: str, dataset: str = "
     """
     gold = manifest_of(spark, root, "gold", dataset).months.get(month)
     made = manifest_of(spark, root, KEY_SETS, dataset).months.get(month)
-    if gold is None or (made is not None and made.metrics.get("made_from") == _source(gold)):
+    if gold is None or (made is not None and made.metrics.get("made_from") == made_of(gold)):
         return None
     rows = key_set(read_table(spark, root, "gold", dataset, month), key, [])
-    return publish_month(rows, root, KEY_SETS, dataset, month, facts={"made_from": _source(gold)})
+    return publish_month(rows, root, KEY_SETS, dataset, month, facts={"made_from": made_of(gold)})
 
 
-def _source(entry: Month) -> str:
+def made_of(entry: Month) -> str:
     """Names the files a month is made of."""
     return entry.commit or " ".join(sorted(p[0] for p in entry.parts.values()))
 
@@ -88,7 +88,7 @@ def _company_keys(spark: SparkSession, root: str, year: str | None = None) -> Da
     """Key sets of the gold months (of a year): as written, or made here where a month has none that is current."""
     gold = {m: e for m, e in manifest_of(spark, root, "gold", "empresas").months.items() if e.rows and m.startswith(year or "")}
     made = manifest_of(spark, root, KEY_SETS, "empresas").months
-    current = [m for m, e in gold.items() if m in made and made[m].metrics.get("made_from") == _source(e)]
+    current = [m for m, e in gold.items() if m in made and made[m].metrics.get("made_from") == made_of(e)]
     columns = [MONTH, "key_bucket", "key_bits", "other_key"]
     frames = []
     if current:

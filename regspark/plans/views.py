@@ -24,6 +24,25 @@ HEAD_OFFICE = "1"
 
 Tables = Mapping[str, DataFrame]
 
+# Reduced tables: one row per company and month, under these names of ``tables``.
+ONE_COMPANY, ONE_BRANCH, PARTNER_COUNT = "one_company", "one_branch", "partner_count"
+
+STATE_BRANCH = ["uf", "municipio"]
+CONTEXT_COMPANY = [
+    "razao_social", "natureza_juridica", "qualificacao_responsavel", "capital_social",
+    "porte_empresa", "ente_federativo_responsavel", "dataset_month",
+]
+CONTEXT_BRANCH = [
+    "identificador_matriz_filial", "nome_fantasia", "situacao_cadastral",
+    "data_inicio_atividade", "uf", "municipio", "cnae_fiscal_principal", "ddd1",
+    "telefone1", "correio_eletronico",
+]
+CONSOLIDATED_COMPANY = ["razao_social", "natureza_juridica", "porte_empresa", "dataset_month"]
+CONSOLIDATED_BRANCH = [
+    "cnpj_ordem", "cnpj_dv", "identificador_matriz_filial", "nome_fantasia",
+    "situacao_cadastral", "uf", "municipio", "cnae_fiscal_principal",
+]
+
 
 BRANCH_ORDER = ["identificador_matriz_filial", "cnpj_ordem", "cnpj_dv"]
 
@@ -52,6 +71,18 @@ def partner_counts(partners: DataFrame) -> DataFrame:
     return partners.groupBy(*KEY).agg(F.count(F.lit(1)).alias("quantidade_socios"))
 
 
+def _companies(t: Tables, columns: Sequence[str]) -> DataFrame:
+    return t[ONE_COMPANY].select(*KEY, *columns) if ONE_COMPANY in t else preferred_companies(t["empresas"], columns)
+
+
+def _branches(t: Tables, columns: Sequence[str]) -> DataFrame:
+    return t[ONE_BRANCH].select(*KEY, *columns) if ONE_BRANCH in t else preferred_branches(t["estabelecimentos"], columns)
+
+
+def _partners(t: Tables) -> DataFrame:
+    return t[PARTNER_COUNT] if PARTNER_COUNT in t else partner_counts(t["socios"])
+
+
 def _code(fact: DataFrame, dim: DataFrame, code_col: str, out: str) -> DataFrame:
     """Description of ``code_col`` from a code list of the same month."""
     return lookup(fact, dim, {code_col: "codigo", "data_version": "data_version"},
@@ -60,7 +91,7 @@ def _code(fact: DataFrame, dim: DataFrame, code_col: str, out: str) -> DataFrame
 
 def companies_with_state(t: Tables) -> DataFrame:
     """V1: every company row (no W2) with its preferred branch's state and town."""
-    est = preferred_branches(t["estabelecimentos"], ["uf", "municipio"])
+    est = _branches(t, STATE_BRANCH)
     emp = t["empresas"]
     out = attach(emp, est, KEY)
     return out.select(
@@ -72,16 +103,7 @@ def companies_with_state(t: Tables) -> DataFrame:
 
 def company_context(t: Tables) -> DataFrame:
     """V2: one row per company and month with branch, town and activity text."""
-    emp = preferred_companies(t["empresas"], [
-        "razao_social", "natureza_juridica", "qualificacao_responsavel", "capital_social",
-        "porte_empresa", "ente_federativo_responsavel", "dataset_month",
-    ])
-    est = preferred_branches(t["estabelecimentos"], [
-        "identificador_matriz_filial", "nome_fantasia", "situacao_cadastral",
-        "data_inicio_atividade", "uf", "municipio", "cnae_fiscal_principal", "ddd1",
-        "telefone1", "correio_eletronico",
-    ])
-    out = attach(emp, est, KEY)
+    out = attach(_companies(t, CONTEXT_COMPANY), _branches(t, CONTEXT_BRANCH), KEY)
     out = _code(out, t["municipios"], "municipio", "municipio_nome")
     out = _code(out, t["cnaes"], "cnae_fiscal_principal", "cnae_principal_descricao")
     return out.select(
@@ -131,15 +153,8 @@ def partner_context(t: Tables) -> DataFrame:
 def consolidated(t: Tables) -> DataFrame:
     """V5: one row per company and month with its preferred branch, town and
     activity text and its partner count (0 when it has none)."""
-    emp = preferred_companies(t["empresas"], [
-        "razao_social", "natureza_juridica", "porte_empresa", "dataset_month",
-    ])
-    est = preferred_branches(t["estabelecimentos"], [
-        "cnpj_ordem", "cnpj_dv", "identificador_matriz_filial", "nome_fantasia",
-        "situacao_cadastral", "uf", "municipio", "cnae_fiscal_principal",
-    ])
-    out = attach(emp, est, KEY)
-    out = attach(out, partner_counts(t["socios"]), KEY)
+    out = attach(_companies(t, CONSOLIDATED_COMPANY), _branches(t, CONSOLIDATED_BRANCH), KEY)
+    out = attach(out, _partners(t), KEY)
     out = _code(out, t["municipios"], "municipio", "municipio_nome")
     out = _code(out, t["cnaes"], "cnae_fiscal_principal", "cnae_principal_descricao")
     return out.select(

@@ -801,3 +801,6 @@ SELECT left(data_version, 4) AS year, data_version, COUNT(DISTINCT k) AS distinc
 UNION ALL
 SELECT left(data_version, 4), NULL, COUNT(DISTINCT k) FROM m GROUP BY ALL
 """
+
+SQL["reduced_consolidated"] = SQL["registry_consolidated"]
+SQL["reduced_company_context"] = SQL["registry_company_context"]

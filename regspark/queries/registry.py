@@ -131,6 +131,43 @@ def registry_consolidated(spark: SparkSession, d: str) -> DataFrame:
     return views.consolidated(registry_tables(spark, d))
 
 
+def _reduced_lake(spark: SparkSession, d: str) -> str:
+    """Gold of both months with their reduced tables; the second month's companies are published
+    again afterwards, so that its reduced companies are behind their gold."""
+    from regspark.plans.keyed import publish_reduced
+    from regspark.session import scratch_path
+    from regspark.sinks.lake import publish_month, publish_months
+
+    root, tables = scratch_path(spark, "reduced"), registry_tables(spark, d)
+    for name, rows in tables.items():
+        if name == "empresas":
+            publish_month(rows.where(F.col("data_version") == MONTHS[0]), root, "gold", name, MONTHS[0])
+            publish_month(rows.where((F.col("data_version") == MONTHS[1]) & (F.col("cnpj_basico") > "00000100")),
+                          root, "gold", name, MONTHS[1])
+        else:
+            publish_months(rows, root, "gold", name)
+    for month in MONTHS:
+        publish_reduced(spark, root, month)
+    publish_month(tables["empresas"].where(F.col("data_version") == MONTHS[1]), root, "gold", "empresas", MONTHS[1])
+    return root
+
+
+@register
+def reduced_consolidated(spark: SparkSession, d: str) -> DataFrame:
+    """V5 from reduced tables bucketed on the company key."""
+    from regspark.plans.keyed import lake_view
+
+    return lake_view(spark, _reduced_lake(spark, d), "vw_agente_cnpj_consolidado")
+
+
+@register
+def reduced_company_context(spark: SparkSession, d: str) -> DataFrame:
+    """V2 from reduced tables bucketed on the company key."""
+    from regspark.plans.keyed import lake_view
+
+    return lake_view(spark, _reduced_lake(spark, d), "vw_agente_empresas_contexto")
+
+
 @register
 def registry_branch_quality(spark: SparkSession, d: str) -> DataFrame:
     from regspark.plans.history import branch_scores

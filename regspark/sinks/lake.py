@@ -64,7 +64,7 @@ def manifest_of(spark: SparkSession, root: str, layer: str, dataset: str):
     return read_manifest(spark, table_path(root, layer, dataset))
 
 
-def _commit_path(root: str, layer: str, dataset: str, month: str, commit_id: str) -> str:
+def commit_path(root: str, layer: str, dataset: str, month: str, commit_id: str) -> str:
     return f"{month_path(root, layer, dataset, month)}/{COMMIT}={commit_id}"
 
 
@@ -90,7 +90,7 @@ def publish_month(df: DataFrame, root: str, layer: str, dataset: str, month: str
     """
     spark = df.sparkSession
     base, commit_id = manifest_of(spark, root, layer, dataset), uuid.uuid4().hex
-    path = _commit_path(root, layer, dataset, month, commit_id)
+    path = commit_path(root, layer, dataset, month, commit_id)
     stamped = stamp_month(df, month).drop(MONTH)
     if cluster_by:
         stamped = stamped.hint("rebalance", cluster_by)
@@ -123,12 +123,12 @@ def publish_months(df: DataFrame, root: str, layer: str, dataset: str) -> WriteR
     months = [n.partition("=")[2] for n in Folder(spark, path).names() if n.startswith(f"{MONTH}=")
               and Folder(spark, f"{path}/{n}/{COMMIT}={commit_id}").exists()]
     try:
-        written = _rows_by(spark, path, [_commit_path(root, layer, dataset, m, commit_id) for m in months], MONTH)
+        written = _rows_by(spark, path, [commit_path(root, layer, dataset, m, commit_id) for m in months], MONTH)
         entries = {m: Month(commit_id, written[m], schema.json()) for m in months}
         commit(spark, path, base, entries)
     except BaseException:
         for m in months:
-            Folder(spark, _commit_path(root, layer, dataset, m, commit_id)).delete()
+            Folder(spark, commit_path(root, layer, dataset, m, commit_id)).delete()
         raise
     return WriteResult(path, int(obs.get.get("rows") or 0))
 
@@ -162,7 +162,7 @@ def append_part(df: DataFrame, root: str, layer: str, dataset: str, month: str,
     if entry is not None and not entry.parts:
         raise PublishConflict(f"{month} of {dataset} in {layer} was published whole; drop it before parts are added")
     commit_id = uuid.uuid4().hex
-    path = _commit_path(root, layer, dataset, month, commit_id)
+    path = commit_path(root, layer, dataset, month, commit_id)
     stamped, obs = _observed(stamp_month(df, month).drop(MONTH), f"append-{layer}-{dataset}-{month}", {})
     try:
         stamped.write.parquet(path)
@@ -190,7 +190,7 @@ def replace_buckets(df: DataFrame, root: str, layer: str, dataset: str, month: s
     spark, commit_id, entry = df.sparkSession, uuid.uuid4().hex, base.months.get(month)
     if entry is not None and not entry.parts:
         raise PublishConflict(f"{month} of {dataset} in {layer} was published whole; drop it before buckets are merged")
-    path = _commit_path(root, layer, dataset, month, commit_id)
+    path = commit_path(root, layer, dataset, month, commit_id)
     stamped = stamp_month(df, month).drop(MONTH)
     try:
         stamped.write.partitionBy(BUCKET).parquet(path)
