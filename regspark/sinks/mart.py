@@ -6,7 +6,9 @@ truth; the mart is a copy. Export errors raise (they are never only logged).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -44,9 +46,9 @@ def jdbc_options(table: str, conn: dict[str, str]) -> dict[str, str]:
     return opts
 
 
-def delete_statement(table: str, month_cols: Sequence[str] = MONTH_COLUMNS) -> str:
-    """Statement that removes one month from the mart (one ``?`` per column)."""
-    return f"DELETE FROM {table} WHERE " + " OR ".join(f"{c} = ?" for c in month_cols)
+def delete_statement(table: str, month_cols: Sequence[str] = MONTH_COLUMNS, mark: str = "?") -> str:
+    """Statement that removes one month from the mart (one parameter per column)."""
+    return f"DELETE FROM {table} WHERE " + " OR ".join(f"{c} = {mark}" for c in month_cols)
 
 
 def append_rows(df: DataFrame, table: str, conn: dict[str, str]) -> int:
@@ -65,8 +67,91 @@ def replace_month(df: DataFrame, table: str, columns: Sequence[str], conn: dict[
 
     ``execute`` runs a statement with parameters on the caller's own database
     connection (any DB-API cursor's ``execute`` fits). Nothing is deleted
-    when the frame does not fit the table.
+    when the frame does not fit the table. The delete stands alone: when the
+    append may fail or be repeated, :func:`export_month` keeps the old month.
     """
     out = mart_projection(df, columns)
     execute(delete_statement(table, month_cols), [month] * len(month_cols))
     return append(out, table, conn)
+
+
+# --- staged export: a failed or repeated append never shows in the mart -----------------
+
+LEDGER = "mart_exports"
+LEDGER_COLUMNS = ("target", "month", "run_id", "row_count")
+
+
+class ExportMismatch(RuntimeError):
+    """The staging table does not hold the rows that the job reports to have written."""
+
+
+@contextmanager
+def _transaction(connection):
+    """One DB-API transaction: committed when the block ends, rolled back when it raises."""
+    cursor = connection.cursor()
+    try:
+        yield cursor
+        connection.commit()
+    except BaseException:
+        connection.rollback()
+        raise
+    finally:
+        cursor.close()
+
+
+def staging_name(table: str, run_id: str) -> str:
+    """The staging table of one run; the run id becomes part of an SQL name, so it is letters, digits and ``_`` only."""
+    if not re.fullmatch(r"[A-Za-z0-9_]+", run_id):
+        raise ValueError(f"run id {run_id!r} is not made of letters, digits and underscores")
+    return f"{table}__stage_{run_id}"
+
+
+def exported_rows(cursor, table: str, month: str, run_id: str, mark: str = "?") -> int | None:
+    """Rows that this run has exported for the month already; None when it has not finished."""
+    cursor.execute(f"SELECT row_count FROM {LEDGER} WHERE target = {mark} AND month = {mark} AND run_id = {mark}", [table, month, run_id])
+    row = cursor.fetchone()
+    return None if row is None else int(row[0])
+
+
+def export_month(df: DataFrame, table: str, columns: Sequence[str], conn: dict[str, str], month: str, run_id: str, connection,
+                 append: Callable[[DataFrame, str, dict[str, str]], int] = append_rows,
+                 month_cols: Sequence[str] = MONTH_COLUMNS, mark: str = "?") -> int:
+    """K2 + K5: replace one month of a mart table by way of a staging table; returns the rows of the month.
+
+    Executors append to a staging table named by the run. Then one transaction
+    deletes the month, moves the staged rows and enters the run in the ledger
+    ``mart_exports`` (made when missing), so readers see the old or the new
+    month and a failure at any point leaves the old one. A run that stands in
+    the ledger does nothing; one that failed starts again with an empty staging
+    table. A task that is repeated after its rows were committed would append
+    them twice: the staged rows are counted, and a count that differs from the
+    rows the job wrote raises before the month is touched.
+
+    ``connection`` is the caller's DB-API connection (autocommit off) and ``mark``
+    its parameter sign. A frame that shares no column with the table raises
+    before any statement. An empty frame empties the month.
+    """
+    out, stage = mart_projection(df, columns), staging_name(table, run_id)
+    names = ", ".join(out.columns)
+    with _transaction(connection) as cursor:
+        cursor.execute(f"CREATE TABLE IF NOT EXISTS {LEDGER} (target VARCHAR(255) NOT NULL, month VARCHAR(16) NOT NULL, "
+                       "run_id VARCHAR(128) NOT NULL, row_count BIGINT NOT NULL, PRIMARY KEY (target, month, run_id))")
+        done = exported_rows(cursor, table, month, run_id, mark)
+        if done is None:
+            cursor.execute(f"DROP TABLE IF EXISTS {stage}")
+            cursor.execute(f"CREATE TABLE {stage} AS SELECT {names} FROM {table} WHERE 1 = 0")
+    if done is not None:
+        return done
+    written = append(out, stage, conn)
+    with _transaction(connection) as cursor:
+        cursor.execute(f"SELECT COUNT(*) FROM {stage}")
+        staged = int(cursor.fetchone()[0])
+        if staged != written:
+            raise ExportMismatch(f"{stage} holds {staged} rows, the job wrote {written}")
+        cursor.execute(delete_statement(table, month_cols, mark), [month] * len(month_cols))
+        cursor.execute(f"INSERT INTO {table} ({names}) SELECT {names} FROM {stage}")
+        cursor.execute(f"INSERT INTO {LEDGER} ({', '.join(LEDGER_COLUMNS)}) VALUES ({', '.join([mark] * len(LEDGER_COLUMNS))})",
+                       [table, month, run_id, written])
+    with _transaction(connection) as cursor:
+        cursor.execute(f"DROP TABLE IF EXISTS {stage}")
+    return written
