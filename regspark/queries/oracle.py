@@ -804,3 +804,9 @@ SELECT left(data_version, 4), NULL, COUNT(DISTINCT k) FROM m GROUP BY ALL
 
 SQL["reduced_consolidated"] = SQL["registry_consolidated"]
 SQL["reduced_company_context"] = SQL["registry_company_context"]
+
+SQL["mixed_encoding_files"] = """
+SELECT k.kind, k.encoding, CAST(c_custkey AS VARCHAR) AS codigo, c_name || ' São é' || chr(k.sign) AS descricao
+FROM customer JOIN (VALUES (0, 'utf', 'utf-8-sig', 8364), (1, 'win', 'cp1252', 8364), (2, 'latin', 'latin1', 129)) k(r, kind, encoding, sign)
+  ON k.r = c_custkey % 3
+"""

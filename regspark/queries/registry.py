@@ -453,6 +453,30 @@ def encoding_switch(spark: SparkSession, d: str) -> DataFrame:
     return encoding_fallbacks(RunLog(spark, f"{base}/lake").encoding_audit())
 
 
+def _mixed_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Code-list lines from customer as bytes (a text of no valid UTF-8), a third of them in each encoding."""
+    kind = F.element_at(F.array(F.lit("utf"), F.lit("win"), F.lit("latin")), (F.col("c_custkey") % 3 + 1).cast("int"))
+    # the sign for windows-1252 is one Latin-1 has as a control character, the one for Latin-1 is undefined in windows-1252
+    line = F.concat_ws(";", _s(F.col("c_custkey")), F.concat("c_name", F.lit(" São é")))
+    raw = (F.when(F.col("kind") == "utf", F.encode(F.concat("line", F.lit("€")), "UTF-8"))
+           .when(F.col("kind") == "win", F.encode(F.concat("line", F.lit("\x80")), "ISO-8859-1"))
+           .otherwise(F.encode(F.concat("line", F.lit("\x81")), "ISO-8859-1")))
+    return table(spark, d, "customer").select(kind.alias("kind"), line.alias("line")).select("kind", raw.cast("string").alias("value"))
+
+
+@register
+def mixed_encoding_files(spark: SparkSession, d: str) -> DataFrame:
+    """Q5 + Q2 by file: a folder of files in three encodings read in one scan, with each file's choice."""
+    from regspark.session import scratch_path
+    from regspark.sources.encodings import read_bronze_mixed
+
+    base = scratch_path(spark, "mixed")
+    _mixed_lines(spark, d).write.partitionBy("kind").text(base)
+    rows, choices = read_bronze_mixed(spark, f"{base}/kind=*/part-*", "paises", REGISTRY_MONTH)
+    rows = rows.join(choices.withColumnRenamed("file_path", "source_file"), "source_file", "left")
+    return rows.select(F.regexp_extract("source_file", "kind=([^/]*)/", 1).alias("kind"), "encoding", "codigo", "descricao")
+
+
 @register
 def reingest_companies(spark: SparkSession, d: str) -> DataFrame:
     """K7 + K8: a month is ingested, then rebuilt from other files; a second
