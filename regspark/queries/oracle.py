@@ -810,3 +810,11 @@ SELECT k.kind, k.encoding, CAST(c_custkey AS VARCHAR) AS codigo, c_name || ' Sã
 FROM customer JOIN (VALUES (0, 'utf', 'utf-8-sig', 8364), (1, 'win', 'cp1252', 8364), (2, 'latin', 'latin1', 129)) k(r, kind, encoding, sign)
   ON k.r = c_custkey % 3
 """
+
+SQL["clustered_lookup"] = f"""
+WITH {_REG},
+b AS (SELECT cnpj_basico, cnpj_ordem, uf, municipio, cnae_fiscal_principal, data_version FROM est WHERE data_version = {_M})
+SELECT 'uf' AS asked, * FROM b WHERE uf = 'F'
+UNION ALL SELECT 'municipio', * FROM b WHERE municipio = '7'
+UNION ALL SELECT 'cnae_fiscal_principal', * FROM b WHERE cnae_fiscal_principal = '3'
+"""

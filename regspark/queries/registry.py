@@ -352,6 +352,25 @@ def published_state_view(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@register
+def clustered_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """F1 on a month clustered by state, town and activity at once: the branches
+    of one state, of one town and of one activity, each from the files that may hold them."""
+    from regspark.session import scratch_path
+    from regspark.sinks.clustered import publish_clustered, read_where
+    from regspark.sinks.lake import publish_month, read_table
+
+    root, by = scratch_path(spark, "clustered"), ["uf", "municipio", "cnae_fiscal_principal"]
+    branches = registry_tables(spark, d)["estabelecimentos"].where(F.col("data_version") == REGISTRY_MONTH)
+    publish_month(branches, root, "silver", "estabelecimentos", REGISTRY_MONTH)
+    publish_clustered(read_table(spark, root, "silver", "estabelecimentos", REGISTRY_MONTH), root, "gold", "estabelecimentos",
+                      REGISTRY_MONTH, by, files=16)
+    asked = [("uf", "F"), ("municipio", "7"), ("cnae_fiscal_principal", "3")]
+    parts = [read_where(spark, root, "gold", "estabelecimentos", REGISTRY_MONTH, {c: v}).select(
+        F.lit(c).alias("asked"), "cnpj_basico", "cnpj_ordem", *by, "data_version") for c, v in asked]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 # --- replace, drop and empty on a state-partitioned mart ------------------------------
 
 @register
