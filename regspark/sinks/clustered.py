@@ -15,12 +15,14 @@ range holds the value, and inside them Parquet's row-group statistics skip furth
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regspark.sinks.lake import MONTH, TableNotFound, WriteResult, manifest_of, publish_month, read_table
 from regspark.sinks.manifest import Month
+from regspark.sources.text import as_pattern
 
 FILE_INDEX = "fileindex"
 STEP_BITS = 6
@@ -97,7 +99,7 @@ def _indexed(spark: SparkSession, root: str, layer: str, dataset: str, month: st
 
 
 def files_for(spark: SparkSession, root: str, layer: str, dataset: str, month: str, equals: Mapping[str, str | None]) -> list[str] | None:
-    """Files of the month that may hold rows with these values; None when the month has no current index.
+    """Paths (for a reader, glob signs escaped) of the month's files that may hold rows with these values; None when the month has no current index.
 
     File names alone reach the driver, as with any listing of a table.
     """
@@ -108,7 +110,7 @@ def files_for(spark: SparkSession, root: str, layer: str, dataset: str, month: s
         if f"min_{column}" in index.columns:
             held = F.col(f"nulls_{column}") if value is None else F.lit(value).between(F.col(f"min_{column}"), F.col(f"max_{column}"))
             index = index.where(held)
-    return [r[0] for r in index.select("file_path").collect()]
+    return [as_pattern(unquote(r[0])) for r in index.select("file_path").collect()]
 
 
 def read_where(spark: SparkSession, root: str, layer: str, dataset: str, month: str, equals: Mapping[str, str | None]) -> DataFrame:

@@ -61,8 +61,10 @@ def test_a_hot_cell_is_spread(spark, lake):
 
 
 def test_a_month_with_a_newer_version_is_read_whole(spark, rows, workdir):
+    workdir += "/lake of 1 %20"
     df = spark.createDataFrame(rows[:300], "id string, uf string, municipio string, cnae string")
     publish_clustered(df, workdir, "gold", "t", MONTH, BY, files=4)
+    assert read_where(spark, workdir, "gold", "t", MONTH, {"uf": "U3"}).count() == sum(r[1] == "U3" for r in rows[:300])
     publish_month(df.where("id < '00000010'"), workdir, "gold", "t", MONTH)
     assert files_for(spark, workdir, "gold", "t", MONTH, {"uf": "U3"}) is None
     assert read_where(spark, workdir, "gold", "t", MONTH, {}).count() == 10
