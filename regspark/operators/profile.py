@@ -89,76 +89,84 @@ def folder_profile(files: DataFrame) -> DataFrame:
 
 # --- Q2: encoding scoring ------------------------------------------------------------
 
-def candidate_texts(raw: Column, candidates: Sequence[str] = CANDIDATES) -> list[tuple[str, Column]]:
-    """The text each candidate encoding would produce from the bytes ``raw``.
-
-    latin1 maps every byte; cp1252 and utf-8 turn bytes they do not define into
-    U+FFFD; utf-8-sig is utf-8 without a leading BOM.
-    """
-    unknown = set(candidates) - set(CANDIDATES)
-    if unknown:
-        raise ValueError(f"unknown candidate encodings {sorted(unknown)}")
-    utf8 = F.make_valid_utf8(raw.cast("string"))
-    texts = {
-        "latin1": F.decode(raw, "ISO-8859-1"),
-        "cp1252": F.translate(F.decode(raw, "ISO-8859-1"), LATIN1_UPPER, CP1252_UPPER),
-        "utf-8": utf8,
-        # A leading BOM is counted by no term, so utf-8-sig scores exactly as utf-8.
-        "utf-8-sig": utf8,
-    }
-    return [(name, texts[name]) for name in candidates]
-
-
-CONTROL_CHARS = "".join(chr(i) for i in range(32) if chr(i) not in "\n\r\t")
+CONTROL_PATTERN = r"[\x00-\x08\x0B\x0C\x0E-\x1F]"
+# The bytes that windows-1252 does not define, as their Latin-1 reading shows them.
+CP1252_UNDEFINED = "".join(a for a, b in zip(LATIN1_UPPER, CP1252_UPPER) if b == REPLACEMENT_CHAR)
+TERMS = ("decode_errors", "mojibake_hits", "control_chars", "accented_chars")
+_COUNTS = ("control", "undefined", "latin1_mojibake", "latin1_accents", "utf8_errors", "utf8_mojibake", "utf8_accents")
 
 
 def _count(text: Column, pattern: str) -> Column:
     """Non-overlapping regex matches (0 for NULL)."""
-    return F.coalesce(F.regexp_count(text, F.lit(pattern)), F.lit(0))
+    return F.coalesce(F.regexp_count(text, F.lit(pattern)), F.lit(0)).cast("bigint")
 
 
-def _count_chars(text: Column, chars: str) -> Column:
-    """Occurrences of any of ``chars``: length minus length without them.
+def _count_if_present(text: Column, pattern: str, lead: str) -> Column:
+    """Regex count, skipped when the pattern's first character is absent."""
+    return F.when(F.instr(text, lead) > 0, _count(text, pattern)).otherwise(F.lit(0).cast("bigint"))
 
-    Same result as a one-character-class regex count, without a regex scan.
-    """
-    return F.coalesce(F.length(text) - F.length(F.translate(text, chars, "")), F.lit(0))
 
+def _mojibake(text: Column) -> Column:
+    """Matches of the two patterns that are no replacement character."""
+    first, second, _ = MOJIBAKE_PATTERNS
+    return _count_if_present(text, first, first[0]) + _count_if_present(text, second, second[0])
 
-def _count_if_present(text: Column, pattern: str, lead: str) -> Column:
-    """Regex count, skipped when the pattern's first character is absent."""
-    return F.when(F.instr(text, lead) > 0, _count(text, pattern)).otherwise(F.lit(0))
-
-
-def text_metrics(text: Column) -> dict[str, Column]:
-    errors = _count_chars(text, REPLACEMENT_CHAR)
-    mojibake = (_count_if_present(text, MOJIBAKE_PATTERNS[0], MOJIBAKE_PATTERNS[0][0])
-                + _count_if_present(text, MOJIBAKE_PATTERNS[1], MOJIBAKE_PATTERNS[1][0])
-                + errors)  # third pattern is the replacement character itself
-    control = _count_chars(text, CONTROL_CHARS)
-    accents = _count_chars(text, ACCENTED)
-    score = (errors * WEIGHT_DECODE_ERROR + mojibake * WEIGHT_MOJIBAKE
-             + control * WEIGHT_CONTROL - accents)
-    return {
-        "score": score.cast("bigint"),
-        "decode_errors": errors.cast("bigint"),
-        "mojibake_hits": mojibake.cast("bigint"),
-        "control_chars": control.cast("bigint"),
-        "accented_chars": accents.cast("bigint"),
-    }
 
+def _counted(df: DataFrame, raw_col: str) -> DataFrame:
+    """``df`` without ``raw_col`` and with the counts that every candidate's terms are sums of.
 
-TERMS = ("decode_errors", "mojibake_hits", "control_chars", "accented_chars")
+    Only two texts of the bytes are made, once a row, and none for plain ASCII,
+    which has control characters only. latin1 maps every byte; utf-8 turns what
+    it does not define into U+FFFD, utf-8-sig too (a leading BOM is counted by
+    no term); cp1252 reads bytes like latin1 but for 0x80 to 0x9F, where no
+    pattern and no accented or control character lies, so it differs by its
+    undefined bytes. Control characters are single bytes in all of them.
+    """
+    rest = [c for c in df.columns if c != raw_col]
+    text = F.col(raw_col).cast("string")
+    plain = F.coalesce(F.is_valid_utf8(text) & (F.length(text) == F.octet_length(text)), F.lit(True))
+    texts = df.withColumn("__plain", plain).select(
+        *rest, text.alias("__text"),
+        F.when(~F.col("__plain"), F.decode(F.col(raw_col).cast("binary"), "ISO-8859-1")).alias("__latin1"),
+        F.when(~F.col("__plain"), F.make_valid_utf8(text)).alias("__utf8"))
+    latin1, utf8 = F.col("__latin1"), F.col("__utf8")
+    counts = (_count(F.col("__text"), CONTROL_PATTERN), _count(latin1, f"[{CP1252_UNDEFINED}]"),
+              _mojibake(latin1), _count(latin1, f"[{ACCENTED}]"),
+              _count_if_present(utf8, REPLACEMENT_CHAR, REPLACEMENT_CHAR), _mojibake(utf8), _count(utf8, f"[{ACCENTED}]"))
+    return texts.select(*rest, *[c.alias(f"__{n}") for n, c in zip(_COUNTS, counts)])
+
+
+def _candidate_terms(candidates: Sequence[str]) -> list[tuple[str, dict[str, Column]]]:
+    """Score and terms of each candidate, from the counts of a row or their sums over rows."""
+    unknown = set(candidates) - set(CANDIDATES)
+    if unknown:
+        raise ValueError(f"unknown candidate encodings {sorted(unknown)}")
+    n = {name: F.col(f"__{name}") for name in _COUNTS}
+    none = F.lit(0).cast("bigint")
+    utf8 = (n["utf8_errors"], n["utf8_mojibake"], n["utf8_accents"])
+    parts = {"latin1": (none, n["latin1_mojibake"], n["latin1_accents"]),
+             "cp1252": (n["undefined"], n["latin1_mojibake"], n["latin1_accents"]),
+             "utf-8": utf8, "utf-8-sig": utf8}
+    out = []
+    for name in candidates:
+        errors, mojibake, accents = parts[name]
+        mojibake = mojibake + errors  # the third pattern is the replacement character itself
+        score = errors * WEIGHT_DECODE_ERROR + mojibake * WEIGHT_MOJIBAKE + n["control"] * WEIGHT_CONTROL - accents
+        out.append((name, {"score": score, **dict(zip(TERMS, (errors, mojibake, n["control"], accents)))}))
+    return out
+
+
+def _by_candidate(counted: DataFrame, candidates: Sequence[str]) -> DataFrame:
+    """Per row of counts one row per candidate: ``pos``, ``encoding``, ``score`` and its terms."""
+    rest = [c for c in counted.columns if c not in {f"__{n}" for n in _COUNTS}]
+    structs = [F.struct(F.lit(pos).alias("pos"), F.lit(name).alias("encoding"), *[c.alias(k) for k, c in m.items()])
+               for pos, (name, m) in enumerate(_candidate_terms(candidates))]
+    return counted.select(*rest, F.explode(F.array(*structs)).alias("__c")).select(*rest, "__c.*")
 
 
 def encoding_scores(df: DataFrame, raw_col: str, candidates: Sequence[str] = CANDIDATES) -> DataFrame:
     """Per row one row per candidate: ``pos``, ``encoding``, ``score`` and its terms."""
-    structs = []
-    for pos, (name, text) in enumerate(candidate_texts(F.col(raw_col), candidates)):
-        m = text_metrics(text)
-        structs.append(F.struct(F.lit(pos).alias("pos"), F.lit(name).alias("encoding"), *[c.alias(k) for k, c in m.items()]))
-    rest = [c for c in df.columns if c != raw_col]
-    return df.select(*rest, F.explode(F.array(*structs)).alias("__c")).select(*rest, "__c.*")
+    return _by_candidate(_counted(df, raw_col), candidates)
 
 
 def best_encoding(df: DataFrame, raw_col: str, candidates: Sequence[str] = CANDIDATES) -> DataFrame:
@@ -167,19 +175,10 @@ def best_encoding(df: DataFrame, raw_col: str, candidates: Sequence[str] = CANDI
     All candidates are scored in one pass over the row; the winner is the
     minimum of an array of structs ordered (score, candidate position).
     """
-    structs = []
-    for pos, (name, text) in enumerate(candidate_texts(F.col(raw_col), candidates)):
-        # utf-8-sig equals utf-8; cp1252 differs from latin1 by decode errors only
-        # (no accented or control character lies between 0x80 and 0x9F): neither
-        # can win over its earlier twin, so it need not be scored.
-        twin = {"utf-8-sig": "utf-8", "cp1252": "latin1"}.get(name)
-        if twin in candidates[:pos]:
-            continue
-        m = text_metrics(text)
-        structs.append(F.struct(
-            m["score"].alias("score"), F.lit(pos).alias("pos"), F.lit(name).alias("encoding"),
-            *[m[t].alias(t) for t in TERMS]))
-    out = df.withColumn("__best", F.array_min(F.array(*structs)))
+    structs = [F.struct(m["score"].alias("score"), F.lit(pos).alias("pos"), F.lit(name).alias("encoding"),
+                        *[m[t].alias(t) for t in TERMS])
+               for pos, (name, m) in enumerate(_candidate_terms(candidates))]
+    out = _counted(df.withColumn("__raw", F.col(raw_col)), "__raw").withColumn("__best", F.array_min(F.array(*structs)))
     return out.select(*df.columns, *[F.col(f"__best.{c}").alias(c) for c in ("encoding", "score", *TERMS)])
 
 
@@ -187,14 +186,14 @@ def file_encodings(lines: DataFrame, candidates: Sequence[str] = CANDIDATES) ->
     """Q2 per file over ``spark.read.text`` output, whole files line by line.
 
     One row per file and candidate with the summed score and terms and its
-    ``rank`` (1 is the file's winner; ties keep candidate order). Lines are
-    summed map-side, so a file of any size is one partial row a task.
+    ``rank`` (1 is the file's winner; ties keep candidate order). The counts are
+    summed map-side, so a file of any size is one partial row a task; candidates
+    are laid out after that, from one row a file.
     """
-    raw = lines.select(F.col("_metadata.file_path").alias("file_path"), F.col("value").cast("binary").alias("raw"))
-    per_file = encoding_scores(raw, "raw", candidates).groupBy("file_path", "pos", "encoding").agg(
-        *[F.sum(c).cast("bigint").alias(c) for c in ("score", *TERMS)])
+    raw = lines.select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("raw"))
+    per_file = _counted(raw, "raw").groupBy("file_path").agg(*[F.sum(f"__{n}").alias(f"__{n}") for n in _COUNTS])
     order = Window.partitionBy("file_path").orderBy("score", "pos")
-    return per_file.withColumn("rank", F.row_number().over(order)).drop("pos")
+    return _by_candidate(per_file, candidates).withColumn("rank", F.row_number().over(order)).drop("pos")
 
 
 def encoding_vote(best: DataFrame, group_col: str, candidates: Sequence[str] = CANDIDATES) -> DataFrame:

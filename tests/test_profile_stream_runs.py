@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import re
 
 from pyspark.sql import functions as F
 
 from conftest import write_lines
 from regspark.operators.profile import (
-    best_encoding, encoding_vote, file_encodings, file_profile, folder_profile,
+    ACCENTED, TERMS, best_encoding, encoding_scores, encoding_vote, file_encodings, file_profile, folder_profile,
 )
 from regspark.operators.runs import (
     current_runs, duration_histogram, encoding_fallbacks, run_rates, run_summary,
@@ -34,6 +35,29 @@ def test_encoding_scorer_picks_each_file(spark, workdir):
     assert vote.encoding == "latin1" and vote.wins == 2
 
 
+def _plain_terms(raw: bytes, encoding: str) -> tuple:
+    text = raw.decode({"latin1": "latin-1", "utf-8-sig": "utf-8"}.get(encoding, encoding), errors="replace")
+    errors = text.count("\ufffd")
+    mojibake = len(re.findall("Ã[^\n]", text)) + len(re.findall("Â[^\n]", text)) + errors
+    control, accents = (sum(c in chars for c in text) for chars in (set(map(chr, range(32))) - set("\n\r\t"), ACCENTED))
+    return 100 * errors + 10 * mojibake + 5 * control - accents, errors, mojibake, control, accents
+
+
+def test_encoding_terms_by_hand_and_texts_made_once(spark, workdir):
+    raws = [b"", b"plain\x01\x00\x1f\t\r\n", b"\x80\x81\x8d\x8f\x90\x9d", "Ã©Â© Ã\n ÂÂ ÃÃ".encode(), "\ufeffé".encode(),
+            "ação € \U0001f600".encode(), "ação".encode("latin-1"), b"\xe9", b"\xe9A\x02", b"\xc3", "\ufffdx".encode(), b"a\xc2\xa0"]
+    df = spark.createDataFrame([(k, bytearray(r)) for k, r in enumerate(raws)] + [(99, None)], "k int, raw binary")
+    got = {(r.k, r.encoding): (r.score, *[r[t] for t in TERMS]) for r in encoding_scores(df, "raw").collect()}
+    for k, raw in [*enumerate(raws), (99, b"")]:
+        for encoding in ("latin1", "cp1252", "utf-8", "utf-8-sig"):
+            assert got[k, encoding] == _plain_terms(raw, encoding), (raw, encoding)
+    # Every text of a line is made once and counted once; candidates are laid out after the sums by file.
+    write_lines(f"{workdir}/once/a.txt", ["ação", "x"])
+    plan = file_encodings(spark.read.text(f"{workdir}/once"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Aggregate") and "translate(" not in plan
+    assert len(re.findall(r"\b(?:decode|StaticInvoke)\(.*?ISO-8859-1", plan)) <= 1 and plan.count("ISO-8859-1") == 1
+
+
 def test_layout_profile(spark, workdir):
     write_lines(f"{workdir}/prof/a.txt", ["1;2", "3;4", "1;2;3;4;5"])
     write_lines(f"{workdir}/prof/B", ["x"])
