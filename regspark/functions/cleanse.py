@@ -51,8 +51,9 @@ def sql_str(value: str) -> str:
 def null_marker_sql(name: str) -> str:
     t = f"trim({ident(name)})"
     leads = " OR ".join(f"startswith({t}, {sql_str(ch)})" for ch in _MARKER_LEADS)
-    markers = ", ".join(sql_str(m) for m in NULL_MARKERS)
-    return (f"CASE WHEN {t} = '' OR (({leads}) AND upper({t}) IN ({markers})) "
+    # The usual spellings are looked up as they stand; ``upper`` is left to the rest.
+    markers = ", ".join(sql_str(m) for m in (*NULL_MARKERS, *map(str.lower, NULL_MARKERS)))
+    return (f"CASE WHEN {t} IN ('', {markers}) OR (({leads}) AND length({t}) > 1 AND upper({t}) IN ('', {markers})) "
             f"THEN CAST(NULL AS STRING) ELSE {t} END")
 
 

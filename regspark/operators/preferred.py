@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-RANK_COL = "__rn"
+RANK_COL, HASH_COL = "__rn", "__key_hash"
 
 
 def _orderable(dt: T.DataType) -> bool:
@@ -82,7 +82,10 @@ def dedup(df: DataFrame, keys: Sequence[str], deterministic: bool = True) -> Dat
         return df
     if not deterministic:
         return df.dropDuplicates(list(keys))
-    return preferred_row(df, keys, [], deterministic=True)
+    # Sorted by one number first: whole keys are compared only where it is equal.
+    hashed = df.withColumn(HASH_COL, F.xxhash64(*[F.col(k) for k in keys]))
+    order = tie_break(df, exclude=keys)
+    return preferred_row(hashed, [HASH_COL, *keys], order or [F.lit(0)], deterministic=False).drop(HASH_COL)
 
 
 def flag_first(col: Column | str, value: str) -> Column:

@@ -65,3 +65,26 @@ def test_strip_replacement_and_full_id(spark):
     df = spark.createDataFrame([("12345678", "0001", "95"), ("1", None, "2")], "a string, b string, c string")
     out = [r[0] for r in df.select(full_id("a", "b", "c")).collect()]
     assert out == ["12345678000195", None]
+
+
+def test_markers_in_every_spelling_and_dedup_sorted_by_one_number(spark):
+    from regspark.functions.cleanse import NULL_MARKERS, null_marker
+    from regspark.operators.preferred import dedup
+
+    cells = [s for m in NULL_MARKERS for s in (m, m.lower(), m.title(), f"  {m} ", m + "x")] + ["N", "n", "", " ", "nb", "x", None]
+    df = spark.createDataFrame([(k, c) for k, c in enumerate(cells)], "k int, c string")
+    want = {k: None if c is None or c.strip(" ") == "" or c.strip(" ").upper() in NULL_MARKERS else c.strip(" ") for k, c in enumerate(cells)}
+    marked = df.select("k", null_marker("c").alias("c"))
+    assert {r.k: r.c for r in marked.collect()} == want
+    # usual spellings are looked up without a copy in upper case
+    assert marked._jdf.queryExecution().optimizedPlan().toString().count("INSET") == 2
+
+    rows = [("a", None, 2, "y"), ("a", None, 1, "z"), ("a", "b", 1, "z"), (None, None, 3, "q"), (None, None, 3, None), ("a", "b", 1, "z")]
+    kept = dedup(spark.createDataFrame(rows, "a string, b string, n int, t string"), ["a", "b"])
+    assert kept.columns == ["a", "b", "n", "t"]
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([("a", None, 1, "z"), ("a", "b", 1, "z"), (None, None, 3, "q")], key=str)
+    # the sorts compare a number before the keys
+    sorts = [line for line in kept._jdf.queryExecution().executedPlan().toString().splitlines() if "Sort [" in line]
+    assert sorts and all(line.split("Sort [")[1].startswith("__key_hash") for line in sorts)
+    only_keys = spark.createDataFrame([(1,), (1,), (None,)], "k int")
+    assert dedup(only_keys, ["k"]).count() == 2
