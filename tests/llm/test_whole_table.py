@@ -149,6 +149,25 @@ def test_repeats_match_brute_force_on_the_tables(spark):
     assert sorted(tuple(r) for r in suffix_dedup.drop_repeats(docs).collect()) == want
 
 
+def test_batches_in_memory_give_what_induction_gives(monkeypatch):
+    rng = random.Random(12)
+    for _ in range(60):
+        letters, length = rng.choice(["a", "ab", "abc", "abcdefgh"]), rng.choice([2, 3, 5, 8, 20, 43, 44, 100])
+        parts = ["".join(rng.choice(letters) for _ in range(length + rng.choice([0, 3, 40]))).encode() for _ in range(rng.randint(1, 12))]
+        weights = [rng.choice([1, 1, 2]) for _ in parts]
+        want = suffix_dedup.repeated_starts(parts, weights, length)
+        assert suffix_dedup.repeated_starts_in_memory(parts, weights, length) == want
+    # whole keys share a batch; only a key beyond it is sorted by induction
+    keys, parts = [3, 1, 3, 2, 1, 3], [b"abcabc", b"xyxyx", b"cabcab", b"q" * 40, b"yxyxy", b"zzzabc"]
+    by_hand = {0: [[0, 4]], 1: [[0, 3]], 2: [[0, 4]], 3: [[0, 38]], 4: [[0, 3]], 5: [[3, 4]]}
+    calls, induction = [], suffix_dedup.repeated_starts
+    monkeypatch.setattr(suffix_dedup, "repeated_starts", lambda p, w, n: calls.append(p) or induction(p, w, n))
+    for size, beyond in ((1000, []), (20, [[parts[3]]]), (1, [[parts[1], parts[4]], [parts[3]], [parts[0], parts[2], parts[5]]])):
+        calls.clear()
+        assert dict(suffix_dedup._runs_by_key(keys, parts, [1] * 6, 3, size)) == by_hand
+        assert calls == beyond
+
+
 def test_equal_strings_share_a_key():
     rng = np.random.default_rng(8)
     data = rng.integers(97, 101, 5000).astype(np.uint8)
